@@ -121,6 +121,101 @@ def volume_all_sql(labels=("1m", "5m", "1h")) -> str:
     return f"WITH {TRADES},\n{ctes}\n{body}"
 
 
+
+
+# ---------------------------------------------------------------- trends
+
+def ema_weight_literals(k: int) -> list[str]:
+    from candela.operators.trends import ema_weights
+
+    return [f"CAST('{w!r}' AS DOUBLE)" for w in ema_weights(k)]
+
+
+def trends_cte(source: str = "bars", order: str = "window_start", name: str = "tr") -> str:
+    """Indicator columns over ``source`` (symbol, window_start, window_end, close) per symbol by ``order``."""
+    win = f"PARTITION BY symbol ORDER BY {order}"
+    ema = {}
+    for k in (5, 15):
+        terms = [f"{w} * lag(cd, {j}) OVER ({win})" for j, w in enumerate(ema_weight_literals(k))]
+        ema[k] = " + ".join(terms)
+    return f"""{name}_a AS (
+  SELECT *, {u8('close')} AS cu, CAST({u8('close')} AS DOUBLE) / 100000000 AS cd FROM {source}),
+{name}_b AS (
+  SELECT *,
+    row_number() OVER ({win}) AS n,
+    sum(cu) OVER ({win} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS s5,
+    sum(cu) OVER ({win} ROWS BETWEEN 14 PRECEDING AND CURRENT ROW) AS s15,
+    sum(cu) OVER ({win} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS s30,
+    {ema[5]} AS e5,
+    {ema[15]} AS e15,
+    cu - lag(cu, 9) OVER ({win}) AS mom_raw,
+    cu - lag(cu, 1) OVER ({win}) AS dlt
+  FROM {name}_a),
+{name}_c AS (
+  SELECT *,
+    sum(CASE WHEN dlt > 0 THEN dlt ELSE 0 END) OVER ({win} ROWS BETWEEN 13 PRECEDING AND CURRENT ROW) AS gain,
+    sum(CASE WHEN dlt < 0 THEN -dlt ELSE 0 END) OVER ({win} ROWS BETWEEN 13 PRECEDING AND CURRENT ROW) AS loss
+  FROM {name}_b),
+{name}_d AS (
+  SELECT *,
+    CASE WHEN n >= 5 THEN {halfup('s5', '5')} END AS sma5_u,
+    CASE WHEN n >= 15 THEN {halfup('s15', '15')} END AS sma15_u,
+    CASE WHEN n >= 30 THEN {halfup('s30', '30')} END AS sma30_u,
+    CASE WHEN n >= 5 THEN e5 END AS ema5,
+    CASE WHEN n >= 15 THEN e15 END AS ema15,
+    CASE WHEN n >= 10 THEN mom_raw END AS mom_u,
+    {halfup('gain', '14')} AS g_u, {halfup('loss', '14')} AS l_u
+  FROM {name}_c),
+{name}_e AS (
+  SELECT *,
+    CASE WHEN n < 15 THEN NULL WHEN l_u = 0 THEN 10000000000
+         ELSE 10000000000 - {halfup('CAST(10000000000 AS HUGEINT) * 100000000', '100000000 + ' + halfup('g_u * 100000000', 'l_u'))} END AS rsi_u
+  FROM {name}_d),
+{name} AS (
+  SELECT *,
+    CASE WHEN sma5_u IS NULL OR sma15_u IS NULL THEN 'NEUTRAL'
+         WHEN sma5_u > sma15_u AND cu > sma15_u THEN 'BULLISH'
+         WHEN sma5_u < sma15_u AND cu < sma15_u THEN 'BEARISH' ELSE 'NEUTRAL' END AS trend_direction,
+    CASE WHEN sma5_u IS NULL OR sma15_u IS NULL THEN 'WEAK'
+         WHEN mom_u IS NULL OR rsi_u IS NULL THEN NULL
+         WHEN abs({halfup('mom_u * 10000', 'cu')}) > 500 OR rsi_u > 7000000000 OR rsi_u < 3000000000 THEN 'STRONG'
+         WHEN abs({halfup('mom_u * 10000', 'cu')}) > 200 THEN 'MODERATE' ELSE 'WEAK' END AS trend_strength
+  FROM {name}_e)"""
+
+
+TREND_OUT = {
+    "trend_sma": ["sma5", "sma15", "sma30"],
+    "trend_ema": ["ema5", "ema15"],
+    "trend_rsi": ["rsi"],
+    "trend_momentum": ["momentum"],
+    "trend_direction": ["trend_direction", "trend_strength"],
+    "trends": ["current_price", "sma5", "sma15", "sma30", "ema5", "ema15", "rsi", "momentum",
+               "trend_direction", "trend_strength"],
+}
+
+TREND_EXPR = {
+    "current_price": d("cu"),
+    "sma5": d("sma5_u"), "sma15": d("sma15_u"), "sma30": d("sma30_u"),
+    "ema5": "round(ema5, 6)", "ema15": "round(ema15, 6)",
+    "rsi": d("rsi_u"), "momentum": d("mom_u"),
+    "trend_direction": "trend_direction", "trend_strength": "trend_strength",
+}
+
+
+def trend_select(cols: list[str], name: str = "tr") -> str:
+    sel = ", ".join(f"{TREND_EXPR[c]} AS {c}" for c in cols)
+    return f"SELECT symbol, window_start, window_end AS timestamp, {sel} FROM {name}"
+
+
+def trends_sql(query: str) -> str:
+    return f"WITH {TRADES},\n{bar_cte('1 minute')},\n{trends_cte()}\n{trend_select(TREND_OUT[query])}"
+
+
+def _add_trends(q: dict[str, str]) -> None:
+    for name in TREND_OUT:
+        q[name] = trends_sql(name)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for lab in ("1m", "5m", "15m", "1h", "1d"):
@@ -130,4 +225,5 @@ def oracle_sql() -> dict[str, str]:
     for lab in ("1m", "5m", "1h"):
         q[f"volume_{lab}"] = volume_sql(lab)
     q["volume_all"] = volume_all_sql()
+    _add_trends(q)
     return q

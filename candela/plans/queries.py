@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candela.operators.bars import bars, bars_multi
+from candela.operators.trends import trends
 from candela.operators.volume import volume_analytics, volume_multi
 from candela.plans.publish import publish
 from candela.sources.adapter import load_trades
@@ -67,3 +69,39 @@ for _lab, _iv in [("1m", "1 minute"), ("5m", "5 minutes"), ("1h", "1 hour")]:
 @register("volume_all")
 def q_volume_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(volume_multi(load_trades(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- trends
+
+TREND_VIEWS = {
+    "trend_sma": ["sma5", "sma15", "sma30"],
+    "trend_ema": ["ema5", "ema15"],
+    "trend_rsi": ["rsi"],
+    "trend_momentum": ["momentum"],
+    "trend_direction": ["trend_direction", "trend_strength"],
+    "trends": ["current_price", "sma5", "sma15", "sma30", "ema5", "ema15", "rsi", "momentum",
+               "trend_direction", "trend_strength"],
+}
+
+
+def trends_1m(spark: SparkSession, sf_dir: str, strategy: str = "direct") -> DataFrame:
+    return trends(bars(load_trades(spark, sf_dir), "1 minute", "1m"), strategy=strategy)
+
+
+def _round_ema(df: DataFrame) -> DataFrame:
+    for c in ("ema5", "ema15"):
+        if c in df.columns:
+            df = df.withColumn(c, F.round(c, 6))
+    return df
+
+
+def _trend_query(cols: list[str]) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = trends_1m(spark, sf_dir)
+        return _round_ema(publish(t.select("symbol", "window_start", "timestamp", *cols)))
+
+    return q
+
+
+for _name, _cols in TREND_VIEWS.items():
+    register(_name)(_trend_query(_cols))
