@@ -28,20 +28,25 @@ def price_change_pct_units(close: str = "close", open_: str = "open") -> F.Colum
     return F.when(F.col(open_) == 0, lit_int(0)).otherwise(q * lit_int(100))
 
 
-def finish_bars(partials: DataFrame, label: str | None = None) -> DataFrame:
-    label_col = F.lit(label) if label else F.col("_interval")
-    out = partials.select(
-        "symbol",
-        label_col.alias("interval"),
-        "window_start", "window_end", "open", "high", "low", "close",
-        "volume", "trade_count",
+def bar_columns(partials: DataFrame) -> list[F.Column]:
+    """Bar measures over trade partials (without symbol / interval / window)."""
+    del partials
+    return [
+        F.col("open"), F.col("high"), F.col("low"), F.col("close"), F.col("volume"), F.col("trade_count"),
         halfup_div(F.col("volume"), F.col("trade_count"), 8, 16, 0).alias("mean_notional"),
         F.when(
             F.col("base_volume") > 0, halfup_div(F.col("volume"), F.col("base_volume"), 8, 16, 8)
         ).alias("vwap"),
         (F.col("close") - F.col("open")).alias("price_change"),
         from_units(price_change_pct_units(), 4).alias("price_change_pct"),
-        "base_volume",
+        F.col("base_volume"),
+    ]
+
+
+def finish_bars(partials: DataFrame, label: str | None = None) -> DataFrame:
+    label_col = F.lit(label) if label else F.col("_interval")
+    out = partials.select(
+        "symbol", label_col.alias("interval"), "window_start", "window_end", *bar_columns(partials)
     )
     return out.select(*BAR_COLUMNS, "base_volume")
 
@@ -86,6 +91,24 @@ def bars_multi(
     return out
 
 
+def market_bars(
+    trades: DataFrame,
+    interval: str = "1 minute",
+    label: str | None = None,
+    time_col: str = "trade_time",
+    order_key: str | None = None,
+) -> DataFrame:
+    """Bar and volume-analytics columns of the same (symbol, window) in one row, one aggregation."""
+    from candela.operators.volume import volume_columns, volume_trend
+
+    p = trade_partials(trades, interval, time_col=time_col, order_key=order_key)
+    out = p.select(
+        "symbol", F.lit(label or interval_label(interval)).alias("interval"), "window_start", "window_end",
+        *bar_columns(p), *volume_columns(p),
+    )
+    return out.withColumn("volume_trend", volume_trend(F.col("buy_volume_ratio")))
+
+
 def bar_change(bars_df: DataFrame) -> DataFrame:
     """P4/P5 as standalone projections over any bar table."""
     return bars_df.select(

@@ -37,20 +37,19 @@ def volume_trend(ratio: F.Column) -> F.Column:
     )
 
 
-def finish_volume(partials: DataFrame, label: str | None = None) -> DataFrame:
-    label_col = F.lit(label) if label else F.col("_interval")
-    total = F.col("total_volume")
+def volume_columns(partials: DataFrame) -> list[F.Column]:
+    """Volume-analytics measures over trade partials (without symbol / interval / window)."""
+    total = F.col("volume")
     ratio = F.when(total > 0, halfup_div(F.col("buy_volume"), total, 4, 16, 16)).otherwise(
         F.lit(NO_VOLUME_RATIO).cast("decimal(38,4)")
     )
-    out = partials.select(
-        "symbol",
-        label_col.alias("interval"),
-        "window_start", "window_end",
-        F.col("volume").alias("total_volume"),
-        "buy_volume", "sell_volume",
+    del partials
+    return [
+        total.alias("total_volume"),
+        F.col("buy_volume"), F.col("sell_volume"),
         F.col("trade_count").alias("total_trades"),
-        "buy_trades", "sell_trades", "large_trades", "large_trade_volume", "large_trade_threshold",
+        F.col("buy_trades"), F.col("sell_trades"), F.col("large_trades"), F.col("large_trade_volume"),
+        F.col("large_trade_threshold"),
         ratio.alias("buy_volume_ratio"),
         F.when(F.col("trade_count") > 0, halfup_div(total, F.col("trade_count"), 8, 16, 0))
         .otherwise(F.lit("0").cast("decimal(38,8)"))
@@ -58,6 +57,13 @@ def finish_volume(partials: DataFrame, label: str | None = None) -> DataFrame:
         F.when(total > 0, halfup_div(F.col("large_trade_volume"), total, 4, 16, 16))
         .otherwise(F.lit("0").cast("decimal(38,4)"))
         .alias("large_trade_volume_ratio"),
+    ]
+
+
+def finish_volume(partials: DataFrame, label: str | None = None) -> DataFrame:
+    label_col = F.lit(label) if label else F.col("_interval")
+    out = partials.select(
+        "symbol", label_col.alias("interval"), "window_start", "window_end", *volume_columns(partials)
     )
     return out.withColumn("volume_trend", volume_trend(F.col("buy_volume_ratio"))).select(*VOLUME_COLUMNS)
 

@@ -216,6 +216,115 @@ def _add_trends(q: dict[str, str]) -> None:
         q[name] = trends_sql(name)
 
 
+
+
+# ---------------------------------------------------------------- alerts
+
+def text_units(u: str, scale: int) -> str:
+    """Integer units as plain decimal text with ``scale`` fraction digits."""
+    step = "0." + "0" * (scale - 1) + "1"
+    return f"CAST(CAST(({u}) AS DECIMAL(38,0)) * {step} AS VARCHAR)"
+
+
+def fmt2(u: str, scale: int) -> str:
+    """HALF_UP to two decimals, as text, of a value in 1e-scale units."""
+    r = halfup(u, str(10 ** (scale - 2))) if scale > 2 else u
+    return text_units(r, 2)
+
+
+def text16(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(38,16)) AS VARCHAR)"
+
+
+def market_ctes() -> str:
+    """1-minute bars + volume measures + trend indicators per (symbol, minute) as CTE ``mk``."""
+    return f"""{TRADES},
+{bar_cte('1 minute')},
+{volume_cte('1 minute')},
+{trends_cte()},
+mk AS (
+  SELECT tr.*, v.total_volume, v.buy_volume, v.sell_volume, v.ratio_u, v.large_u, v.large_trade_volume,
+         CASE WHEN tr.open = 0 THEN 0 ELSE {halfup(u8('tr.close - tr.open') + ' * 10000', u8('tr.open'))} * 100 END AS pct_u
+  FROM tr JOIN vol_m v ON v.symbol = tr.symbol AND v.window_start = tr.window_start)"""
+
+
+def price_alert_sql() -> str:
+    return f"""SELECT symbol, 'PRICE_SPIKE' AS alert_type,
+  CASE WHEN abs(pct_u) > 50000 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+  symbol || ' price changed by ' || {fmt2('pct_u', 4)} || '% in 1 minute' AS message,
+  window_end AS timestamp,
+  'currentPrice=' || CAST(close AS VARCHAR) || ';priceChange=' || {text_units('pct_u', 4)} AS metadata
+FROM mk WHERE abs(pct_u) > 20000"""
+
+
+def trend_alert_sql() -> str:
+    sma_meta = f"'sma15=' || {text_units('sma15_u', 8)} || ';sma5=' || {text_units('sma5_u', 8)}"
+    rsi_meta = f"'rsi=' || {text_units('rsi_u', 8)}"
+    have = "sma5_u IS NOT NULL AND sma15_u IS NOT NULL"
+    spread = "COALESCE(ema5 - ema15, 0.0)"
+    return f"""SELECT symbol, 'GOLDEN_CROSS' AS alert_type, 'HIGH' AS severity,
+  symbol || ': Golden cross detected - potential bullish reversal' AS message, window_end AS timestamp, {sma_meta} AS metadata
+FROM mk WHERE {have} AND sma5_u - sma15_u > 0 AND {spread} <= 0
+UNION ALL
+SELECT symbol, 'DEATH_CROSS', 'HIGH', symbol || ': Death cross detected - potential bearish reversal', window_end, {sma_meta}
+FROM mk WHERE {have} AND sma5_u - sma15_u < 0 AND {spread} >= 0
+UNION ALL
+SELECT symbol, 'OVERBOUGHT', 'MEDIUM', symbol || ': RSI ' || {fmt2('rsi_u', 8)} || ' - Overbought condition', window_end, {rsi_meta}
+FROM mk WHERE rsi_u > 7000000000
+UNION ALL
+SELECT symbol, 'OVERSOLD', 'MEDIUM', symbol || ': RSI ' || {fmt2('rsi_u', 8)} || ' - Oversold condition', window_end, {rsi_meta}
+FROM mk WHERE rsi_u < 3000000000"""
+
+
+def volume_alert_sql() -> str:
+    bs_meta = f"'buyVolume=' || {text16('buy_volume')} || ';sellVolume=' || {text16('sell_volume')}"
+    return f"""SELECT symbol, 'WHALE_ACTIVITY' AS alert_type, 'HIGH' AS severity,
+  symbol || ': Large trades account for ' || {text_units('large_u', 2)} || '% of volume' AS message,
+  window_end AS timestamp,
+  'largeTradeVolume=' || {text16('large_trade_volume')} || ';totalVolume=' || {text16('total_volume')} AS metadata
+FROM mk WHERE large_u > 5000
+UNION ALL
+SELECT symbol, 'HEAVY_BUYING', 'MEDIUM', symbol || ': Heavy buying pressure - ' || {text_units('ratio_u', 2)} || '% buy volume',
+  window_end, {bs_meta}
+FROM mk WHERE ratio_u > 7000
+UNION ALL
+SELECT symbol, 'HEAVY_SELLING', 'MEDIUM', symbol || ': Heavy selling pressure - ' || {text_units('10000 - ratio_u', 2)} || '% sell volume',
+  window_end, {bs_meta}
+FROM mk WHERE ratio_u < 3000"""
+
+
+def alerts_sql(kind: str) -> str:
+    parts = {"alerts_price": [price_alert_sql()], "alerts_trend": [trend_alert_sql()],
+             "alerts_volume": [volume_alert_sql()],
+             "alerts_all": [price_alert_sql(), trend_alert_sql(), volume_alert_sql()]}[kind]
+    return f"WITH {market_ctes()}\n" + "\nUNION ALL\n".join(parts)
+
+
+def alerts_top20_sql() -> str:
+    body = "\nUNION ALL\n".join([price_alert_sql(), trend_alert_sql(), volume_alert_sql()])
+    return f"""WITH {market_ctes()},
+al AS ({body})
+SELECT symbol, alert_type, severity, message, timestamp, metadata FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, alert_type) AS rk FROM al)
+WHERE rk <= 20"""
+
+
+def alert_channels_sql() -> str:
+    body = "\nUNION ALL\n".join([price_alert_sql(), trend_alert_sql(), volume_alert_sql()])
+    return f"""WITH {market_ctes()},
+al AS ({body})
+SELECT '/topic/alerts' AS channel, * FROM al
+UNION ALL
+SELECT '/topic/alerts/' || symbol AS channel, * FROM al"""
+
+
+def _add_alerts(q: dict[str, str]) -> None:
+    for k in ("alerts_price", "alerts_trend", "alerts_volume", "alerts_all"):
+        q[k] = alerts_sql(k)
+    q["alerts_top20"] = alerts_top20_sql()
+    q["alert_channels"] = alert_channels_sql()
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for lab in ("1m", "5m", "15m", "1h", "1d"):
@@ -226,4 +335,5 @@ def oracle_sql() -> dict[str, str]:
         q[f"volume_{lab}"] = volume_sql(lab)
     q["volume_all"] = volume_all_sql()
     _add_trends(q)
+    _add_alerts(q)
     return q

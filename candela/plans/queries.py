@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.operators.bars import bars, bars_multi
+from candela.operators.alerts import all_alerts, latest_alerts, price_alerts, trend_alerts, volume_alerts
+from candela.operators.bars import bars, bars_multi, market_bars
+from candela.operators.views import alert_channels
 from candela.operators.trends import trends
 from candela.operators.volume import volume_analytics, volume_multi
 from candela.plans.publish import publish
@@ -105,3 +107,48 @@ def _trend_query(cols: list[str]) -> Query:
 
 for _name, _cols in TREND_VIEWS.items():
     register(_name)(_trend_query(_cols))
+
+
+# ---------------------------------------------------------------- alerts
+
+def publish_alerts(df: DataFrame) -> DataFrame:
+    """Alert metadata as ``k=v;k=v`` sorted by key (MAP hashing differs between engines)."""
+    entries = F.transform(F.map_entries("metadata"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return df.withColumn("metadata", F.array_join(F.array_sort(entries), ";"))
+
+
+def market_trends_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars, volume analytics and trend indicators of each (symbol, minute) in one row."""
+    m = market_bars(load_trades(spark, sf_dir), "1 minute", "1m")
+    extra = [c for c in m.columns if c not in ("symbol", "window_start")]
+    return trends(m, extra=extra)
+
+
+@register("alerts_price")
+def q_alerts_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_alerts(price_alerts(bars(load_trades(spark, sf_dir), "1 minute", "1m")))
+
+
+@register("alerts_trend")
+def q_alerts_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_alerts(trend_alerts(trends_1m(spark, sf_dir)))
+
+
+@register("alerts_volume")
+def q_alerts_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_alerts(volume_alerts(volume_analytics(load_trades(spark, sf_dir), "1 minute", "1m")))
+
+
+@register("alerts_all")
+def q_alerts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_alerts(all_alerts(market_trends_1m(spark, sf_dir)))
+
+
+@register("alerts_top20")
+def q_alerts_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_alerts(latest_alerts(all_alerts(market_trends_1m(spark, sf_dir)), 20))
+
+
+@register("alert_channels")
+def q_alert_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_alerts(alert_channels(all_alerts(market_trends_1m(spark, sf_dir))))
