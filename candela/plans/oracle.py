@@ -325,6 +325,85 @@ def _add_alerts(q: dict[str, str]) -> None:
     q["alert_channels"] = alert_channels_sql()
 
 
+
+
+# ---------------------------------------------------------------- views
+
+PROJ = f"""proj AS (
+  SELECT symbol, trade_id, trade_time, price, quantity, price * quantity AS notional,
+         CASE WHEN is_buyer_maker THEN 'sell' ELSE 'buy' END AS side
+  FROM trades)"""
+
+PROJ_SELECT = (f"SELECT symbol, trade_id, trade_time, {d(u8('price'))} AS price, {d(u8('quantity'))} AS quantity, "
+               f"{d(u8('notional'))} AS notional, side FROM proj")
+
+
+def views_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    w = f"WITH {TRADES},\n{PROJ}\n"
+    q["trade_projection"] = w + PROJ_SELECT
+    q["valid_trades"] = w + PROJ_SELECT + " WHERE price > 0 AND quantity > 0 AND notional > 0"
+    q["buysell_30s"] = w + f"""SELECT symbol, side, time_bucket(INTERVAL '30 seconds', trade_time) AS bucket_start,
+  {d(u8('sum(notional)'))} AS volume, count(*) AS trade_count
+FROM proj WHERE price > 0 AND quantity > 0 AND notional > 0 GROUP BY 1, 2, 3"""
+    pct = halfup(f"{u8('close - open')} * 10000", u8("open"))
+    q["bar_change"] = f"""WITH {TRADES},
+{bar_cte('1 hour')}
+SELECT symbol, '1h' AS interval, window_start, {d(u8('open'))} AS open, {d(u8('close'))} AS close,
+  {d(u8('close - open'))} AS price_change,
+  CASE WHEN open = 0 THEN 0.0 ELSE {d(pct + ' * 100', 4)} END AS price_change_pct
+FROM bars"""
+    q["bars_vwap"] = f"""WITH {TRADES},
+{bar_cte('1 hour')}
+SELECT symbol, window_start, {d(u8('volume'))} AS volume, {d(u8('base_volume'))} AS base_volume,
+  CASE WHEN base_volume > 0 THEN {d(halfup(u8('volume') + ' * 100000000', u8('base_volume')))} END AS vwap,
+  {d(halfup(u8('volume'), 'trade_count'))} AS mean_notional
+FROM bars"""
+    q["latest_snapshot"] = f"""WITH {market_ctes()},
+last AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rk FROM mk)
+SELECT symbol, '1m' AS interval, window_end, {d(u8('close'))} AS close, {d('pct_u', 4)} AS price_change_pct,
+  {d(u8('volume'))} AS volume, {d('rsi_u')} AS rsi, trend_direction, trend_strength,
+  CASE WHEN pct_u >= 0 THEN 'up' ELSE 'down' END AS change_class
+FROM last WHERE rk = 1"""
+    q["feed_health"] = f"""WITH {TRADES},
+h AS (SELECT symbol, count(*) AS message_count, max(trade_time) AS last_message_time FROM trades GROUP BY 1)
+SELECT symbol, message_count, last_message_time,
+  last_message_time > (SELECT max(trade_time) FROM trades) - INTERVAL '60 seconds' AS healthy,
+  CASE WHEN last_message_time > (SELECT max(trade_time) FROM trades) - INTERVAL '60 seconds' THEN 'UP' ELSE 'DOWN' END AS status
+FROM h"""
+    q["trailing_window"] = w + f"""SELECT symbol, trade_id, trade_time, {d(u8('price'))} AS price, {d(u8('notional'))} AS notional
+FROM proj WHERE trade_time > (SELECT max(trade_time) FROM trades) - INTERVAL '10 minutes'"""
+    q["symbol_series"] = f"""WITH {TRADES},
+{bar_cte('1 minute')}
+SELECT symbol, window_start, {d(u8('open'))} AS open, {d(u8('high'))} AS high, {d(u8('low'))} AS low,
+  {d(u8('close'))} AS close, {d(u8('volume'))} AS volume, trade_count
+FROM bars WHERE symbol = 'purchase'"""
+    q["rsi_zone"] = f"""WITH {TRADES},
+{bar_cte('1 minute')},
+{trends_cte()}
+SELECT symbol, window_start, {d('rsi_u')} AS rsi,
+  CASE WHEN rsi_u > 7000000000 THEN 'overbought' WHEN rsi_u < 3000000000 THEN 'oversold'
+       WHEN rsi_u IS NOT NULL THEN 'neutral' END AS rsi_zone
+FROM tr"""
+    fmt = []
+    for div, suffix in ((10**9, "B"), (10**6, "M"), (10**3, "K")):
+        r = halfup(f"{u8('volume')} * 100", str(div * 10**8))
+        fmt.append(f"WHEN volume >= {div} THEN {text_units(r, 2)} || '{suffix}'")
+    plain = text_units(halfup(f"{u8('volume')} * 100", str(10**8)), 2)
+    q["format_volume"] = f"""WITH {TRADES},
+{bar_cte('1 hour')}
+SELECT symbol, window_start, {d(u8('volume'))} AS volume,
+  CASE {' '.join(fmt)} ELSE {plain} END AS volume_text
+FROM bars"""
+    q["stream_catalog"] = f"""WITH {TRADES},
+s AS (SELECT DISTINCT symbol FROM trades)
+SELECT 'prices' AS dataset, symbol, iv AS interval FROM s, (VALUES ('1m'), ('5m'), ('15m')) t(iv)
+UNION ALL SELECT 'volume', symbol, iv FROM s, (VALUES ('1m'), ('5m'), ('1h')) t(iv)
+UNION ALL SELECT 'trends', symbol, 'current' FROM s
+UNION ALL SELECT 'alerts', symbol, iv FROM s, (VALUES ('all'), ('symbol-specific')) t(iv)"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for lab in ("1m", "5m", "15m", "1h", "1d"):
@@ -336,4 +415,5 @@ def oracle_sql() -> dict[str, str]:
     q["volume_all"] = volume_all_sql()
     _add_trends(q)
     _add_alerts(q)
+    q.update(views_sql())
     return q

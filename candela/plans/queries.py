@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.operators.alerts import all_alerts, latest_alerts, price_alerts, trend_alerts, volume_alerts
-from candela.operators.bars import bars, bars_multi, market_bars
+from candela.functions.format import human_number
+from candela.operators import views
+from candela.operators.bars import bar_change, bars, bars_multi, market_bars
+from candela.operators.catalog import stream_catalog
 from candela.operators.views import alert_channels
 from candela.operators.trends import trends
 from candela.operators.volume import volume_analytics, volume_multi
@@ -152,3 +155,72 @@ def q_alerts_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("alert_channels")
 def q_alert_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_alerts(alert_channels(all_alerts(market_trends_1m(spark, sf_dir))))
+
+
+# ---------------------------------------------------------------- views
+
+SERIES_SYMBOL = "purchase"
+
+
+@register("trade_projection")
+def q_trade_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(views.trade_projection(load_trades(spark, sf_dir)))
+
+
+@register("valid_trades")
+def q_valid_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(views.valid_trades(load_trades(spark, sf_dir)))
+
+
+@register("buysell_30s")
+def q_buysell_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(views.buysell_buckets(load_trades(spark, sf_dir)))
+
+
+@register("bar_change")
+def q_bar_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(bar_change(bars(load_trades(spark, sf_dir), "1 hour", "1h")))
+
+
+@register("bars_vwap")
+def q_bars_vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bars(load_trades(spark, sf_dir), "1 hour", "1h")
+    return publish(b.select("symbol", "window_start", "volume", "base_volume", "vwap", "mean_notional"))
+
+
+@register("latest_snapshot")
+def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(views.latest_snapshot(market_trends_1m(spark, sf_dir)))
+
+
+@register("feed_health")
+def q_feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.feed_health(load_trades(spark, sf_dir))
+
+
+@register("trailing_window")
+def q_trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = views.trade_projection(load_trades(spark, sf_dir))
+    return publish(views.trailing_window(t).select("symbol", "trade_id", "trade_time", "price", "notional"))
+
+
+@register("symbol_series")
+def q_symbol_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bars(views.symbol_series(load_trades(spark, sf_dir), SERIES_SYMBOL), "1 minute", "1m")
+    return publish(b.select("symbol", "window_start", "open", "high", "low", "close", "volume", "trade_count"))
+
+
+@register("rsi_zone")
+def q_rsi_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(views.rsi_zone(trends_1m(spark, sf_dir)))
+
+
+@register("format_volume")
+def q_format_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bars(load_trades(spark, sf_dir), "1 hour", "1h")
+    return publish(b.select("symbol", "window_start", "volume", human_number(F.col("volume")).alias("volume_text")))
+
+
+@register("stream_catalog")
+def q_stream_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_catalog(load_trades(spark, sf_dir))
