@@ -404,6 +404,51 @@ UNION ALL SELECT 'alerts', symbol, iv FROM s, (VALUES ('all'), ('symbol-specific
     return q
 
 
+
+
+# ---------------------------------------------------------------- decode, sinks, synthetic
+
+WIRE = """wire AS (
+  SELECT event_id AS i, *, epoch_us(ts) // 1000 AS ms,
+    CASE WHEN event_id % 50 = 0 AND (event_id // 50) % 4 IN (0, 1) THEN 'not_json'
+         WHEN event_id % 50 = 0 AND (event_id // 50) % 4 = 2 THEN 'envelope_without_data'
+         WHEN event_id % 11 = 3 THEN 'not_trade'
+         WHEN event_id % 50 = 0 AND (event_id // 50) % 4 = 3 THEN 'missing_p'
+         WHEN event_id % 50 = 17 THEN 'missing_m' END AS reason
+  FROM events)"""
+
+
+def decoded_select(with_seq: bool) -> str:
+    price = d(u8("CAST(value AS DECIMAL(38,8))"))
+    qty = d(u8("CAST(json_extract_string(props, '$.k') AS DECIMAL(18,0))"))
+    seq = "i AS seq, " if with_seq else ""
+    return f"""SELECT {seq}'trade' AS event_type,
+  CASE WHEN i % 97 = 5 THEN event_type || '"stream":' ELSE event_type END AS symbol,
+  i AS trade_id, {price} AS price, {qty} AS quantity, i * 2 AS buyer_order_id, i * 2 + 1 AS seller_order_id,
+  user_id % 2 = 0 AS is_buyer_maker,
+  CASE WHEN i % 13 = 0 THEN NULL ELSE ms + 5 END AS event_time_ms, ms AS trade_time_ms
+FROM wire WHERE reason IS NULL"""
+
+
+def io_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["decode_trades"] = f"WITH {WIRE}\n{decoded_select(True)}"
+    q["source_roundtrip"] = f"WITH {WIRE}\n{decoded_select(False)}"
+    q["quarantine_trades"] = f"WITH {WIRE}\nSELECT i AS seq, reason FROM wire WHERE reason IS NOT NULL"
+    q["sink_records"] = (f"WITH {TRADES},\n{bar_cte('1 minute')}\n"
+                         f"SELECT symbol || '-1m' AS key, * EXCLUDE (symbol), symbol FROM ({bar_select('1m')})")
+    base = "CASE event_id % 3 WHEN 0 THEN 45000 WHEN 1 THEN 2500 ELSE 400 END"
+    pu8 = f"(CAST({base} AS HUGEINT) * 100000000 + {base} * (((event_id * 7919) % 10000) - 5000) * 10)"
+    q["synthetic_trades"] = f"""SELECT 'trade' AS event_type, ts AS event_time,
+  CASE event_id % 3 WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'ETHUSDT' ELSE 'BNBUSDT' END AS symbol,
+  event_id AS trade_id, {d(halfup(pu8, '1000000'), 2)} AS price,
+  {d('10000 + ((event_id * 104729) % 10000) * 5', 3)} AS quantity,
+  CAST(NULL AS BIGINT) AS buyer_order_id, CAST(NULL AS BIGINT) AS seller_order_id,
+  ts AS trade_time, event_id % 2 = 1 AS is_buyer_maker
+FROM events"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for lab in ("1m", "5m", "15m", "1h", "1d"):
@@ -416,4 +461,5 @@ def oracle_sql() -> dict[str, str]:
     _add_trends(q)
     _add_alerts(q)
     q.update(views_sql())
+    q.update(io_sql())
     return q

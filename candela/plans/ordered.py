@@ -80,7 +80,7 @@ def _agg(kind: str, c: Column, frame: Window | None = None) -> Column:
 def running(
     df: DataFrame,
     keys: list[str],
-    order_col: str,
+    order_col: str | list[str],
     bucket: Column,
     aggs: dict[str, tuple[str, Column]],
 ) -> DataFrame:
@@ -98,7 +98,8 @@ def running(
     prefix = totals.select(
         *keys, "_bkt", *[_agg(k, F.col(f"_t_{n}"), before).alias(f"_p_{n}") for n, (k, _) in aggs.items()]
     )
-    within = Window.partitionBy(*keys, "_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    within = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = b.join(prefix, [*keys, "_bkt"], "inner")
     out = joined.select("*", *[_agg(k, F.col(f"_v_{n}"), within).alias(f"_w_{n}") for n, (k, _) in aggs.items()])
     for name, (kind, _) in aggs.items():

@@ -21,7 +21,12 @@ from candela.operators.views import alert_channels
 from candela.operators.trends import trends
 from candela.operators.volume import volume_analytics, volume_multi
 from candela.plans.publish import publish
-from candela.sources.adapter import load_trades
+from candela.session import scratch_path
+from candela.sources.adapter import load_trades, read_table
+from candela.sources.decode import decode_trades, quarantine
+from candela.sources.io import from_records, read_messages, to_records
+from candela.sources.synthetic import synthetic_trades
+from candela.sources.wire import replay_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -224,3 +229,44 @@ def q_format_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_catalog")
 def q_stream_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_catalog(load_trades(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+def publish_trades(df: DataFrame) -> DataFrame:
+    """Decoded trades with instants published as epoch milliseconds (zone-free)."""
+    out = df.withColumn("event_time_ms", F.unix_millis("event_time")).withColumn(
+        "trade_time_ms", F.unix_millis("trade_time")
+    )
+    return publish(out.drop("event_time", "trade_time"))
+
+
+@register("decode_trades")
+def q_decode_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = replay_messages(read_table(spark, sf_dir, "events"))
+    return publish_trades(decode_trades(msgs, keep=["seq"]))
+
+
+@register("quarantine_trades")
+def q_quarantine_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = replay_messages(read_table(spark, sf_dir, "events"))
+    return quarantine(msgs, keep=["seq"]).select("seq", "reason")
+
+
+@register("sink_records")
+def q_sink_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bars(load_trades(spark, sf_dir), "1 minute", "1m")
+    return publish(from_records(to_records(b), b.schema))
+
+
+@register("source_roundtrip")
+def q_source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the replay feed as JSON lines to the shared checkpoint folder, read it back, decode."""
+    path = scratch_path(spark, "raw-trades")
+    replay_messages(read_table(spark, sf_dir, "events")).select("value").write.mode("overwrite").text(path)
+    return publish_trades(decode_trades(read_messages(spark, path)))
+
+
+@register("synthetic_trades")
+def q_synthetic_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(synthetic_trades(read_table(spark, sf_dir, "events"), id_col="event_id", time_col="ts"))
