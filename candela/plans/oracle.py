@@ -449,6 +449,79 @@ FROM events"""
     return q
 
 
+
+
+# ---------------------------------------------------------------- changelog, lateness, history
+
+def changelog_cte(iv: str, name: str = "cl") -> str:
+    win = (f"PARTITION BY symbol, time_bucket(INTERVAL '{iv}', trade_time) ORDER BY trade_time, trade_id "
+           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    return f"""{name} AS (
+  SELECT symbol, trade_id, trade_time, time_bucket(INTERVAL '{iv}', trade_time) AS window_start,
+    time_bucket(INTERVAL '{iv}', trade_time) + INTERVAL '{iv}' AS window_end,
+    COALESCE(first(CASE WHEN price <> 0 THEN price END IGNORE NULLS) OVER ({win}), 0) AS open,
+    greatest(max(price) OVER ({win}), 0) AS high, least(min(price) OVER ({win}), 999999999) AS low,
+    price AS close,
+    sum(price * quantity) OVER ({win}) AS volume, sum(quantity) OVER ({win}) AS base_volume,
+    count(*) OVER ({win}) AS trade_count,
+    sum(CASE WHEN NOT is_buyer_maker THEN price * quantity ELSE 0 END) OVER ({win}) AS buy_volume,
+    sum(CASE WHEN is_buyer_maker THEN price * quantity ELSE 0 END) OVER ({win}) AS sell_volume,
+    sum(CASE WHEN NOT is_buyer_maker THEN 1 ELSE 0 END) OVER ({win}) AS buy_trades,
+    sum(CASE WHEN is_buyer_maker THEN 1 ELSE 0 END) OVER ({win}) AS sell_trades,
+    sum(CASE WHEN price * quantity > 10000 THEN 1 ELSE 0 END) OVER ({win}) AS large_trades,
+    sum(CASE WHEN price * quantity > 10000 THEN price * quantity ELSE 0 END) OVER ({win}) AS large_trade_volume
+  FROM trades)"""
+
+
+def changelog_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    pct = halfup(f"{u8('close - open')} * 10000", u8("open"))
+    q["bars_changelog"] = f"""WITH {TRADES},
+{changelog_cte('1 hour')}
+SELECT symbol, '1h' AS interval, window_start, window_end, trade_id,
+  {d(u8('open'))} AS open, {d(u8('high'))} AS high, {d(u8('low'))} AS low, {d(u8('close'))} AS close,
+  {d(u8('volume'))} AS volume, trade_count,
+  {d(halfup(u8('volume'), 'trade_count'))} AS mean_notional,
+  CASE WHEN base_volume > 0 THEN {d(halfup(u8('volume') + ' * 100000000', u8('base_volume')))} END AS vwap,
+  {d(u8('close - open'))} AS price_change,
+  CASE WHEN open = 0 THEN 0.0 ELSE {d(pct + ' * 100', 4)} END AS price_change_pct,
+  {d(u8('base_volume'))} AS base_volume
+FROM cl"""
+    ratio = f"CASE WHEN volume > 0 THEN {halfup(u8('buy_volume') + ' * 10000', u8('volume'))} ELSE 5000 END"
+    q["volume_changelog"] = f"""WITH {TRADES},
+{changelog_cte('1 hour')},
+m AS (SELECT *, {ratio} AS ratio_u,
+  CASE WHEN volume > 0 THEN {halfup(u8('large_trade_volume') + ' * 10000', u8('volume'))} ELSE 0 END AS large_u FROM cl)
+SELECT symbol, '1h' AS interval, window_start, window_end, trade_id,
+  {d(u8('volume'))} AS total_volume, {d(u8('buy_volume'))} AS buy_volume, {d(u8('sell_volume'))} AS sell_volume,
+  trade_count AS total_trades, CAST(buy_trades AS BIGINT) AS buy_trades, CAST(sell_trades AS BIGINT) AS sell_trades,
+  CAST(large_trades AS BIGINT) AS large_trades, {d(u8('large_trade_volume'))} AS large_trade_volume,
+  CAST(10000 AS DOUBLE) AS large_trade_threshold,
+  {d('ratio_u', 4)} AS buy_volume_ratio, {d(halfup(u8('volume'), 'trade_count'))} AS average_trade_size,
+  {d('large_u', 4)} AS large_trade_volume_ratio,
+  CASE WHEN ratio_u > 6000 THEN 'BULLISH' WHEN ratio_u < 4000 THEN 'BEARISH' ELSE 'NEUTRAL' END AS volume_trend
+FROM m"""
+    cols = ", ".join(f"{TREND_EXPR[c]} AS {c}" for c in TREND_OUT["trends"])
+    q["trends_changelog"] = f"""WITH {TRADES},
+{changelog_cte('1 minute')},
+{trends_cte(source='cl', order='trade_time, trade_id')}
+SELECT symbol, window_start, window_end AS timestamp, trade_id, {cols} FROM tr"""
+    q["strict_late_filter"] = f"""WITH {TRADES},
+r AS (SELECT *, time_bucket(INTERVAL '1 day', trade_time) AS window_start,
+  max(trade_time) OVER (PARTITION BY part ORDER BY arrival_seq, trade_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time FROM trades)
+SELECT part, arrival_seq, trade_id, symbol, trade_time, window_start, window_start + INTERVAL '1 day' AS window_end
+FROM r WHERE window_start + INTERVAL '1 day' > stream_time"""
+    q["price_history"] = f"""WITH {TRADES},
+{bar_cte('1 minute')}
+SELECT symbol, window_start,
+  count(*) OVER (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS history_size,
+  {d(u8('first_value(close) OVER (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)'))} AS oldest_price,
+  {d(u8('close'))} AS newest_price
+FROM bars"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for lab in ("1m", "5m", "15m", "1h", "1d"):
@@ -462,4 +535,5 @@ def oracle_sql() -> dict[str, str]:
     _add_alerts(q)
     q.update(views_sql())
     q.update(io_sql())
+    q.update(changelog_sql())
     return q

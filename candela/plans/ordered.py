@@ -90,15 +90,23 @@ def running(
     from the first row of the key through the current row. ``bucket`` as in
     ``dense_index``; each task holds one (key, bucket).
     """
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    ord_key = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     b = df.withColumn("_bkt", bucket)
     for name, (_, c) in aggs.items():
         b = b.withColumn(f"_v_{name}", c)
-    totals = b.groupBy(*keys, "_bkt").agg(*[_agg(k, F.col(f"_v_{n}")).alias(f"_t_{n}") for n, (k, _) in aggs.items()])
+
+    def total(kind: str, v: Column) -> Column:
+        # a groupBy ``first`` is not order-aware: take the value of the least order key
+        if kind == "first":
+            return F.min_by(v, F.when(v.isNotNull(), ord_key))
+        return _agg(kind, v)
+
+    totals = b.groupBy(*keys, "_bkt").agg(*[total(k, F.col(f"_v_{n}")).alias(f"_t_{n}") for n, (k, _) in aggs.items()])
     before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(
         *keys, "_bkt", *[_agg(k, F.col(f"_t_{n}"), before).alias(f"_p_{n}") for n, (k, _) in aggs.items()]
     )
-    order = [order_col] if isinstance(order_col, str) else list(order_col)
     within = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = b.join(prefix, [*keys, "_bkt"], "inner")
     out = joined.select("*", *[_agg(k, F.col(f"_v_{n}"), within).alias(f"_w_{n}") for n, (k, _) in aggs.items()])

@@ -17,6 +17,13 @@ from candela.functions.format import human_number
 from candela.operators import views
 from candela.operators.bars import bar_change, bars, bars_multi, market_bars
 from candela.operators.catalog import stream_catalog
+from candela.operators.changelog import (
+    bars_changelog,
+    price_history,
+    strict_late_filter,
+    trends_changelog,
+    volume_changelog,
+)
 from candela.operators.views import alert_channels
 from candela.operators.trends import trends
 from candela.operators.volume import volume_analytics, volume_multi
@@ -270,3 +277,32 @@ def q_source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("synthetic_trades")
 def q_synthetic_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(synthetic_trades(read_table(spark, sf_dir, "events"), id_col="event_id", time_col="ts"))
+
+
+# ---------------------------------------------------------------- changelog, lateness, history
+
+@register("bars_changelog")
+def q_bars_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(bars_changelog(load_trades(spark, sf_dir), "1 hour", "1h").drop("_ok"))
+
+
+@register("volume_changelog")
+def q_volume_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(volume_changelog(load_trades(spark, sf_dir), "1 hour", "1h"))
+
+
+@register("trends_changelog")
+def q_trends_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cl = bars_changelog(load_trades(spark, sf_dir), "1 minute", "1m")
+    return _round_ema(publish(trends_changelog(cl, block_rows=1000)))
+
+
+@register("strict_late_filter")
+def q_strict_late_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = strict_late_filter(load_trades(spark, sf_dir), "1 day")
+    return publish(kept.select("part", "arrival_seq", "trade_id", "symbol", "trade_time", "window_start", "window_end"))
+
+
+@register("price_history")
+def q_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish(price_history(bars(load_trades(spark, sf_dir), "1 minute", "1m")))
