@@ -522,6 +522,30 @@ FROM bars"""
     return q
 
 
+
+
+# ---------------------------------------------------------------- streaming (closed windows only)
+
+def stream_sql() -> dict[str, str]:
+    """A final-mode stream with a 0 s watermark emits the windows that end at or before the latest event."""
+    q: dict[str, str] = {}
+    closed = "window_end <= (SELECT max(ts) FROM events)"
+    q["stream_bars_1m"] = (
+        f"SELECT * EXCLUDE (window_start, window_end), epoch_us(window_start) AS window_start_us, "
+        f"epoch_us(window_end) AS window_end_us FROM ({bars_sql('1m')}) WHERE {closed}"
+    )
+    q["stream_trends"] = (
+        f"SELECT * EXCLUDE (window_start, timestamp), epoch_us(window_start) AS window_start_us, "
+        f"epoch_us(timestamp) AS timestamp_us FROM ({trends_sql('trends')}) "
+        f"WHERE timestamp <= (SELECT max(ts) FROM events)"
+    )
+    q["stream_alerts"] = (
+        f"SELECT * EXCLUDE (timestamp), epoch_us(timestamp) AS timestamp_us FROM ({alerts_sql('alerts_all')}) "
+        f"WHERE timestamp <= (SELECT max(ts) FROM events)"
+    )
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     for lab in ("1m", "5m", "15m", "1h", "1d"):
@@ -536,4 +560,5 @@ def oracle_sql() -> dict[str, str]:
     q.update(views_sql())
     q.update(io_sql())
     q.update(changelog_sql())
+    q.update(stream_sql())
     return q

@@ -34,6 +34,15 @@ from candela.sources.decode import decode_trades, quarantine
 from candela.sources.io import from_records, read_messages, to_records
 from candela.sources.synthetic import synthetic_trades
 from candela.sources.wire import replay_messages
+from candela.streaming.pipeline import (
+    alerts_stream,
+    bars_stream,
+    run_to_table,
+    stage_replay,
+    trades_stream_from_events,
+    trends_stream,
+    volume_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -306,3 +315,43 @@ def q_strict_late_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("price_history")
 def q_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(price_history(bars(load_trades(spark, sf_dir), "1 minute", "1m")))
+
+
+# ---------------------------------------------------------------- streaming
+
+def _publish_stream(df: DataFrame) -> DataFrame:
+    """Stream outputs carry TIMESTAMP instants: publish them as epoch microseconds (zone-free)."""
+    for f in df.schema.fields:
+        if f.dataType.typeName() == "timestamp":
+            df = df.withColumn(f"{f.name}_us", F.unix_micros(f.name)).drop(f.name)
+    return publish(df)
+
+
+def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = stage_replay(read_table(spark, sf_dir, "events"), "events-replay")
+    return trades_stream_from_events(spark, src)
+
+
+@register("stream_bars_1m")
+def q_stream_bars_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final 1-minute bars from a file stream (append, watermark 0), replayed to completion."""
+    path = run_to_table(bars_stream(_replay(spark, sf_dir)), "stream-bars")
+    return _publish_stream(spark.read.parquet(path))
+
+
+@register("stream_trends")
+def q_stream_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars -> per-symbol stateful trend processor in one streaming query."""
+    path = run_to_table(trends_stream(bars_stream(_replay(spark, sf_dir))), "stream-trends")
+    return _round_ema(_publish_stream(spark.read.parquet(path)))
+
+
+@register("stream_alerts")
+def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price, trend and volume alert streams unioned into one sink."""
+    trades = _replay(spark, sf_dir)
+    b = bars_stream(trades)
+    v = volume_stream(trades)
+    t = trends_stream(bars_stream(trades))
+    path = run_to_table(alerts_stream(b, v, t), "stream-alerts")
+    return _publish_stream(publish_alerts(spark.read.parquet(path)))

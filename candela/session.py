@@ -55,3 +55,42 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one written table."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes ``candela`` importable in Python workers (pandas UDFs, stateful processors).
+
+    Zips the package once per application into the checkpoint root and adds it
+    with ``addPyFile``, which distributes it to every executor.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    target = scratch_path(spark, "pyfiles")
+    local = target.removeprefix("file:")
+    os.makedirs(local, exist_ok=True)
+    zpath = f"{local}/candela.zip"
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    # Runners that do not see the added files (the driver-side pre-init of
+    # transformWithState) still unpickle the processor: ship our classes by value.
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules["candela"])
+    _SHIPPED.add(app)
