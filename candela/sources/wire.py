@@ -35,8 +35,8 @@ def _kv(key: str, value: Column) -> Column:
 
 
 def _obj(parts: list[Column]) -> Column:
-    present = F.filter(F.array(*parts), lambda x: x.isNotNull())
-    return F.concat(F.lit("{"), F.array_join(present, ","), F.lit("}"))
+    # concat_ws skips NULL parts: absent keys simply do not appear
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def to_wire(trades: DataFrame, numbers: Column | None = None) -> Column:
