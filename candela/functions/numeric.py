@@ -60,12 +60,14 @@ def from_units(q: Column, scale: int) -> Column:
     return (q.cast(f"decimal({37 - scale},0)") * step).cast(f"decimal(38,{scale})")
 
 
-def halfup_div(num: Column, den: Column, scale: int, num_scale: int, den_scale: int) -> Column:
+def halfup_div(num: Column | str, den: Column | str, scale: int, num_scale: int, den_scale: int) -> Column:
     """HALF_UP(num / den) at ``scale`` fraction digits, as DECIMAL(38, scale).
 
     ``num_scale`` / ``den_scale`` are the fraction digits of the inputs (their
     declared decimal scales); both are converted to integer units first.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(halfup_div_sql(num, den, scale, num_scale, den_scale))
     q = halfup_units(units(num, num_scale), units(den, den_scale), scale + den_scale - num_scale)
     return from_units(q, scale)
 
@@ -77,9 +79,55 @@ def units_to_double(q: Column, scale: int) -> Column:
 
 def decimal_to_double(x: Column | str, scale: int) -> Column:
     """Publish an exact decimal as DOUBLE through integer units (see ``units_to_double``)."""
+    if isinstance(x, str):
+        return F.expr(f"CAST({units_sql(f'`{x}`', scale)} AS DOUBLE) / CAST('{10**scale}' AS DOUBLE)")
     return units_to_double(units(x, scale), scale)
 
 
 def halfup_round(x: Column, scale: int) -> Column:
     """HALF_UP rounding of a decimal column (Spark's decimal ``round`` is HALF_UP)."""
     return F.round(x, scale)
+
+
+# ---------------------------------------------------------------- SQL-text forms
+#
+# The same arithmetic as SQL text over column names / SQL fragments. Building a
+# large expression from Column objects costs one JVM round trip per node; one
+# ``F.expr`` of the text costs a single parse. Callers compose the ``*_sql``
+# strings and wrap the final text with ``F.expr``.
+
+def dec_lit_sql(value: int, precision: int = 38) -> str:
+    return f"CAST('{int(value)}' AS DECIMAL({precision},0))"
+
+
+def units_sql(x: str, scale: int) -> str:
+    return f"CAST(({x}) * CAST('{10**scale}' AS DECIMAL({scale + 1},0)) AS {UNIT})"
+
+
+def halfup_units_sql(num: str, den: str, exp10: int = 0) -> str:
+    n = f"CAST(({num}) AS {UNIT})"
+    d = f"CAST(({den}) AS {UNIT})"
+    if exp10 >= 0:
+        an, ad = f"(abs({n}) * {dec_lit_sql(2 * 10**exp10)})", f"abs({d})"
+    else:
+        an, ad = f"(abs({n}) * {dec_lit_sql(2)})", f"(abs({d}) * {dec_lit_sql(10 ** (-exp10))})"
+    a = f"({an} + {ad})"
+    b = f"({ad} * {dec_lit_sql(2)})"
+    q = f"CAST((({a} - ({a} % {b})) / {b}) AS {UNIT})"
+    return (f"CAST(CASE WHEN {d} = 0 THEN NULL WHEN ({n} < 0) <> ({d} < 0) THEN -{q} ELSE {q} END AS {UNIT})")
+
+
+def from_units_sql(q: str, scale: int) -> str:
+    if scale == 0:
+        return f"CAST(({q}) AS {UNIT})"
+    step = "0." + "0" * (scale - 1) + "1"
+    return f"CAST(CAST(({q}) AS DECIMAL({37 - scale},0)) * CAST('{step}' AS DECIMAL({scale},{scale})) AS DECIMAL(38,{scale}))"
+
+
+def halfup_div_sql(num: str, den: str, scale: int, num_scale: int, den_scale: int) -> str:
+    q = halfup_units_sql(units_sql(num, num_scale), units_sql(den, den_scale), scale + den_scale - num_scale)
+    return from_units_sql(q, scale)
+
+
+def sql(text: str) -> Column:
+    return F.expr(text)

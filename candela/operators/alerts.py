@@ -18,11 +18,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.functions.format import decimal_text, fixed2
-
 
 @dataclass(frozen=True)
 class AlertRules:
@@ -39,89 +37,75 @@ class AlertRules:
 DEFAULT_RULES = AlertRules()
 
 
-def _d(v: str) -> Column:
-    return F.lit(v).cast("decimal(38,8)")
-
-
-def _alert(cond: Column, symbol: Column, kind: str, severity: Column, message: Column, ts: Column,
-           meta: list[tuple[str, Column]]) -> Column:
-    kv = []
-    for k, v in meta:
-        kv += [F.lit(k), v]
-    return F.when(
-        cond,
-        F.struct(
-            symbol.alias("symbol"),
-            F.lit(kind).alias("alert_type"),
-            severity.alias("severity"),
-            message.alias("message"),
-            ts.alias("timestamp"),
-            F.create_map(*kv).alias("metadata"),
-        ),
+def _d(v: str) -> str:
+    return f"CAST('{v}' AS DECIMAL(38,8))"
+
+
+def _fixed2(x: str) -> str:
+    """Java ``%.2f`` of a decimal: HALF_UP to two digits (Spark's decimal ``round`` is HALF_UP)."""
+    return f"CAST(CAST(round({x}, 2) AS DECIMAL(38,2)) AS STRING)"
+
+
+def _alert(cond: str, kind: str, severity: str, message: str, ts: str, meta: list[tuple[str, str]]) -> str:
+    """One rule as SQL text: a struct when ``cond`` holds, else NULL."""
+    kv = ", ".join(f"'{k}', CAST({v} AS STRING)" for k, v in meta)
+    return (
+        f"CASE WHEN {cond} THEN named_struct('symbol', symbol, 'alert_type', '{kind}', 'severity', {severity}, "
+        f"'message', {message}, 'timestamp', {ts}, 'metadata', map({kv})) END"
     )
 
 
-def price_alert_columns(rules: AlertRules = DEFAULT_RULES, ts: str = "window_end") -> list[Column]:
-    s, pct = F.col("symbol"), F.col("price_change_pct")
+def price_alert_columns(rules: AlertRules = DEFAULT_RULES, ts: str = "window_end") -> list[str]:
+    pct = "price_change_pct"
     return [
         _alert(
-            F.abs(pct) > _d(rules.spike_pct), s, "PRICE_SPIKE",
-            F.when(F.abs(pct) > _d(rules.spike_high_pct), F.lit("HIGH")).otherwise(F.lit("MEDIUM")),
-            F.format_string("%s price changed by %s%% in 1 minute", s, fixed2(pct)),
-            F.col(ts),
-            [("priceChange", decimal_text(pct)), ("currentPrice", decimal_text(F.col("close")))],
+            f"abs({pct}) > {_d(rules.spike_pct)}", "PRICE_SPIKE",
+            f"CASE WHEN abs({pct}) > {_d(rules.spike_high_pct)} THEN 'HIGH' ELSE 'MEDIUM' END",
+            f"format_string('%s price changed by %s%% in 1 minute', symbol, {_fixed2(pct)})",
+            ts, [("priceChange", pct), ("currentPrice", "close")],
         )
     ]
 
 
-def trend_alert_columns(rules: AlertRules = DEFAULT_RULES, ts: str = "timestamp") -> list[Column]:
-    s = F.col("symbol")
-    sma5, sma15, rsi = F.col("sma5"), F.col("sma15"), F.col("rsi")
-    have = sma5.isNotNull() & sma15.isNotNull()
-    cross = sma5 - sma15
-    spread = F.when(F.col("ema5").isNotNull() & F.col("ema15").isNotNull(), F.col("ema5") - F.col("ema15")).otherwise(
-        F.lit(0.0)
-    )
-    sma_meta = [("sma5", decimal_text(sma5)), ("sma15", decimal_text(sma15))]
-    rsi_meta = [("rsi", decimal_text(rsi))]
-    high, medium = F.lit("HIGH"), F.lit("MEDIUM")
-    over = rsi > _d(rules.rsi_overbought)
+def trend_alert_columns(rules: AlertRules = DEFAULT_RULES, ts: str = "timestamp") -> list[str]:
+    have = "sma5 IS NOT NULL AND sma15 IS NOT NULL"
+    spread = "(CASE WHEN ema5 IS NOT NULL AND ema15 IS NOT NULL THEN ema5 - ema15 ELSE CAST(0 AS DOUBLE) END)"
+    sma_meta = [("sma5", "sma5"), ("sma15", "sma15")]
+    over = f"rsi > {_d(rules.rsi_overbought)}"
     return [
-        _alert(have & (cross > 0) & (spread <= 0), s, "GOLDEN_CROSS", high,
-               F.format_string("%s: Golden cross detected - potential bullish reversal", s), F.col(ts), sma_meta),
-        _alert(have & (cross < 0) & (spread >= 0), s, "DEATH_CROSS", high,
-               F.format_string("%s: Death cross detected - potential bearish reversal", s), F.col(ts), sma_meta),
-        _alert(over, s, "OVERBOUGHT", medium,
-               F.format_string("%s: RSI %s - Overbought condition", s, fixed2(rsi)), F.col(ts), rsi_meta),
-        _alert(~over & (rsi < _d(rules.rsi_oversold)), s, "OVERSOLD", medium,
-               F.format_string("%s: RSI %s - Oversold condition", s, fixed2(rsi)), F.col(ts), rsi_meta),
+        _alert(f"{have} AND sma5 - sma15 > 0 AND {spread} <= 0", "GOLDEN_CROSS", "'HIGH'",
+               "format_string('%s: Golden cross detected - potential bullish reversal', symbol)", ts, sma_meta),
+        _alert(f"{have} AND sma5 - sma15 < 0 AND {spread} >= 0", "DEATH_CROSS", "'HIGH'",
+               "format_string('%s: Death cross detected - potential bearish reversal', symbol)", ts, sma_meta),
+        _alert(over, "OVERBOUGHT", "'MEDIUM'",
+               f"format_string('%s: RSI %s - Overbought condition', symbol, {_fixed2('rsi')})", ts, [("rsi", "rsi")]),
+        _alert(f"NOT ({over}) AND rsi < {_d(rules.rsi_oversold)}", "OVERSOLD", "'MEDIUM'",
+               f"format_string('%s: RSI %s - Oversold condition', symbol, {_fixed2('rsi')})", ts, [("rsi", "rsi")]),
     ]
 
 
-def volume_alert_columns(rules: AlertRules = DEFAULT_RULES, ts: str = "window_end") -> list[Column]:
-    s = F.col("symbol")
-    ratio, large = F.col("buy_volume_ratio"), F.col("large_trade_volume_ratio")
-    hundred = F.lit("100").cast("decimal(3,0)")
-    bs_meta = [("buyVolume", decimal_text(F.col("buy_volume"))), ("sellVolume", decimal_text(F.col("sell_volume")))]
-    buying = ratio > _d(rules.heavy_buying_ratio)
+def volume_alert_columns(rules: AlertRules = DEFAULT_RULES, ts: str = "window_end") -> list[str]:
+    hundred = "CAST(100 AS DECIMAL(3,0))"
+    bs_meta = [("buyVolume", "buy_volume"), ("sellVolume", "sell_volume")]
+    buying = f"buy_volume_ratio > {_d(rules.heavy_buying_ratio)}"
     return [
-        _alert(large.isNotNull() & (large > _d(rules.whale_ratio)), s, "WHALE_ACTIVITY", F.lit("HIGH"),
-               F.format_string("%s: Large trades account for %s%% of volume", s, fixed2(large * hundred)), F.col(ts),
-               [("largeTradeVolume", decimal_text(F.col("large_trade_volume"))),
-                ("totalVolume", decimal_text(F.col("total_volume")))]),
-        _alert(buying, s, "HEAVY_BUYING", F.lit("MEDIUM"),
-               F.format_string("%s: Heavy buying pressure - %s%% buy volume", s, fixed2(ratio * hundred)), F.col(ts),
-               bs_meta),
-        _alert(~buying & (ratio < _d(rules.heavy_selling_ratio)), s, "HEAVY_SELLING", F.lit("MEDIUM"),
-               F.format_string("%s: Heavy selling pressure - %s%% sell volume", s,
-                               fixed2((F.lit(1).cast("decimal(1,0)") - ratio) * hundred)), F.col(ts), bs_meta),
+        _alert(f"large_trade_volume_ratio IS NOT NULL AND large_trade_volume_ratio > {_d(rules.whale_ratio)}",
+               "WHALE_ACTIVITY", "'HIGH'",
+               f"format_string('%s: Large trades account for %s%% of volume', symbol, "
+               f"{_fixed2(f'large_trade_volume_ratio * {hundred}')})",
+               ts, [("largeTradeVolume", "large_trade_volume"), ("totalVolume", "total_volume")]),
+        _alert(buying, "HEAVY_BUYING", "'MEDIUM'",
+               f"format_string('%s: Heavy buying pressure - %s%% buy volume', symbol, "
+               f"{_fixed2(f'buy_volume_ratio * {hundred}')})", ts, bs_meta),
+        _alert(f"NOT ({buying}) AND buy_volume_ratio < {_d(rules.heavy_selling_ratio)}", "HEAVY_SELLING", "'MEDIUM'",
+               f"format_string('%s: Heavy selling pressure - %s%% sell volume', symbol, "
+               f"{_fixed2(f'(CAST(1 AS DECIMAL(1,0)) - buy_volume_ratio) * {hundred}')})", ts, bs_meta),
     ]
 
 
-def emit(df: DataFrame, alerts: list[Column]) -> DataFrame:
-    """All alerts of every row: Generate over the non-null rule results."""
-    arr = F.filter(F.array(*alerts), lambda a: a.isNotNull())
-    return df.select(F.inline(arr))
+def emit(df: DataFrame, alerts: list[str]) -> DataFrame:
+    """All alerts of every row: one Generate over the non-null rule results."""
+    return df.select(F.expr(f"inline(filter(array({', '.join(alerts)}), a -> a IS NOT NULL))"))
 
 
 def price_alerts(bars_1m: DataFrame, rules: AlertRules = DEFAULT_RULES) -> DataFrame:

@@ -17,15 +17,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.functions.numeric import from_units, halfup_div, halfup_units, lit_int, units
+from candela.functions.numeric import dec_lit_sql, from_units_sql, halfup_div_sql, halfup_units_sql, units_sql
 from candela.operators.partials import interval_label, rollup_partials, trade_partials
 from candela.schemas import BAR_COLUMNS, PRICE_INTERVALS
 
 
-def price_change_pct_units(close: str = "close", open_: str = "open") -> F.Column:
+def price_change_pct_units_sql(close: str = "close", open_: str = "open") -> str:
     """priceChangePercent in 1e-4 units: HALF_UP((close-open)/open, 4) * 100; 0 when open = 0."""
-    q = halfup_units(units(F.col(close) - F.col(open_), 8), units(open_, 8), 4)
-    return F.when(F.col(open_) == 0, lit_int(0)).otherwise(q * lit_int(100))
+    q = halfup_units_sql(units_sql(f"{close} - {open_}", 8), units_sql(open_, 8), 4)
+    return f"CASE WHEN {open_} = 0 THEN {dec_lit_sql(0)} ELSE CAST({q} * {dec_lit_sql(100)} AS DECIMAL(38,0)) END"
+
+
+def price_change_pct_units(close: str = "close", open_: str = "open") -> F.Column:
+    return F.expr(price_change_pct_units_sql(close, open_))
 
 
 def bar_columns(partials: DataFrame) -> list[F.Column]:
@@ -33,12 +37,10 @@ def bar_columns(partials: DataFrame) -> list[F.Column]:
     del partials
     return [
         F.col("open"), F.col("high"), F.col("low"), F.col("close"), F.col("volume"), F.col("trade_count"),
-        halfup_div(F.col("volume"), F.col("trade_count"), 8, 16, 0).alias("mean_notional"),
-        F.when(
-            F.col("base_volume") > 0, halfup_div(F.col("volume"), F.col("base_volume"), 8, 16, 8)
-        ).alias("vwap"),
-        (F.col("close") - F.col("open")).alias("price_change"),
-        from_units(price_change_pct_units(), 4).alias("price_change_pct"),
+        F.expr(halfup_div_sql("volume", "trade_count", 8, 16, 0)).alias("mean_notional"),
+        F.expr(f"CASE WHEN base_volume > 0 THEN {halfup_div_sql('volume', 'base_volume', 8, 16, 8)} END").alias("vwap"),
+        F.expr("close - open").alias("price_change"),
+        F.expr(from_units_sql(price_change_pct_units_sql(), 4)).alias("price_change_pct"),
         F.col("base_volume"),
     ]
 
@@ -113,6 +115,6 @@ def bar_change(bars_df: DataFrame) -> DataFrame:
     """P4/P5 as standalone projections over any bar table."""
     return bars_df.select(
         "symbol", "interval", "window_start", "open", "close",
-        (F.col("close") - F.col("open")).alias("price_change"),
-        from_units(price_change_pct_units(), 4).alias("price_change_pct"),
+        F.expr("close - open").alias("price_change"),
+        F.expr(from_units_sql(price_change_pct_units_sql(), 4)).alias("price_change_pct"),
     )

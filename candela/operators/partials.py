@@ -56,44 +56,42 @@ def trade_partials(
     large_threshold: str = LARGE_TRADE_THRESHOLD,
 ) -> DataFrame:
     t = with_order_key(trades, time_col, order_key)
-    notional = F.col("price") * F.col("quantity")
-    sell = F.col("is_buyer_maker")
-    large = notional > _dec(large_threshold, "decimal(38,16)")
-    zero = _dec("0", "decimal(38,16)")
     t = t.select(
         "symbol", F.window(F.col(time_col), interval).alias("_w"), "price", "quantity", "_ok",
-        notional.alias("_n"), sell.alias("_sell"), large.alias("_large"),
-    )
+        F.expr("price * quantity").alias("_n"), F.col("is_buyer_maker").alias("_sell"),
+    ).select("*", F.expr(f"_n > CAST('{large_threshold}' AS DECIMAL(38,16))").alias("_large"))
+    zero = "CAST(0 AS DECIMAL(38,16))"
+    aggs = {
+        "_open_nz": "min_by(price, CASE WHEN price <> 0 THEN _ok END)",
+        "close": "max_by(price, _ok)",
+        "_max": "max(price)",
+        "_min": "min(price)",
+        "volume": "sum(_n)",
+        "base_volume": "sum(quantity)",
+        "trade_count": "count(1)",
+        "buy_volume": f"coalesce(sum(CASE WHEN NOT _sell THEN _n END), {zero})",
+        "sell_volume": f"coalesce(sum(CASE WHEN _sell THEN _n END), {zero})",
+        "buy_trades": "count_if(NOT _sell)",
+        "sell_trades": "count_if(_sell)",
+        "large_trades": "count_if(_large)",
+        "large_trade_volume": f"coalesce(sum(CASE WHEN _large THEN _n END), {zero})",
+    }
     return (
         t.groupBy("symbol", "_w")
-        .agg(
-            F.min_by("price", F.when(F.col("price") != 0, F.col("_ok"))).alias("_open_nz"),
-            F.max_by("price", "_ok").alias("close"),
-            F.max("price").alias("_max"),
-            F.min("price").alias("_min"),
-            F.sum("_n").alias("volume"),
-            F.sum("quantity").alias("base_volume"),
-            F.count(F.lit(1)).alias("trade_count"),
-            F.coalesce(F.sum(F.when(~F.col("_sell"), F.col("_n"))), zero).alias("buy_volume"),
-            F.coalesce(F.sum(F.when(F.col("_sell"), F.col("_n"))), zero).alias("sell_volume"),
-            F.count_if(~F.col("_sell")).alias("buy_trades"),
-            F.count_if(F.col("_sell")).alias("sell_trades"),
-            F.count_if(F.col("_large")).alias("large_trades"),
-            F.coalesce(F.sum(F.when(F.col("_large"), F.col("_n"))), zero).alias("large_trade_volume"),
-        )
+        .agg(*[F.expr(e).alias(n) for n, e in aggs.items()])
         .select(
             "symbol",
             F.lit(interval).alias("_interval"),
             F.col("_w.start").alias("window_start"),
             F.col("_w.end").alias("window_end"),
-            F.coalesce(F.col("_open_nz"), _dec("0")).alias("open"),
-            F.greatest(F.col("_max"), _dec(HIGH_FLOOR)).alias("high"),
-            F.least(F.col("_min"), _dec(LOW_CEILING)).alias("low"),
+            F.expr("coalesce(_open_nz, CAST(0 AS DECIMAL(18,8)))").alias("open"),
+            F.expr(f"greatest(_max, CAST('{HIGH_FLOOR}' AS DECIMAL(18,8)))").alias("high"),
+            F.expr(f"least(_min, CAST('{LOW_CEILING}' AS DECIMAL(18,8)))").alias("low"),
             "close", "volume",
-            F.col("base_volume").cast("decimal(38,8)").alias("base_volume"),
+            F.expr("CAST(base_volume AS DECIMAL(38,8))").alias("base_volume"),
             "trade_count", "buy_volume", "sell_volume",
             "buy_trades", "sell_trades", "large_trades", "large_trade_volume",
-            F.lit(large_threshold).cast("decimal(38,8)").alias("large_trade_threshold"),
+            F.expr(f"CAST('{large_threshold}' AS DECIMAL(38,8))").alias("large_trade_threshold"),
         )
     )
 

@@ -32,11 +32,11 @@ from __future__ import annotations
 
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candela.functions.numeric import from_units, halfup_units, lit_int, units
+from candela.functions.numeric import dec_lit_sql, from_units_sql, halfup_units_sql, units_sql
 from candela.functions.timecols import epoch_micros
 from candela.plans.ordered import dense_index, with_halo
 
@@ -66,27 +66,28 @@ def ema_weights(k: int) -> list[float]:
     return [float(w) for w in ws]
 
 
-def _indicator_columns(w: Window, close_u: str, close_d: str) -> list[Column]:
-    """Raw per-row window aggregates (integer units / doubles) over a window spec ``w``."""
-    cols = [F.row_number().over(w).alias("_n")]
+def _indicator_columns(win: str) -> list[Column]:
+    """Raw per-row window aggregates (integer units / doubles) over the window spec text ``win``."""
+    def frame(k: int) -> str:
+        return f"{win} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW"
+
+    cols = [F.expr(f"row_number() OVER ({win})").alias("_n")]
     for k in SMA_PERIODS:
-        cols.append(F.sum(close_u).over(w.rowsBetween(-(k - 1), 0)).alias(f"_s{k}"))
+        cols.append(F.expr(f"sum(_cu) OVER ({frame(k)})").alias(f"_s{k}"))
     for k in EMA_PERIODS:
-        terms = [F.lit(wt) * F.lag(close_d, j).over(w) for j, wt in enumerate(ema_weights(k))]
-        expr = terms[0]
-        for t in terms[1:]:
-            expr = expr + t
-        cols.append(expr.alias(f"_e{k}"))
-    cols.append(F.lag(close_u, MOMENTUM_LAG).over(w).alias("_lag_mom"))
-    cols.append(F.lag(close_u, 1).over(w).alias("_prev"))
+        terms = [f"CAST('{wt!r}' AS DOUBLE) * lag(_cd, {j}) OVER ({win})" for j, wt in enumerate(ema_weights(k))]
+        cols.append(F.expr(" + ".join(terms)).alias(f"_e{k}"))
+    cols.append(F.expr(f"lag(_cu, {MOMENTUM_LAG}) OVER ({win})").alias("_lag_mom"))
+    cols.append(F.expr(f"_cu - lag(_cu, 1) OVER ({win})").alias("_dlt"))
     return cols
 
 
-def _rsi_columns(w: Window) -> list[Column]:
-    frame = w.rowsBetween(-(RSI_PERIOD - 1), 0)
+def _rsi_columns(win: str) -> list[Column]:
+    frame = f"{win} ROWS BETWEEN {RSI_PERIOD - 1} PRECEDING AND CURRENT ROW"
+    zero = dec_lit_sql(0)
     return [
-        F.sum(F.greatest(F.col("_dlt"), lit_int(0))).over(frame).alias("_gain"),
-        F.sum(F.greatest(-F.col("_dlt"), lit_int(0))).over(frame).alias("_loss"),
+        F.expr(f"sum(greatest(_dlt, {zero})) OVER ({frame})").alias("_gain"),
+        F.expr(f"sum(greatest(-_dlt, {zero})) OVER ({frame})").alias("_loss"),
     ]
 
 
@@ -96,57 +97,50 @@ def _finish(df: DataFrame, order_col: str, timestamp_col: str, extra: list[str])
     Staged projections keep each HALF_UP step on column references, so the
     generated code stays small enough for whole-stage codegen.
     """
-    n = F.col("_n")
-    cu = F.col("_cu")
     s1 = df.select(
         "symbol", "window_start", F.col(timestamp_col).alias("timestamp"), *extra,
         F.col("close").alias("current_price"), "_n", "_cu",
-        *[F.when(n >= k, halfup_units(F.col(f"_s{k}"), lit_int(k))).alias(f"_sma{k}") for k in SMA_PERIODS],
-        *[F.when(n >= k, F.col(f"_e{k}")).alias(f"ema{k}") for k in EMA_PERIODS],
-        halfup_units(F.col("_gain"), lit_int(RSI_PERIOD)).alias("_g"),
-        halfup_units(F.col("_loss"), lit_int(RSI_PERIOD)).alias("_l"),
-        F.when(n >= MOMENTUM_LAG + 1, cu - F.col("_lag_mom")).alias("_mom"),
+        *[F.expr(f"CASE WHEN _n >= {k} THEN {halfup_units_sql(f'_s{k}', dec_lit_sql(k))} END").alias(f"_sma{k}")
+          for k in SMA_PERIODS],
+        *[F.expr(f"CASE WHEN _n >= {k} THEN _e{k} END").alias(f"ema{k}") for k in EMA_PERIODS],
+        F.expr(halfup_units_sql("_gain", dec_lit_sql(RSI_PERIOD))).alias("_g"),
+        F.expr(halfup_units_sql("_loss", dec_lit_sql(RSI_PERIOD))).alias("_l"),
+        F.expr(f"CASE WHEN _n >= {MOMENTUM_LAG + 1} THEN _cu - _lag_mom END").alias("_mom"),
     )
-    s2 = s1.withColumn("_rs", halfup_units(F.col("_g"), F.col("_l"), 8)).withColumn(
-        "_m", F.abs(halfup_units(F.col("_mom"), F.col("_cu"), 4))
+    s2 = s1.select(
+        "*",
+        F.expr(halfup_units_sql("_g", "_l", 8)).alias("_rs"),
+        F.expr(f"abs({halfup_units_sql('_mom', '_cu', 4)})").alias("_m"),
     )
-    hundred = lit_int(100 * UNITS_8)
-    s3 = s2.withColumn("_den", lit_int(UNITS_8) + F.col("_rs")).withColumn(
-        "_rsi",
-        F.when(F.col("_n") < RSI_PERIOD + 1, F.lit(None).cast("decimal(38,0)"))
-        .when(F.col("_l") == 0, hundred)
-        .otherwise(hundred - halfup_units(hundred * lit_int(UNITS_8), F.col("_den"))),
+    hundred = dec_lit_sql(100 * UNITS_8)
+    s3 = s2.select(
+        "*",
+        F.expr(
+            f"CASE WHEN _n < {RSI_PERIOD + 1} THEN NULL WHEN _l = 0 THEN {hundred} "
+            f"ELSE {hundred} - {halfup_units_sql(dec_lit_sql(100 * UNITS_8 * UNITS_8), f'{dec_lit_sql(UNITS_8)} + _rs')} END"
+        ).alias("_rsi"),
     )
-    sma = {k: F.col(f"_sma{k}") for k in SMA_PERIODS}
-    have = sma[5].isNotNull() & sma[15].isNotNull()
+    have = "_sma5 IS NOT NULL AND _sma15 IS NOT NULL"
     direction = (
-        F.when(~have, F.lit("NEUTRAL"))
-        .when((sma[5] > sma[15]) & (F.col("_cu") > sma[15]), F.lit("BULLISH"))
-        .when((sma[5] < sma[15]) & (F.col("_cu") < sma[15]), F.lit("BEARISH"))
-        .otherwise(F.lit("NEUTRAL"))
-    )
-    r = F.col("_rsi")
-    m = F.col("_m")
-    strong = (
-        (m > lit_int(STRONG_MOMENTUM_PCT * 100))
-        | (r > lit_int(RSI_OVERBOUGHT * UNITS_8))
-        | (r < lit_int(RSI_OVERSOLD * UNITS_8))
+        f"CASE WHEN NOT ({have}) THEN 'NEUTRAL' "
+        "WHEN _sma5 > _sma15 AND _cu > _sma15 THEN 'BULLISH' "
+        "WHEN _sma5 < _sma15 AND _cu < _sma15 THEN 'BEARISH' ELSE 'NEUTRAL' END"
     )
     strength = (
-        F.when(~have, F.lit("WEAK"))
-        .when(F.col("_mom").isNull() | r.isNull(), F.lit(None).cast("string"))
-        .when(strong, F.lit("STRONG"))
-        .when(m > lit_int(MODERATE_MOMENTUM_PCT * 100), F.lit("MODERATE"))
-        .otherwise(F.lit("WEAK"))
+        f"CASE WHEN NOT ({have}) THEN 'WEAK' "
+        "WHEN _mom IS NULL OR _rsi IS NULL THEN CAST(NULL AS STRING) "
+        f"WHEN _m > {STRONG_MOMENTUM_PCT * 100} OR _rsi > {RSI_OVERBOUGHT * UNITS_8} "
+        f"OR _rsi < {RSI_OVERSOLD * UNITS_8} THEN 'STRONG' "
+        f"WHEN _m > {MODERATE_MOMENTUM_PCT * 100} THEN 'MODERATE' ELSE 'WEAK' END"
     )
     return s3.select(
         "symbol", "window_start", "timestamp", *extra, "current_price",
-        *[from_units(sma[k], 8).alias(f"sma{k}") for k in SMA_PERIODS],
+        *[F.expr(from_units_sql(f"_sma{k}", 8)).alias(f"sma{k}") for k in SMA_PERIODS],
         *[f"ema{k}" for k in EMA_PERIODS],
-        from_units(r, 8).alias("rsi"),
-        from_units(F.col("_mom"), 8).alias("momentum"),
-        direction.alias("trend_direction"),
-        strength.alias("trend_strength"),
+        F.expr(from_units_sql("_rsi", 8)).alias("rsi"),
+        F.expr(from_units_sql("_mom", 8)).alias("momentum"),
+        F.expr(direction).alias("trend_direction"),
+        F.expr(strength).alias("trend_strength"),
     )
 
 
@@ -166,14 +160,15 @@ def trends(
     """
     extra = list(extra or [])
     keep = list(dict.fromkeys(["symbol", order_col, "window_start", timestamp_col, "close", *extra]))
-    base = bars_df.select(*keep).withColumn("_cu", units("close", 8)).withColumn(
-        "_cd", units("close", 8).cast("double") / F.lit(float(UNITS_8))
+    base = bars_df.select(
+        *keep,
+        F.expr(units_sql("close", 8)).alias("_cu"),
+        F.expr(f"CAST({units_sql('close', 8)} AS DOUBLE) / CAST('{UNITS_8}' AS DOUBLE)").alias("_cd"),
     )
     if strategy == "direct":
-        w = Window.partitionBy("symbol").orderBy(order_col)
-        raw = base.select("*", *_indicator_columns(w, "_cu", "_cd"))
-        raw = raw.withColumn("_dlt", F.col("_cu") - F.col("_prev"))
-        raw = raw.select("*", *_rsi_columns(w))
+        win = f"PARTITION BY symbol ORDER BY `{order_col}`"
+        raw = base.select("*", *_indicator_columns(win))
+        raw = raw.select("*", *_rsi_columns(win))
     elif strategy == "blocked":
         if bucket is None:
             dtype = base.schema[order_col].dataType
@@ -182,10 +177,9 @@ def trends(
             bucket = F.floor(epoch_micros(F.col(order_col), dtype) / F.lit(86_400_000_000))
         idx = dense_index(base, ["symbol"], order_col, bucket)
         halo = with_halo(idx, HISTORY - 1, block_rows)
-        w = Window.partitionBy("symbol", "_blk").orderBy("_idx")
-        raw = halo.select("*", *_indicator_columns(w, "_cu", "_cd"))
-        raw = raw.withColumn("_dlt", F.col("_cu") - F.col("_prev"))
-        raw = raw.select("*", *_rsi_columns(w))
+        win = "PARTITION BY symbol, _blk ORDER BY _idx"
+        raw = halo.select("*", *_indicator_columns(win))
+        raw = raw.select("*", *_rsi_columns(win))
         # rank within the symbol, not within the block: n = global index + 1
         raw = raw.filter(~F.col("_halo")).withColumn("_n", F.col("_idx") + 1)
     else:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.functions.numeric import halfup_div
+from candela.functions.numeric import halfup_div_sql
 from candela.operators.partials import (
     LARGE_TRADE_THRESHOLD,
     interval_label,
@@ -40,8 +40,9 @@ def volume_trend(ratio: F.Column) -> F.Column:
 def volume_columns(partials: DataFrame) -> list[F.Column]:
     """Volume-analytics measures over trade partials (without symbol / interval / window)."""
     total = F.col("volume")
-    ratio = F.when(total > 0, halfup_div(F.col("buy_volume"), total, 4, 16, 16)).otherwise(
-        F.lit(NO_VOLUME_RATIO).cast("decimal(38,4)")
+    ratio = F.expr(
+        f"CASE WHEN volume > 0 THEN {halfup_div_sql('buy_volume', 'volume', 4, 16, 16)} "
+        f"ELSE CAST('{NO_VOLUME_RATIO}' AS DECIMAL(38,4)) END"
     )
     del partials
     return [
@@ -51,12 +52,10 @@ def volume_columns(partials: DataFrame) -> list[F.Column]:
         F.col("buy_trades"), F.col("sell_trades"), F.col("large_trades"), F.col("large_trade_volume"),
         F.col("large_trade_threshold"),
         ratio.alias("buy_volume_ratio"),
-        F.when(F.col("trade_count") > 0, halfup_div(total, F.col("trade_count"), 8, 16, 0))
-        .otherwise(F.lit("0").cast("decimal(38,8)"))
-        .alias("average_trade_size"),
-        F.when(total > 0, halfup_div(F.col("large_trade_volume"), total, 4, 16, 16))
-        .otherwise(F.lit("0").cast("decimal(38,4)"))
-        .alias("large_trade_volume_ratio"),
+        F.expr(f"CASE WHEN trade_count > 0 THEN {halfup_div_sql('volume', 'trade_count', 8, 16, 0)} "
+               "ELSE CAST(0 AS DECIMAL(38,8)) END").alias("average_trade_size"),
+        F.expr(f"CASE WHEN volume > 0 THEN {halfup_div_sql('large_trade_volume', 'volume', 4, 16, 16)} "
+               "ELSE CAST(0 AS DECIMAL(38,4)) END").alias("large_trade_volume_ratio"),
     ]
 
 

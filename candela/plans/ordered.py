@@ -47,17 +47,19 @@ def dense_index(df: DataFrame, keys: list[str], order_col: str, bucket: Column,
 
 
 def with_halo(df: DataFrame, halo: int, block_rows: int, idx: str = "_idx") -> DataFrame:
-    """Adds ``_blk`` and ``_halo``; rows in the last ``halo`` positions of a block are copied to the next."""
+    """Adds ``_blk`` and ``_halo``; rows in the last ``halo`` positions of a block are copied to the next.
+
+    One Generate emits the row once, or twice for a halo row, so the input is
+    evaluated a single time (a union of two filtered copies would evaluate it twice).
+    """
     if block_rows <= halo:
         raise ValueError("block_rows must exceed the halo")
     blk = (F.col(idx) / F.lit(block_rows)).cast("bigint")
-    own = df.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
-    tail = (
-        df.filter((F.col(idx) % block_rows) >= block_rows - halo)
-        .withColumn("_blk", blk + 1)
-        .withColumn("_halo", F.lit(True))
-    )
-    return own.unionByName(tail)
+    own = F.struct(blk.alias("_blk"), F.lit(False).alias("_halo"))
+    copy = F.struct((blk + 1).alias("_blk"), F.lit(True).alias("_halo"))
+    tail = (F.col(idx) % block_rows) >= block_rows - halo
+    copies = F.when(tail, F.array(own, copy)).otherwise(F.array(own))
+    return df.select("*", F.inline(copies))
 
 
 # Combiners of a prefix value p and a within-bucket running value x.

@@ -9,6 +9,7 @@ engine that does the same arithmetic.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.functions.numeric import decimal_to_double
@@ -22,7 +23,7 @@ def publish(df: DataFrame, scales: dict[str, int] | None = None) -> DataFrame:
     for field in df.schema.fields:
         if isinstance(field.dataType, T.DecimalType):
             scale = scales.get(field.name, min(field.dataType.scale, MAX_PUBLISH_SCALE))
-            cols.append(decimal_to_double(df[field.name], scale).alias(field.name))
+            cols.append(decimal_to_double(field.name, scale).alias(field.name))
         else:
-            cols.append(df[field.name])
+            cols.append(F.col(f"`{field.name}`"))
     return df.select(*cols)

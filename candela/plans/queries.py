@@ -137,8 +137,8 @@ for _name, _cols in TREND_VIEWS.items():
 
 def publish_alerts(df: DataFrame) -> DataFrame:
     """Alert metadata as ``k=v;k=v`` sorted by key (MAP hashing differs between engines)."""
-    entries = F.transform(F.map_entries("metadata"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return df.withColumn("metadata", F.array_join(F.array_sort(entries), ";"))
+    text = "array_join(array_sort(transform(map_entries(metadata), e -> concat(e.key, '=', e.value))), ';')"
+    return df.withColumn("metadata", F.expr(text))
 
 
 def market_trends_1m(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,20 +23,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trades_from_events(events: DataFrame) -> DataFrame:
-    return events.select(
-        F.lit("trade").alias("event_type"),
-        F.col("ts").alias("event_time"),
-        F.col("event_type").alias("symbol"),
-        F.col("event_id").alias("trade_id"),
-        F.col("value").cast(PRICE).alias("price"),
-        F.get_json_object("props", "$.k").try_cast(QTY).alias("quantity"),
-        F.lit(None).cast("bigint").alias("buyer_order_id"),
-        F.lit(None).cast("bigint").alias("seller_order_id"),
-        F.col("ts").alias("trade_time"),
-        ((F.col("user_id") % 2) == 0).alias("is_buyer_maker"),
-        (F.col("event_id") + F.lit(13) * (F.col("event_id") % 5)).alias("arrival_seq"),
-        (F.col("user_id") % 3).alias("part"),
-    )
+    cols = {
+        "event_type": "'trade'",
+        "event_time": "ts",
+        "symbol": "event_type",
+        "trade_id": "event_id",
+        "price": f"CAST(value AS {PRICE})",
+        "quantity": f"try_cast(get_json_object(props, '$.k') AS {QTY})",
+        "buyer_order_id": "CAST(NULL AS BIGINT)",
+        "seller_order_id": "CAST(NULL AS BIGINT)",
+        "trade_time": "ts",
+        "is_buyer_maker": "user_id % 2 = 0",
+        "arrival_seq": "event_id + 13 * (event_id % 5)",
+        "part": "user_id % 3",
+    }
+    return events.select(*[F.expr(e).alias(n) for n, e in cols.items()])
 
 
 def load_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
