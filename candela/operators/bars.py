@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.functions.numeric import dec_lit_sql, from_units_sql, halfup_div_sql, halfup_units_sql, units_sql
-from candela.operators.partials import interval_label, rollup_partials, trade_partials
+from candela.operators.partials import interval_label, rollup_many, trade_partials
 from candela.schemas import BAR_COLUMNS, PRICE_INTERVALS
 
 
@@ -74,23 +74,19 @@ def bars_multi(
 ) -> DataFrame:
     """Bars for several window lengths, one ``interval`` column.
 
-    ``method="rollup"`` aggregates trades once at the finest window and rolls the
-    partials up (one shuffle of trades, small shuffles of bars); ``"direct"``
-    aggregates trades once per window length (the reference's topology).
+    ``method="rollup"`` aggregates trades once at the finest window, then expands
+    each fine partial to every target window and rolls all levels up in a single
+    aggregation (one shuffle of trades, one of partials); ``"direct"`` aggregates
+    trades once per window length (the reference's topology).
     """
-    labels = [lab for lab, _ in intervals]
     if method == "direct":
         parts = [bars(trades, iv, lab, time_col, order_key) for lab, iv in intervals]
-    else:
-        base_label, base_iv = intervals[0]
-        base = trade_partials(trades, base_iv, time_col=time_col, order_key=order_key)
-        parts = [finish_bars(base, base_label)]
-        parts += [finish_bars(rollup_partials(base, iv), lab) for lab, iv in intervals[1:]]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    del labels
-    return out
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    base = trade_partials(trades, intervals[0][1], time_col=time_col, order_key=order_key)
+    return finish_bars(rollup_many(base, intervals))
 
 
 def market_bars(

@@ -96,11 +96,35 @@ def trade_partials(
     )
 
 
+def expand_windows(partials: DataFrame, intervals: list[tuple[str, str]]) -> DataFrame:
+    """Each fine partial row once per target window: columns ``_label`` and ``_w`` (start, end).
+
+    One ``window()`` per projection (Spark resolves a single time window per
+    Project), then one Generate emits a row per target: the Expand of a
+    grouping-sets aggregation, so every coarser level rolls up in one shuffle.
+    """
+    p = partials
+    targets = []
+    for i, (label, iv) in enumerate(intervals):
+        p = p.withColumn(f"_w{i}", F.window("window_start", iv))
+        targets.append(F.struct(F.lit(label).alias("_label"), F.col(f"_w{i}").alias("_w")))
+    return p.select("*", F.inline(F.array(*targets))).drop(*[f"_w{i}" for i in range(len(intervals))])
+
+
+def rollup_many(partials: DataFrame, intervals: list[tuple[str, str]]) -> DataFrame:
+    """Partials for several coarser windows in one aggregation, labelled by ``_interval``."""
+    return _rollup(expand_windows(partials, intervals), ["_label"])
+
+
 def rollup_partials(partials: DataFrame, interval: str) -> DataFrame:
     """Partials at a coarser epoch-aligned window from finer partials."""
-    p = partials.withColumn("_w", F.window("window_start", interval))
+    p = partials.withColumn("_w", F.window("window_start", interval)).withColumn("_label", F.lit(interval))
+    return _rollup(p, ["_label"])
+
+
+def _rollup(p: DataFrame, extra_keys: list[str]) -> DataFrame:
     return (
-        p.groupBy("symbol", "_w")
+        p.groupBy("symbol", *extra_keys, "_w")
         .agg(
             F.min_by("open", F.when(F.col("open") != 0, F.col("window_start"))).alias("_open_nz"),
             F.max_by("close", "window_start").alias("close"),
@@ -115,11 +139,11 @@ def rollup_partials(partials: DataFrame, interval: str) -> DataFrame:
             F.sum("sell_trades").alias("sell_trades"),
             F.sum("large_trades").alias("large_trades"),
             F.sum("large_trade_volume").alias("large_trade_volume"),
-            F.first("large_trade_threshold").alias("large_trade_threshold"),
+            F.max("large_trade_threshold").alias("large_trade_threshold"),
         )
         .select(
             "symbol",
-            F.lit(interval).alias("_interval"),
+            F.col("_label").alias("_interval"),
             F.col("_w.start").alias("window_start"),
             F.col("_w.end").alias("window_end"),
             F.coalesce(F.col("_open_nz"), _dec("0")).alias("open"),

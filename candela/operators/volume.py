@@ -17,7 +17,7 @@ from candela.functions.numeric import halfup_div_sql
 from candela.operators.partials import (
     LARGE_TRADE_THRESHOLD,
     interval_label,
-    rollup_partials,
+    rollup_many,
     trade_partials,
 )
 from candela.schemas import VOLUME_COLUMNS, VOLUME_INTERVALS
@@ -88,10 +88,8 @@ def volume_multi(
     if method == "direct":
         parts = [volume_analytics(trades, iv, lab, time_col, large_threshold) for lab, iv in intervals]
     else:
-        base_label, base_iv = intervals[0]
-        base = trade_partials(trades, base_iv, time_col=time_col, large_threshold=large_threshold)
-        parts = [finish_volume(base, base_label)]
-        parts += [finish_volume(rollup_partials(base, iv), lab) for lab, iv in intervals[1:]]
+        base = trade_partials(trades, intervals[0][1], time_col=time_col, large_threshold=large_threshold)
+        return finish_volume(rollup_many(base, intervals))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

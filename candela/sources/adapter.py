@@ -18,8 +18,23 @@ from pyspark.sql import functions as F
 from candela.schemas import PRICE, QTY
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Hash-repartitions a batch scan that yields fewer splits than the session has cores.
+
+    A single unsplittable file (one parquet row group) is read by one task, which
+    would then run every per-row expression and the partial aggregation alone.
+    Large inputs (many files, many splits) are left as they are: no extra shuffle.
+    Hashing on the first column is deterministic, so a retried task gets the same rows.
+    """
+    n = df.rdd.getNumPartitions()  # planning only, no job
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if n >= target:
+        return df
+    return df.repartition(target, F.col(df.columns[0]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def trades_from_events(events: DataFrame) -> DataFrame:
