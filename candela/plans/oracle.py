@@ -534,6 +534,10 @@ def stream_sql() -> dict[str, str]:
         f"SELECT * EXCLUDE (window_start, window_end), epoch_us(window_start) AS window_start_us, "
         f"epoch_us(window_end) AS window_end_us FROM ({bars_sql('1m')}) WHERE {closed}"
     )
+    q["stream_bars_updates"] = (
+        f"SELECT * EXCLUDE (window_start, window_end), epoch_us(window_start) AS window_start_us, "
+        f"epoch_us(window_end) AS window_end_us FROM ({bars_sql('1m')})"
+    )
     q["stream_trends"] = (
         f"SELECT * EXCLUDE (window_start, timestamp), epoch_us(window_start) AS window_start_us, "
         f"epoch_us(timestamp) AS timestamp_us FROM ({trends_sql('trends')}) "

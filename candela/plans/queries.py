@@ -38,6 +38,7 @@ from candela.streaming.pipeline import (
     alerts_stream,
     bars_stream,
     run_to_table,
+    run_updates_to_table,
     stage_replay,
     trades_stream_from_events,
     trends_stream,
@@ -340,6 +341,14 @@ def q_stream_bars_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _publish_stream(spark.read.parquet(path))
 
 
+@register("stream_bars_updates")
+def q_stream_bars_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 on a stream: update mode emits the current state of every window touched by a
+    micro-batch; replayed in one batch that is every window's final state, open ones included."""
+    path = run_updates_to_table(bars_stream(_replay(spark, sf_dir)), "stream-bar-updates")
+    return _publish_stream(spark.read.parquet(path).drop("batch_id"))
+
+
 @register("stream_trends")
 def q_stream_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars -> per-symbol stateful trend processor in one streaming query."""

@@ -144,3 +144,26 @@ def run_to_table(df: DataFrame, name: str, fmt: str = "parquet", output_mode: st
     q = writer.start()
     q.awaitTermination()
     return f"{out}/data"
+
+
+def run_updates_to_table(df: DataFrame, name: str, available_now: bool = True,
+                         processing_time: str = "1 second") -> str:
+    """Runs a streaming DataFrame in ``update`` mode (changelog, W4) into a parquet table.
+
+    File sinks accept only ``append``; here ``foreachBatch`` writes each
+    micro-batch to its own ``batch_id=<n>`` folder with overwrite, so a batch
+    replayed after a failure replaces itself instead of adding duplicates
+    (exactly-once, W7). Returns the table path.
+    """
+    spark = df.sparkSession
+    out = scratch_path(spark, name)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}")
+
+    writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{out}/checkpoint").outputMode(
+        "update"
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    writer.start().awaitTermination()
+    return f"{out}/data"

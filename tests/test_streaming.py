@@ -85,3 +85,25 @@ def test_stage_replay_roundtrip(spark):
     path = stage_replay(ev, "t-replay", files=3)
     assert spark.read.parquet(path).count() == ev.count()
     assert len(spark.read.parquet(path).inputFiles()) == 3
+
+
+def test_update_mode_last_update_is_final_bar(spark):
+    from pyspark.sql import Window
+
+    from candela.streaming.pipeline import run_updates_to_table
+    from candela.sources.adapter import trades_from_events
+
+    src = _staged_in_batches(spark)
+    path = run_updates_to_table(bars_stream(trades_stream_from_events(spark, src, max_files_per_trigger=1)), "t-upd")
+    upd = spark.read.parquet(path)
+    assert upd.select("batch_id").distinct().count() >= 2
+    w = Window.partitionBy("symbol", "window_start").orderBy(F.desc("batch_id"))
+    last = upd.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk", "batch_id")
+    last = last.select(*[F.unix_micros(c).alias(c) if t == "timestamp" else F.col(c) for c, t in last.dtypes])
+    want = bars(trades_from_events(read_table(spark, SF, "events")))
+    want = want.select(*[
+        (epoch_micros(F.col(c), T.TimestampNTZType()) if t == "timestamp_ntz" else F.col(c)).alias(c)
+        for c, t in want.dtypes
+    ])
+    assert last.count() == want.count()
+    assert last.exceptAll(want).count() == 0
