@@ -46,9 +46,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="candela-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    jsc = spark.sparkContext._jsc
-    if jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(path)
+    try:
+        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+            spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
+        pass
     return path.rstrip("/")
 
 
@@ -67,10 +69,19 @@ def ship_package(spark: SparkSession) -> None:
     with ``addPyFile``, which distributes it to every executor.
     """
     import os
+    import sys
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    from pyspark import cloudpickle
+
+    # Runners that do not see added files (the driver-side pre-init of
+    # transformWithState) still unpickle the processor: ship our classes by value.
+    cloudpickle.register_pickle_by_value(sys.modules["candela"])
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
+        return
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -86,11 +97,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, f)
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(zpath)
-    # Runners that do not see the added files (the driver-side pre-init of
-    # transformWithState) still unpickle the processor: ship our classes by value.
-    import sys
-
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules["candela"])
     _SHIPPED.add(app)

@@ -26,8 +26,11 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     Large inputs (many files, many splits) are left as they are: no extra shuffle.
     Hashing on the first column is deterministic, so a retried task gets the same rows.
     """
-    n = df.rdd.getNumPartitions()  # planning only, no job
-    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()  # planning only, no job
+        target = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect)
+        return df
     if n >= target:
         return df
     return df.repartition(target, F.col(df.columns[0]))
