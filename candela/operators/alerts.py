@@ -50,7 +50,7 @@ def _alert(cond: str, kind: str, severity: str, message: str, ts: str, meta: lis
     """One rule as SQL text: a struct when ``cond`` holds, else NULL."""
     kv = ", ".join(f"'{k}', CAST({v} AS STRING)" for k, v in meta)
     return (
-        f"CASE WHEN {cond} THEN named_struct('symbol', symbol, 'alert_type', '{kind}', 'severity', {severity}, "
+        f"CASE WHEN {cond} THEN named_struct('alert_type', '{kind}', 'severity', {severity}, "
         f"'message', {message}, 'timestamp', {ts}, 'metadata', map({kv})) END"
     )
 
@@ -104,8 +104,13 @@ def volume_alert_columns(rules: AlertRules = DEFAULT_RULES, ts: str = "window_en
 
 
 def emit(df: DataFrame, alerts: list[str]) -> DataFrame:
-    """All alerts of every row: one Generate over the non-null rule results."""
-    return df.select(F.expr(f"inline(filter(array({', '.join(alerts)}), a -> a IS NOT NULL))"))
+    """All alerts of every row: one Generate over the non-null rule results.
+
+    ``symbol`` passes through the Generate from the input row, so the input's
+    partitioning by symbol (e.g. after the trend window) still holds for the
+    alerts and a per-symbol step after them (top-k) needs no new exchange.
+    """
+    return df.select("symbol", F.expr(f"inline(filter(array({', '.join(alerts)}), a -> a IS NOT NULL))"))
 
 
 def price_alerts(bars_1m: DataFrame, rules: AlertRules = DEFAULT_RULES) -> DataFrame:

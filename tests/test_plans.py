@@ -69,3 +69,14 @@ def test_no_python_in_batch_plans(spark):
     t = trends(m, extra=[c for c in m.columns if c not in ("symbol", "window_start")])
     p = _plan(all_alerts(t))
     assert "Python" not in p and "ArrowEval" not in p and "BatchEval" not in p
+
+
+def test_top20_needs_no_new_exchange(spark):
+    from candela.operators.alerts import latest_alerts
+
+    m = market_bars(_trades(spark))
+    t = trends(m, extra=[c for c in m.columns if c not in ("symbol", "window_start")])
+    p = _plan(latest_alerts(all_alerts(t), 20))
+    assert "WindowGroupLimit" in p
+    # alerts keep the trend window's partitioning by symbol: still only the two exchanges
+    assert _count(p, "Exchange hashpartitioning") == 2
