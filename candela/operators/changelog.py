@@ -104,11 +104,22 @@ def volume_changelog(trades: DataFrame, interval: str = "1 minute", label: str |
     return out.withColumn("volume_trend", volume_trend(F.col("buy_volume_ratio")))
 
 
-def trends_changelog(changelog_1m: DataFrame, block_rows: int = 100_000, bucket_micros: int = 60_000_000) -> DataFrame:
-    """Indicators over the emission sequence of 1-minute changelog rows (ordered by trade)."""
+def trends_changelog(trades: DataFrame, interval: str = "1 minute", time_col: str = "trade_time",
+                     block_rows: int = 100_000, bucket_micros: int = 1_000_000,
+                     index_bucket_micros: int = 60_000_000) -> DataFrame:
+    """Indicators over the emission sequence of changelog rows (one per trade, in trade order).
+
+    A symbol has one row per trade here, so the blocked strategy numbers rows by
+    per-symbol prefix counts over ``index_bucket_micros`` time buckets and
+    evaluates every frame per (symbol, block) with a 29-row halo.
+    (Deriving the position from per-window trade counts plus the running count
+    avoids a second pass over the changelog, but measured slower: 10-11 s vs
+    5-6 s at sf0.1.)
+    """
+    cl = bars_changelog(trades, interval, time_col=time_col, bucket_micros=bucket_micros)
     return trends(
-        changelog_1m, order_col="_ok", timestamp_col="window_end", strategy="blocked",
-        block_rows=block_rows, extra=["trade_id"], bucket=_bucket_of_key(bucket_micros),
+        cl, order_col="_ok", timestamp_col="window_end", strategy="blocked",
+        block_rows=block_rows, extra=["trade_id"], bucket=_bucket_of_key(index_bucket_micros),
     )
 
 

@@ -152,14 +152,19 @@ def trends(
     block_rows: int = 100_000,
     extra: list[str] | None = None,
     bucket: Column | None = None,
+    index_col: str | None = None,
 ) -> DataFrame:
     """Trend rows, one per input bar (T7). ``bars_df`` needs symbol, close and the order column.
 
     ``bucket`` (blocked strategy): a monotone coarsening of the order column used to
     number rows; defaults to the UTC day of a timestamp order column.
+    ``index_col`` (blocked strategy): an existing dense 0-based per-symbol position
+    in order, used instead of computing one.
     """
     extra = list(extra or [])
     keep = list(dict.fromkeys(["symbol", order_col, "window_start", timestamp_col, "close", *extra]))
+    if index_col:
+        keep.append(index_col)
     base = bars_df.select(
         *keep,
         F.expr(units_sql("close", 8)).alias("_cu"),
@@ -169,6 +174,13 @@ def trends(
         win = f"PARTITION BY symbol ORDER BY `{order_col}`"
         raw = base.select("*", *_indicator_columns(win))
         raw = raw.select("*", *_rsi_columns(win))
+    elif strategy == "blocked" and index_col:
+        idx = base.withColumnRenamed(index_col, "_idx") if index_col != "_idx" else base
+        halo = with_halo(idx, HISTORY - 1, block_rows)
+        win = "PARTITION BY symbol, _blk ORDER BY _idx"
+        raw = halo.select("*", *_indicator_columns(win))
+        raw = raw.select("*", *_rsi_columns(win))
+        raw = raw.filter(~F.col("_halo")).withColumn("_n", F.col("_idx") + 1)
     elif strategy == "blocked":
         if bucket is None:
             dtype = base.schema[order_col].dataType

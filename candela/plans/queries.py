@@ -304,8 +304,7 @@ def q_volume_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("trends_changelog")
 def q_trends_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cl = bars_changelog(load_trades(spark, sf_dir), "1 minute", "1m")
-    return _round_ema(publish(trends_changelog(cl, block_rows=1000)))
+    return _round_ema(publish(trends_changelog(load_trades(spark, sf_dir), block_rows=1000)))
 
 
 @register("strict_late_filter")
