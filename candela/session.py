@@ -87,8 +87,13 @@ def ship_package(spark: SparkSession) -> None:
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
     target = scratch_path(spark, "pyfiles")
-    local = target.removeprefix("file:")
-    os.makedirs(local, exist_ok=True)
+    if target.startswith("/") or target.startswith("file:"):
+        local = target.removeprefix("file:")
+        os.makedirs(local, exist_ok=True)
+    else:
+        # a remote checkpoint root (hdfs://, s3a://, ...): the zip is a driver-side
+        # artifact that addPyFile ships to the executors, so a driver folder suffices
+        local = tempfile.mkdtemp(prefix="candela-pyfiles-")
     zpath = f"{local}/candela.zip"
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
         for base, _, files in os.walk(pkg_dir):
