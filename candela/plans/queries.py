@@ -328,6 +328,13 @@ def _publish_stream(df: DataFrame) -> DataFrame:
     return publish(df)
 
 
+def _cores(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = stage_replay(read_table(spark, sf_dir, "events"), "events-replay")
     return trades_stream_from_events(spark, src)
@@ -336,7 +343,7 @@ def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_bars_1m")
 def q_stream_bars_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final 1-minute bars from a file stream (append, watermark 0), replayed to completion."""
-    path = run_to_table(bars_stream(_replay(spark, sf_dir)), "stream-bars")
+    path = run_to_table(bars_stream(_replay(spark, sf_dir)), "stream-bars", state_partitions=_cores(spark))
     return _publish_stream(spark.read.parquet(path))
 
 
@@ -344,14 +351,16 @@ def q_stream_bars_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_bars_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W4 on a stream: update mode emits the current state of every window touched by a
     micro-batch; replayed in one batch that is every window's final state, open ones included."""
-    path = run_updates_to_table(bars_stream(_replay(spark, sf_dir)), "stream-bar-updates")
+    path = run_updates_to_table(bars_stream(_replay(spark, sf_dir)), "stream-bar-updates",
+                                state_partitions=_cores(spark))
     return _publish_stream(spark.read.parquet(path).drop("batch_id"))
 
 
 @register("stream_trends")
 def q_stream_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars -> per-symbol stateful trend processor in one streaming query."""
-    path = run_to_table(trends_stream(bars_stream(_replay(spark, sf_dir))), "stream-trends")
+    path = run_to_table(trends_stream(bars_stream(_replay(spark, sf_dir))), "stream-trends",
+                        state_partitions=_cores(spark))
     return _round_ema(_publish_stream(spark.read.parquet(path)))
 
 
@@ -362,5 +371,5 @@ def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = bars_stream(trades)
     v = volume_stream(trades)
     t = trends_stream(bars_stream(trades))
-    path = run_to_table(alerts_stream(b, v, t), "stream-alerts")
+    path = run_to_table(alerts_stream(b, v, t), "stream-alerts", state_partitions=_cores(spark))
     return _publish_stream(publish_alerts(spark.read.parquet(path)))

@@ -129,9 +129,32 @@ def alerts_stream(bars_1m: DataFrame, volume_1m: DataFrame, trends: DataFrame) -
     )
 
 
+class _StatePartitions:
+    """Sets ``spark.sql.shuffle.partitions`` (the state-store partition count of a new
+    stateful query, fixed in its checkpoint) for the duration of a blocking run."""
+
+    def __init__(self, spark: SparkSession, n: int | None):
+        self.spark, self.n, self.old = spark, n, None
+
+    def __enter__(self):
+        if self.n:
+            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+        return self
+
+    def __exit__(self, *exc):
+        if self.n and self.old is not None:
+            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+
+
 def run_to_table(df: DataFrame, name: str, fmt: str = "parquet", output_mode: str = "append",
-                 available_now: bool = True, processing_time: str = "1 second") -> str:
-    """Runs a streaming DataFrame into a checkpointed file sink under the checkpoint root; returns the path."""
+                 available_now: bool = True, processing_time: str = "1 second",
+                 state_partitions: int | None = None) -> str:
+    """Runs a streaming DataFrame into a checkpointed file sink under the checkpoint root; returns the path.
+
+    ``state_partitions`` sizes the state of a new query (default: the session's
+    shuffle partitions); size it to the stream's parallelism, not to batch volume.
+    """
     spark = df.sparkSession
     out = scratch_path(spark, name)
     writer = (
@@ -141,13 +164,14 @@ def run_to_table(df: DataFrame, name: str, fmt: str = "parquet", output_mode: st
         .outputMode(output_mode)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    q = writer.start()
-    q.awaitTermination()
+    with _StatePartitions(spark, state_partitions):
+        q = writer.start()
+        q.awaitTermination()
     return f"{out}/data"
 
 
 def run_updates_to_table(df: DataFrame, name: str, available_now: bool = True,
-                         processing_time: str = "1 second") -> str:
+                         processing_time: str = "1 second", state_partitions: int | None = None) -> str:
     """Runs a streaming DataFrame in ``update`` mode (changelog, W4) into a parquet table.
 
     File sinks accept only ``append``; here ``foreachBatch`` writes each
@@ -165,5 +189,6 @@ def run_updates_to_table(df: DataFrame, name: str, available_now: bool = True,
         "update"
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    writer.start().awaitTermination()
+    with _StatePartitions(spark, state_partitions):
+        writer.start().awaitTermination()
     return f"{out}/data"
