@@ -93,16 +93,24 @@ def rsi_zone(trends_df: DataFrame) -> DataFrame:
     return trends_df.select("symbol", "window_start", "rsi", zone.alias("rsi_zone"))
 
 
-def latest_snapshot(market_trends: DataFrame) -> DataFrame:
+def latest_snapshot(market: DataFrame, history: int = 30) -> DataFrame:
     """A13 + P13: each symbol's newest bar and indicators; ``change_class`` up when pct >= 0.
 
-    ``max_by`` per symbol after the trend window (already partitioned by symbol):
-    no further exchange.
+    ``market`` holds one row per (symbol, window) with bar and volume columns
+    (``market_bars``). Every indicator looks back at most 30 bars and its gates
+    use min(n, 30), so the newest row depends only on the symbol's last 30 bars:
+    those are kept first (a top-k that Spark limits map-side, before the shuffle),
+    then the trend window runs on that tail only.
     """
+    from pyspark.sql import Window
+
+    from candela.operators.trends import trends
+
+    newest = Window.partitionBy("symbol").orderBy(F.col("window_start").desc())
+    tail = market.withColumn("_rk", F.row_number().over(newest)).filter(F.col("_rk") <= history).drop("_rk")
+    t = trends(tail, extra=[c for c in tail.columns if c not in ("symbol", "window_start")])
     fields = ["window_end", "close", "price_change_pct", "volume", "rsi", "trend_direction", "trend_strength"]
-    last = market_trends.groupBy("symbol", "interval").agg(
-        F.max_by(F.struct(*fields), "window_start").alias("_s")
-    )
+    last = t.groupBy("symbol", "interval").agg(F.max_by(F.struct(*fields), "window_start").alias("_s"))
     return last.select(
         "symbol", "interval", *[F.col(f"_s.{f}").alias(f) for f in fields],
         F.when(F.col("_s.price_change_pct") >= 0, F.lit("up")).otherwise(F.lit("down")).alias("change_class"),

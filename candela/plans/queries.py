@@ -213,7 +213,7 @@ def q_bars_vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("latest_snapshot")
 def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish(views.latest_snapshot(market_trends_1m(spark, sf_dir)))
+    return publish(views.latest_snapshot(market_bars(load_trades(spark, sf_dir), "1 minute", "1m")))
 
 
 @register("feed_health")

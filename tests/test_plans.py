@@ -51,10 +51,9 @@ def test_alerts_all_one_aggregation_one_window(spark):
     assert "Generate" in p
 
 
-def test_latest_snapshot_reuses_trend_partitioning(spark):
-    m = market_bars(_trades(spark))
-    t = trends(m, extra=[c for c in m.columns if c not in ("symbol", "window_start")])
-    p = _plan(latest_snapshot(t))
+def test_latest_snapshot_trends_only_the_tail(spark):
+    p = _plan(latest_snapshot(market_bars(_trades(spark))))
+    assert "WindowGroupLimit" in p  # last 30 bars per symbol, limited before the shuffle
     assert _count(p, "Exchange hashpartitioning") == 2
 
 
