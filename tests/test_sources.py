@@ -22,6 +22,8 @@ CASES = {
     "envelope_no_data": '{"stream":"btcusdt@trade"}',
     "garbage": "not json at all",
     "empty": "",
+    "json_array": "[1, 2]",
+    "json_scalar": "42",
     "stream_in_symbol": FLAT.replace('"s":"BTCUSDT"', '"s":"BTC\\"stream\\":"'),
 }
 
@@ -32,7 +34,8 @@ def test_decode_cases(spark):
     bad = {r.case: r.reason for r in quarantine(msgs, keep=["case"]).collect()}
     assert set(ok) == {"flat", "enveloped", "numbers", "extra_M", "no_E", "stream_in_symbol"}
     assert bad == {"no_p": "missing_p", "m_null": "missing_m", "other_event": "not_trade",
-                   "envelope_no_data": "envelope_without_data", "garbage": "not_json", "empty": "not_json"}
+                   "envelope_no_data": "envelope_without_data", "garbage": "not_json", "empty": "not_json",
+                   "json_array": "not_json", "json_scalar": "not_json"}
     f = ok["flat"]
     assert f.price == Decimal("42000.10") and f.quantity == Decimal("0.5") and f.is_buyer_maker is True
     assert ok["numbers"].price == f.price and ok["enveloped"].trade_id == 7
