@@ -79,3 +79,17 @@ def test_top20_needs_no_new_exchange(spark):
     assert "WindowGroupLimit" in p
     # alerts keep the trend window's partitioning by symbol: still only the two exchanges
     assert _count(p, "Exchange hashpartitioning") == 2
+
+
+def test_decode_parses_once_and_filters_after_the_parse(spark):
+    from candela.sources.decode import decode_trades
+    from candela.sources.wire import replay_messages
+
+    msgs = replay_messages(spark.read.parquet(EVENTS))
+    p = _plan(decode_trades(msgs, keep=["seq"]))
+    # top-level lower/upper parses + the envelope's inner object (lower/upper): four from_json in all
+    assert _count(p, "from_json(") == 4
+    lines = p.splitlines()
+    gen = next(i for i, line in enumerate(lines) if "Generate" in line)
+    flt = next(i for i, line in enumerate(lines) if "Filter" in line and "reason" in line)
+    assert flt < gen  # the filter on reason sits above the Generate (printed first), not pushed into the parse
