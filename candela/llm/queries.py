@@ -1,15 +1,19 @@
-"""Registered queries of the numbered operators and the pipeline, and their SQL."""
+"""Registered queries of the numbered operators, and their SQL."""
 
 from __future__ import annotations
 
 from candela.llm.bpe import op2_byte_bpe
+from candela.llm.decontaminate import op6_decontamination
 from candela.llm.pii import op9_pii
 from candela.llm.quality import op7_quality_rules
+from candela.llm.sequences import op4_token_files
 from candela.llm.warc import op5_warc
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_token_files": op4_token_files,
     "op5_warc": op5_warc,
+    "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op9_pii": op9_pii,
 }

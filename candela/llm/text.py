@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +82,28 @@ def binary(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Adds the package's code to the application once, so that workers can import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    packed = f"{tempfile.mkdtemp(prefix='candela-code-')}/candela-{context.applicationId}.zip"
+    with zipfile.ZipFile(packed, "w") as file:  # code on the driver's disk, which Spark serves to the executors
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, source.relative_to(root.parent))
+    context.addPyFile(packed)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict | None], schema: str) -> DataFrame:
     """``mapInArrow`` over a function from a batch to dicts of columns.
 
@@ -92,7 +117,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | d
             for part in [out] if isinstance(out, dict) else out or ():
                 yield pa.RecordBatch.from_arrays([_column(part[f.name], f.type) for f in target], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def _column(values, kind: pa.DataType) -> pa.Array:

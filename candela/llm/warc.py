@@ -122,7 +122,7 @@ def write_archives(captures: DataFrame, folder: str, level: int = 1) -> list[tup
             system.move(hidden, f"{path}/{name}")
             yield pa.RecordBatch.from_pydict({"file": [name], "captures": [count]})
 
-    return [(r.file, r.captures) for r in captures.mapInArrow(write, "file string, captures long").collect()]
+    return [(r.file, r.captures) for r in tx.map_arrow(captures, write, "file string, captures long").collect()]
 
 
 def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -188,7 +188,7 @@ def read_archives(spark: SparkSession, folder: str, files: list[tuple[str, int]]
                             rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return tx.one_task_each(spark, [(n, c) for n, c in files], "file string, captures long").mapInArrow(read, RECORD)
+    return tx.map_arrow(tx.one_task_each(spark, files, "file string, captures long"), read, RECORD)
 
 
 def assemble(records: DataFrame, payloads: bool = True) -> DataFrame:
