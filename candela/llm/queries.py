@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from candela.llm.bpe import op2_byte_bpe
 from candela.llm.decontaminate import op6_decontamination
+from candela.llm.near_dup import op3_near_dup
 from candela.llm.pii import op9_pii
 from candela.llm.quality import op7_quality_rules
 from candela.llm.sequences import op4_token_files
@@ -11,6 +12,7 @@ from candela.llm.warc import op5_warc
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_near_dup": op3_near_dup,
     "op4_token_files": op4_token_files,
     "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
