@@ -94,28 +94,6 @@ def sketch(rows: DataFrame, size: int) -> DataFrame:
     return tx.map_batches(rows, run, "doc_id long, doc_key long, n_shingles long, class binary, signature array<long>")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
-    """Runs of rows with equal first ``keys`` columns, from rows ordered by them."""
-    now, held = None, []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
-        cuts = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            cuts[1:] |= c[1:] != c[:-1]
-        edges = [0, *np.flatnonzero(cuts).tolist(), batch.num_rows]
-        for s, e in zip(edges[:-1], edges[1:]):
-            key = tuple(c[s] for c in columns)
-            if key != now and held:
-                yield now, held
-                held = []
-            now = key
-            held.append(batch.slice(s, e - s))
-    if held:
-        yield now, held
-
-
 def spanning_edges(signature: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Edges that span the components of pairs with ``least`` collisions: each new member looks at those not yet reached."""
     left = np.arange(len(signature))
@@ -147,7 +125,7 @@ def collisions(classes: DataFrame) -> DataFrame:
     members = prefix.join(classes.select("class", bits.alias("bits")), "class").select("posting", "class", "bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in _groups(batches, 1):
+        for parts in tx.groups(batches):
             names = [c for p in parts for c in p.column(1).to_pylist()]
             if len(names) < 2:
                 continue
@@ -220,7 +198,7 @@ def confirm(rows: DataFrame, classes: DataFrame, groups: DataFrame, size: int, p
     met = held.select(F.explode(pair).alias("pair"), "group", "class", "shingles").select(F.xxhash64("group", "pair").alias("task"), "class", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in _groups(batches, 1):
+        for parts in tx.groups(batches):
             members = dict(zip((c for p in parts for c in p.column(1).to_pylist()), (s for p in parts for s in p.column(2).to_pylist())))
             if len(members) < 2:
                 continue

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from candela.llm.automaton import op8_suffix_automata
 from candela.llm.bpe import op2_byte_bpe
 from candela.llm.decontaminate import op6_decontamination
 from candela.llm.near_dup import op3_near_dup
 from candela.llm.pii import op9_pii
 from candela.llm.quality import op7_quality_rules
 from candela.llm.sequences import op4_token_files
+from candela.llm.suffix_sort import op10_suffix_sort
 from candela.llm.warc import op5_warc
 
 QUERIES = {
@@ -17,6 +19,8 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_automata": op8_suffix_automata,
     "op9_pii": op9_pii,
+    "op10_suffix_sort": op10_suffix_sort,
 }
 ORACLE: dict[str, str] = {}

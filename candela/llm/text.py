@@ -136,6 +136,24 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(_parse_datatype_string(ddl))
 
 
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of rows with one value of the first column (a long), from rows ordered by it."""
+    now, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), batch.num_rows]
+        for start, end in zip(edges[:-1], edges[1:]):
+            if held and key[start] != now:
+                yield held
+                held = []
+            now = key[start]
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield held
+
+
 def text_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Just the id and the text, under fixed names: whatever else the table holds cannot clash."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
