@@ -7,12 +7,14 @@ from candela.llm.bpe import op2_byte_bpe
 from candela.llm.decontaminate import op6_decontamination
 from candela.llm.near_dup import op3_near_dup
 from candela.llm.pii import op9_pii
+from candela.llm.pitman_yor import op1_pitman_yor
 from candela.llm.quality import op7_quality_rules
 from candela.llm.sequences import op4_token_files
 from candela.llm.suffix_sort import op10_suffix_sort
 from candela.llm.warc import op5_warc
 
 QUERIES = {
+    "op1_pitman_yor": op1_pitman_yor,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_near_dup": op3_near_dup,
     "op4_token_files": op4_token_files,
