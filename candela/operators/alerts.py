@@ -113,8 +113,13 @@ def emit(df: DataFrame, alerts: list[str]) -> DataFrame:
     return df.select("symbol", F.expr(f"inline(filter(array({', '.join(alerts)}), a -> a IS NOT NULL))"))
 
 
+def minute_rows(df: DataFrame, interval: str = "1m") -> DataFrame:
+    """only 1-minute rows raise alerts, where the input names intervals."""
+    return df.filter(F.col("interval") == interval) if "interval" in df.columns else df
+
+
 def price_alerts(bars_1m: DataFrame, rules: AlertRules = DEFAULT_RULES) -> DataFrame:
-    return emit(bars_1m, price_alert_columns(rules))
+    return emit(minute_rows(bars_1m), price_alert_columns(rules))
 
 
 def trend_alerts(trends_df: DataFrame, rules: AlertRules = DEFAULT_RULES) -> DataFrame:
@@ -122,7 +127,7 @@ def trend_alerts(trends_df: DataFrame, rules: AlertRules = DEFAULT_RULES) -> Dat
 
 
 def volume_alerts(volume_1m: DataFrame, rules: AlertRules = DEFAULT_RULES) -> DataFrame:
-    return emit(volume_1m, volume_alert_columns(rules))
+    return emit(minute_rows(volume_1m), volume_alert_columns(rules))
 
 
 def all_alerts(market_trends: DataFrame, rules: AlertRules = DEFAULT_RULES) -> DataFrame:
@@ -136,7 +141,7 @@ def all_alerts(market_trends: DataFrame, rules: AlertRules = DEFAULT_RULES) -> D
         + trend_alert_columns(rules, ts="window_end")
         + volume_alert_columns(rules, ts="window_end")
     )
-    return emit(market_trends, cols)
+    return emit(minute_rows(market_trends), cols)
 
 
 def latest_alerts(alerts: DataFrame, n: int = 20, per: str = "symbol") -> DataFrame:

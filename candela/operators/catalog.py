@@ -1,12 +1,10 @@
-"""Which (dataset, symbol, interval) streams exist, derived from the outputs themselves."""
+"""Which (dataset, symbol, interval) streams exist, from the symbols that traded."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.operators.bars import bars_multi
-from candela.operators.volume import volume_multi
 from candela.schemas import PRICE_INTERVALS, VOLUME_INTERVALS
 
 # Dataset names and the pseudo-intervals of the trend and alert streams.
@@ -15,12 +13,13 @@ ALERT_INTERVALS = ("all", "symbol-specific")
 
 
 def stream_catalog(trades: DataFrame) -> DataFrame:
-    prices = bars_multi(trades, PRICE_INTERVALS).select(F.lit("prices").alias("dataset"), "symbol", "interval")
-    volume = volume_multi(trades, VOLUME_INTERVALS).select(F.lit("volume").alias("dataset"), "symbol", "interval")
-    symbols = trades.select("symbol").distinct()
-    trends = symbols.select(F.lit("trends").alias("dataset"), "symbol", F.lit(TREND_INTERVAL).alias("interval"))
-    alerts = symbols.select(
-        F.lit("alerts").alias("dataset"), "symbol",
-        F.explode(F.array(*[F.lit(a) for a in ALERT_INTERVALS])).alias("interval"),
+    """Every (dataset, interval) exists for every symbol that traded: one distinct, then a Generate of the fixed pairs."""
+    pairs = (
+        [("prices", label) for label, _ in PRICE_INTERVALS]
+        + [("volume", label) for label, _ in VOLUME_INTERVALS]
+        + [("trends", TREND_INTERVAL)]
+        + [("alerts", name) for name in ALERT_INTERVALS]
     )
-    return prices.unionByName(volume).distinct().unionByName(trends).unionByName(alerts)
+    listed = F.array(*[F.struct(F.lit(d).alias("dataset"), F.lit(i).alias("interval")) for d, i in pairs])
+    out = trades.select("symbol").distinct().select("symbol", F.inline(listed))
+    return out.select("dataset", "symbol", "interval")

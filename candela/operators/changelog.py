@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.functions.timecols import epoch_micros
+from candela.operators.alerts import all_alerts
 from candela.operators.bars import bar_columns
 from candela.operators.partials import (
     HIGH_FLOOR,
@@ -93,6 +94,32 @@ def bars_changelog(trades: DataFrame, interval: str = "1 minute", label: str | N
     )
 
 
+def market_changelog(trades: DataFrame, interval: str = "1 minute", label: str | None = None,
+                     time_col: str = "trade_time", bucket_micros: int = 1_000_000,
+                     large_threshold: str = LARGE_TRADE_THRESHOLD) -> DataFrame:
+    """Bar and volume-analytics columns of each emission in one row, from one running scan."""
+    p = _running_partials(trades, interval, time_col, bucket_micros, large_threshold)
+    out = p.select(
+        "symbol", F.lit(label or interval_label(interval)).alias("interval"), "window_start", "window_end",
+        "trade_id", "_ok", *bar_columns(p), *volume_columns(p),
+    )
+    return out.withColumn("volume_trend", volume_trend(F.col("buy_volume_ratio")))
+
+
+def alerts_changelog(trades: DataFrame, time_col: str = "trade_time", block_rows: int = 100_000,
+                     bucket_micros: int = 1_000_000, index_bucket_micros: int = 60_000_000) -> DataFrame:
+    """L1-L8 at the as-coded cadence: every emission of a 1-minute window may alert.
+
+    One running scan gives bars and volume, the blocked trends add indicators, and
+    one Generate emits all eight rules.
+    """
+    cl = market_changelog(trades, time_col=time_col, bucket_micros=bucket_micros)
+    extra = [c for c in cl.columns if c not in ("symbol", "window_start", "_ok")]
+    rows = trends(cl, order_col="_ok", timestamp_col="window_end", strategy="blocked", block_rows=block_rows,
+                  extra=extra, bucket=_bucket_of_key(index_bucket_micros))
+    return all_alerts(rows)
+
+
 def volume_changelog(trades: DataFrame, interval: str = "1 minute", label: str | None = None,
                      time_col: str = "trade_time", bucket_micros: int = 1_000_000,
                      large_threshold: str = LARGE_TRADE_THRESHOLD) -> DataFrame:
@@ -148,7 +175,8 @@ def price_history(bars_df: DataFrame, size: int = HISTORY) -> DataFrame:
     Over final 1-minute bars (one row per symbol-minute) a per-symbol window is
     bounded by the time span, not by the trade count.
     """
-    w = Window.partitionBy("symbol").orderBy("window_start").rowsBetween(-(size - 1), 0)
+    keys = [c for c in ("symbol", "interval") if c in bars_df.columns]
+    w = Window.partitionBy(*keys).orderBy("window_start").rowsBetween(-(size - 1), 0)
     return bars_df.select(
         "symbol", "window_start",
         F.count(F.lit(1)).over(w).alias("history_size"),

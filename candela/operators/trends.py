@@ -152,44 +152,41 @@ def trends(
     block_rows: int = 100_000,
     extra: list[str] | None = None,
     bucket: Column | None = None,
-    index_col: str | None = None,
+    interval: str | None = "1m",
 ) -> DataFrame:
     """Trend rows, one per input bar (T7). ``bars_df`` needs symbol, close and the order column.
 
+    Only bars of ``interval`` count (F1), where the input names intervals; with
+    None every interval is a sequence of its own.
+
     ``bucket`` (blocked strategy): a monotone coarsening of the order column used to
     number rows; defaults to the UTC day of a timestamp order column.
-    ``index_col`` (blocked strategy): an existing dense 0-based per-symbol position
-    in order, used instead of computing one.
     """
     extra = list(extra or [])
-    keep = list(dict.fromkeys(["symbol", order_col, "window_start", timestamp_col, "close", *extra]))
-    if index_col:
-        keep.append(index_col)
+    named = "interval" in bars_df.columns
+    if named and interval is not None:
+        bars_df = bars_df.filter(F.col("interval") == interval)
+    keys = ["symbol", "interval"] if named and interval is None else ["symbol"]
+    key_sql = ", ".join(keys)
+    keep = list(dict.fromkeys([*keys, order_col, "window_start", timestamp_col, "close", *extra]))
     base = bars_df.select(
         *keep,
         F.expr(units_sql("close", 8)).alias("_cu"),
         F.expr(f"CAST({units_sql('close', 8)} AS DOUBLE) / CAST('{UNITS_8}' AS DOUBLE)").alias("_cd"),
     )
     if strategy == "direct":
-        win = f"PARTITION BY symbol ORDER BY `{order_col}`"
+        win = f"PARTITION BY {key_sql} ORDER BY `{order_col}`"
         raw = base.select("*", *_indicator_columns(win))
         raw = raw.select("*", *_rsi_columns(win))
-    elif strategy == "blocked" and index_col:
-        idx = base.withColumnRenamed(index_col, "_idx") if index_col != "_idx" else base
-        halo = with_halo(idx, HISTORY - 1, block_rows)
-        win = "PARTITION BY symbol, _blk ORDER BY _idx"
-        raw = halo.select("*", *_indicator_columns(win))
-        raw = raw.select("*", *_rsi_columns(win))
-        raw = raw.filter(~F.col("_halo")).withColumn("_n", F.col("_idx") + 1)
     elif strategy == "blocked":
         if bucket is None:
             dtype = base.schema[order_col].dataType
             if not isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
                 raise ValueError("blocked strategy needs a bucket for a non-timestamp order column")
             bucket = F.floor(epoch_micros(F.col(order_col), dtype) / F.lit(86_400_000_000))
-        idx = dense_index(base, ["symbol"], order_col, bucket)
+        idx = dense_index(base, keys, order_col, bucket)
         halo = with_halo(idx, HISTORY - 1, block_rows)
-        win = "PARTITION BY symbol, _blk ORDER BY _idx"
+        win = f"PARTITION BY {key_sql}, _blk ORDER BY _idx"
         raw = halo.select("*", *_indicator_columns(win))
         raw = raw.select("*", *_rsi_columns(win))
         # rank within the symbol, not within the block: n = global index + 1

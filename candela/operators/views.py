@@ -82,6 +82,17 @@ def feed_health(trades: DataFrame, time_col: str = "trade_time", as_of=None,
     )
 
 
+def feed_health_overall(trades: DataFrame, stale: str = "60 SECONDS", as_of: Column | None = None) -> DataFrame:
+    """A14 for the whole feed: one row. Healthy while the newest message is less than ``stale`` old (strict).
+
+    ``as_of`` defaults to the newest message, for replays; pass ``current_timestamp()`` on a live table.
+    """
+    h = trades.agg(F.count(F.lit(1)).alias("message_count"), F.max("trade_time").alias("last_message_time"))
+    now = as_of if as_of is not None else F.col("last_message_time")
+    healthy = F.coalesce(F.col("last_message_time") > now - F.expr(f"INTERVAL {stale}"), F.lit(False))
+    return h.withColumn("healthy", healthy).withColumn("status", F.when(healthy, "UP").otherwise("DOWN"))
+
+
 def rsi_zone(trends_df: DataFrame) -> DataFrame:
     """Overbought above 70, oversold below 30, else neutral; NULL before RSI is available."""
     r = F.col("rsi")
@@ -93,8 +104,8 @@ def rsi_zone(trends_df: DataFrame) -> DataFrame:
     return trends_df.select("symbol", "window_start", "rsi", zone.alias("rsi_zone"))
 
 
-def latest_snapshot(market: DataFrame, history: int = 30) -> DataFrame:
-    """A13 + P13: each symbol's newest bar and indicators; ``change_class`` up when pct >= 0.
+def latest_snapshot(market: DataFrame) -> DataFrame:
+    """A13 + P13: per symbol and interval, the newest bar and indicators; ``change_class`` up when pct >= 0.
 
     ``market`` holds one row per (symbol, window) with bar and volume columns
     (``market_bars``). Every indicator looks back at most 30 bars and its gates
@@ -104,11 +115,11 @@ def latest_snapshot(market: DataFrame, history: int = 30) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    from candela.operators.trends import trends
+    from candela.operators.trends import HISTORY, trends
 
-    newest = Window.partitionBy("symbol").orderBy(F.col("window_start").desc())
-    tail = market.withColumn("_rk", F.row_number().over(newest)).filter(F.col("_rk") <= history).drop("_rk")
-    t = trends(tail, extra=[c for c in tail.columns if c not in ("symbol", "window_start")])
+    newest = Window.partitionBy("symbol", "interval").orderBy(F.col("window_start").desc())
+    tail = market.withColumn("_rk", F.row_number().over(newest)).filter(F.col("_rk") <= HISTORY).drop("_rk")
+    t = trends(tail, interval=None, extra=[c for c in tail.columns if c not in ("symbol", "window_start")])
     fields = ["window_end", "close", "price_change_pct", "volume", "rsi", "trend_direction", "trend_strength"]
     last = t.groupBy("symbol", "interval").agg(F.max_by(F.struct(*fields), "window_start").alias("_s"))
     return last.select(

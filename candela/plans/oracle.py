@@ -2,7 +2,7 @@
 
 Written from the operator definitions (module docstrings of
 ``candela.operators``), not from the DataFrame plans. Exact decimals are
-carried as HUGEINT integer units; HALF_UP divisions use the integer recipe
+carried as HUGEINT integer units (notional sums as DECIMAL, published from their exact text); HALF_UP divisions use the integer recipe
 ``sign * ((2|n| + |d|) // (2|d|))``; decimals are published as
 ``units / 10^s`` in DOUBLE, the same single division the Spark side does.
 """
@@ -29,6 +29,11 @@ def d(q: str, scale: int = 8) -> str:
     return f"(CAST(({q}) AS DOUBLE) / {10**scale})"
 
 
+def exact(x: str) -> str:
+    """The DOUBLE nearest to an exact decimal of any scale: its text, parsed."""
+    return f"CAST(CAST(({x}) AS VARCHAR) AS DOUBLE)"
+
+
 def halfup(n: str, den: str) -> str:
     """HALF_UP(n / den) on integers."""
     return (
@@ -60,7 +65,7 @@ def bar_select(label: str, name: str = "bars") -> str:
     pct = halfup(f"{u8('close - open')} * 10000", u8("open"))
     return f"""SELECT symbol, '{label}' AS interval, window_start, window_end,
   {d(u8('open'))} AS open, {d(u8('high'))} AS high, {d(u8('low'))} AS low, {d(u8('close'))} AS close,
-  {d(u8('volume'))} AS volume, trade_count,
+  {exact('volume')} AS volume, trade_count,
   {d(halfup(u8('volume'), 'trade_count'))} AS mean_notional,
   CASE WHEN base_volume > 0 THEN {d(halfup(u8('volume') + ' * 100000000', u8('base_volume')))} END AS vwap,
   {d(u8('close - open'))} AS price_change,
@@ -79,7 +84,7 @@ def bars_all_sql(labels=("1m", "5m", "15m")) -> str:
     return f"WITH {TRADES},\n{ctes}\n{body}"
 
 
-def volume_cte(iv: str, name: str = "vol", threshold: str = "10000") -> str:
+def volume_cte(iv: str, name: str = "vol", threshold: str = "10000", source: str = "trades") -> str:
     return f"""{name} AS (
   SELECT symbol, time_bucket(INTERVAL '{iv}', trade_time) AS window_start,
          time_bucket(INTERVAL '{iv}', trade_time) + INTERVAL '{iv}' AS window_end,
@@ -91,7 +96,7 @@ def volume_cte(iv: str, name: str = "vol", threshold: str = "10000") -> str:
          count(*) FILTER (WHERE is_buyer_maker) AS sell_trades,
          count(*) FILTER (WHERE price * quantity > {threshold}) AS large_trades,
          COALESCE(sum(price * quantity) FILTER (WHERE price * quantity > {threshold}), 0) AS large_trade_volume
-  FROM trades GROUP BY 1, 2, 3),
+  FROM {source} GROUP BY 1, 2, 3),
 {name}_m AS (
   SELECT *,
     CASE WHEN total_volume > 0 THEN {halfup(u8('buy_volume') + ' * 10000', u8('total_volume'))} ELSE 5000 END AS ratio_u,
@@ -102,8 +107,8 @@ def volume_cte(iv: str, name: str = "vol", threshold: str = "10000") -> str:
 
 def volume_select(label: str, name: str = "vol", threshold: str = "10000") -> str:
     return f"""SELECT symbol, '{label}' AS interval, window_start, window_end,
-  {d(u8('total_volume'))} AS total_volume, {d(u8('buy_volume'))} AS buy_volume, {d(u8('sell_volume'))} AS sell_volume,
-  total_trades, buy_trades, sell_trades, large_trades, {d(u8('large_trade_volume'))} AS large_trade_volume,
+  {exact('total_volume')} AS total_volume, {exact('buy_volume')} AS buy_volume, {exact('sell_volume')} AS sell_volume,
+  total_trades, buy_trades, sell_trades, large_trades, {exact('large_trade_volume')} AS large_trade_volume,
   CAST({threshold} AS DOUBLE) AS large_trade_threshold,
   {d('ratio_u', 4)} AS buy_volume_ratio, {d('avg_u')} AS average_trade_size,
   {d('large_u', 4)} AS large_trade_volume_ratio,
@@ -335,7 +340,7 @@ PROJ = f"""proj AS (
   FROM trades)"""
 
 PROJ_SELECT = (f"SELECT symbol, trade_id, trade_time, {d(u8('price'))} AS price, {d(u8('quantity'))} AS quantity, "
-               f"{d(u8('notional'))} AS notional, side FROM proj")
+               f"{exact('notional')} AS notional, side FROM proj")
 
 
 def views_sql() -> dict[str, str]:
@@ -344,7 +349,7 @@ def views_sql() -> dict[str, str]:
     q["trade_projection"] = w + PROJ_SELECT
     q["valid_trades"] = w + PROJ_SELECT + " WHERE price > 0 AND quantity > 0 AND notional > 0"
     q["buysell_30s"] = w + f"""SELECT symbol, side, time_bucket(INTERVAL '30 seconds', trade_time) AS bucket_start,
-  {d(u8('sum(notional)'))} AS volume, count(*) AS trade_count
+  {exact('sum(notional)')} AS volume, count(*) AS trade_count
 FROM proj WHERE price > 0 AND quantity > 0 AND notional > 0 GROUP BY 1, 2, 3"""
     pct = halfup(f"{u8('close - open')} * 10000", u8("open"))
     q["bar_change"] = f"""WITH {TRADES},
@@ -355,14 +360,14 @@ SELECT symbol, '1h' AS interval, window_start, {d(u8('open'))} AS open, {d(u8('c
 FROM bars"""
     q["bars_vwap"] = f"""WITH {TRADES},
 {bar_cte('1 hour')}
-SELECT symbol, window_start, {d(u8('volume'))} AS volume, {d(u8('base_volume'))} AS base_volume,
+SELECT symbol, window_start, {exact('volume')} AS volume, {d(u8('base_volume'))} AS base_volume,
   CASE WHEN base_volume > 0 THEN {d(halfup(u8('volume') + ' * 100000000', u8('base_volume')))} END AS vwap,
   {d(halfup(u8('volume'), 'trade_count'))} AS mean_notional
 FROM bars"""
     q["latest_snapshot"] = f"""WITH {market_ctes()},
 last AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rk FROM mk)
 SELECT symbol, '1m' AS interval, window_end, {d(u8('close'))} AS close, {d('pct_u', 4)} AS price_change_pct,
-  {d(u8('volume'))} AS volume, {d('rsi_u')} AS rsi, trend_direction, trend_strength,
+  {exact('volume')} AS volume, {d('rsi_u')} AS rsi, trend_direction, trend_strength,
   CASE WHEN pct_u >= 0 THEN 'up' ELSE 'down' END AS change_class
 FROM last WHERE rk = 1"""
     q["feed_health"] = f"""WITH {TRADES},
@@ -371,12 +376,14 @@ SELECT symbol, message_count, last_message_time,
   last_message_time > (SELECT max(trade_time) FROM trades) - INTERVAL '60 seconds' AS healthy,
   CASE WHEN last_message_time > (SELECT max(trade_time) FROM trades) - INTERVAL '60 seconds' THEN 'UP' ELSE 'DOWN' END AS status
 FROM h"""
-    q["trailing_window"] = w + f"""SELECT symbol, trade_id, trade_time, {d(u8('price'))} AS price, {d(u8('notional'))} AS notional
+    q["feed_health_overall"] = f"""WITH {TRADES}
+SELECT count(*) AS message_count, max(trade_time) AS last_message_time, true AS healthy, 'UP' AS status FROM trades"""
+    q["trailing_window"] = w + f"""SELECT symbol, trade_id, trade_time, {d(u8('price'))} AS price, {exact('notional')} AS notional
 FROM proj WHERE trade_time > (SELECT max(trade_time) FROM trades) - INTERVAL '10 minutes'"""
     q["symbol_series"] = f"""WITH {TRADES},
 {bar_cte('1 minute')}
 SELECT symbol, window_start, {d(u8('open'))} AS open, {d(u8('high'))} AS high, {d(u8('low'))} AS low,
-  {d(u8('close'))} AS close, {d(u8('volume'))} AS volume, trade_count
+  {d(u8('close'))} AS close, {exact('volume')} AS volume, trade_count
 FROM bars WHERE symbol = 'purchase'"""
     q["rsi_zone"] = f"""WITH {TRADES},
 {bar_cte('1 minute')},
@@ -392,7 +399,7 @@ FROM tr"""
     plain = text_units(halfup(f"{u8('volume')} * 100", str(10**8)), 2)
     q["format_volume"] = f"""WITH {TRADES},
 {bar_cte('1 hour')}
-SELECT symbol, window_start, {d(u8('volume'))} AS volume,
+SELECT symbol, window_start, {exact('volume')} AS volume,
   CASE {' '.join(fmt)} ELSE {plain} END AS volume_text
 FROM bars"""
     q["stream_catalog"] = f"""WITH {TRADES},
@@ -437,15 +444,7 @@ def io_sql() -> dict[str, str]:
     q["quarantine_trades"] = f"WITH {WIRE}\nSELECT i AS seq, reason FROM wire WHERE reason IS NOT NULL"
     q["sink_records"] = (f"WITH {TRADES},\n{bar_cte('1 minute')}\n"
                          f"SELECT symbol || '-1m' AS key, * EXCLUDE (symbol), symbol FROM ({bar_select('1m')})")
-    base = "CASE event_id % 3 WHEN 0 THEN 45000 WHEN 1 THEN 2500 ELSE 400 END"
-    pu8 = f"(CAST({base} AS HUGEINT) * 100000000 + {base} * (((event_id * 7919) % 10000) - 5000) * 10)"
-    q["synthetic_trades"] = f"""SELECT 'trade' AS event_type, ts AS event_time,
-  CASE event_id % 3 WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'ETHUSDT' ELSE 'BNBUSDT' END AS symbol,
-  event_id AS trade_id, {d(halfup(pu8, '1000000'), 2)} AS price,
-  {d('10000 + ((event_id * 104729) % 10000) * 5', 3)} AS quantity,
-  CAST(NULL AS BIGINT) AS buyer_order_id, CAST(NULL AS BIGINT) AS seller_order_id,
-  ts AS trade_time, event_id % 2 = 1 AS is_buyer_maker
-FROM events"""
+    q["stream_decode"] = q["source_roundtrip"]
     return q
 
 
@@ -480,7 +479,7 @@ def changelog_sql() -> dict[str, str]:
 {changelog_cte('1 hour')}
 SELECT symbol, '1h' AS interval, window_start, window_end, trade_id,
   {d(u8('open'))} AS open, {d(u8('high'))} AS high, {d(u8('low'))} AS low, {d(u8('close'))} AS close,
-  {d(u8('volume'))} AS volume, trade_count,
+  {exact('volume')} AS volume, trade_count,
   {d(halfup(u8('volume'), 'trade_count'))} AS mean_notional,
   CASE WHEN base_volume > 0 THEN {d(halfup(u8('volume') + ' * 100000000', u8('base_volume')))} END AS vwap,
   {d(u8('close - open'))} AS price_change,
@@ -493,9 +492,9 @@ FROM cl"""
 m AS (SELECT *, {ratio} AS ratio_u,
   CASE WHEN volume > 0 THEN {halfup(u8('large_trade_volume') + ' * 10000', u8('volume'))} ELSE 0 END AS large_u FROM cl)
 SELECT symbol, '1h' AS interval, window_start, window_end, trade_id,
-  {d(u8('volume'))} AS total_volume, {d(u8('buy_volume'))} AS buy_volume, {d(u8('sell_volume'))} AS sell_volume,
+  {exact('volume')} AS total_volume, {exact('buy_volume')} AS buy_volume, {exact('sell_volume')} AS sell_volume,
   trade_count AS total_trades, CAST(buy_trades AS BIGINT) AS buy_trades, CAST(sell_trades AS BIGINT) AS sell_trades,
-  CAST(large_trades AS BIGINT) AS large_trades, {d(u8('large_trade_volume'))} AS large_trade_volume,
+  CAST(large_trades AS BIGINT) AS large_trades, {exact('large_trade_volume')} AS large_trade_volume,
   CAST(10000 AS DOUBLE) AS large_trade_threshold,
   {d('ratio_u', 4)} AS buy_volume_ratio, {d(halfup(u8('volume'), 'trade_count'))} AS average_trade_size,
   {d('large_u', 4)} AS large_trade_volume_ratio,
@@ -506,6 +505,21 @@ FROM m"""
 {changelog_cte('1 minute')},
 {trends_cte(source='cl', order='trade_time, trade_id')}
 SELECT symbol, window_start, window_end AS timestamp, trade_id, {cols} FROM tr"""
+    q["alerts_changelog"] = f"""WITH {TRADES},
+{changelog_cte('1 minute')},
+{trends_cte(source='cl', order='trade_time, trade_id')},
+mk AS (
+  SELECT *, volume AS total_volume, {ratio} AS ratio_u,
+    CASE WHEN volume > 0 THEN {halfup(u8('large_trade_volume') + ' * 10000', u8('volume'))} ELSE 0 END AS large_u,
+    CASE WHEN open = 0 THEN 0 ELSE {pct} * 100 END AS pct_u FROM tr)
+""" + "\nUNION ALL\n".join([price_alert_sql(), trend_alert_sql(), volume_alert_sql()])
+    kept = """kept AS (
+  SELECT * EXCLUDE (stream_time) FROM (
+    SELECT *, max(trade_time) OVER (PARTITION BY part ORDER BY arrival_seq, trade_id
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time FROM trades)
+  WHERE time_bucket(INTERVAL '1 day', trade_time) + INTERVAL '1 day' > stream_time)"""
+    q["bars_strict"] = f"WITH {TRADES},\n{kept},\n{bar_cte('1 day', source='kept')}\n{bar_select('1d')}"
+    q["volume_strict"] = f"WITH {TRADES},\n{kept},\n{volume_cte('1 day', source='kept')}\n{volume_select('1d')}"
     q["strict_late_filter"] = f"""WITH {TRADES},
 r AS (SELECT *, time_bucket(INTERVAL '1 day', trade_time) AS window_start,
   max(trade_time) OVER (PARTITION BY part ORDER BY arrival_seq, trade_id
@@ -565,4 +579,5 @@ def oracle_sql() -> dict[str, str]:
     q.update(io_sql())
     q.update(changelog_sql())
     q.update(stream_sql())
+    q["trends_mixed"], q["alerts_mixed"] = q["trends"], q["alerts_price"]
     return q

@@ -26,23 +26,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _bucketed(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    """Adds ``_bkt``, ``_key`` (the keys as a struct) and ``_kb`` (keys and bucket).
+
+    Structs with NULL fields are equal to each other, so rows with a NULL key or
+    order column meet their totals in a plain equi-join instead of vanishing.
+    """
+    b = df.withColumn("_bkt", bucket).withColumn("_key", F.struct(*keys))
+    return b.withColumn("_kb", F.struct(*keys, "_bkt"))
+
+
 def dense_index(df: DataFrame, keys: list[str], order_col: str, bucket: Column, out: str = "_idx") -> DataFrame:
     """Adds ``out``: 0-based position of each row within ``keys`` by ``order_col`` (unique per key).
 
     ``bucket`` must be monotone non-decreasing in ``order_col`` within a key.
     """
-    b = df.withColumn("_bkt", bucket)
-    before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    b = _bucketed(df, keys, bucket)
+    before = Window.partitionBy("_key").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        b.groupBy(*keys, "_bkt")
+        b.groupBy("_kb", "_key", "_bkt")
         .agg(F.count(F.lit(1)).alias("_cnt"))
-        .select(*keys, "_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+        .select("_kb", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     )
-    within = Window.partitionBy(*keys, "_bkt").orderBy(order_col)
+    within = Window.partitionBy("_kb").orderBy(order_col)
     return (
-        b.join(offsets, [*keys, "_bkt"], "inner")
+        b.join(offsets, "_kb", "inner")
         .withColumn(out, F.col("_off") + F.row_number().over(within) - 1)
-        .drop("_bkt", "_off")
+        .drop("_kb", "_key", "_bkt", "_off")
     )
 
 
@@ -64,7 +74,7 @@ def with_halo(df: DataFrame, halo: int, block_rows: int, idx: str = "_idx") -> D
 
 # Combiners of a prefix value p and a within-bucket running value x.
 _COMBINE = {
-    "sum": lambda p, x: F.coalesce(p + x, x),
+    "sum": lambda p, x: F.coalesce(p + x, x, p),
     "max": lambda p, x: F.greatest(p, x),
     "min": lambda p, x: F.least(p, x),
     "first": lambda p, x: F.coalesce(p, x),
@@ -94,7 +104,7 @@ def running(
     """
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     ord_key = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-    b = df.withColumn("_bkt", bucket)
+    b = _bucketed(df, keys, bucket)
     for name, (_, c) in aggs.items():
         b = b.withColumn(f"_v_{name}", c)
 
@@ -104,15 +114,15 @@ def running(
             return F.min_by(v, F.when(v.isNotNull(), ord_key))
         return _agg(kind, v)
 
-    totals = b.groupBy(*keys, "_bkt").agg(*[total(k, F.col(f"_v_{n}")).alias(f"_t_{n}") for n, (k, _) in aggs.items()])
-    before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    totals = b.groupBy("_kb", "_key", "_bkt").agg(*[total(k, F.col(f"_v_{n}")).alias(f"_t_{n}") for n, (k, _) in aggs.items()])
+    before = Window.partitionBy("_key").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(
-        *keys, "_bkt", *[_agg(k, F.col(f"_t_{n}"), before).alias(f"_p_{n}") for n, (k, _) in aggs.items()]
+        "_kb", *[_agg(k, F.col(f"_t_{n}"), before).alias(f"_p_{n}") for n, (k, _) in aggs.items()]
     )
-    within = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = b.join(prefix, [*keys, "_bkt"], "inner")
+    within = Window.partitionBy("_kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = b.join(prefix, "_kb", "inner")
     out = joined.select("*", *[_agg(k, F.col(f"_v_{n}"), within).alias(f"_w_{n}") for n, (k, _) in aggs.items()])
     for name, (kind, _) in aggs.items():
         out = out.withColumn(name, _COMBINE[kind](F.col(f"_p_{name}"), F.col(f"_w_{name}")))
-    drop = ["_bkt"] + [f"_{p}_{n}" for n in aggs for p in ("v", "p", "w")]
+    drop = ["_bkt", "_key", "_kb"] + [f"_{p}_{n}" for n in aggs for p in ("v", "p", "w")]
     return out.drop(*drop)

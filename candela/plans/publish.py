@@ -1,9 +1,9 @@
 """Publishing form of results for engine-independent comparison.
 
 Library outputs keep exact DECIMAL columns. Registered queries publish each
-decimal as DOUBLE through integer units (``units / 10^s``: one IEEE division
-of an exactly representable integer), so the same number comes out of any
-engine that does the same arithmetic.
+decimal as the DOUBLE nearest to it, at the field's own scale. Up to
+``DIVIDED_SCALE`` digits that is one IEEE division of integer units (an exactly
+representable integer); finer fields are converted from the exact decimal.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from candela.functions.numeric import decimal_to_double
 
-MAX_PUBLISH_SCALE = 8
+DIVIDED_SCALE = 8
 
 
 def publish(df: DataFrame, scales: dict[str, int] | None = None) -> DataFrame:
@@ -22,8 +22,10 @@ def publish(df: DataFrame, scales: dict[str, int] | None = None) -> DataFrame:
     cols = []
     for field in df.schema.fields:
         if isinstance(field.dataType, T.DecimalType):
-            scale = scales.get(field.name, min(field.dataType.scale, MAX_PUBLISH_SCALE))
-            cols.append(decimal_to_double(field.name, scale).alias(field.name))
+            scale = scales.get(field.name, field.dataType.scale)
+            exact = scale > DIVIDED_SCALE
+            column = F.col(f"`{field.name}`").cast("double") if exact else decimal_to_double(field.name, scale)
+            cols.append(column.alias(field.name))
         else:
             cols.append(F.col(f"`{field.name}`"))
     return df.select(*cols)

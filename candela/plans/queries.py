@@ -18,6 +18,7 @@ from candela.operators import views
 from candela.operators.bars import bar_change, bars, bars_multi, market_bars
 from candela.operators.catalog import stream_catalog
 from candela.operators.changelog import (
+    alerts_changelog,
     bars_changelog,
     price_history,
     strict_late_filter,
@@ -32,17 +33,16 @@ from candela.session import scratch_path
 from candela.sources.adapter import load_trades, read_table
 from candela.sources.decode import decode_trades, quarantine
 from candela.sources.io import from_records, read_messages, to_records
-from candela.sources.synthetic import synthetic_trades
 from candela.sources.wire import replay_messages
 from candela.streaming.pipeline import (
-    alerts_stream,
     bars_stream,
+    market_stream,
+    messages_stream,
+    newest_updates,
     run_to_table,
     run_updates_to_table,
-    stage_replay,
     trades_stream_from_events,
     trends_stream,
-    volume_stream,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,6 +221,11 @@ def q_feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.feed_health(load_trades(spark, sf_dir))
 
 
+@register("feed_health_overall")
+def q_feed_health_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.feed_health_overall(load_trades(spark, sf_dir))
+
+
 @register("trailing_window")
 def q_trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = views.trade_projection(load_trades(spark, sf_dir))
@@ -285,9 +290,13 @@ def q_source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_trades(decode_trades(read_messages(spark, path)))
 
 
-@register("synthetic_trades")
-def q_synthetic_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish(synthetic_trades(read_table(spark, sf_dir, "events"), id_col="event_id", time_col="ts"))
+@register("stream_decode")
+def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S5 on a stream: text messages from files, decoded as they come."""
+    path = scratch_path(spark, "raw-trades")
+    replay_messages(read_table(spark, sf_dir, "events")).select("value").write.text(path)
+    trades = decode_trades(messages_stream(spark, path))
+    return publish_trades(spark.read.parquet(run_to_table(trades, "stream-decode")))
 
 
 # ---------------------------------------------------------------- changelog, lateness, history
@@ -307,6 +316,37 @@ def q_trends_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_ema(publish(trends_changelog(load_trades(spark, sf_dir), block_rows=1000)))
 
 
+@register("alerts_changelog")
+def q_alerts_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1-L8 over every emission of 1-minute windows."""
+    return publish_alerts(alerts_changelog(load_trades(spark, sf_dir)))
+
+
+@register("bars_strict")
+def q_bars_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 after W5: daily bars of the trades that a no-grace window accepts."""
+    return publish(bars(strict_late_filter(load_trades(spark, sf_dir), "1 day"), "1 day", "1d"))
+
+
+@register("volume_strict")
+def q_volume_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 after W5."""
+    return publish(volume_analytics(strict_late_filter(load_trades(spark, sf_dir), "1 day"), "1 day", "1d"))
+
+
+@register("trends_mixed")
+def q_trends_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trends over rows of all intervals use the 1-minute ones only."""
+    t = trends(bars_multi(load_trades(spark, sf_dir)))
+    return _round_ema(publish(t.select("symbol", "window_start", "timestamp", *TREND_VIEWS["trends"])))
+
+
+@register("alerts_mixed")
+def q_alerts_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """price alerts over rows of all intervals use the 1-minute ones only."""
+    return publish_alerts(price_alerts(bars_multi(load_trades(spark, sf_dir))))
+
+
 @register("strict_late_filter")
 def q_strict_late_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = strict_late_filter(load_trades(spark, sf_dir), "1 day")
@@ -336,8 +376,8 @@ def _cores(spark: SparkSession) -> int | None:
 
 
 def _replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = stage_replay(read_table(spark, sf_dir, "events"), "events-replay")
-    return trades_stream_from_events(spark, src)
+    """The table as a file stream, as it lies."""
+    return trades_stream_from_events(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 @register("stream_bars_1m")
@@ -350,10 +390,10 @@ def q_stream_bars_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_bars_updates")
 def q_stream_bars_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W4 on a stream: update mode emits the current state of every window touched by a
-    micro-batch; replayed in one batch that is every window's final state, open ones included."""
+    micro-batch; the newest emission of each window is its final state, open ones included."""
     path = run_updates_to_table(bars_stream(_replay(spark, sf_dir)), "stream-bar-updates",
                                 state_partitions=_cores(spark))
-    return _publish_stream(spark.read.parquet(path).drop("batch_id"))
+    return _publish_stream(newest_updates(spark.read.parquet(path)))
 
 
 @register("stream_trends")
@@ -366,10 +406,8 @@ def q_stream_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_alerts")
 def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price, trend and volume alert streams unioned into one sink."""
-    trades = _replay(spark, sf_dir)
-    b = bars_stream(trades)
-    v = volume_stream(trades)
-    t = trends_stream(bars_stream(trades))
-    path = run_to_table(alerts_stream(b, v, t), "stream-alerts", state_partitions=_cores(spark))
+    """All eight rules from one stream of 1-minute partials: one scan, one trade aggregation."""
+    market = market_stream(_replay(spark, sf_dir))
+    rows = trends_stream(market, [c for c in market.columns if c not in ("symbol", "window_start")])
+    path = run_to_table(all_alerts(rows), "stream-alerts", state_partitions=_cores(spark))
     return _publish_stream(publish_alerts(spark.read.parquet(path)))

@@ -16,7 +16,6 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -26,8 +25,11 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str = "local[8]", app: str = "candela", **conf: str) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def get_spark(master: str | None = None, app: str = "candela", **conf: str) -> SparkSession:
+    """A session. The master and the number of shuffle partitions are the caller's: without them the launcher's hold."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     for key, value in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -40,10 +42,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session; sets a fresh one only
-    where it is unset (tests, local runs).
+    where it is unset in a local run. On a cluster executors would each write
+    to a disk of their own, so there the setting must be given.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="candela-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:

@@ -25,9 +25,8 @@ from candela.functions.timecols import epoch_micros
 
 
 def _q(s: Column) -> Column:
-    """JSON string literal of a text column."""
-    esc = F.regexp_replace(F.regexp_replace(s, r"\\", r"\\\\"), '"', '\\\\"')
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+    """JSON string literal of a text column: the value in the object that ``to_json`` writes."""
+    return F.when(s.isNotNull(), F.regexp_extract(F.to_json(F.struct(s.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1))
 
 
 def _kv(key: str, value: Column) -> Column:

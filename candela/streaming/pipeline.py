@@ -25,12 +25,12 @@ from decimal import Decimal
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from candela.functions.indicators import indicators
 from candela.functions.timecols import epoch_micros
 from candela.operators.alerts import price_alert_columns, trend_alert_columns, volume_alert_columns
-from candela.operators.bars import finish_bars
+from candela.operators.bars import finish_bars, market_bars
 from candela.operators.partials import interval_label, trade_partials
 from candela.operators.trends import HISTORY
 from candela.operators.volume import finish_volume
@@ -59,11 +59,16 @@ def stage_replay(df: DataFrame, name: str, files: int = 1, order_col: str = "ts"
 
 def trades_stream_from_events(spark: SparkSession, events_dir: str, max_files_per_trigger: int | None = None
                               ) -> DataFrame:
-    """Streaming trades from a folder of ``events`` parquet files, event time as TIMESTAMP."""
-    schema = spark.read.parquet(events_dir).schema
+    """Streaming trades from ``events`` parquet, a folder of files or one file, event time as TIMESTAMP."""
+    table = spark.read.parquet(events_dir)
+    schema = table.schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    folder, _, name = events_dir.rstrip("/").rpartition("/")
+    if any(f.endswith(f"/{name}") for f in table.inputFiles()):
+        # a file source reads folders: the one file of this name in its folder
+        reader, events_dir = reader.option("pathGlobFilter", name), folder
     ev = reader.parquet(events_dir)
     t = trades_from_events(ev)
     inst = F.timestamp_micros(epoch_micros(F.col("trade_time"), schema["ts"].dataType))
@@ -82,8 +87,33 @@ def volume_stream(trades: DataFrame, interval: str = "1 minute", delay: str = "0
     return finish_volume(trade_partials(t, interval, time_col=time_col), interval_label(interval))
 
 
+def market_stream(trades: DataFrame, interval: str = "1 minute", delay: str = "0 seconds",
+                  time_col: str = "trade_time") -> DataFrame:
+    """Bar and volume columns of the same window in one row, from one stateful aggregation."""
+    return market_bars(trades.withWatermark(time_col, delay), interval, interval_label(interval), time_col=time_col)
+
+
+def messages_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Text messages (column ``value``) from a folder that gets new files; the offline twin of a topic."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.text(path)
+
+
+def newest_updates(updates: DataFrame) -> DataFrame:
+    """The last emission of each (symbol, interval, window) of an update-mode table (``batch_id`` orders them)."""
+    keys = ["symbol", "interval", "window_start"]
+    rest = [c for c in updates.columns if c not in (*keys, "batch_id")]
+    last = updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_last"))
+    return last.select(*keys, "_last.*")
+
+
 class TrendProcessor(StatefulProcessor):
-    """Per-symbol state: the last 30 closes (exact decimal text), oldest first."""
+    """Per-symbol state: the last 30 closes (exact decimal text), oldest first. Other columns pass through."""
+
+    def __init__(self, extra: list[str]):
+        self.extra = extra
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.history = handle.getValueState("history", "closes array<string>")
@@ -94,27 +124,30 @@ class TrendProcessor(StatefulProcessor):
         if self.history.exists():
             hist = [Decimal(x) for x in self.history.get()[0]]
         out = []
-        for rec in batch.itertuples(index=False):
-            hist.append(Decimal(rec.close))
+        for close in batch["close"]:
+            hist.append(Decimal(close))
             hist = hist[-HISTORY:]
-            ind = indicators(hist)
-            out.append({"symbol": rec.symbol, "window_start": rec.window_start, "timestamp": rec.window_end, **ind})
+            out.append(indicators(hist))
         self.history.update(([str(x) for x in hist],))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in TREND_STREAM_SCHEMA.split(", ")])
+        found = pd.DataFrame(out, index=batch.index)
+        found = found.assign(symbol=batch["symbol"], window_start=batch["window_start"], timestamp=batch["window_end"])
+        for name in self.extra:
+            found[name] = batch[name]
+        yield found[[c.split()[0] for c in TREND_STREAM_SCHEMA.split(", ")] + self.extra]
 
     def close(self) -> None:
         pass
 
 
-def trends_stream(bars: DataFrame) -> DataFrame:
-    """T7 over a stream of final 1-minute bars (append mode)."""
-    spark = bars.sparkSession
-    ship_package(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def trends_stream(bars: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """T7 over a stream of final 1-minute bars (append mode); ``extra`` columns of the bars pass through."""
+    ship_package(bars.sparkSession)
+    names = list(extra or [])
+    schema = ", ".join([TREND_STREAM_SCHEMA, *(f"`{n}` {bars.schema[n].dataType.simpleString()}" for n in names)])
     return (
-        bars.select("symbol", "window_start", "window_end", "close")
+        bars.select(*dict.fromkeys(["symbol", "window_start", "window_end", "close", *names]))
         .groupBy("symbol")
-        .transformWithStateInPandas(TrendProcessor(), TREND_STREAM_SCHEMA, "append", "None")
+        .transformWithStateInPandas(TrendProcessor(names), schema, "append", "None")
     )
 
 
@@ -129,66 +162,76 @@ def alerts_stream(bars_1m: DataFrame, volume_1m: DataFrame, trends: DataFrame) -
     )
 
 
-class _StatePartitions:
-    """Sets ``spark.sql.shuffle.partitions`` (the state-store partition count of a new
-    stateful query, fixed in its checkpoint) for the duration of a blocking run."""
+class _StartSettings:
+    """Settings that a new query reads when it starts (it keeps a copy of the session's), put back at once.
+
+    The number of state partitions is fixed in the checkpoint from then on.
+    """
 
-    def __init__(self, spark: SparkSession, n: int | None):
-        self.spark, self.n, self.old = spark, n, None
+    def __init__(self, spark: SparkSession, state_partitions: int | None):
+        self.spark = spark
+        self.new = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+        if state_partitions:
+            self.new["spark.sql.shuffle.partitions"] = str(state_partitions)
 
     def __enter__(self):
-        if self.n:
-            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
-            self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
-        return self
+        self.old = {k: self.spark.conf.get(k, None) for k in self.new}
+        for k, v in self.new.items():
+            self.spark.conf.set(k, v)
 
     def __exit__(self, *exc):
-        if self.n and self.old is not None:
-            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
 
 
-def run_to_table(df: DataFrame, name: str, fmt: str = "parquet", output_mode: str = "append",
-                 available_now: bool = True, processing_time: str = "1 second",
-                 state_partitions: int | None = None) -> str:
-    """Runs a streaming DataFrame into a checkpointed file sink under the checkpoint root; returns the path.
+def start_table(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", available_now: bool = True,
+                processing_time: str = "1 second", state_partitions: int | None = None) -> StreamingQuery:
+    """Starts a streaming DataFrame into a checkpointed file sink and returns its query.
 
-    ``state_partitions`` sizes the state of a new query (default: the session's
-    shuffle partitions); size it to the stream's parallelism, not to batch volume.
+    Called again with the same ``path`` and ``checkpoint`` it goes on where it
+    stopped: files that were read are not read again, state is kept, and the
+    sink's own log keeps a repeated batch from adding rows twice (W7).
     """
-    spark = df.sparkSession
-    out = scratch_path(spark, name)
-    writer = (
-        df.writeStream.format(fmt)
-        .option("path", f"{out}/data")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .outputMode(output_mode)
-    )
+    writer = df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    with _StatePartitions(spark, state_partitions):
-        q = writer.start()
-        q.awaitTermination()
-    return f"{out}/data"
+    with _StartSettings(df.sparkSession, state_partitions):
+        return writer.start()
 
 
-def run_updates_to_table(df: DataFrame, name: str, available_now: bool = True,
-                         processing_time: str = "1 second", state_partitions: int | None = None) -> str:
-    """Runs a streaming DataFrame in ``update`` mode (changelog, W4) into a parquet table.
+def start_updates(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                  processing_time: str = "1 second", state_partitions: int | None = None) -> StreamingQuery:
+    """Starts a streaming DataFrame in ``update`` mode (changelog, W4) into a parquet table.
 
     File sinks accept only ``append``; here ``foreachBatch`` writes each
     micro-batch to its own ``batch_id=<n>`` folder with overwrite, so a batch
-    replayed after a failure replaces itself instead of adding duplicates
-    (exactly-once, W7). Returns the table path.
+    replayed after a failure replaces itself instead of adding duplicates (W7).
     """
-    spark = df.sparkSession
-    out = scratch_path(spark, name)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{out}/checkpoint").outputMode(
-        "update"
-    )
+    writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).outputMode("update")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    with _StatePartitions(spark, state_partitions):
-        writer.start().awaitTermination()
+    with _StartSettings(df.sparkSession, state_partitions):
+        return writer.start()
+
+
+def run_to_table(df: DataFrame, name: str, fmt: str = "parquet", state_partitions: int | None = None) -> str:
+    """Replays a streaming DataFrame to its end into a fresh table under the checkpoint root; returns the path.
+
+    ``state_partitions`` sizes the state (default: the session's shuffle
+    partitions); size it to the stream's parallelism, not to batch volume.
+    """
+    out = scratch_path(df.sparkSession, name)
+    start_table(df, f"{out}/data", f"{out}/checkpoint", fmt, state_partitions=state_partitions).awaitTermination()
+    return f"{out}/data"
+
+
+def run_updates_to_table(df: DataFrame, name: str, state_partitions: int | None = None) -> str:
+    """``run_to_table`` in update mode; ``newest_updates`` gives the last state of each window."""
+    out = scratch_path(df.sparkSession, name)
+    start_updates(df, f"{out}/data", f"{out}/checkpoint", state_partitions=state_partitions).awaitTermination()
     return f"{out}/data"

@@ -15,6 +15,7 @@ if ROOT not in sys.path:
 from pyspark.sql import SparkSession  # noqa: E402
 
 from candela.schemas import TRADE_SCHEMA  # noqa: E402
+from candela.streaming.pipeline import ROCKSDB  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -26,6 +27,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # what a caller sets who starts a query with processor state without the library's runner
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")

@@ -20,7 +20,6 @@ def _count(plan: str, token: str) -> int:
 
 
 def _trades(spark):
-    # read directly (no small-scan spreading) so every Exchange below belongs to the operator
     return trades_from_events(spark.read.parquet(EVENTS))
 
 
@@ -93,3 +92,13 @@ def test_decode_parses_once_and_filters_after_the_parse(spark):
     gen = next(i for i, line in enumerate(lines) if "Generate" in line)
     flt = next(i for i, line in enumerate(lines) if "Filter" in line and "reason" in line)
     assert flt < gen  # the filter on reason sits above the Generate (printed first), not pushed into the parse
+
+
+def test_registered_queries_have_the_operators_own_exchanges(spark):
+    import __spark_entry__ as entry
+
+    for name, n in {"bars_1m": 1, "bars_all": 2, "trends": 2, "alerts_all": 2, "stream_catalog": 1}.items():
+        p = _plan(entry.queries()[name](spark, "/root/testdata/sf0.01"))
+        assert _count(p, "Exchange hashpartitioning") == n, name
+        assert "REPARTITION" not in p, name
+        assert _count(p, "FileScan") == 1, name

@@ -1,4 +1,4 @@
-"""Randomised properties: exact rounding, skew-safe running scans, scan spreading."""
+"""Randomised properties: exact rounding, skew-safe running scans."""
 
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from candela.functions.numeric import halfup_div
 from candela.plans.ordered import dense_index, running
-from candela.sources.adapter import spread_small_scan
 
 decimals = st.decimals(min_value=Decimal("-1e9"), max_value=Decimal("1e9"), places=8, allow_nan=False,
                        allow_infinity=False)
@@ -57,12 +56,3 @@ def test_running_on_a_hot_key_equals_a_window(spark):
     idx = dense_index(df, ["k"], "o", bucket).select("k", "o", "_idx")
     rn = df.select("k", "o", (F.row_number().over(Window.partitionBy("k").orderBy("o")) - 1).alias("_idx"))
     assert idx.exceptAll(rn).count() == 0
-
-
-def test_spread_small_scan_only_when_needed(spark):
-    one = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    spread = spread_small_scan(one)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread_small_scan(many) is many

@@ -28,7 +28,7 @@ from candela.operators.bars import bars, bars_multi, market_bars  # noqa: E402
 from candela.operators.trends import trends  # noqa: E402
 from candela.schemas import PRICE_INTERVALS  # noqa: E402
 from candela.session import get_spark, scratch_path  # noqa: E402
-from candela.sources.adapter import read_table, spread_small_scan, trades_from_events  # noqa: E402
+from candela.sources.adapter import read_table, trades_from_events  # noqa: E402
 from candela.streaming.pipeline import bars_stream, run_to_table, stage_replay, trades_stream_from_events  # noqa: E402
 
 
@@ -69,7 +69,7 @@ def replicate(spark, sf_dir: str, copies: int) -> str:
 
 
 def suite(spark, events_path: str) -> dict:
-    t = trades_from_events(spread_small_scan(spark.read.parquet(events_path)))
+    t = trades_from_events(spark.read.parquet(events_path))
     m = market_bars(t)
     extra = [c for c in m.columns if c not in ("symbol", "window_start")]
     return {
