@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from candela.llm import oracle
 from candela.llm.automaton import op8_suffix_automata
 from candela.llm.bpe import op2_byte_bpe
 from candela.llm.decontaminate import op6_decontamination
@@ -25,4 +26,10 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_suffix_sort": op10_suffix_sort,
 }
-ORACLE: dict[str, str] = {}
+#: The others' results are no SQL: token ids, sampled scores, tilings, spans in code points, bytes.
+ORACLE = {
+    "op3_near_dup": oracle.OP3,
+    "op5_warc": oracle.OP5,
+    "op7_quality_rules": oracle.OP7,
+    "op8_suffix_automata": oracle.OP8,
+}
