@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import hashlib
 
+import duckdb
+import pytest
+
 import corpus_pipeline
 from candela.llm import decontaminate, queries, text as tx
 from tests.llm import brute
@@ -52,3 +55,14 @@ def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert "pipeline" in entry.queries() and set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
+    df, rel = queries.QUERIES[name](spark, SF), con.sql(queries.ORACLE[name])
+    assert sorted(df.columns) == sorted(rel.columns)
+    listed = lambda columns, rows: sorted(repr([r[columns.index(c)] for c in sorted(columns)]) for r in rows)
+    assert listed(df.columns, [tuple(r) for r in df.collect()]) == listed(rel.columns, rel.fetchall())
