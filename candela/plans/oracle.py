@@ -445,6 +445,10 @@ def io_sql() -> dict[str, str]:
     q["sink_records"] = (f"WITH {TRADES},\n{bar_cte('1 minute')}\n"
                          f"SELECT symbol || '-1m' AS key, * EXCLUDE (symbol), symbol FROM ({bar_select('1m')})")
     q["stream_decode"] = q["source_roundtrip"]
+    price, qty = d(u8("CAST(value AS DECIMAL(38,8))")), d(u8("CAST(json_extract_string(props, '$.k') AS DECIMAL(18,0))"))
+    q["sink_trades"] = f"""SELECT 'trade' AS event_type, event_type AS symbol, event_id AS trade_id, {price} AS price,
+  {qty} AS quantity, CAST(NULL AS BIGINT) AS buyer_order_id, CAST(NULL AS BIGINT) AS seller_order_id,
+  user_id % 2 = 0 AS is_buyer_maker, epoch_us(ts) // 1000 AS event_time_ms, epoch_us(ts) // 1000 AS trade_time_ms FROM events"""
     return q
 
 
@@ -579,5 +583,7 @@ def oracle_sql() -> dict[str, str]:
     q.update(io_sql())
     q.update(changelog_sql())
     q.update(stream_sql())
+    q["sink_prices"], q["sink_volume"] = q["bars_all"], q["volume_all"]
+    q["sink_trends"], q["sink_alerts"] = q["trends"], q["alerts_all"]
     q["trends_mixed"], q["alerts_mixed"] = q["trends"], q["alerts_price"]
     return q

@@ -32,8 +32,8 @@ from candela.plans.publish import publish
 from candela.session import scratch_path
 from candela.sources.adapter import load_trades, read_table
 from candela.sources.decode import decode_trades, quarantine
-from candela.sources.io import from_records, read_messages, to_records
-from candela.sources.wire import replay_messages
+from candela.sources.io import from_records, publish_records, read_messages, subscribe, to_records
+from candela.sources.wire import replay_messages, to_wire
 from candela.streaming.pipeline import (
     bars_stream,
     market_stream,
@@ -282,6 +282,41 @@ def q_sink_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(from_records(to_records(b), b.schema))
 
 
+PUBLISHED = {
+    "sink_prices": lambda spark, sf_dir: bars_multi(load_trades(spark, sf_dir)),
+    "sink_volume": lambda spark, sf_dir: volume_multi(load_trades(spark, sf_dir)),
+    "sink_trends": lambda spark, sf_dir: trends_1m(spark, sf_dir).select("symbol", "window_start", "timestamp", *TREND_VIEWS["trends"]),
+    "sink_alerts": lambda spark, sf_dir: all_alerts(market_trends_1m(spark, sf_dir)),
+}
+
+
+def _sink_query(name: str) -> Query:
+    """A dataset as keyed JSON records, a folder per symbol, read back."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = PUBLISHED[name](spark, sf_dir)
+        path = scratch_path(spark, name)
+        records = to_records(df)
+        publish_records(records, F.get_json_object("value", "$.symbol"), path)
+        back = from_records(subscribe(spark, path), df.schema, keep_key=False)
+        return publish_alerts(back) if name == "sink_alerts" else _round_ema(publish(back))
+
+    return q
+
+
+for _name in PUBLISHED:
+    register(_name)(_sink_query(_name))
+
+
+@register("sink_trades")
+def q_sink_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades published in wire form, a folder per symbol, read back and decoded."""
+    t = load_trades(spark, sf_dir)
+    path = scratch_path(spark, "published-trades")
+    publish_records(t.select(F.col("symbol").alias("key"), to_wire(t).alias("value")), F.col("key"), path)
+    return publish_trades(decode_trades(subscribe(spark, path)))
+
+
 @register("source_roundtrip")
 def q_source_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish the replay feed as JSON lines to the shared checkpoint folder, read it back, decode."""

@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Timestamps keep their microseconds on the way through JSON.
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def record_key(df: DataFrame) -> F.Column:
     if "interval" in df.columns:
         return F.concat_ws("-", F.col("symbol"), F.col("interval"))
@@ -28,11 +32,11 @@ def record_key(df: DataFrame) -> F.Column:
 
 def to_records(df: DataFrame) -> DataFrame:
     """(key, value) records: value is the JSON object of the row."""
-    return df.select(record_key(df).alias("key"), F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    return df.select(record_key(df).alias("key"), F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value"))
 
 
 def from_records(records: DataFrame, schema: T.StructType | str, keep_key: bool = True) -> DataFrame:
-    parsed = records.select(*(["key"] if keep_key else []), F.from_json("value", schema).alias("_r"))
+    parsed = records.select(*(["key"] if keep_key else []), F.from_json("value", schema, JSON_OPTIONS).alias("_r"))
     return parsed.select(*(["key"] if keep_key else []), "_r.*")
 
 
@@ -52,9 +56,23 @@ def read_records(spark: SparkSession, path: str, fmt: str = "json", schema: T.St
     return reader.load(path)
 
 
+def publish_records(records: DataFrame, route: F.Column, path: str) -> None:
+    """Routes (key, value) records into one folder per symbol, the file twin of a topic per symbol.
+
+    ``route`` says where a record goes; a NULL symbol has a folder of its own.
+    """
+    write_records(records.withColumn("route", route), path, partition_by=["route"])
+
+
+def subscribe(spark: SparkSession, path: str, symbol: str | None = None) -> DataFrame:
+    """(route, key, value) records; with ``symbol`` only that symbol's folder is read."""
+    records = read_records(spark, path, schema="key string, value string, route string")
+    return records if symbol is None else records.filter(F.col("route") == symbol)
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Raw wire messages, one per line, as a ``value`` column (the shape of a Kafka value)."""
-    return spark.read.text(path).withColumnRenamed("value", "value")
+    return spark.read.text(path)
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest") -> DataFrame:
