@@ -16,6 +16,7 @@ table writes no file and gives no row.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,45 +31,69 @@ from candela.llm import text as tx
 LENGTH = 2048
 SEQUENCES_PER_BATCH = 256
 END_ID = 2
-#: Words whose ids a worker remembers before it starts anew.
-KEPT_WORDS = 300_000
+#: Words in each of the two generations that a worker remembers; a word that is met again moves to the younger one.
+KEPT_WORDS = 400_000
 
 
 class WordEncoder:
-    """A tokenizer whose pre-tokenizer never joins words, with the ids of words remembered.
+    """A tokenizer that lower-cases and whose pre-tokenizer never joins words, with the ids of words remembered.
 
     Its normalizer works within words and its special tokens hold no white
-    space, so the ids of a text are those of its words in turn.
+    space, so the ids of a text are those of its words in turn. Within a word,
+    trailing signs are a piece of their own if a letter or digit stands before
+    them, so the word and the signs are looked up apart.
     """
 
+    #: Signs that neither compose with a letter nor begin a contraction.
+    SIGNS = b".,;:!?*#$%&|"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
-
-    @property
-    def width(self) -> np.dtype:
-        return np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def encode(self, texts: list[bytes | None]) -> list[list[int]]:
-        split = [tx.words(t) for t in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        known = self.known
-        new = list({w for ws in split for w in ws if w not in known})
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for word, e in zip(some, self.tokenizer.encode_batch([w.decode("utf-8") for w in some], add_special_tokens=False)):
-                known[word] = e.ids
-        out = []
-        for ws in split:
-            ids: list[int] = []
-            for w in ws:
-                ids += known[w]
-            out.append(ids)
-        return out
+        self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _stem(self, word: bytes) -> bytes:
+        """The word without its trailing signs, or the word itself where they might not be a piece of their own."""
+        stem = word.rstrip(self.SIGNS)
+        if not stem or len(stem) == len(word) or b"<|" in word:
+            return word
+        last = unicodedata.normalize("NFC", stem.decode("utf-8")).lower()[-1]
+        return stem if unicodedata.category(last)[0] in "LN" else word
+
+    def _learn(self, words: set[bytes]) -> None:
+        young, old = self.young, self.old
+        missing = []
+        for w in words:
+            ids = old.get(w)
+            if ids is None:
+                missing.append(w)
+            else:
+                young[w] = ids
+        stems = {w: self._stem(w) for w in missing}
+        pieces = {p for w, stem in stems.items() for p in (stem, w[len(stem) :]) if p and p not in young and p not in old}
+        some = list(pieces)
+        for at in range(0, len(some), 20_000):
+            part = some[at : at + 20_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
+                young[w] = np.array(e.ids, self.width).tobytes()
+        for w, stem in stems.items():
+            if stem is not w:
+                tail = w[len(stem) :]
+                young[w] = (young.get(stem) or old.get(stem, b"")) + (young.get(tail) or old.get(tail, b""))
+
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        if len(self.young) > KEPT_WORDS:
+            self.young, self.old = {}, self.young
+        split = [tx.lower_words(t) for t in texts]
+        young = self.young
+        new = {w for ws in split for w in ws if w not in young}
+        if new:
+            self._learn(new)
+        return [np.frombuffer(b"".join(map(young.__getitem__, ws)), self.width) for ws in split]
 
 
 @lru_cache(maxsize=2)
@@ -158,6 +183,7 @@ def write_sequences(docs: DataFrame, folder: str, id_col: str = "doc_id", text_c
         system, root = tx.open_folder(folder)
         docs_schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
         code = encoder(path)
+        end = np.array([end_id], code.width)
         sinks, count, total = None, 0, 0
         hidden = [f"{root}/{tx.temporary_name(name)}{suffix}" for suffix in (".arrow", ".docs.arrow")]
         for batch in batches:
@@ -168,9 +194,9 @@ def write_sequences(docs: DataFrame, folder: str, id_col: str = "doc_id", text_c
                 part = batch.slice(at, 500)
                 sizes = []
                 for ids in code.encode(tx.binary(part.column(1))):
-                    ids.append(end_id)
-                    out.write(np.array(ids, code.width))
-                    sizes.append(len(ids))
+                    out.write(ids)
+                    out.write(end)
+                    sizes.append(len(ids) + 1)
                 listed.write_batch(pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64())], schema=docs_schema))
                 count, total = count + len(sizes), total + sum(sizes)
         if sinks is not None:
