@@ -18,7 +18,23 @@ from pyspark.sql import functions as F
 from candela.schemas import PRICE, QTY
 
 
+#: Session setting: deal the raw rows of a table over so many partitions. Off unless set.
+SCAN_PARTITIONS = "candela.scan.partitions"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as it lies: its splits are the scan's tasks.
+
+    A caller whose table is one unsplittable file (one parquet row group) can set
+    ``candela.scan.partitions`` to spread its rows evenly at the price of one
+    exchange. Nothing looks at the table's or the cluster's size.
+    """
+    df = _table(spark, sf_dir, name)
+    n = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
