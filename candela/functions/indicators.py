@@ -1,8 +1,9 @@
 """Trend indicators of one symbol's bounded close history, in exact decimal arithmetic.
 
-Used by the streaming trend operator (per-key state holds the last 30 closes)
-and by the tests as an independent check of the batch window expressions.
-Definitions: see ``candela.operators.trends``.
+``indicator_columns`` serves the streaming trend operator (per-key state holds the
+last 30 closes): all rows of a batch at once, over integer units, with the batch
+operator's EMA weights. ``indicators`` is the fold of one history, the tests'
+independent check of both. Definitions: see ``candela.operators.trends``.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from decimal import Decimal
 from fractions import Fraction
 
+import numpy as np
+
 from candela.operators.trends import (
     EMA_PERIODS,
     HISTORY,
@@ -21,8 +24,11 @@ from candela.operators.trends import (
     SMA_PERIODS,
     STRONG_MOMENTUM_PCT,
     ema_alpha,
+    ema_weights,
 )
 
+UNITS = 10**8
+
 
 def half_up(x: Fraction, scale: int) -> Decimal:
     """Exact HALF_UP rounding of a rational to ``scale`` fraction digits."""
@@ -89,3 +95,62 @@ def indicators(history: list[Decimal]) -> dict:
     else:
         out["trend_strength"] = "WEAK"
     return out
+
+
+def _half_up_units(num: np.ndarray, den) -> np.ndarray:
+    """HALF_UP(num / den) of integers of any size (object arrays), ``den`` positive."""
+    q = (2 * abs(num) + den) // (2 * den)
+    return np.where(num < 0, -q, q)
+
+
+def _decimals(units: np.ndarray, known: np.ndarray) -> list[Decimal | None]:
+    return [Decimal(int(u)).scaleb(-8) if k else None for u, k in zip(units, known)]
+
+
+def indicator_columns(closes: list[Decimal], past: int) -> dict[str, list]:
+    """Indicator columns of ``closes[past:]``; the ``past`` closes before them (at most 30) are the history."""
+    u = np.array([int(c.scaleb(8)) for c in closes], dtype=object)
+    n = len(u)
+    at = np.arange(n)
+    total = np.concatenate((np.zeros(1, dtype=object), np.cumsum(u)))
+
+    def window_sum(sums: np.ndarray, k: int) -> np.ndarray:
+        return sums[1:] - sums[np.maximum(at + 1 - k, 0)]
+
+    def lagged(x: np.ndarray, j: int) -> np.ndarray:
+        return x[np.maximum(at - j, 0)]
+
+    sma = {k: _half_up_units(window_sum(total, k), k) for k in SMA_PERIODS}
+    double = np.array([float(x) for x in u]) / float(UNITS)
+    ema = {}
+    for k in EMA_PERIODS:
+        terms = [w * lagged(double, j) for j, w in enumerate(ema_weights(k))]
+        ema[k] = terms[0]
+        for term in terms[1:]:
+            ema[k] = ema[k] + term
+    momentum = u - lagged(u, MOMENTUM_LAG)
+    delta = u - lagged(u, 1)
+    zero = np.zeros(1, dtype=object)
+    up, down = (np.concatenate((zero, np.cumsum(np.where(s > 0, s, 0)))) for s in (delta, -delta))
+    gain, loss = (_half_up_units(window_sum(s, RSI_PERIOD), RSI_PERIOD) for s in (up, down))
+    divisor = np.where(loss == 0, 1, loss)
+    rs = _half_up_units(gain * UNITS, divisor)
+    rsi = np.where(loss == 0, 100 * UNITS, 100 * UNITS - _half_up_units(np.full(n, 100 * UNITS * UNITS, dtype=object), UNITS + rs))
+    share = np.where(u == 0, 0, _half_up_units(abs(momentum) * 10**4, np.where(u == 0, 1, abs(u))))
+    warm = at + 1 >= 15
+    bullish = (sma[5] > sma[15]) & (u > sma[15])
+    bearish = (sma[5] < sma[15]) & (u < sma[15])
+    direction = np.where(warm & bullish.astype(bool), "BULLISH", np.where(warm & bearish.astype(bool), "BEARISH", "NEUTRAL"))
+    strong = (share > STRONG_MOMENTUM_PCT * 100) | (rsi > RSI_OVERBOUGHT * UNITS) | (rsi < RSI_OVERSOLD * UNITS)
+    moderate = share > MODERATE_MOMENTUM_PCT * 100
+    strength = np.where(warm & strong.astype(bool), "STRONG", np.where(warm & moderate.astype(bool), "MODERATE", "WEAK"))
+    new = slice(past, None)
+    out: dict[str, list] = {"current_price": closes[past:]}
+    for k in SMA_PERIODS:
+        out[f"sma{k}"] = _decimals(sma[k], at + 1 >= k)[new]
+    for k in EMA_PERIODS:
+        out[f"ema{k}"] = [float(e) if i + 1 >= k else None for i, e in enumerate(ema[k])][new]
+    out["rsi"] = _decimals(rsi, at >= RSI_PERIOD)[new]
+    out["momentum"] = _decimals(momentum, at >= MOMENTUM_LAG)[new]
+    out["trend_direction"], out["trend_strength"] = direction[new].tolist(), strength[new].tolist()
+    return out

@@ -9,8 +9,8 @@
   ``update`` mode (changelog, W4).
 * Trends need per-symbol state across micro-batches: ``transformWithStateInPandas``
   with a ``StatefulProcessor`` whose value state is the last 30 closes (RocksDB
-  state store). Each batch gathers all rows of a key, sorts them by window and
-  folds them with the exact indicator function.
+  state store). Each batch sorts a key's new windows and computes their
+  indicators together, over integer units.
 * Alerts: the batch rule columns, applied per stream and unioned.
 * Sinks: checkpointed ``writeStream`` (file sinks are exactly-once), trigger
   ``processingTime="1 second"`` like the reference's commit interval, or
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from candela.functions.indicators import indicators
+from candela.functions.indicators import indicator_columns
 from candela.functions.timecols import epoch_micros
 from candela.operators.alerts import price_alert_columns, trend_alert_columns, volume_alert_columns
 from candela.operators.bars import finish_bars, market_bars
@@ -123,13 +123,9 @@ class TrendProcessor(StatefulProcessor):
         hist: list[Decimal] = []
         if self.history.exists():
             hist = [Decimal(x) for x in self.history.get()[0]]
-        out = []
-        for close in batch["close"]:
-            hist.append(Decimal(close))
-            hist = hist[-HISTORY:]
-            out.append(indicators(hist))
-        self.history.update(([str(x) for x in hist],))
-        found = pd.DataFrame(out, index=batch.index)
+        closes = hist + [Decimal(c) for c in batch["close"]]
+        self.history.update(([str(x) for x in closes[-HISTORY:]],))
+        found = pd.DataFrame(indicator_columns(closes, len(hist)), index=batch.index)
         found = found.assign(symbol=batch["symbol"], window_start=batch["window_start"], timestamp=batch["window_end"])
         for name in self.extra:
             found[name] = batch[name]

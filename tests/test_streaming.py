@@ -160,3 +160,24 @@ def test_alert_stream_has_one_scan_and_one_aggregation(spark):
     rows = all_alerts(trends_stream(market, [c for c in market.columns if c not in ("symbol", "window_start")]))
     plan = rows._jdf.queryExecution().analyzed().toString()
     assert plan.count("StreamingRelation") == 1 and plan.count("Aggregate [") == 1
+
+
+def test_columns_equal_the_fold():
+    import random
+    from decimal import Decimal
+
+    from candela.functions.indicators import indicator_columns, indicators
+
+    rng = random.Random(5)
+    for kind in range(6):
+        closes = [Decimal(rng.randint(0, 3) if kind == 0 else 5 if kind == 1 else rng.randint(1, 10**12)).scaleb(-rng.randint(0, 8)) for _ in range(70)]
+        for past in (0, 7, 30):
+            got = indicator_columns(closes[: past + 40], past)
+            for i in range(40):
+                want = indicators(closes[max(0, past + i - 29) : past + i + 1])
+                for name, value in want.items():
+                    have = got[name][i]
+                    if name.startswith("ema") and value is not None:
+                        assert abs(have - value) <= 1e-9 * max(1.0, abs(value))
+                    else:
+                        assert have == value, (kind, past, i, name)
