@@ -50,7 +50,7 @@ SEED = 20240609
 #: Tokens that a worker gathers before it sorts them, and that a bucket of words stands for.
 BLOCK_TOKENS = 1_500_000
 BLOCK_DOCS = 60_000
-BUCKET_TOKENS = 6_000_000
+BUCKET_TOKENS = 3_000_000
 LEAST_BUCKETS = 12
 #: Customers that are seated one by one; beyond, seats are drawn for an eighth of them at a time.
 ONE_BY_ONE = 48
@@ -135,13 +135,26 @@ COUNTS = "bucket int, words binary, pairs binary, context binary, count binary"
 def _count_row(bucket: int, words: np.ndarray, owner: np.ndarray, context: np.ndarray, count: np.ndarray) -> dict:
     """``owner``: the place of each pair's word; pairs are ordered by word and context."""
     pairs = np.bincount(owner, minlength=len(words)).astype("<u4")
-    return {"bucket": bucket, "words": words.tobytes(), "pairs": pairs.tobytes(), "context": context.astype("<u2").tobytes(), "count": count.astype("<u4").tobytes()}
+    return {"bucket": bucket, "words": words.tobytes(), "pairs": pairs.tobytes(), "context": context.astype("<u2").tobytes(), "count": count.astype("<i8").tobytes()}
 
 
 def _read_counts(words: bytes, pairs: bytes, context: bytes, count: bytes) -> tuple[np.ndarray, ...]:
     names = np.frombuffer(words, tx.U64)
-    owner = np.repeat(np.arange(len(names)), np.frombuffer(pairs, "<u4"))
-    return names, owner, np.frombuffer(context, "<u2").astype(np.int64), np.frombuffer(count, "<u4").astype(np.int64)
+    owner = np.repeat(np.arange(len(names), dtype=np.int32), np.frombuffer(pairs, "<u4"))
+    return names, owner, np.frombuffer(context, "<u2"), np.frombuffer(count, "<i8")
+
+
+def _merged(read: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Several (words, owner, context, count) as one."""
+    words, place = np.unique(np.concatenate([r[0] for r in read]), return_inverse=True)
+    starts = np.cumsum([0, *(len(r[0]) for r in read)])
+    key = np.concatenate([place[s : s + len(r[0])][r[1]] << 16 | r[2] for s, r in zip(starts, read)])
+    count = np.concatenate([r[3] for r in read])
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    key = key[first]
+    return words, (key >> 16).astype(np.int32), (key & 0xFFFF).astype(np.uint16), np.add.reduceat(count, first)
 
 
 def customers(rows: DataFrame, contexts, buckets: int) -> DataFrame:
@@ -166,12 +179,9 @@ def customers(rows: DataFrame, contexts, buckets: int) -> DataFrame:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in tx.groups(batches):
             read = [_read_counts(*r) for p in parts for r in zip(*(p.column(i).to_pylist() for i in range(1, 5)))]
-            words, place = np.unique(np.concatenate([r[0] for r in read]), return_inverse=True)
-            starts = np.cumsum([0, *(len(r[0]) for r in read)])
-            owner = np.concatenate([place[s : s + len(r[0])][r[1]] for s, r in zip(starts, read)])
-            key, where = np.unique(owner << 16 | np.concatenate([r[2] for r in read]), return_inverse=True)
-            count = np.bincount(where, weights=np.concatenate([r[3] for r in read])).astype(np.int64)
-            yield pa.RecordBatch.from_pylist([_count_row(parts[0].column(0)[0].as_py(), words, key >> 16, key & 0xFFFF, count)], schema)
+            while len(read) > 1:  # a few at a time: what is held is little more than the result
+                read = [_merged(read[i : i + 8]) for i in range(0, len(read), 8)]
+            yield pa.RecordBatch.from_pylist([_count_row(parts[0].column(0)[0].as_py(), *_merged(read))], schema)
 
     schema = tx.arrow_schema(COUNTS)
     gathered = tx.map_arrow(rows, gather, COUNTS).repartition(buckets, "bucket").sortWithinPartitions("bucket")
@@ -409,8 +419,9 @@ def train(rows: DataFrame, context_share: float = CONTEXT_SHARE) -> Model:
     return Model(_totals(_sums(table, True), contexts, size.v, n, totals.discounts), buckets, table)
 
 
-#: What a block asks of a bucket: its words, pairs of each, documents of each pair and how often. bucket -1: the block's documents.
-ASKED = "bucket int, block long, words binary, pairs binary, context binary, entries binary, doc binary, count binary"
+#: What a block asks of a bucket (kind 2): its words, pairs of each, documents of each pair and how often.
+#: Kind 1: the block's documents, on their way through some bucket. Kind 0: the bucket itself.
+ASKED = "bucket int, kind int, block long, words binary, pairs binary, context binary, entries binary, doc binary, count binary"
 
 
 def ask(rows: DataFrame, contexts, buckets: int) -> DataFrame:
@@ -429,17 +440,17 @@ def ask(rows: DataFrame, contexts, buckets: int) -> DataFrame:
             of_entry = np.repeat(of_pair, per_pair)
             ids = np.array([i if i is not None else 0 for i in block.ids], np.int64)
             null = np.array([i is None for i in block.ids])
-            out = [{"bucket": -1, "block": name, "words": ids.tobytes(), "pairs": block.sizes.astype("<i8").tobytes(), "context": null.tobytes(), "entries": block.held.tobytes(), "doc": b"", "count": b""}]
+            out = [{"bucket": name % buckets, "kind": 1, "block": name, "words": ids.tobytes(), "pairs": block.sizes.astype("<i8").tobytes(), "context": null.tobytes(), "entries": block.held.tobytes(), "doc": b"", "count": b""}]
             for b in np.unique(bucket):
                 mine, pairs, entries = np.flatnonzero(bucket == b), of_pair == b, of_entry == b
                 row = _count_row(int(b), words[mine], np.searchsorted(mine, owner[pairs]), pair[pairs] & 0xFFFF, count[entries])
-                out.append(row | {"block": name, "entries": per_pair[pairs].astype("<u4").tobytes(), "doc": (key[entries] & 0xFFFF).astype("<u2").tobytes()})
+                out.append(row | {"kind": 2, "block": name, "entries": per_pair[pairs].astype("<u4").tobytes(), "doc": (key[entries] & 0xFFFF).astype("<u2").tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return tx.map_arrow(rows, run, ASKED)
 
 
-#: Sums of a block's documents over one bucket: documents, known tokens, base and model scores. bucket -1 as above.
+#: Sums of a block's documents over one bucket: documents, known tokens, base and model scores. bucket -1: the documents themselves.
 ANSWERED = "block long, bucket int, doc binary, known binary, base binary, score binary"
 
 
@@ -458,7 +469,7 @@ class Bucket:
         self.seen = seen
         self.parent = totals.parent(np.frombuffer(row["parent_customers"], "<f8"), np.frombuffer(row["parent_tables"], "<f8"))
         placed = context > 0
-        self.key = owner[placed] << 16 | context[placed]
+        self.key = owner[placed].astype(np.int64) << 16 | context[placed]
         self.extra = (count[placed] - totals.discounts[0] * tables[placed]) / (STRENGTH[0] + totals.customers[context[placed]])
 
     def look_up(self, words: np.ndarray, owner: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -485,32 +496,33 @@ def answer(asked: DataFrame, model: Model) -> DataFrame:
     """Sums for each block and bucket, where the questions of a bucket meet its words."""
     spark = asked.sparkSession
     shared, schema = spark.sparkContext.broadcast(model.totals), tx.arrow_schema(ANSWERED)
-    tagged = "bucket int, block long, words binary, pairs binary, context binary, entries binary, doc binary, count binary, tables binary, parent_customers binary, parent_tables binary"
-    names = [f.split()[0] for f in tagged.split(", ")]
-    missing = lambda df: df.select(*(F.col(n) if n in df.columns else (F.lit(-1).cast("long") if n == "block" else F.lit(None).cast("binary")).alias(n) for n in names))
-    met = missing(asked.where("bucket >= 0")).unionByName(missing(model.table)).repartition(model.buckets, "bucket").sortWithinPartitions("bucket", "block")
+    table = model.table.withColumn("kind", F.lit(0))
+    met = asked.unionByName(table, allowMissingColumns=True).repartition(model.buckets, "bucket").sortWithinPartitions("bucket", "kind", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bucket = None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                if row["block"] < 0:
+                if row["kind"] == 0:
                     now, bucket = row["bucket"], Bucket(row, shared.value)
                     continue
+                if row["kind"] == 1:
+                    head = dict(zip(("doc", "known", "base", "score"), (row[n] for n in ("words", "pairs", "context", "entries"))))
+                    yield pa.RecordBatch.from_pylist([head | {"block": row["block"], "bucket": -1}], schema)
+                    continue
                 if now != row["bucket"]:
                     now, bucket = row["bucket"], Bucket(None, shared.value)
                 words = np.frombuffer(row["words"], tx.U64)
                 owner = np.repeat(np.arange(len(words)), np.frombuffer(row["pairs"], "<u4"))
-                known, base, score = bucket.look_up(words, owner, np.frombuffer(row["context"], "<u2").astype(np.int64))
+                known, base, score = bucket.look_up(words, owner, np.frombuffer(row["context"], "<u2"))
                 entries = np.frombuffer(row["entries"], "<u4")
                 docs, where = np.unique(np.frombuffer(row["doc"], "<u2"), return_inverse=True)
-                count = np.frombuffer(row["count"], "<u4").astype(float)
+                count = np.frombuffer(row["count"], "<i8").astype(float)
                 sums = [np.bincount(where, weights=count * np.repeat(x, entries)) for x in (known.astype(float), base, score)]
                 yield pa.RecordBatch.from_pylist([{"block": row["block"], "bucket": row["bucket"], "doc": docs.tobytes(), "known": sums[0].astype("<u4").tobytes(), "base": sums[1].tobytes(), "score": sums[2].tobytes()}], schema)
 
-    documents = asked.where("bucket < 0").select("block", "bucket", F.col("words").alias("doc"), F.col("pairs").alias("known"), F.col("context").alias("base"), F.col("entries").alias("score"))
-    return tx.map_arrow(met, run, ANSWERED).unionByName(documents)
+    return tx.map_arrow(met, run, ANSWERED)
 
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -519,7 +531,7 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
     spark = rows.sparkSession
-    asked = tx.write_table(ask(rows, spark.sparkContext.broadcast(model.totals.contexts), model.buckets), "asked")
+    asked = ask(rows, spark.sparkContext.broadcast(model.totals.contexts), model.buckets)
     answered = answer(asked, model).repartition("block").sortWithinPartitions("block", "bucket")
     tokens, schema = model.totals.tokens, tx.arrow_schema(RESULT)
 
