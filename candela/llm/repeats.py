@@ -74,35 +74,53 @@ def anchors(hashes: np.ndarray, size: int, gram: int) -> dict[str, np.ndarray]:
 KEY = ("shard", "content", "run", "place")
 
 
+def once_each(found: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Equal runs of a document as one, ``starts`` (offsets and values) listing where: a periodic text has a row for each place else."""
+    n = len(found["start"])
+    order = np.lexsort((found["start"], found["place"], found["run"], found["content"], found["shard"]))
+    new = np.zeros(n, bool)
+    new[0] = True
+    for name in KEY:
+        column = found[name] = found[name][order]
+        new[1:] |= column[1:] != column[:-1]
+    at = np.flatnonzero(new)
+    return {name: found[name][at] for name in KEY} | {"starts": found["start"][order], "counts": np.diff(np.append(at, n))}
+
+
 def runs(rows: DataFrame, units: Units, size: int, gram: int) -> DataFrame:
-    """All runs of all documents: the key's columns, _key and start. ``rows``: _key, text."""
+    """All runs of all documents: the key's columns, starts and _key; a document's equal runs are one row. ``rows``: _key, text."""
+    names = (*KEY, "starts", "counts", "_key")
+
+    def out(held: dict[str, list]) -> dict:
+        flat = {n: np.concatenate(v) for n, v in held.items()}
+        offsets = np.concatenate(([0], np.cumsum(flat.pop("counts"))))
+        return flat | {"starts": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat["starts"], pa.int32()))}
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        out: dict[str, list] = {n: [] for n in (*KEY, "start", "_key")}
-        held = 0
+        held: dict[str, list] = {n: [] for n in names}
+        size_now = 0
         for key, text in zip(batch.column(0).to_pylist(), tx.binary(batch.column(1))):
-            if not text:
-                continue
-            found = anchors(units.hashes(units.split(text)), size, gram)
+            found = anchors(units.hashes(units.split(text)), size, gram) if text else None
             if found:
-                found["_key"] = np.full(len(found["start"]), key, np.int64)
-                for n, values in found.items():
-                    out[n].append(values)
-                held += len(found["start"])
-                if held > 100_000:
-                    yield {n: np.concatenate(v) for n, v in out.items()}
-                    out, held = {n: [] for n in out}, 0
-        if held:
-            yield {n: np.concatenate(v) for n, v in out.items()}
+                found = once_each(found)
+                found["_key"] = np.full(len(found["shard"]), key, np.int64)
+                for n in names:
+                    held[n].append(found[n])
+                size_now += len(found["starts"])
+                if size_now > 100_000:
+                    yield out(held)
+                    held, size_now = {n: [] for n in names}, 0
+        if size_now:
+            yield out(held)
 
-    return tx.map_batches(rows.select("_key", "text"), run, "shard long, content long, run int, place int, start long, _key long")
+    return tx.map_batches(rows.select("_key", "text"), run, "shard long, content long, run int, place int, starts array<int>, _key long")
 
 
 def shared_runs(found: DataFrame) -> DataFrame:
     """Runs whose shard has others; ``mixed``: these are not all equal."""
     shard = Window.partitionBy("shard")
-    counted = found.select("*", F.count(F.lit(1)).over(shard).alias("n"), F.min("content").over(shard).alias("low"), F.max("content").over(shard).alias("high"))
-    return counted.where("n > 1").select(*KEY, "start", "_key", (F.col("low") != F.col("high")).alias("mixed"))
+    counted = found.select("*", F.sum(F.size("starts")).over(shard).alias("n"), F.min("content").over(shard).alias("low"), F.max("content").over(shard).alias("high"))
+    return counted.where("n > 1").select(*KEY, "starts", "_key", (F.col("low") != F.col("high")).alias("mixed"))
 
 
 def contents(rows: DataFrame, distinct: DataFrame, units: Units, size: int) -> DataFrame:
@@ -194,16 +212,18 @@ def decide(fetched: DataFrame, units: Units, size: int, method: Decide) -> DataF
 
 
 def repeated_spans(rows: DataFrame, units: Units, size: int, gram: int, method: Decide) -> DataFrame:
-    """_key and ``spans`` (array of start, end in symbols): what windows that occur elsewhere too cover."""
+    """_key and ``spans`` (structs of start and end in symbols): what windows that occur elsewhere too cover."""
     shared = tx.write_table(shared_runs(runs(rows, units, size, gram)), "runs")
     mixed = shared.where("mixed").drop("mixed")
-    first = mixed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_key", "start")).alias("first"))
+    first = mixed.groupBy(*KEY).agg(F.sum(F.size("starts")).alias("n"), F.min(F.struct("_key", F.get("starts", F.lit(0)).alias("start"))).alias("first"))
     distinct = first.select(*KEY, "n", "first._key", "first.start")
     decided = decide(contents(rows, distinct, units, size), units, size, method)
-    places = F.transform(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)), lambda i: F.struct((F.col("start") + F.get("spans", i)).alias("start"), (F.col("start") + F.get("spans", i + 1)).alias("end")))
-    some = mixed.join(decided, list(KEY)).select("_key", F.inline(places))
-    whole = shared.where("not mixed").select("_key", "start", (F.col("start") + F.col("run") + F.lit(size - 1)).alias("end"))
-    return some.unionByName(whole).groupBy("_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    pairs = F.transform(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)), lambda i: F.struct(F.get("spans", i).alias("from"), F.get("spans", i + 1).alias("to")))
+    at = lambda start, first, last: F.struct((start + first).alias("start"), (start + last).alias("end"))
+    within = F.flatten(F.transform("starts", lambda s: F.transform("pairs", lambda p: at(s, p["from"], p["to"]))))
+    some = mixed.join(decided.withColumn("pairs", pairs), list(KEY)).select("_key", within.alias("spans"))
+    whole = shared.where("not mixed").select("_key", F.transform("starts", lambda s: at(s, F.lit(0), F.col("run") + F.lit(size - 1))).alias("spans"))
+    return some.unionByName(whole).groupBy("_key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def covered(n: int, spans: list[dict] | None) -> np.ndarray:
