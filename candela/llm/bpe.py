@@ -30,9 +30,11 @@ from candela.llm import text as tx
 
 #: Deterministic states that are made, and words whose tokens are remembered; results do not depend on them.
 KEPT_STATES = 20_000
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 #: Pairs of tokens whose test is remembered.
-KEPT_PAIRS = 400_000
+KEPT_PAIRS = 200_000
+#: Places whose entries are remembered, by their first bytes.
+KEPT_PLACES = 60_000
 #: Bytes by which the entries that start at a place are remembered.
 NEAR = 7
 
@@ -102,7 +104,7 @@ class Vocabulary:
             if self.ends[node] >= 0:
                 found.append((self.ends[node], to - at))
         far = to - at >= NEAR
-        if len(self.near) > KEPT_PAIRS:
+        if len(self.near) > KEPT_PLACES:
             self.near.clear()
         out = self.near[word[at : at + NEAR]] = (tuple(found), far)
         return out
