@@ -48,7 +48,7 @@ BURN_IN = 3
 SAMPLES = 4
 SEED = 20240609
 #: Tokens that a worker gathers before it sorts them, and that a bucket of words stands for.
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 700_000
 BLOCK_DOCS = 60_000
 BUCKET_TOKENS = 3_000_000
 LEAST_BUCKETS = 12
