@@ -1,13 +1,13 @@
 """Operator 1: a hierarchical Pitman-Yor language model, sampled in parallel.
 
-Restaurants. Each word that makes up CONTEXT_SHARE of the training tokens or
-more is a context with a restaurant of its own; so is the beginning of a text.
-All of them share one parent, the restaurant of single tokens, whose base is
-uniform over the V training tokens and one for all others. Tokens after rarer
-words sit in the parent directly. There can be no more than 1 / CONTEXT_SHARE
-contexts, so the numbers of customers and tables per context are a short list
-at any size of the corpus; what belongs to single words grows with it and stays
-spread over buckets of words.
+Restaurants. Each word is a context with a restaurant of its own; so is the
+beginning of a text. All of them share one parent, the restaurant of single
+tokens, whose base is uniform over the V training tokens and one for all others.
+(``train`` can be told a share of the training tokens that a context must make
+up; tokens after rarer words then sit in the parent directly.) Contexts grow with
+the corpus: the numbers of customers and tables of each are kept in the bucket of
+the context's word, added up there and sent to the buckets that hold a customer
+of it; nothing that grows is collected or broadcast.
 
 Sampling. A bucket holds all customers of its words in all restaurants. Tables
 are seated one customer after another, then Gibbs moves take a customer of each
@@ -32,7 +32,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candela.llm import text as tx
 
-CONTEXT_SHARE = 1e-4
 #: Strengths of the context restaurants and of their parent.
 STRENGTH = (1.0, 10.0)
 BURN_IN = 3
@@ -56,6 +56,8 @@ LEAST_BUCKETS = 12
 ONE_BY_ONE = 48
 #: White space is in no word, so this is nobody's hash but the end's.
 END = tx.hash_words([b"\n"])[0]
+#: Likewise; stands for the context of tokens that sit in the parent directly.
+NONE = tx.hash_words([b" "])[0]
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -122,10 +124,17 @@ def _bucket(words: np.ndarray, buckets: int) -> np.ndarray:
     return (tx.mix(words) % tx.U64(buckets)).astype(np.int64)
 
 
-def _context(before: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    """1 + the place of a token among the contexts; 0 for others."""
-    at = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
-    return np.where(contexts[at] == before, at + 1, 0)
+def _context(before: np.ndarray, contexts: np.ndarray | None) -> np.ndarray:
+    """The context of tokens after ``before``: any word, or one of ``contexts`` and NONE for others."""
+    return before if contexts is None else np.where(np.isin(before, contexts), before, NONE)
+
+
+def _place(contexts: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """1 + the place of each context in an ascending list; 0 for those that are not in it."""
+    if not len(contexts):
+        return np.zeros(len(context), np.int64)
+    at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+    return np.where(contexts[at] == context, at + 1, 0)
 
 
 #: Customers of a bucket's words: words in ascending order, pairs of each, their contexts and counts.
@@ -135,26 +144,27 @@ COUNTS = "bucket int, words binary, pairs binary, context binary, count binary"
 def _count_row(bucket: int, words: np.ndarray, owner: np.ndarray, context: np.ndarray, count: np.ndarray) -> dict:
     """``owner``: the place of each pair's word; pairs are ordered by word and context."""
     pairs = np.bincount(owner, minlength=len(words)).astype("<u4")
-    return {"bucket": bucket, "words": words.tobytes(), "pairs": pairs.tobytes(), "context": context.astype("<u2").tobytes(), "count": count.astype("<i8").tobytes()}
+    return {"bucket": bucket, "words": words.tobytes(), "pairs": pairs.tobytes(), "context": context.astype("<u8").tobytes(), "count": count.astype("<i8").tobytes()}
 
 
 def _read_counts(words: bytes, pairs: bytes, context: bytes, count: bytes) -> tuple[np.ndarray, ...]:
     names = np.frombuffer(words, tx.U64)
     owner = np.repeat(np.arange(len(names), dtype=np.int32), np.frombuffer(pairs, "<u4"))
-    return names, owner, np.frombuffer(context, "<u2"), np.frombuffer(count, "<i8")
+    return names, owner, np.frombuffer(context, tx.U64), np.frombuffer(count, "<i8")
 
 
 def _merged(read: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Several (words, owner, context, count) as one."""
     words, place = np.unique(np.concatenate([r[0] for r in read]), return_inverse=True)
     starts = np.cumsum([0, *(len(r[0]) for r in read)])
-    key = np.concatenate([place[s : s + len(r[0])][r[1]] << 16 | r[2] for s, r in zip(starts, read)])
+    contexts, at = np.unique(np.concatenate([r[2] for r in read]), return_inverse=True)
+    key = np.concatenate([place[s : s + len(r[0])][r[1]] for s, r in zip(starts, read)]) * len(contexts) + at
     count = np.concatenate([r[3] for r in read])
     order = np.argsort(key, kind="stable")
     key, count = key[order], count[order]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     key = key[first]
-    return words, (key >> 16).astype(np.int32), (key & 0xFFFF).astype(np.uint16), np.add.reduceat(count, first)
+    return words, (key // len(contexts)).astype(np.int32), contexts[key % len(contexts)], np.add.reduceat(count, first)
 
 
 def customers(rows: DataFrame, contexts, buckets: int) -> DataFrame:
@@ -166,8 +176,9 @@ def customers(rows: DataFrame, contexts, buckets: int) -> DataFrame:
             if not train.any():
                 continue
             words, place = np.unique(block.tokens[train], return_inverse=True)
-            key, count = np.unique(place << 16 | _context(block.before[train], contexts.value), return_counts=True)
-            owner, context = key >> 16, key & 0xFFFF
+            befores, at = np.unique(_context(block.before[train], contexts.value), return_inverse=True)
+            key, count = np.unique(place * len(befores) + at, return_counts=True)
+            owner, context = key // len(befores), befores[key % len(befores)]
             bucket = _bucket(words, buckets)
             of_pair = bucket[owner]
             out = []
@@ -190,7 +201,7 @@ def customers(rows: DataFrame, contexts, buckets: int) -> DataFrame:
 
 @dataclass
 class Totals:
-    """What all buckets share: customers and tables of each context, of the parent, and the model's numbers."""
+    """Customers and tables of some contexts (ascending; place 0 is no context), and what all buckets share: those of the parent, and the model's numbers."""
 
     contexts: np.ndarray
     customers: np.ndarray
@@ -310,6 +321,7 @@ class Seating:
 
 def sample(words: np.ndarray, owner: np.ndarray, context: np.ndarray, count: np.ndarray, totals: Totals, rng: np.random.Generator, samples: int) -> tuple[np.ndarray, ...]:
     """Averages over the samples: tables of each pair, and the parent's customers and tables of each word."""
+    context = _place(totals.contexts, context)
     placed = context > 0
     direct = np.bincount(owner[~placed], weights=count[~placed], minlength=len(words)).astype(np.int64)
     cell_owner, cell_context, cell_count = owner[placed], context[placed], count[placed]
@@ -342,89 +354,185 @@ def sample(words: np.ndarray, owner: np.ndarray, context: np.ndarray, count: np.
 MODEL = f"{COUNTS}, tables binary, parent_customers binary, parent_tables binary"
 
 
-def seat(counted: DataFrame, totals: Totals, round_: int, samples: int) -> DataFrame:
+#: Totals of contexts on their way to bucket ``bucket``.
+TOTALS = "bucket int, contexts binary, customers binary, tables binary"
+
+
+def _local(parts: list[dict], shared: Totals) -> Totals:
+    """``shared`` with the contexts of one bucket."""
+    contexts, customers, tables = (np.concatenate([np.empty(0, t), *(np.frombuffer(p[n], t) for p in parts)]) for n, t in (("contexts", tx.U64), ("customers", "<f8"), ("tables", "<f8")))
+    order = np.argsort(contexts)
+    return replace(shared, contexts=contexts[order], customers=np.append(0.0, customers[order]), tables=np.append(0.0, tables[order]))
+
+
+def seat(counted: DataFrame, sums: DataFrame, totals: Totals, buckets: int, round_: int, samples: int) -> DataFrame:
     shared = counted.sparkSession.sparkContext.broadcast(totals)
     schema = tx.arrow_schema(MODEL)
+    met = counted.withColumn("kind", F.lit(1)).unionByName(context_totals(sums, buckets).withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    met = met.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: list[dict] = []
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
+                if row["kind"] == 0:  # a bucket's contexts come before its customers
+                    sent.append(row)
+                    continue
                 words, owner, context, count = _read_counts(*(row[n] for n in ("words", "pairs", "context", "count")))
                 rng = np.random.default_rng([SEED, round_, row["bucket"]])
-                found = sample(words, owner, context, count, shared.value, rng, samples)
-                row |= {n: x.astype("<f4" if n == "tables" else "<f8").tobytes() for n, x in zip(("tables", "parent_customers", "parent_tables"), found)}
-                yield pa.RecordBatch.from_pylist([row], schema)
+                local = _local(sent, shared.value)
+                sent = []
+                found = sample(words, owner, context, count, local, rng, samples)
+                out = {n: row[n] for n in ("bucket", "words", "pairs", "context", "count")}
+                out |= {n: x.astype("<f4" if n == "tables" else "<f8").tobytes() for n, x in zip(("tables", "parent_customers", "parent_tables"), found)}
+                yield pa.RecordBatch.from_pylist([out], schema)
 
-    return tx.map_arrow(counted, run, MODEL)
+    return tx.map_arrow(met, run, MODEL)
 
 
-def _sums(model: DataFrame, seated: bool) -> DataFrame:
-    """(context, customers, tables, once, twice) over all buckets; context -1 is the parent, with words seen once and twice.
+#: Customers and tables of the contexts of bucket ``bucket`` in bucket ``source``. ``up``, once for each source:
+#: the parent's customers, tables, words seen once and twice, then pairs seen once and twice.
+SUMS = "bucket int, source int, contexts binary, customers binary, tables binary, up array<double>"
 
-    Before the first seating every pair has one table.
-    """
+
+def _sums(model: DataFrame, seated: bool, buckets: int) -> DataFrame:
+    """Before the first seating every pair has one table."""
+    schema = tx.arrow_schema(SUMS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 words, owner, context, count = _read_counts(*(row[n] for n in ("words", "pairs", "context", "count")))
-                tables = np.frombuffer(row["tables"], "<f4").astype(float) if seated else (context > 0).astype(float)
-                names, where = np.unique(context, return_inverse=True)
-                per = [np.bincount(where, weights=x) for x in (count, tables, count == 1, count == 2)]
+                placed = context != NONE
                 if seated:
-                    up = [float(np.frombuffer(row[n], "<f8").sum()) for n in ("parent_customers", "parent_tables")]
-                    once = twice = 0.0
+                    tables = np.frombuffer(row["tables"], "<f4").astype(float)[placed]
+                    up = [float(np.frombuffer(row[n], "<f8").sum()) for n in ("parent_customers", "parent_tables")] + [0.0, 0.0]
                 else:
-                    sent = np.bincount(owner, weights=np.where(context > 0, 1, count), minlength=len(words))
-                    up, once, twice = [float(sent.sum()), float(len(words))], float((sent == 1).sum()), float((sent == 2).sum())
-                columns = [np.append(names, -1)] + [np.append(x, y) for x, y in zip(per, (*up, once, twice))]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0].astype(np.int32)), *(pa.array(c.astype(float)) for c in columns[1:])], names=["context", "customers", "tables", "once", "twice"])
-
-    found = tx.map_arrow(model, run, "context int, customers double, tables double, once double, twice double")
-    return found.groupBy("context").agg(*(F.sum(n).alias(n) for n in ("customers", "tables", "once", "twice")))
+                    tables = np.ones(int(placed.sum()))
+                    sent = np.bincount(owner, weights=np.where(placed, 1, count), minlength=len(words))
+                    up = [float(sent.sum()), float(len(words)), float((sent == 1).sum()), float((sent == 2).sum())]
+                up += [float((count[placed] == 1).sum()), float((count[placed] == 2).sum())]
+                contexts, where = np.unique(context[placed], return_inverse=True)
+                customers, tables = (np.bincount(where, weights=x, minlength=len(contexts)) for x in (count[placed], tables))
+                home = _bucket(contexts, buckets)
+                out = [{"bucket": -1, "source": row["bucket"], "contexts": b"", "customers": b"", "tables": b"", "up": up}]
+                order = np.argsort(home, kind="stable")
+                for mine in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else ():
+                    out.append({"bucket": int(home[mine[0]]), "source": row["bucket"], "contexts": contexts[mine].tobytes(), "customers": customers[mine].tobytes(), "tables": tables[mine].tobytes(), "up": None})
+                yield pa.RecordBatch.from_pylist(out, schema)
+
+    return tx.map_arrow(model, run, SUMS)
+
+
+def context_totals(sums: DataFrame, buckets: int, needed: DataFrame | None = None) -> DataFrame:
+    """Totals of contexts over all buckets, sent to the buckets that hold a customer of them, or else to those that ``needed`` names."""
+    schema, own = tx.arrow_schema(TOTALS), needed is None
+    rows = sums.where("bucket >= 0").select("bucket", F.lit(0).alias("kind"), "source", "contexts", "customers", "tables", F.lit(None).cast("binary").alias("sources"))
+    if not own:
+        rows = rows.unionByName(needed.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    met = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "source").withColumn("bucket", F.col("bucket").cast("long"))
 
-
-def _totals(sums: DataFrame, contexts: np.ndarray, vocabulary: int, tokens: int, discounts: tuple[float, float] | None) -> Totals:
-    rows = {r.context: r for r in sums.collect()}  # one for each context at most
-    size = len(contexts) + 1
-    get = lambda name: np.array([getattr(rows[c], name) if c in rows and c else 0.0 for c in range(size)])
-    up = rows.get(-1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in tx.groups(batches):
+            held, asked = [], []
+            for p in parts:
+                for row in p.to_pylist():
+                    contexts = np.frombuffer(row["contexts"], tx.U64)
+                    if row["kind"]:
+                        asked.append((np.frombuffer(row["sources"], "<u4"), contexts))
+                    else:
+                        held.append((contexts, np.frombuffer(row["customers"], "<f8"), np.frombuffer(row["tables"], "<f8")))
+                        if own:
+                            asked.append((np.full(len(contexts), row["source"], np.uint32), contexts))
+            names, where = np.unique(np.concatenate([np.empty(0, tx.U64), *(h[0] for h in held)]), return_inverse=True)
+            customers, tables = (np.append(0.0, np.bincount(where, weights=np.concatenate([np.empty(0), *(h[k] for h in held)]), minlength=len(names))) for k in (1, 2))
+            del held
+            source, contexts = (np.concatenate([a[k] for a in asked]) if asked else np.empty(0, np.uint32) for k in (0, 1))
+            place = _place(names, contexts.astype(tx.U64))
+            key = np.unique(source[place > 0].astype(np.int64) << 32 | place[place > 0])  # contexts without customers are as good as none
+            edges = np.flatnonzero(np.diff(key >> 32)) + 1
+            for mine in np.split(key, edges) if len(key) else ():
+                at = mine & 0xFFFFFFFF
+                yield pa.RecordBatch.from_pylist([{"bucket": int(mine[0] >> 32), "contexts": names[at - 1].tobytes(), "customers": customers[at].tobytes(), "tables": tables[at].tobytes()}], schema)
+
+    return tx.map_arrow(met, run, TOTALS)
+
+
+def _totals(sums: DataFrame, vocabulary: int, tokens: int, discounts: tuple[float, float] | None) -> Totals:
+    """What all buckets share, without contexts."""
+    up = sums.where("bucket < 0").agg(*(F.sum(F.get("up", F.lit(i))).alias(f"c{i}") for i in range(6))).first()
+    up = [x or 0.0 for x in up]
     if discounts is None:
         share = lambda once, twice: float(np.clip(once / (once + 2 * twice), 0.05, 0.95)) if once else 0.5
-        discounts = (share(get("once").sum(), get("twice").sum()), share(up.once, up.twice) if up else 0.5)
-    return Totals(contexts, get("customers"), get("tables"), up.customers if up else 0.0, up.tables if up else 0.0, vocabulary, tokens, discounts)
+        discounts = (share(up[4], up[5]), share(up[2], up[3]))
+    return Totals(np.empty(0, tx.U64), np.zeros(1), np.zeros(1), up[0], up[1], vocabulary, tokens, discounts)
 
 
 @dataclass
 class Model:
-    totals: Totals
+    shared: Totals
     buckets: int
     table: DataFrame
+    sums: DataFrame
 
+    @cached_property
+    def totals(self) -> Totals:
+        """All contexts on the driver: for small models and tests; scoring does without."""
+        rows = self.sums.where("bucket >= 0").select("contexts", "customers", "tables").collect()
+        contexts, customers, tables = (np.concatenate([np.empty(0, t), *(np.frombuffer(r[n], t) for r in rows)]) for n, t in (("contexts", tx.U64), ("customers", "<f8"), ("tables", "<f8")))
+        names, where = np.unique(contexts, return_inverse=True)
+        return replace(self.shared, contexts=names, **{n: np.append(0.0, np.bincount(where, weights=x, minlength=len(names))) for n, x in (("customers", customers), ("tables", tables))})
 
-def train(rows: DataFrame, context_share: float = CONTEXT_SHARE) -> Model:
-    """``rows``: doc_id, text."""
+
+def train(rows: DataFrame, context_share: float = 0.0) -> Model:
+    """``rows``: doc_id, text. ``context_share``: of the training tokens, that a word must make up to be a context."""
     spark = rows.sparkSession
     counts = tx.write_table(token_counts(rows), "tokens")
     size = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
     n = size.n or 0
-    frequent = counts.where(F.col("c") >= F.lit(context_share * n)).select("word").collect()  # 1 / context_share at most
-    contexts = np.unique(np.append(np.array([r.word for r in frequent], np.int64).view(tx.U64), END))
+    contexts = None
+    if context_share > 0:
+        frequent = counts.where(F.col("c") >= F.lit(context_share * n)).select("word").collect()  # 1 / context_share at most
+        contexts = np.unique(np.append(np.array([r.word for r in frequent], np.int64).view(tx.U64), END))
     buckets = max(LEAST_BUCKETS, -(-n // BUCKET_TOKENS))
     counted = tx.write_table(customers(rows, spark.sparkContext.broadcast(contexts), buckets), "customers")
-    totals = _totals(_sums(counted, False), contexts, size.v, n, None)
-    first = _totals(_sums(seat(counted, totals, 1, 1), True), contexts, size.v, n, totals.discounts)
-    table = tx.write_table(seat(counted, first, 2, SAMPLES), "model")
-    return Model(_totals(_sums(table, True), contexts, size.v, n, totals.discounts), buckets, table)
+    sums = tx.write_table(_sums(counted, False, buckets), "sums")
+    totals = _totals(sums, size.v, n, None)
+    sums = tx.write_table(_sums(seat(counted, sums, totals, buckets, 1, 1), True, buckets), "sums")
+    first = _totals(sums, size.v, n, totals.discounts)
+    table = tx.write_table(seat(counted, sums, first, buckets, 2, SAMPLES), "model")
+    sums = tx.write_table(_sums(table, True, buckets), "sums")
+    return Model(_totals(sums, size.v, n, totals.discounts), buckets, table, sums)
+
+
+#: Contexts of bucket ``bucket`` whose totals the buckets ``sources`` need.
+NEEDED = "bucket int, contexts binary, sources binary"
+
+
+def needs(rows: DataFrame, buckets: int) -> DataFrame:
+    schema = tx.arrow_schema(NEEDED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            befores, at = np.unique(block.before, return_inverse=True)
+            key = np.unique(_bucket(block.tokens, buckets) * len(befores) + at)
+            source, context = key // len(befores), befores[key % len(befores)]
+            home = _bucket(context, buckets)
+            order = np.argsort(home, kind="stable")
+            out = [{"bucket": int(home[m[0]]), "contexts": context[m].tobytes(), "sources": source[m].astype("<u4").tobytes()} for m in np.split(order, np.flatnonzero(np.diff(home[order])) + 1)]
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    return tx.map_arrow(rows, run, NEEDED)
 
 
 #: What a block asks of a bucket (kind 2): its words, pairs of each, documents of each pair and how often.
-#: Kind 1: the block's documents, on their way through some bucket. Kind 0: the bucket itself.
+#: Kind 1: the block's documents, on their way through some bucket. Kind 0: the bucket itself. Kind -1: totals of contexts that the bucket is asked for.
 ASKED = "bucket int, kind int, block long, words binary, pairs binary, context binary, entries binary, doc binary, count binary"
 
 
-def ask(rows: DataFrame, contexts, buckets: int) -> DataFrame:
+def ask(rows: DataFrame, buckets: int) -> DataFrame:
     schema = tx.arrow_schema(ASKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,10 +540,10 @@ def ask(rows: DataFrame, contexts, buckets: int) -> DataFrame:
         for serial, block in enumerate(blocks(batches)):
             name = part << 24 | serial
             words, place = np.unique(block.tokens, return_inverse=True)
-            context = _context(block.before, contexts.value)
-            key, count = np.unique(place << 32 | context << 16 | block.doc, return_counts=True)
+            befores, at = np.unique(block.before, return_inverse=True)
+            key, count = np.unique((place * len(befores) + at) << 16 | block.doc, return_counts=True)
             pair, per_pair = np.unique(key >> 16, return_counts=True)
-            owner, bucket = pair >> 16, _bucket(words, buckets)
+            owner, context, bucket = pair // len(befores), befores[pair % len(befores)], _bucket(words, buckets)
             of_pair = bucket[owner]
             of_entry = np.repeat(of_pair, per_pair)
             ids = np.array([i if i is not None else 0 for i in block.ids], np.int64)
@@ -443,7 +551,7 @@ def ask(rows: DataFrame, contexts, buckets: int) -> DataFrame:
             out = [{"bucket": name % buckets, "kind": 1, "block": name, "words": ids.tobytes(), "pairs": block.sizes.astype("<i8").tobytes(), "context": null.tobytes(), "entries": block.held.tobytes(), "doc": b"", "count": b""}]
             for b in np.unique(bucket):
                 mine, pairs, entries = np.flatnonzero(bucket == b), of_pair == b, of_entry == b
-                row = _count_row(int(b), words[mine], np.searchsorted(mine, owner[pairs]), pair[pairs] & 0xFFFF, count[entries])
+                row = _count_row(int(b), words[mine], np.searchsorted(mine, owner[pairs]), context[pairs], count[entries])
                 out.append(row | {"kind": 2, "block": name, "entries": per_pair[pairs].astype("<u4").tobytes(), "doc": (key[entries] & 0xFFFF).astype("<u2").tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -468,12 +576,13 @@ class Bucket:
         seen = np.bincount(owner, weights=count, minlength=len(self.words))
         self.seen = seen
         self.parent = totals.parent(np.frombuffer(row["parent_customers"], "<f8"), np.frombuffer(row["parent_tables"], "<f8"))
+        context = _place(totals.contexts, context)
         placed = context > 0
-        self.key = owner[placed].astype(np.int64) << 16 | context[placed]
+        self.key = owner[placed].astype(np.int64) << 32 | context[placed]
         self.extra = (count[placed] - totals.discounts[0] * tables[placed]) / (STRENGTH[0] + totals.customers[context[placed]])
 
     def look_up(self, words: np.ndarray, owner: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For pairs: whether the word is known, and its base and model log10 probabilities."""
+        """For pairs (contexts by their places in the totals): whether the word is known, and its base and model log10 probabilities."""
         t = self.totals
         unknown = t.parent(np.zeros(1), np.zeros(1))[0]
         if len(self.words):
@@ -485,37 +594,45 @@ class Bucket:
             seen, parent = np.zeros(len(words)), np.full(len(words), unknown)
         p = t.back_off[context] * parent[owner]
         if len(self.key):
-            key = at[owner] << 16 | context
+            key = at[owner] << 32 | context
             place = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
             p += np.where((self.key[place] == key) & known[owner], self.extra[place], 0.0)
         base = np.log10((seen + 0.5) / (t.tokens + 0.5 * (t.vocabulary + 1)))
         return known[owner], base[owner], np.log10(p)
 
 
-def answer(asked: DataFrame, model: Model) -> DataFrame:
-    """Sums for each block and bucket, where the questions of a bucket meet its words."""
+def answer(asked: DataFrame, sent: DataFrame, model: Model) -> DataFrame:
+    """Sums for each block and bucket, where the questions of a bucket meet its words and the totals of their contexts."""
     spark = asked.sparkSession
-    shared, schema = spark.sparkContext.broadcast(model.totals), tx.arrow_schema(ANSWERED)
+    shared, schema = spark.sparkContext.broadcast(model.shared), tx.arrow_schema(ANSWERED)
     table = model.table.withColumn("kind", F.lit(0))
-    met = asked.unionByName(table, allowMissingColumns=True).repartition(model.buckets, "bucket").sortWithinPartitions("bucket", "kind", "block")
+    sent = sent.withColumn("kind", F.lit(-1))
+    met = asked.unionByName(table, allowMissingColumns=True).unionByName(sent, allowMissingColumns=True).repartition(model.buckets, "bucket").sortWithinPartitions("bucket", "kind", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, bucket = None, None
+        now, bucket, local, parts = None, None, None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
+                if row["bucket"] != now:
+                    now, bucket, local, parts = row["bucket"], None, None, []
+                if row["kind"] < 0:
+                    parts.append(row)
+                    continue
+                if local is None:
+                    local, parts = _local(parts, shared.value), []
                 if row["kind"] == 0:
-                    now, bucket = row["bucket"], Bucket(row, shared.value)
+                    bucket = Bucket(row, local)
                     continue
                 if row["kind"] == 1:
                     head = dict(zip(("doc", "known", "base", "score"), (row[n] for n in ("words", "pairs", "context", "entries"))))
                     yield pa.RecordBatch.from_pylist([head | {"block": row["block"], "bucket": -1}], schema)
                     continue
-                if now != row["bucket"]:
-                    now, bucket = row["bucket"], Bucket(None, shared.value)
+                if bucket is None:
+                    bucket = Bucket(None, local)
                 words = np.frombuffer(row["words"], tx.U64)
                 owner = np.repeat(np.arange(len(words)), np.frombuffer(row["pairs"], "<u4"))
-                known, base, score = bucket.look_up(words, owner, np.frombuffer(row["context"], "<u2"))
+                known, base, score = bucket.look_up(words, owner, _place(local.contexts, np.frombuffer(row["context"], tx.U64)))
                 entries = np.frombuffer(row["entries"], "<u4")
                 docs, where = np.unique(np.frombuffer(row["doc"], "<u2"), return_inverse=True)
                 count = np.frombuffer(row["count"], "<i8").astype(float)
@@ -530,10 +647,9 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
-    spark = rows.sparkSession
-    asked = ask(rows, spark.sparkContext.broadcast(model.totals.contexts), model.buckets)
-    answered = answer(asked, model).repartition("block").sortWithinPartitions("block", "bucket")
-    tokens, schema = model.totals.tokens, tx.arrow_schema(RESULT)
+    sent = context_totals(model.sums, model.buckets, needs(rows, model.buckets))
+    answered = answer(ask(rows, model.buckets), sent, model).repartition("block").sortWithinPartitions("block", "bucket")
+    tokens, schema = model.shared.tokens, tx.arrow_schema(RESULT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in tx.groups(batches):

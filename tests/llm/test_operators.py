@@ -499,6 +499,50 @@ def test_op1_learns_what_follows(spark):
     assert again == {r.doc_id: r.score for r in pitman_yor.score(df, model).collect()}
 
 
+def test_op1_every_word_is_a_context(spark):
+    """Also words that make up less than 1e-4 of the tokens, and each with all of its customers."""
+    rng = random.Random(14)
+    rows = [(i, " ".join([f"w{rng.randrange(30)}" for _ in range(100)] + [f"rare{i % 90}", f"after{i % 90}"])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pitman_yor.train(df)
+    want, words = Counter(), set()
+    for i, text in rows:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            tokens = ["\n", *text.split(), "\n"]
+            want.update(tokens[:-1])
+            words.update(tokens)
+    assert min(want.values()) < 1e-4 * sum(want.values())
+    hashes = dict(zip(tx.hash_words([w.encode() for w in words]).tolist(), words))
+    got = {hashes[c]: n for c, n in zip(model.totals.contexts.tolist(), model.totals.customers[1:].tolist())}
+    assert got == want
+    # what follows a rare word is known from its restaurant, and its probabilities sum to one
+    at = 1 + int(np.flatnonzero(model.totals.contexts == tx.hash_words([b"rare7"])[0])[0])
+    total, found = model.totals.parent(np.zeros(1), np.zeros(1))[0] * model.totals.back_off[at], 0.0
+    for row in model.table.collect():
+        bucket = pitman_yor.Bucket(row.asDict(), model.totals)
+        n = len(bucket.words)
+        p = 10.0 ** bucket.look_up(bucket.words, np.arange(n), np.full(n, at))[2]
+        total += p.sum()
+        found += p[bucket.words == tx.hash_words([b"after7"])[0]].sum()
+    assert abs(total - 1.0) < 1e-5 and found > 0.3
+
+
+def test_op1_scoring_needs_no_list_of_contexts(spark, docs):
+    """Documents that the model was not trained on: the sums over buckets equal a look-up in one place."""
+    rows = tx.text_rows(docs, "doc_id", "text")
+    model = pitman_yor.train(rows)
+    text = "the a the unseen-word a a the"
+    got = pitman_yor.score(spark.createDataFrame([(5, text)], "doc_id long, text string"), model).first().score
+    tokens = tx.hash_words([*text.encode().split(), b"\n"])
+    place = pitman_yor._place(model.totals.contexts, np.concatenate([tx.hash_words([b"\n"]), tokens[:-1]]))
+    tables = {r.bucket: r.asDict() for r in model.table.collect()}
+    want = 0.0
+    for word, at in zip(tokens, place):
+        bucket = pitman_yor.Bucket(tables.get(int(pitman_yor._bucket(np.array([word]), model.buckets)[0])), model.totals)
+        want += bucket.look_up(np.array([word]), np.zeros(1, int), np.array([at]))[2][0]
+    assert abs(got - want) < 1e-9
+
+
 def test_op1_seating_keeps_its_books():
     rng = np.random.default_rng(13)
     customers = np.array([0, 1, 2, 5, 40, 1000, 50_000])
