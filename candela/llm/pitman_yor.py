@@ -9,14 +9,14 @@ the corpus: the numbers of customers and tables of each are kept in the bucket o
 the context's word, added up there and sent to the buckets that hold a customer
 of it; nothing that grows is collected or broadcast.
 
-Sampling. A bucket holds all customers of its words in all restaurants. Tables
-are seated one customer after another, then Gibbs moves take a customer of each
-(context, word) from its table and seat it again: at a table in proportion to its
-size less the discount, or at a new one in proportion to the parent's
-probability. A new table sends a customer to the parent, an emptied one takes it
-back. Buckets run side by side with the totals of the last round; a first
-round's totals feed the second, whose samples are averaged. The totals of the
-averages close the model, so its probabilities sum to one.
+Sampling. A bucket holds all customers of its words in all restaurants. A sweep
+seats every customer of each (context, word) anew: the number of tables is drawn
+from its exact distribution given the customers, where a table of k weighs
+(1 - d)(2 - d) ... (k - 1 - d) times a new table's weight, in proportion to the
+parent's probability. Tables are the parent's customers, seated likewise. Buckets
+run side by side with the totals of the last round; a first round's totals feed
+the second, whose samples are averaged. The totals of the averages close the
+model, so its probabilities sum to one.
 
 Discounts come from the numbers of pairs and words seen once and twice. Random
 numbers depend on the seed, the round and the bucket only: a task that runs again
@@ -30,10 +30,11 @@ without customers: every token then has the uniform base's probability.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,11 @@ BLOCK_TOKENS = 700_000
 BLOCK_DOCS = 60_000
 BUCKET_TOKENS = 3_000_000
 LEAST_BUCKETS = 12
-#: Customers that are seated one by one; beyond, seats are drawn for an eighth of them at a time.
-ONE_BY_ONE = 48
+#: Cells of up to so many customers draw from a table of arrangements; for others it is computed for each, on a path of so many points.
+TABULATED = 512
+PATH = 192
+#: Pairs that a worker seats at a time.
+CELLS = 250_000
 #: White space is in no word, so this is nobody's hash but the end's.
 END = tx.hash_words([b"\n"])[0]
 #: Likewise; stands for the context of tokens that sit in the parent directly.
@@ -147,6 +151,11 @@ def _count_row(bucket: int, words: np.ndarray, owner: np.ndarray, context: np.nd
     return {"bucket": bucket, "words": words.tobytes(), "pairs": pairs.tobytes(), "context": context.astype("<u8").tobytes(), "count": count.astype("<i8").tobytes()}
 
 
+def _row(batch: pa.RecordBatch, i: int) -> dict:
+    """A row whose binary values are not copied."""
+    return {n: c[i].as_buffer() if pa.types.is_binary(c.type) else c[i].as_py() for n, c in zip(batch.schema.names, batch.columns)}
+
+
 def _read_counts(words: bytes, pairs: bytes, context: bytes, count: bytes) -> tuple[np.ndarray, ...]:
     names = np.frombuffer(words, tx.U64)
     owner = np.repeat(np.arange(len(names), dtype=np.int32), np.frombuffer(pairs, "<u4"))
@@ -230,93 +239,126 @@ class Totals:
         return out
 
 
+@lru_cache(4)
+def _arrangements(discount: float) -> list[np.ndarray]:
+    """For n customers, the log of the number of seatings at 1, 2, ... n tables, each weighted by (1 - d)(2 - d) ... of its sizes."""
+    out = [np.empty(0), np.zeros(1)]
+    for n in range(1, TABULATED):
+        stay = np.append(out[n] + np.log(n - discount * np.arange(1, n + 1)), -np.inf)
+        out.append(np.logaddexp(stay, np.append(-np.inf, out[n])))
+    return out
+
+
+def _few_tables(n: int, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Draws for cells of n customers each, n up to TABULATED."""
+    ways, t, out = _arrangements(discount)[n], np.arange(1, n + 1), np.empty(len(weight), np.int64)
+    step = max(1, (1 << 20) // n)
+    for at in range(0, len(weight), step):
+        odds = ways + np.log(weight[at : at + step, None]) * t
+        upto = np.cumsum(np.exp(odds - odds.max(1, keepdims=True)), axis=1)
+        out[at : at + step] = 1 + (upto[:, :-1] < rng.random((len(upto), 1)) * upto[:, -1:]).sum(1)
+    return out
+
+
+def table_odds(n: int, weight: float, discount: float) -> tuple[int, np.ndarray]:
+    """(t, probabilities of t, t + 1, ...) of a cell of many customers; they are within 1e-6 of the exact ones.
+
+    With m = weight / d, tables are m^t / t! times the chance that t sizes of
+    the law q(k) = d (1 - d) ... (k - 1 - d) / k! add up to n. That chance is the
+    coefficient of z^n in (1 - (1 - z)^d)^t, an integral over z = exp(-y) on a path
+    that crosses the real axis near the saddle: the vertical line where that
+    decays at once, else a hyperbola around the cut of negative y.
+    """
+    d, m = discount, weight / discount
+    low, high = -80.0, 80.0  # of log y: n customers are expected if sizes are weighted by exp(-y k)
+    for _ in range(60):
+        mid = (low + high) / 2
+        y = math.exp(mid)
+        if math.log(m * d) - y + (d - 1) * math.log(-math.expm1(-y)) > math.log(n):
+            low = mid
+        else:
+            high = mid
+    cross = max(math.exp(low), 1.0 / n)
+    share = -math.expm1(d * math.log(-math.expm1(-cross)))
+    mean = m * share
+    if n * cross > 100:
+        r = math.exp(-cross)
+        spread = math.sqrt(n * (1 + (1 - d) * r / (1 - r)))  # of the sum, for a free number of tables
+        spread = min(spread, math.sqrt(max(n * (1 + (1 - d) * r / (1 - r)) - n * n / mean, 0.25)))
+        u, step = np.linspace(0.0, min(math.pi, 12.0 / spread), PATH, retstep=True)
+        y, slope = cross + 1j * u, np.full(PATH, 1j)
+    else:
+        tilt = math.radians(20)
+        u, step = np.linspace(0.0, math.acosh(1.0 + 160.0 / (n * cross)) + 1.0, PATH, retstep=True)
+        scale = cross / (1 - math.sin(tilt))
+        y = scale * (1 - math.sin(tilt) * np.cosh(u) + 1j * math.cos(tilt) * np.sinh(u))
+        slope = scale * (1j * math.cos(tilt) * np.cosh(u) - math.sin(tilt) * np.sinh(u))
+    slope[0] /= 2
+    if n * cross > 100 and u[-1] == math.pi:
+        slope[-1] /= 2
+    with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
+        log_f = np.log(1 - np.exp(d * np.log(-np.expm1(-y)))) - math.log(share)
+    half = 7.5 * math.sqrt(mean) + 20.0
+    first, last = max(1, int(mean - half)), min(n, int(mean + half) + 1)
+    chance = np.empty(last - first + 1)
+    for at in range(first, last + 1, 2048):
+        t = np.arange(at, min(at + 2048, last + 1))
+        power = np.empty((len(t), PATH), complex)
+        power[0], power[1:] = np.exp(at * log_f + n * (y - cross)) * slope, np.exp(log_f)
+        chance[at - first : at - first + len(t)] = np.multiply.accumulate(power, axis=0).imag.sum(1) * step
+    t = np.arange(first, last + 1)
+    odds = t * math.log(mean) - np.cumsum(np.log(t)) + np.log(np.maximum(chance, 1e-300))
+    odds = np.exp(odds - odds.max())
+    return first, odds / odds.sum()
+
+
+def draw_tables(customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of cells, each from its exact distribution given its customers and its ``weight`` of a new table."""
+    tables = np.minimum(customers, 1)
+    order = np.argsort(customers, kind="stable")
+    order = order[np.searchsorted(customers[order], 2) :]
+    for cells in np.split(order, np.flatnonzero(np.diff(customers[order])) + 1) if len(order) else ():
+        n = int(customers[cells[0]])
+        if n <= TABULATED:
+            tables[cells] = _few_tables(n, weight[cells], discount, rng)
+            continue
+        for cell in cells:
+            first, odds = table_odds(n, float(weight[cell]), discount)
+            tables[cell] = first + min(int(np.searchsorted(np.cumsum(odds), rng.random(), "right")), len(odds) - 1)
+    return tables
+
+
 class Seating:
-    """Tables of cells (a word in a restaurant): their sizes, ordered by cell."""
+    """Customers and tables of cells (a word in a restaurant).
+
+    Given the tables of a cell, the sizes matter to nothing else: they are
+    integrated out, and in the books all but one table have one customer.
+    """
 
     def __init__(self, customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator):
         """Seats all customers. ``weight``: of a new table in each cell."""
         self.customers, self.discount, self.rng = customers, discount, rng
-        tables = np.minimum(customers, 1)
-        open_ = np.flatnonzero(customers > 1)
-        seated = 1
-        while len(open_):
-            step = np.minimum(customers[open_] - seated, 1 if seated < ONE_BY_ONE else seated // 8)
-            odds = weight[open_] / (weight[open_] + seated - discount * tables[open_])
-            tables[open_] += rng.binomial(step, odds)
-            seated += 1 if seated < ONE_BY_ONE else seated // 8
-            open_ = open_[customers[open_] > seated]
-        self.owner = np.repeat(np.arange(len(customers)), tables)
-        self.sizes = np.ones(len(self.owner), np.int64)
-        first = np.cumsum(tables) - tables
-        some = tables > 0
-        self.sizes[first[some]] += (customers - tables)[some]
+        self.sweep(weight)
+
+    @property
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.customers)), self.tables)
 
     @property
-    def tables(self) -> np.ndarray:
-        return np.bincount(self.owner, minlength=len(self.customers))
+    def sizes(self) -> np.ndarray:
+        out = np.ones(int(self.tables.sum()), np.int64)
+        some = self.tables > 0
+        out[(np.cumsum(self.tables) - self.tables)[some]] += (self.customers - self.tables)[some]
+        return out
 
     def resize(self, customers: np.ndarray) -> None:
-        """The parent's cells follow their children: customers come to the first table or leave the largest ones."""
-        change = customers - np.bincount(self.owner, weights=self.sizes, minlength=len(customers)).astype(np.int64)
-        tables = self.tables
-        first = np.cumsum(tables) - tables
-        came = np.flatnonzero((change > 0) & (tables > 0))
-        self.sizes[first[came]] += change[came]
-        fresh = np.flatnonzero((change > 0) & (tables == 0))
-        if len(fresh):
-            self._append(fresh, change[fresh])
-        left = np.flatnonzero(change < 0)
-        if len(left):
-            order = np.lexsort((-self.sizes, self.owner))  # largest tables first within a cell
-            upto = np.cumsum(self.sizes[order])
-            begin = upto - self.sizes[order]
-            owner = self.owner[order]
-            cell_start = np.zeros(len(customers), np.int64)
-            heads = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-            cell_start[owner[heads]] = begin[heads]
-            gone = np.minimum(change, 0) * -1
-            taken = np.clip(gone[owner] - (begin - cell_start[owner]), 0, self.sizes[order])
-            self.sizes[order] -= taken
-            self._drop_empty()
+        """The parent's cells follow their children."""
         self.customers = customers
-
-    def _append(self, cells: np.ndarray, sizes: np.ndarray) -> None:
-        owner = np.concatenate((self.owner, cells))
-        order = np.argsort(owner, kind="stable")
-        self.owner, self.sizes = owner[order], np.concatenate((self.sizes, sizes))[order]
-
-    def _drop_empty(self) -> None:
-        keep = self.sizes > 0
-        self.owner, self.sizes = self.owner[keep], self.sizes[keep]
+        self.tables = np.clip(self.tables, np.minimum(customers, 1), customers)
 
     def sweep(self, weight: np.ndarray) -> None:
-        """One Gibbs move in every cell of two customers or more: one of them leaves and is seated again."""
-        rng, d = self.rng, self.discount
-        cells = np.flatnonzero(self.customers > 1)
-        if not len(cells):
-            return
-        upto = np.cumsum(self.sizes)
-        total = np.cumsum(self.customers)
-        leaving = total[cells] - self.customers[cells] + np.floor(rng.random(len(cells)) * self.customers[cells]).astype(np.int64)
-        table = np.searchsorted(upto, leaving, "right")
-        self.sizes[table] -= 1
-        mass = np.where(self.sizes > 0, self.sizes - d, 0.0)
-        at = np.cumsum(mass)
-        tables = self.tables
-        first = np.cumsum(tables) - tables
-        before = np.where(first[cells] > 0, at[first[cells] - 1], 0.0)
-        here = at[first[cells] + tables[cells] - 1] - before
-        draw = rng.random(len(cells)) * (here + weight[cells])
-        old = draw < here
-        chosen = np.searchsorted(at, before[old] + draw[old], "right")
-        low = first[cells[old]]
-        np.add.at(self.sizes, np.clip(chosen, low, low + tables[cells[old]] - 1), 1)
-        new = cells[~old]
-        emptied = self.sizes[table[~old]] == 0
-        self.sizes[table[~old][emptied]] = 1  # the table that was left is as good as a new one
-        self._drop_empty()
-        if (~emptied).any():
-            self._append(new[~emptied], np.ones(int((~emptied).sum()), np.int64))
+        """All customers of every cell leave and are seated again."""
+        self.tables = draw_tables(self.customers, weight, self.discount, self.rng)
 
 
 def sample(words: np.ndarray, owner: np.ndarray, context: np.ndarray, count: np.ndarray, totals: Totals, rng: np.random.Generator, samples: int) -> tuple[np.ndarray, ...]:
@@ -365,9 +407,20 @@ def _local(parts: list[dict], shared: Totals) -> Totals:
     return replace(shared, contexts=contexts[order], customers=np.append(0.0, customers[order]), tables=np.append(0.0, tables[order]))
 
 
-def seat(counted: DataFrame, sums: DataFrame, totals: Totals, buckets: int, round_: int, samples: int) -> DataFrame:
+def _word_ranges(owner: np.ndarray, words: int) -> Iterator[tuple[slice, slice]]:
+    """Words that have about CELLS pairs together, and their pairs."""
+    upto = np.searchsorted(owner, np.arange(words + 1))
+    at = 0
+    while at < words:
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + CELLS, "right")) - 1)
+        yield slice(at, end), slice(int(upto[at]), int(upto[end]))
+        at = end
+
+
+def seat(counted: DataFrame, sums: DataFrame, totals: Totals, buckets: int, round_: int, samples: int, only_sums: bool = False) -> DataFrame:
+    """The model, or only its sums, made by the workers that seat it."""
     shared = counted.sparkSession.sparkContext.broadcast(totals)
-    schema = tx.arrow_schema(MODEL)
+    schema, sums_schema = tx.arrow_schema(MODEL), tx.arrow_schema(SUMS)
     met = counted.withColumn("kind", F.lit(1)).unionByName(context_totals(sums, buckets).withColumn("kind", F.lit(0)), allowMissingColumns=True)
     met = met.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
 
@@ -375,7 +428,7 @@ def seat(counted: DataFrame, sums: DataFrame, totals: Totals, buckets: int, roun
         sent: list[dict] = []
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
+                row = _row(batch, i)
                 if row["kind"] == 0:  # a bucket's contexts come before its customers
                     sent.append(row)
                     continue
@@ -383,12 +436,18 @@ def seat(counted: DataFrame, sums: DataFrame, totals: Totals, buckets: int, roun
                 rng = np.random.default_rng([SEED, round_, row["bucket"]])
                 local = _local(sent, shared.value)
                 sent = []
-                found = sample(words, owner, context, count, local, rng, samples)
-                out = {n: row[n] for n in ("bucket", "words", "pairs", "context", "count")}
-                out |= {n: x.astype("<f4" if n == "tables" else "<f8").tobytes() for n, x in zip(("tables", "parent_customers", "parent_tables"), found)}
-                yield pa.RecordBatch.from_pylist([out], schema)
+                found = [np.zeros(len(owner), "<f4"), np.zeros(len(words)), np.zeros(len(words))]
+                for mine, pairs in _word_ranges(owner, len(words)):  # words are seated independently of one another
+                    part = sample(words[mine], owner[pairs] - mine.start, context[pairs], count[pairs], local, rng, samples)
+                    for all_, at, x in zip(found, (pairs, mine, mine), part):
+                        all_[at] = x
+                if only_sums:
+                    yield pa.RecordBatch.from_pylist(_sum_rows(row["bucket"], words, owner, context, count, found, buckets), sums_schema)
+                    continue
+                same = [batch.column(n).slice(i, 1) for n in ("bucket", "words", "pairs", "context", "count")]
+                yield pa.RecordBatch.from_arrays([*same, *(pa.array([x.tobytes()], pa.binary()) for x in found)], schema=schema)
 
-    return tx.map_arrow(met, run, MODEL)
+    return tx.map_arrow(met, run, SUMS if only_sums else MODEL)
 
 
 #: Customers and tables of the contexts of bucket ``bucket`` in bucket ``source``. ``up``, once for each source:
@@ -396,32 +455,36 @@ def seat(counted: DataFrame, sums: DataFrame, totals: Totals, buckets: int, roun
 SUMS = "bucket int, source int, contexts binary, customers binary, tables binary, up array<double>"
 
 
+def _sum_rows(bucket: int, words: np.ndarray, owner: np.ndarray, context: np.ndarray, count: np.ndarray, found: list | None, buckets: int) -> list[dict]:
+    """``found``: the tables, the parent's customers and its tables. Before the first seating every pair has one table."""
+    placed = context != NONE
+    if found is not None:
+        tables = found[0].astype(float)[placed]
+        up = [float(found[1].sum()), float(found[2].sum()), 0.0, 0.0]
+    else:
+        tables = np.ones(int(placed.sum()))
+        sent = np.bincount(owner, weights=np.where(placed, 1, count), minlength=len(words))
+        up = [float(sent.sum()), float(len(words)), float((sent == 1).sum()), float((sent == 2).sum())]
+    up += [float((count[placed] == 1).sum()), float((count[placed] == 2).sum())]
+    contexts, where = np.unique(context[placed], return_inverse=True)
+    customers, tables = (np.bincount(where, weights=x, minlength=len(contexts)) for x in (count[placed], tables))
+    home = _bucket(contexts, buckets)
+    out = [{"bucket": -1, "source": bucket, "contexts": b"", "customers": b"", "tables": b"", "up": up}]
+    order = np.argsort(home, kind="stable")
+    for mine in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else ():
+        out.append({"bucket": int(home[mine[0]]), "source": bucket, "contexts": contexts[mine].tobytes(), "customers": customers[mine].tobytes(), "tables": tables[mine].tobytes(), "up": None})
+    return out
+
+
 def _sums(model: DataFrame, seated: bool, buckets: int) -> DataFrame:
-    """Before the first seating every pair has one table."""
     schema = tx.arrow_schema(SUMS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                words, owner, context, count = _read_counts(*(row[n] for n in ("words", "pairs", "context", "count")))
-                placed = context != NONE
-                if seated:
-                    tables = np.frombuffer(row["tables"], "<f4").astype(float)[placed]
-                    up = [float(np.frombuffer(row[n], "<f8").sum()) for n in ("parent_customers", "parent_tables")] + [0.0, 0.0]
-                else:
-                    tables = np.ones(int(placed.sum()))
-                    sent = np.bincount(owner, weights=np.where(placed, 1, count), minlength=len(words))
-                    up = [float(sent.sum()), float(len(words)), float((sent == 1).sum()), float((sent == 2).sum())]
-                up += [float((count[placed] == 1).sum()), float((count[placed] == 2).sum())]
-                contexts, where = np.unique(context[placed], return_inverse=True)
-                customers, tables = (np.bincount(where, weights=x, minlength=len(contexts)) for x in (count[placed], tables))
-                home = _bucket(contexts, buckets)
-                out = [{"bucket": -1, "source": row["bucket"], "contexts": b"", "customers": b"", "tables": b"", "up": up}]
-                order = np.argsort(home, kind="stable")
-                for mine in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else ():
-                    out.append({"bucket": int(home[mine[0]]), "source": row["bucket"], "contexts": contexts[mine].tobytes(), "customers": customers[mine].tobytes(), "tables": tables[mine].tobytes(), "up": None})
-                yield pa.RecordBatch.from_pylist(out, schema)
+                row = _row(batch, i)
+                found = [np.frombuffer(row[n], t) for n, t in (("tables", "<f4"), ("parent_customers", "<f8"), ("parent_tables", "<f8"))] if seated else None
+                yield pa.RecordBatch.from_pylist(_sum_rows(row["bucket"], *_read_counts(*(row[n] for n in ("words", "pairs", "context", "count"))), found, buckets), schema)
 
     return tx.map_arrow(model, run, SUMS)
 
@@ -500,7 +563,7 @@ def train(rows: DataFrame, context_share: float = 0.0) -> Model:
     counted = tx.write_table(customers(rows, spark.sparkContext.broadcast(contexts), buckets), "customers")
     sums = tx.write_table(_sums(counted, False, buckets), "sums")
     totals = _totals(sums, size.v, n, None)
-    sums = tx.write_table(_sums(seat(counted, sums, totals, buckets, 1, 1), True, buckets), "sums")
+    sums = tx.write_table(seat(counted, sums, totals, buckets, 1, 1, only_sums=True), "sums")
     first = _totals(sums, size.v, n, totals.discounts)
     table = tx.write_table(seat(counted, sums, first, buckets, 2, SAMPLES), "model")
     sums = tx.write_table(_sums(table, True, buckets), "sums")
@@ -613,7 +676,7 @@ def answer(asked: DataFrame, sent: DataFrame, model: Model) -> DataFrame:
         now, bucket, local, parts = None, None, None, []
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
+                row = _row(batch, i)
                 if row["bucket"] != now:
                     now, bucket, local, parts = row["bucket"], None, None, []
                 if row["kind"] < 0:
@@ -625,7 +688,7 @@ def answer(asked: DataFrame, sent: DataFrame, model: Model) -> DataFrame:
                     bucket = Bucket(row, local)
                     continue
                 if row["kind"] == 1:
-                    head = dict(zip(("doc", "known", "base", "score"), (row[n] for n in ("words", "pairs", "context", "entries"))))
+                    head = dict(zip(("doc", "known", "base", "score"), (row[n].to_pybytes() for n in ("words", "pairs", "context", "entries"))))
                     yield pa.RecordBatch.from_pylist([head | {"block": row["block"], "bucket": -1}], schema)
                     continue
                 if bucket is None:

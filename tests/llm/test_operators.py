@@ -543,6 +543,31 @@ def test_op1_scoring_needs_no_list_of_contexts(spark, docs):
     assert abs(got - want) < 1e-9
 
 
+def test_op1_tables_of_large_cells():
+    """Tables after one sweep, against the exact distribution by the recursion over customers."""
+    d, most, keep = 0.7, 400, (10, 100, 1000, 10_000, 100_000)
+    t = np.arange(most + 1)
+    ways, exact = np.where(t == 1, 0.0, -np.inf), {}
+    with np.errstate(invalid="ignore"):
+        for n in range(1, keep[-1]):
+            ways = np.logaddexp(ways + np.log(np.maximum(n - d * t, 1e-300)), np.append(-np.inf, ways[:-1]))
+            if n + 1 in keep:
+                exact[n + 1] = ways
+    for n in keep:
+        for weight in (0.05, 3.0, 60.0):
+            odds = np.where(t <= n, exact[n] + t * np.log(weight), -np.inf)
+            odds = np.exp(odds - odds.max())
+            odds /= odds.sum()
+            mean, spread = (odds * t).sum(), math.sqrt((odds * t * t).sum() - (odds * t).sum() ** 2)
+            draws = 400
+            seating = pitman_yor.Seating(np.full(draws, n), np.full(draws, weight), d, np.random.default_rng([15, n]))
+            seating.sweep(np.full(draws, weight))
+            assert abs(seating.tables.mean() - mean) < 5 * spread / math.sqrt(draws) + 1e-3, (n, weight)
+            if n > pitman_yor.TABULATED:
+                first, got = pitman_yor.table_odds(n, weight, d)
+                assert np.abs(got - odds[first : first + len(got)]).sum() < 1e-5
+
+
 def test_op1_seating_keeps_its_books():
     rng = np.random.default_rng(13)
     customers = np.array([0, 1, 2, 5, 40, 1000, 50_000])
