@@ -10,7 +10,8 @@ a fingerprint first. Shards with a single run hold no repeat. Where all runs of
 a shard are equal, all their windows repeat. Elsewhere the text of each distinct
 run is fetched once, and the shard decides. So what repeats is found at the cost
 of about two rows for each ``size - gram`` symbols of the corpus, and text moves
-only for shards that can hold a repeat.
+only for shards that can hold a repeat. A shard beyond SHARD_SYMBOLS is not
+gathered: its windows are counted by fingerprint, spread over all tasks.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from candela.llm import text as tx
 
 #: Symbols of a document that are looked at at a time.
 CHUNK = 1 << 20
-#: Symbols of a shard's distinct runs beyond which windows are compared by fingerprints instead.
+#: Symbols of a shard's distinct runs beyond which it is split by its windows' fingerprints.
 SHARD_SYMBOLS = 60_000
 _LOW = tx.U64((1 << 24) - 1)
 
@@ -124,17 +125,17 @@ def shared_runs(found: DataFrame) -> DataFrame:
 
 
 def contents(rows: DataFrame, distinct: DataFrame, units: Units, size: int) -> DataFrame:
-    """The text of one occurrence of each distinct run: the key's columns, n, symbols (bytes)."""
-    wanted = distinct.groupBy("_key").agg(F.collect_list(F.struct(*KEY, "start", "n")).alias("runs"))
+    """The text of one occurrence of each distinct run: the key's columns, n, symbols (bytes), large."""
+    wanted = distinct.groupBy("_key").agg(F.collect_list(F.struct(*KEY, "start", "n", "large")).alias("runs"))
     joined = rows.select("_key", "text").join(wanted, "_key").select("text", "runs")
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        out: dict[str, list] = {n: [] for n in (*KEY, "n", "symbols")}
+        out: dict[str, list] = {n: [] for n in (*KEY, "n", "symbols", "large")}
         held = 0
         for text, wanted in zip(tx.binary(batch.column(0)), batch.column(1).to_pylist()):
             symbols = units.split(text)
             for r in wanted:
-                for n in (*KEY, "n"):
+                for n in (*KEY, "n", "large"):
                     out[n].append(r[n])
                 out["symbols"].append(units.pack(symbols[r["start"] : r["start"] + r["run"] + size - 1]))
                 held += len(out["symbols"][-1])
@@ -144,17 +145,7 @@ def contents(rows: DataFrame, distinct: DataFrame, units: Units, size: int) -> D
         if held:
             yield out
 
-    return tx.map_batches(joined, run, "shard long, content long, run int, place int, n long, symbols binary")
-
-
-def by_fingerprint(symbols: list, run: list[int], n: list[int], units: Units, size: int) -> list[np.ndarray]:
-    """Which windows of each run occur more than once in the shard, by their fingerprints: memory is eight bytes a window."""
-    grams = [tx.RollingHash(units.hashes(s)).grams(size) for s in symbols]
-    flat = np.concatenate(grams)
-    weight = np.repeat(np.array(n), run)
-    _, where = np.unique(flat, return_inverse=True)
-    more = np.bincount(where, weights=weight) > 1
-    return np.split(more[where], np.cumsum(run)[:-1])
+    return tx.map_batches(joined, run, "shard long, content long, run int, place int, n long, symbols binary, large boolean")
 
 
 def spans_of(hit: np.ndarray, size: int) -> list[int]:
@@ -193,10 +184,7 @@ def decide(fetched: DataFrame, units: Units, size: int, method: Decide) -> DataF
             members = list(seen.values())
             symbols = [units.unpack(m[4]) for m in members]
             length, place, n = ([m[i] for m in members] for i in (1, 2, 3))
-            if sum(map(len, symbols)) > SHARD_SYMBOLS:
-                flags = by_fingerprint(symbols, length, n, units, size)
-            else:
-                flags = method(symbols, place, length, n)
+            flags = method(symbols, place, length, n)
             for m, hit in zip(members, flags):
                 found = spans_of(np.ones(m[1], bool) if m[3] > 1 else hit, size)
                 if found:
@@ -211,13 +199,54 @@ def decide(fetched: DataFrame, units: Units, size: int, method: Decide) -> DataF
     return tx.map_arrow(ordered, run, "shard long, content long, run int, place int, spans array<int>")
 
 
+def decide_large(fetched: DataFrame, units: Units, size: int) -> DataFrame:
+    """The same as ``decide``, by the fingerprints of windows: a shard is spread over all of them."""
+
+    def windows(batch: pa.RecordBatch) -> Iterator[dict]:
+        names = (*KEY, "n", "print", "at")
+        out: dict[str, list] = {n: [] for n in names}
+        held = 0
+        for *key, n, symbols in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            prints = tx.RollingHash(units.hashes(units.unpack(symbols))).grams(size).view(np.int64)
+            for name, value in zip(names, (*key, n)):
+                out[name].append(np.full(len(prints), value, np.int64))
+            out["print"].append(prints)
+            out["at"].append(np.arange(len(prints)))
+            held += len(prints)
+            if held > 100_000:
+                yield {n: np.concatenate(v) for n, v in out.items()}
+                out, held = {n: [] for n in names}, 0
+        if held:
+            yield {n: np.concatenate(v) for n, v in out.items()}
+
+    def spans(batch: pa.RecordBatch) -> Iterator[dict]:
+        out: dict[str, list] = {n: batch.column(i).to_pylist() for i, n in enumerate(KEY)}
+        out["spans"] = []
+        for run, places in zip(out["run"], batch.column(4).to_pylist()):
+            hit = np.zeros(run, bool)
+            hit[places] = True
+            out["spans"].append(spans_of(hit, size))
+        yield out
+
+    # repeated rows of a document fetch a run more than once: equal rows are one
+    flat = tx.map_batches(fetched, windows, "shard long, content long, run int, place int, n long, print long, at int").distinct()
+    counted = flat.groupBy("shard", "print").agg(F.sum("n").alias("c")).where("c > 1").select("shard", "print")
+    found = flat.join(counted, ["shard", "print"]).groupBy(*KEY).agg(F.collect_list("at").alias("at"))
+    return tx.map_batches(found, spans, "shard long, content long, run int, place int, spans array<int>")
+
+
 def repeated_spans(rows: DataFrame, units: Units, size: int, gram: int, method: Decide) -> DataFrame:
     """_key and ``spans`` (structs of start and end in symbols): what windows that occur elsewhere too cover."""
     shared = tx.write_table(shared_runs(runs(rows, units, size, gram)), "runs")
     mixed = shared.where("mixed").drop("mixed")
     first = mixed.groupBy(*KEY).agg(F.sum(F.size("starts")).alias("n"), F.min(F.struct("_key", F.get("starts", F.lit(0)).alias("start"))).alias("first"))
-    distinct = first.select(*KEY, "n", "first._key", "first.start")
-    decided = decide(contents(rows, distinct, units, size), units, size, method)
+    symbols = mixed.select(*KEY).distinct().groupBy("shard").agg(F.sum(F.col("run") + F.lit(size - 1)).alias("symbols"))
+    large = tx.write_table(symbols.where(F.col("symbols") > SHARD_SYMBOLS).select("shard", F.lit(True).alias("large")), "large")
+    distinct = first.join(large, "shard", "left").select(*KEY, "n", "first._key", "first.start", F.coalesce("large", F.lit(False)).alias("large"))
+    fetched = contents(rows, distinct, units, size)
+    decided = decide(fetched.where("not large").drop("large"), units, size, method)
+    if not large.isEmpty():
+        decided = decided.unionByName(decide_large(fetched.where("large").drop("large"), units, size))
     pairs = F.transform(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)), lambda i: F.struct(F.get("spans", i).alias("from"), F.get("spans", i + 1).alias("to")))
     at = lambda start, first, last: F.struct((start + first).alias("start"), (start + last).alias("end"))
     within = F.flatten(F.transform("starts", lambda s: F.transform("pairs", lambda p: at(s, p["from"], p["to"]))))

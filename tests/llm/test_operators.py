@@ -412,6 +412,29 @@ def test_op8_op10_shared_middles(spark, seed, monkeypatch):
         assert rows_of(suffix_sort.string_report(df), "doc_id", "n_removed") == want
 
 
+def test_op8_op10_large_shards_are_not_gathered(spark, monkeypatch):
+    """A shard beyond the limit never meets in one task; repeated rows of a document do not count twice."""
+    rng = random.Random(16)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"{' '.join(f's{rng.randrange(10**6)}' for _ in range(40))} {passage} {' '.join(f's{rng.randrange(10**6)}' for _ in range(40))}") for i in range(12)]
+    rows += [rows[0], (50, " ".join(f"alone{i}" for i in range(60)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    limit, gathered, decide = 2000, [], repeats.decide
+
+    def watched(fetched, units, size, method):
+        gathered.append(fetched.groupBy("shard").agg(F.sum(F.col("run") + size - 1).alias("n")).agg(F.max("n")).first()[0] or 0)
+        return decide(fetched, units, size, method)
+
+    monkeypatch.setattr(repeats, "decide", watched)
+    monkeypatch.setattr(repeats, "SHARD_SYMBOLS", limit)
+    for report, split, size in ((automaton.passage_report, brute.words, 35), (suffix_sort.string_report, lambda t: t.encode(), 200)):
+        for now in (limit, 300):
+            monkeypatch.setattr(repeats, "SHARD_SYMBOLS", now)
+            want = Counter((d, sum(h)) for (d, _), _, h in repeats_of(rows, split, size))
+            assert rows_of(report(df), "doc_id", "n_removed") == want
+            assert gathered.pop() <= now
+
+
 def test_deep_shallow_sort():
     rng = random.Random(9)
     for t in range(600):
