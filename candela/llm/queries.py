@@ -6,6 +6,7 @@ from candela.llm import oracle
 from candela.llm.automaton import op8_suffix_automata
 from candela.llm.bpe import op2_byte_bpe
 from candela.llm.decontaminate import op6_decontamination
+from candela.llm.hard_negatives import op11_hard_negatives
 from candela.llm.near_dup import op3_near_dup
 from candela.llm.pii import op9_pii
 from candela.llm.pitman_yor import op1_pitman_yor
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_suffix_automata": op8_suffix_automata,
     "op9_pii": op9_pii,
     "op10_suffix_sort": op10_suffix_sort,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 #: The others' results are no SQL: token ids, sampled scores, tilings, spans in code points, bytes.
 ORACLE = {
@@ -32,4 +34,5 @@ ORACLE = {
     "op5_warc": oracle.OP5,
     "op7_quality_rules": oracle.OP7,
     "op8_suffix_automata": oracle.OP8,
+    "op11_hard_negatives": oracle.OP11,
 }
