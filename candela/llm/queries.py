@@ -7,6 +7,7 @@ from candela.llm.automaton import op8_suffix_automata
 from candela.llm.bpe import op2_byte_bpe
 from candela.llm.decontaminate import op6_decontamination
 from candela.llm.hard_negatives import op11_hard_negatives
+from candela.llm.mixture import op12_mixture
 from candela.llm.near_dup import op3_near_dup
 from candela.llm.pii import op9_pii
 from candela.llm.pitman_yor import op1_pitman_yor
@@ -27,8 +28,9 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_suffix_sort": op10_suffix_sort,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_mixture": op12_mixture,
 }
-#: The others' results are no SQL: token ids, sampled scores, tilings, spans in code points, bytes.
+#: The others' results are no SQL: token ids, sampled scores, tilings, spans in code points, bytes, draws.
 ORACLE = {
     "op3_near_dup": oracle.OP3,
     "op5_warc": oracle.OP5,
