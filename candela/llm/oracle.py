@@ -87,3 +87,19 @@ SELECT p.anchor_id, positive_id,
 FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
   AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) <= 10"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13 = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+tfs AS (SELECT r, doc_id, term, count(*) AS tf FROM (SELECT r, doc_id, unnest(ts) AS term FROM d) GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY 1),
+ws AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM dfs, total),
+ms AS (SELECT r, 100 - 90 + (90 * len(ts) * n_docs) // n_terms AS m FROM d, total WHERE len(ts) > 0),
+scores AS (
+  SELECT item_id, tfs.r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN tfs USING (term) JOIN ws USING (term) JOIN ms ON ms.r = tfs.r GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10"""

@@ -7,6 +7,7 @@ from candela.llm.automaton import op8_suffix_automata
 from candela.llm.bpe import op2_byte_bpe
 from candela.llm.decontaminate import op6_decontamination
 from candela.llm.hard_negatives import op11_hard_negatives
+from candela.llm.lexical_search import op13_lexical_search
 from candela.llm.mixture import op12_mixture
 from candela.llm.near_dup import op3_near_dup
 from candela.llm.pii import op9_pii
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_suffix_sort": op10_suffix_sort,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_mixture": op12_mixture,
+    "op13_lexical_search": op13_lexical_search,
 }
 #: The others' results are no SQL: token ids, sampled scores, tilings, spans in code points, bytes, draws.
 ORACLE = {
@@ -37,4 +39,5 @@ ORACLE = {
     "op7_quality_rules": oracle.OP7,
     "op8_suffix_automata": oracle.OP8,
     "op11_hard_negatives": oracle.OP11,
+    "op13_lexical_search": oracle.OP13,
 }
