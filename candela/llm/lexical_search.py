@@ -50,8 +50,8 @@ TABLE = 1 << 24
 #: Positions of each list that the first step reads; every step doubles them.
 STEP = 16
 SALTS = 16
-#: Bytes of a text that are cut into terms at once.
-PIECE = 1 << 20
+#: Bytes of texts that are cut into terms at once.
+PIECE = 1 << 22
 
 # Fixed values of the score: m is 100 - B + B * n * N / L, impacts are w * (SCALE * tf) div (1000 * tf + 8 * m).
 B, SCALE = 90, 1_000_000_000
@@ -62,15 +62,9 @@ _TERM_BYTES = bytes(
 )
 
 
-def terms(text: bytes | None) -> Iterator[list[bytes]]:
-    """Terms of a text in order, in lists of bounded length."""
-    clean = (text or b"").translate(_TERM_BYTES)
-    at = 0
-    while at < len(clean):
-        end = clean.find(b" ", at + PIECE)
-        end = len(clean) if end < 0 else end
-        yield clean[at:end].split()
-        at = end
+def terms(text: bytes | None) -> set[bytes]:
+    """Distinct terms of a text."""
+    return set((text or b"").translate(_TERM_BYTES).split())
 
 
 SEGMENT = (
@@ -80,32 +74,60 @@ SEGMENT = (
 
 
 class _Segment:
-    """Postings of documents that come one after another."""
+    """Postings of documents that come one after another, counted PIECE bytes at a time."""
 
     def __init__(self):
         self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
-        self.ids, self.lengths, self.parts, self.postings = [], [], [], 0
+        self.ids, self.parts, self.postings = [], [], 0
+        self.waiting, self.bytes = [], 0
 
     def add(self, doc_id: int | None, text: bytes | None) -> None:
-        found = [np.fromiter(map(self.numbers.__getitem__, x), np.int64, len(x)) for x in terms(text) if x]
-        if not found:
+        clean = (text or b"").translate(_TERM_BYTES).strip()
+        if not clean:
             return
-        number, tf = np.unique(np.concatenate(found), return_counts=True)
-        self.parts.append((np.full(len(number), len(self.ids), np.int32), number, tf))
+        doc, at = len(self.ids), 0
         self.ids.append(doc_id)
-        self.lengths.append(int(tf.sum()))
-        self.postings += len(number)
+        while at < len(clean):
+            end = clean.find(b" ", at + PIECE)
+            end = len(clean) if end < 0 else end
+            self.waiting.append((doc, clean[at:end]))
+            self.bytes += end - at
+            at = end
+            if self.bytes >= PIECE:
+                self.count()
+
+    def count(self) -> None:
+        """Counts terms of the waiting texts by document."""
+        if not self.waiting:
+            return
+        words = pc.split_pattern(pa.array([x for _, x in self.waiting], pa.large_binary()), " ")
+        doc = np.repeat([d for d, _ in self.waiting], np.array(words.value_lengths()))
+        flat = words.flatten()
+        full = pc.greater(pc.binary_length(flat), 0)
+        encoded = flat.filter(full).dictionary_encode()
+        distinct = encoded.dictionary.to_pylist()
+        key, tf = np.unique(doc[np.array(full)] * len(distinct) + np.array(encoded.indices), return_counts=True)
+        number = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+        self.parts.append((key // len(distinct), number[key % len(distinct)], tf))
+        self.postings += len(key)
+        self.waiting, self.bytes = [], 0
 
     @property
     def full(self) -> bool:
         return len(self.ids) >= SEGMENT_DOCS or self.postings >= SEGMENT_POSTINGS
 
     def row(self, key: int) -> dict:
+        self.count()
         doc, number, tf = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.argsort(number, kind="stable")
+        order = np.lexsort((doc, number))
+        doc, number, tf = doc[order], number[order], tf[order]
+        first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (number[1:] != number[:-1]))))
+        doc, number, tf = doc[first], number[first], np.add.reduceat(tf, first)  # a long text has several parts
+        length = np.zeros(len(self.ids), np.int64)
+        np.add.at(length, doc, tf)
         return {
-            "segment": [key], "n_docs": [len(self.ids)], "n_terms": [sum(self.lengths)], "doc_id": [self.ids], "length": [self.lengths],
-            "term": [list(self.numbers)], "df": [np.bincount(number, minlength=len(self.numbers))], "doc": [doc[order]], "tf": [tf[order]],
+            "segment": [key], "n_docs": [len(self.ids)], "n_terms": [int(length.sum())], "doc_id": [self.ids], "length": [length],
+            "term": [list(self.numbers)], "df": [np.bincount(number, minlength=len(self.numbers))], "doc": [doc], "tf": [tf],
         }
 
 
@@ -130,7 +152,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def queries(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(item, item_id, term) of all items, written: a row for each distinct term."""
     def run(batch: pa.RecordBatch) -> dict:
-        found = [sorted({t for x in terms(text) for t in x}) for text in tx.binary(batch.column(2))]
+        found = [sorted(terms(text)) for text in tx.binary(batch.column(2))]
         sizes = [len(x) for x in found]
         at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
         return {"item": batch.column(0).take(at), "item_id": batch.column(1).take(at), "term": [t for x in found for t in x]}
