@@ -145,6 +145,10 @@ def all_alerts(market_trends: DataFrame, rules: AlertRules = DEFAULT_RULES) -> D
 
 
 def latest_alerts(alerts: DataFrame, n: int = 20, per: str = "symbol") -> DataFrame:
-    """The ``n`` newest alerts per symbol (ties by alert type). Planned as a WindowGroupLimit."""
-    w = Window.partitionBy(per).orderBy(F.col("timestamp").desc(), F.col("alert_type"))
+    """The ``n`` newest alerts per symbol. Planned as a WindowGroupLimit.
+
+    Ties by alert type, severity, message and metadata: alerts that agree in all are equal rows.
+    """
+    w = Window.partitionBy(per).orderBy(
+        F.col("timestamp").desc(), "alert_type", "severity", "message", F.to_json("metadata"))
     return alerts.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= n).drop("_rk")

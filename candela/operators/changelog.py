@@ -28,6 +28,7 @@ from candela.operators.partials import (
     LARGE_TRADE_THRESHOLD,
     LOW_CEILING,
     interval_label,
+    trade_partials,
     with_order_key,
 )
 from candela.operators.trends import HISTORY, trends
@@ -37,13 +38,15 @@ from candela.plans.ordered import running
 ORDER_KEY_MICROS = 10**18  # packed order key = micros * 10^18 + trade_id
 
 
-def _bucket_of_key(micros: int) -> F.Column:
+def bucket_of_key(micros: int) -> F.Column:
     return F.floor(F.col("_ok") / F.lit(str(ORDER_KEY_MICROS * micros)).cast("decimal(38,0)")).cast("bigint")
 
 
-def _running_partials(
-    trades: DataFrame, interval: str, time_col: str, bucket_micros: int, large_threshold: str
+def running_partials(
+    trades: DataFrame, interval: str, time_col: str = "trade_time", bucket_micros: int = 1_000_000,
+    large_threshold: str = LARGE_TRADE_THRESHOLD, carried: DataFrame | None = None,
 ) -> DataFrame:
+    """The running state of each trade's window. ``carried``: see ``carried_windows``."""
     t = with_order_key(trades, time_col)
     n = F.col("price") * F.col("quantity")
     sell = F.col("is_buyer_maker")
@@ -60,14 +63,14 @@ def _running_partials(
         "volume": ("sum", F.col("_n")),
         "base_volume": ("sum", F.col("quantity")),
         "trade_count": ("sum", F.lit(1).cast("bigint")),
-        "buy_volume": ("sum", F.when(~F.col("_sell"), F.col("_n")).otherwise(zero)),
-        "sell_volume": ("sum", F.when(F.col("_sell"), F.col("_n")).otherwise(zero)),
+        "buy_volume": ("sum", F.coalesce(F.when(~F.col("_sell"), F.col("_n")), zero)),
+        "sell_volume": ("sum", F.coalesce(F.when(F.col("_sell"), F.col("_n")), zero)),
         "buy_trades": ("sum", F.when(~F.col("_sell"), 1).otherwise(0).cast("bigint")),
         "sell_trades": ("sum", F.when(F.col("_sell"), 1).otherwise(0).cast("bigint")),
         "large_trades": ("sum", F.when(F.col("_large"), 1).otherwise(0).cast("bigint")),
         "large_trade_volume": ("sum", F.when(F.col("_large"), F.col("_n")).otherwise(zero)),
     }
-    r = running(t, ["symbol", "window_start"], "_ok", _bucket_of_key(bucket_micros), aggs)
+    r = running(t, ["symbol", "window_start"], "_ok", bucket_of_key(bucket_micros), aggs, carried)
     return r.select(
         "symbol", "window_start", "window_end", "trade_id", "_ok",
         F.coalesce(F.col("_open"), F.lit("0").cast("decimal(18,8)")).alias("open"),
@@ -85,9 +88,65 @@ def _running_partials(
     )
 
 
+def carried_windows(emissions: DataFrame) -> DataFrame:
+    """The running values behind the last emission of each window, for the trades after it."""
+    return emissions.select(
+        "symbol", "window_start", F.nullif(F.col("open"), F.lit("0").cast("decimal(18,8)")).alias("_open"), F.col("high").alias("_hi"),
+        F.col("low").alias("_lo"), "volume", "base_volume", "trade_count", "buy_volume", "sell_volume", "buy_trades",
+        "sell_trades", "large_trades", "large_trade_volume",
+    )
+
+
+def market_rows(p: DataFrame, label: str, extra: list[str] | None = None) -> DataFrame:
+    """Bar and volume-analytics columns of running partials."""
+    out = p.select(
+        "symbol", F.lit(label).alias("interval"), "window_start", "window_end", "trade_id", "_ok", *(extra or []),
+        *bar_columns(p), *volume_columns(p),
+    )
+    return out.withColumn("volume_trend", volume_trend(F.col("buy_volume_ratio")))
+
+
+def coalesced(emissions: DataFrame, tick_micros: int = 1_000_000) -> DataFrame:
+    """Commit-interval coalescing: of a window's emissions the last of each tick, by ``_ok``.
+
+    The clock is the time in the order key, so a replay keeps the same rows. ``tick`` numbers the ticks since 1970.
+    """
+    rest = [c for c in emissions.columns if c not in ("symbol", "window_start")]
+    tick = bucket_of_key(tick_micros).alias("tick")
+    last = emissions.groupBy("symbol", "window_start", tick).agg(F.max_by(F.struct(*rest), "_ok").alias("_last"))
+    return last.select("symbol", "window_start", "tick", *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
+def bars_changelog_ticks(trades: DataFrame, interval: str = "1 minute", tick: str = "1 second", label: str | None = None,
+                         time_col: str = "trade_time", bucket: str = "1 hour") -> DataFrame:
+    """W4 at the commit interval: the rows of ``coalesced(bars_changelog(...))``, from partials of ticks.
+
+    Trades are combined to one partial per (symbol, window, tick) before the shuffle, and the
+    two-level scan runs over ticks, in ``bucket`` long runs, instead of trades. ``tick`` must divide the window.
+    """
+    p = trade_partials(trades, tick, time_col=time_col, keep_order=True)
+    p = p.withColumn("_tick_start", F.col("window_start")).withColumn("_w", F.window("_tick_start", interval))
+    p = p.withColumn("window_start", F.col("_w.start")).withColumn("window_end", F.col("_w.end"))
+    p = p.withColumn("_b", F.window("_tick_start", bucket)["start"])
+    aggs = {
+        "_open_nz": ("first", F.when(F.col("open") != 0, F.col("open"))), "_hi": ("max", F.col("high")), "_lo": ("min", F.col("low")),
+        "_volume": ("sum", F.col("volume")), "_base": ("sum", F.col("base_volume")), "_count": ("sum", F.col("trade_count")),
+    }
+    r = running(p, ["symbol", "window_start"], "_last_ok", F.col("_b"), aggs)
+    r = r.select(
+        "symbol", F.lit(label or interval_label(interval)).alias("interval"), "window_start", "window_end", "_tick_start", "_last_ok",
+        F.coalesce("_open_nz", F.lit("0").cast("decimal(18,8)")).alias("open"), F.col("_hi").alias("high"), F.col("_lo").alias("low"),
+        "close", F.col("_volume").cast("decimal(38,16)").alias("volume"), F.col("_base").cast("decimal(38,8)").alias("base_volume"),
+        F.col("_count").alias("trade_count"),
+    )
+    # the low digits of the order key are the trade's id
+    trade = (F.col("_last_ok") % F.lit(str(ORDER_KEY_MICROS)).cast("decimal(19,0)")).cast("bigint")
+    return r.select("symbol", "interval", "window_start", "window_end", F.col("_tick_start").alias("tick_start"), trade.alias("trade_id"), *bar_columns(r))
+
+
 def bars_changelog(trades: DataFrame, interval: str = "1 minute", label: str | None = None,
                    time_col: str = "trade_time", bucket_micros: int = 1_000_000) -> DataFrame:
-    p = _running_partials(trades, interval, time_col, bucket_micros, LARGE_TRADE_THRESHOLD)
+    p = running_partials(trades, interval, time_col, bucket_micros, LARGE_TRADE_THRESHOLD)
     return p.select(
         "symbol", F.lit(label or interval_label(interval)).alias("interval"), "window_start", "window_end",
         "trade_id", "_ok", *bar_columns(p),
@@ -98,12 +157,8 @@ def market_changelog(trades: DataFrame, interval: str = "1 minute", label: str |
                      time_col: str = "trade_time", bucket_micros: int = 1_000_000,
                      large_threshold: str = LARGE_TRADE_THRESHOLD) -> DataFrame:
     """Bar and volume-analytics columns of each emission in one row, from one running scan."""
-    p = _running_partials(trades, interval, time_col, bucket_micros, large_threshold)
-    out = p.select(
-        "symbol", F.lit(label or interval_label(interval)).alias("interval"), "window_start", "window_end",
-        "trade_id", "_ok", *bar_columns(p), *volume_columns(p),
-    )
-    return out.withColumn("volume_trend", volume_trend(F.col("buy_volume_ratio")))
+    p = running_partials(trades, interval, time_col, bucket_micros, large_threshold)
+    return market_rows(p, label or interval_label(interval))
 
 
 def alerts_changelog(trades: DataFrame, time_col: str = "trade_time", block_rows: int = 100_000,
@@ -116,14 +171,14 @@ def alerts_changelog(trades: DataFrame, time_col: str = "trade_time", block_rows
     cl = market_changelog(trades, time_col=time_col, bucket_micros=bucket_micros)
     extra = [c for c in cl.columns if c not in ("symbol", "window_start", "_ok")]
     rows = trends(cl, order_col="_ok", timestamp_col="window_end", strategy="blocked", block_rows=block_rows,
-                  extra=extra, bucket=_bucket_of_key(index_bucket_micros))
+                  extra=extra, bucket=bucket_of_key(index_bucket_micros))
     return all_alerts(rows)
 
 
 def volume_changelog(trades: DataFrame, interval: str = "1 minute", label: str | None = None,
                      time_col: str = "trade_time", bucket_micros: int = 1_000_000,
                      large_threshold: str = LARGE_TRADE_THRESHOLD) -> DataFrame:
-    p = _running_partials(trades, interval, time_col, bucket_micros, large_threshold)
+    p = running_partials(trades, interval, time_col, bucket_micros, large_threshold)
     out = p.select(
         "symbol", F.lit(label or interval_label(interval)).alias("interval"), "window_start", "window_end",
         "trade_id", *volume_columns(p),
@@ -146,20 +201,24 @@ def trends_changelog(trades: DataFrame, interval: str = "1 minute", time_col: st
     cl = bars_changelog(trades, interval, time_col=time_col, bucket_micros=bucket_micros)
     return trends(
         cl, order_col="_ok", timestamp_col="window_end", strategy="blocked",
-        block_rows=block_rows, extra=["trade_id"], bucket=_bucket_of_key(index_bucket_micros),
+        block_rows=block_rows, extra=["trade_id"], bucket=bucket_of_key(index_bucket_micros),
     )
 
 
 def strict_late_filter(trades: DataFrame, interval: str = "1 minute", time_col: str = "trade_time",
                        partition_col: str = "part", arrival_cols: tuple[str, ...] = ("arrival_seq", "trade_id"),
-                       bucket_rows: int = 100_000) -> DataFrame:
-    """Rows kept by a no-grace tumbling window in arrival order, with their window bounds."""
+                       bucket_rows: int = 100_000, carried: DataFrame | None = None) -> DataFrame:
+    """Rows kept by a no-grace tumbling window in arrival order, with their window bounds.
+
+    ``carried`` (``partition_col``, ``stream_us``): the largest event time of each source partition so far.
+    """
     ts_type = trades.schema[time_col].dataType
     t = trades.withColumn("_us", epoch_micros(F.col(time_col), ts_type)).withColumn(
         "_w", F.window(F.col(time_col), interval)
     )
     bucket = F.floor(F.col(arrival_cols[0]) / F.lit(bucket_rows)).cast("bigint")
-    r = running(t, [partition_col], list(arrival_cols), bucket, {"_stream_us": ("max", F.col("_us"))})
+    clock = None if carried is None else carried.withColumnRenamed("stream_us", "_stream_us")
+    r = running(t, [partition_col], list(arrival_cols), bucket, {"_stream_us": ("max", F.col("_us"))}, clock)
     end_us = epoch_micros(F.col("_w.end"), ts_type)
     return (
         r.filter(end_us > F.col("_stream_us"))
@@ -169,7 +228,7 @@ def strict_late_filter(trades: DataFrame, interval: str = "1 minute", time_col:
     )
 
 
-def price_history(bars_df: DataFrame, size: int = HISTORY) -> DataFrame:
+def price_history(bars_df: DataFrame, size: int = HISTORY, extra: list[str] | None = None) -> DataFrame:
     """The bounded per-symbol history after each bar: its size, oldest and newest close.
 
     Over final 1-minute bars (one row per symbol-minute) a per-symbol window is
@@ -178,7 +237,7 @@ def price_history(bars_df: DataFrame, size: int = HISTORY) -> DataFrame:
     keys = [c for c in ("symbol", "interval") if c in bars_df.columns]
     w = Window.partitionBy(*keys).orderBy("window_start").rowsBetween(-(size - 1), 0)
     return bars_df.select(
-        "symbol", "window_start",
+        "symbol", "window_start", *(extra or []),
         F.count(F.lit(1)).over(w).alias("history_size"),
         F.first("close").over(w).alias("oldest_price"),
         F.col("close").alias("newest_price"),

@@ -54,7 +54,10 @@ def trade_partials(
     time_col: str = "trade_time",
     order_key: str | None = None,
     large_threshold: str = LARGE_TRADE_THRESHOLD,
+    keep_order: bool = False,
 ) -> DataFrame:
+    """One row per (symbol, window). ``keep_order`` adds the order keys of open and close, so that partials of
+    parts of one window (micro-batches, ticks) can be merged."""
     t = with_order_key(trades, time_col, order_key)
     t = t.select(
         "symbol", F.window(F.col(time_col), interval).alias("_w"), "price", "quantity", "_ok",
@@ -64,6 +67,8 @@ def trade_partials(
     aggs = {
         "_open_nz": "min_by(price, CASE WHEN price <> 0 THEN _ok END)",
         "close": "max_by(price, _ok)",
+        "_first_ok": "min(CASE WHEN price <> 0 THEN _ok END)",
+        "_last_ok": "max(_ok)",
         "_max": "max(price)",
         "_min": "min(price)",
         "volume": "sum(_n)",
@@ -92,10 +97,25 @@ def trade_partials(
             "trade_count", "buy_volume", "sell_volume",
             "buy_trades", "sell_trades", "large_trades", "large_trade_volume",
             F.expr(f"CAST('{large_threshold}' AS DECIMAL(38,8))").alias("large_trade_threshold"),
+            *(["_first_ok", "_last_ok"] if keep_order else []),
         )
     )
 
 
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Partials (``keep_order``) of parts of the same windows as one row per window, in any grouping of the parts."""
+    sums = ["volume", "base_volume", "trade_count", "buy_volume", "sell_volume", "buy_trades", "sell_trades",
+            "large_trades", "large_trade_volume"]
+    merged = partials.groupBy("symbol", "_interval", "window_start", "window_end").agg(
+        F.min_by("open", "_first_ok").alias("_open"), F.max_by("close", "_last_ok").alias("close"),
+        F.max("high").alias("high"), F.min("low").alias("low"), *[F.sum(c).alias(c) for c in sums],
+        F.max("large_trade_threshold").alias("large_trade_threshold"),
+        F.min("_first_ok").alias("_first_ok"), F.max("_last_ok").alias("_last_ok"),
+    )
+    merged = merged.withColumn("open", F.coalesce("_open", _dec("0")))
+    return merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in partials.schema.fields])
+
+
 def expand_windows(partials: DataFrame, intervals: list[tuple[str, str]]) -> DataFrame:
     """Each fine partial row once per target window: columns ``_label`` and ``_w`` (start, end).
 

@@ -104,6 +104,15 @@ def rsi_zone(trends_df: DataFrame) -> DataFrame:
     return trends_df.select("symbol", "window_start", "rsi", zone.alias("rsi_zone"))
 
 
+SNAPSHOT_FIELDS = ("window_end", "close", "price_change_pct", "volume", "rsi", "trend_direction", "trend_strength")
+
+
+def snapshot_columns(newest: DataFrame) -> DataFrame:
+    """A13 + P13 of the newest rows."""
+    change = F.when(F.col("price_change_pct") >= 0, F.lit("up")).otherwise(F.lit("down")).alias("change_class")
+    return newest.select("symbol", "interval", *SNAPSHOT_FIELDS, change)
+
+
 def latest_snapshot(market: DataFrame) -> DataFrame:
     """A13 + P13: per symbol and interval, the newest bar and indicators; ``change_class`` up when pct >= 0.
 
@@ -120,9 +129,6 @@ def latest_snapshot(market: DataFrame) -> DataFrame:
     newest = Window.partitionBy("symbol", "interval").orderBy(F.col("window_start").desc())
     tail = market.withColumn("_rk", F.row_number().over(newest)).filter(F.col("_rk") <= HISTORY).drop("_rk")
     t = trends(tail, interval=None, extra=[c for c in tail.columns if c not in ("symbol", "window_start")])
-    fields = ["window_end", "close", "price_change_pct", "volume", "rsi", "trend_direction", "trend_strength"]
+    fields = list(SNAPSHOT_FIELDS)
     last = t.groupBy("symbol", "interval").agg(F.max_by(F.struct(*fields), "window_start").alias("_s"))
-    return last.select(
-        "symbol", "interval", *[F.col(f"_s.{f}").alias(f) for f in fields],
-        F.when(F.col("_s.price_change_pct") >= 0, F.lit("up")).otherwise(F.lit("down")).alias("change_class"),
-    )
+    return snapshot_columns(last.select("symbol", "interval", *[F.col(f"_s.{f}").alias(f) for f in fields]))

@@ -467,8 +467,8 @@ def changelog_cte(iv: str, name: str = "cl") -> str:
     price AS close,
     sum(price * quantity) OVER ({win}) AS volume, sum(quantity) OVER ({win}) AS base_volume,
     count(*) OVER ({win}) AS trade_count,
-    sum(CASE WHEN NOT is_buyer_maker THEN price * quantity ELSE 0 END) OVER ({win}) AS buy_volume,
-    sum(CASE WHEN is_buyer_maker THEN price * quantity ELSE 0 END) OVER ({win}) AS sell_volume,
+    COALESCE(sum(CASE WHEN NOT is_buyer_maker THEN price * quantity END) OVER ({win}), 0) AS buy_volume,
+    COALESCE(sum(CASE WHEN is_buyer_maker THEN price * quantity END) OVER ({win}), 0) AS sell_volume,
     sum(CASE WHEN NOT is_buyer_maker THEN 1 ELSE 0 END) OVER ({win}) AS buy_trades,
     sum(CASE WHEN is_buyer_maker THEN 1 ELSE 0 END) OVER ({win}) AS sell_trades,
     sum(CASE WHEN price * quantity > 10000 THEN 1 ELSE 0 END) OVER ({win}) AS large_trades,
@@ -490,6 +490,13 @@ SELECT symbol, '1h' AS interval, window_start, window_end, trade_id,
   CASE WHEN open = 0 THEN 0.0 ELSE {d(pct + ' * 100', 4)} END AS price_change_pct,
   {d(u8('base_volume'))} AS base_volume
 FROM cl"""
+    for name, tick in (("1s", "1 second"), ("10m", "10 minutes")):
+        thinned = f"""cl AS (
+  SELECT * FROM emissions
+  QUALIFY row_number() OVER (PARTITION BY symbol, window_start, time_bucket(INTERVAL '{tick}', trade_time)
+                             ORDER BY trade_time DESC, trade_id DESC) = 1)"""
+        every = changelog_cte("1 hour")
+        q[f"bars_changelog_{name}"] = q["bars_changelog"].replace(every, f"{changelog_cte('1 hour', 'emissions')},\n{thinned}")
     ratio = f"CASE WHEN volume > 0 THEN {halfup(u8('buy_volume') + ' * 10000', u8('volume'))} ELSE 5000 END"
     q["volume_changelog"] = f"""WITH {TRADES},
 {changelog_cte('1 hour')},
@@ -565,6 +572,26 @@ def stream_sql() -> dict[str, str]:
         f"SELECT * EXCLUDE (timestamp), epoch_us(timestamp) AS timestamp_us FROM ({alerts_sql('alerts_all')}) "
         f"WHERE timestamp <= (SELECT max(ts) FROM events)"
     )
+    # the windows that the watermark has closed, of views that depend on all of them
+    open_events = "FROM events"
+    closed_events = ("FROM (SELECT * FROM events WHERE time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' "
+                     "<= (SELECT max(ts) FROM events))")
+    top = alerts_top20_sql().replace(open_events, closed_events)
+    q["stream_alerts_top20"] = f"SELECT * EXCLUDE (timestamp), epoch_us(timestamp) AS timestamp_us FROM ({top})"
+    snapshot = views_sql()["latest_snapshot"].replace(open_events, closed_events)
+    q["stream_latest_snapshot"] = f"SELECT * EXCLUDE (window_end), epoch_us(window_end) AS window_end_us FROM ({snapshot})"
+    history = changelog_sql()["price_history"].replace(open_events, closed_events)
+    q["stream_price_history"] = f"SELECT * EXCLUDE (window_start), epoch_us(window_start) AS window_start_us FROM ({history})"
+    q["stream_feed_status"] = """WITH t AS (
+  SELECT event_type AS symbol, epoch_us(ts) AS us, count(*) AS n FROM events GROUP BY ALL),
+g AS (
+  SELECT symbol, us, sum(n) OVER w AS total, lag(us) OVER w AS before, lead(us) OVER w AS after FROM t
+  WINDOW w AS (PARTITION BY symbol ORDER BY us))
+SELECT symbol, 'UP' AS status, us AS at_us, CAST(total AS BIGINT) AS message_count, us AS last_message_time_us
+FROM g WHERE before IS NULL OR us - before >= 60000000
+UNION ALL
+SELECT symbol, 'DOWN', us + 60000000, CAST(total AS BIGINT), us
+FROM g WHERE coalesce(after, (SELECT max(us) FROM t)) - us >= 60000000"""
     return q
 
 
@@ -583,6 +610,11 @@ def oracle_sql() -> dict[str, str]:
     q.update(io_sql())
     q.update(changelog_sql())
     q.update(stream_sql())
+    # streams that end with the rows of a batch run
+    for name in ("bars_strict", "strict_late_filter", "bars_changelog", "bars_changelog_10m", "trends_changelog", "alerts_changelog", "trailing_window"):
+        q[f"stream_{name}"] = q[name]
+    q["stream_quarantine"] = q["quarantine_trades"]
+    q["symbol_series_stored"] = q["symbol_series"]
     q["sink_prices"], q["sink_volume"] = q["bars_all"], q["volume_all"]
     q["sink_trends"], q["sink_alerts"] = q["trends"], q["alerts_all"]
     q["trends_mixed"], q["alerts_mixed"] = q["trends"], q["alerts_price"]

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _bucketed(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
@@ -81,6 +82,16 @@ _COMBINE = {
 }
 
 
+def _combined(df: DataFrame, kind: str, before: str, value: str) -> Column:
+    """A prefix value and a later one together. A sum of two DECIMAL(38, s) would lose digits of s: 37 hold the terms."""
+    p, x = F.col(before), F.col(value)
+    dtype = df.schema[value].dataType
+    if kind == "sum" and isinstance(dtype, T.DecimalType) and dtype.precision == 38 and dtype.scale:
+        narrow = f"decimal(37,{dtype.scale})"
+        p, x = p.cast(narrow), x.cast(narrow)
+    return _COMBINE[kind](p, x)
+
+
 def _agg(kind: str, c: Column, frame: Window | None = None) -> Column:
     if kind == "first":
         fn = F.first(c, ignorenulls=True)
@@ -95,9 +106,13 @@ def running(
     order_col: str | list[str],
     bucket: Column,
     aggs: dict[str, tuple[str, Column]],
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Adds running aggregates ``name -> (kind, column)`` over rows ordered by ``order_col`` per ``keys``.
 
+    ``carried`` (``keys`` and a column per name, a row per key) holds the values of
+    rows that came before all of ``df``: a stream's earlier micro-batches.
+
     kinds: sum, max, min, first (first non-null value in order). The frame runs
     from the first row of the key through the current row. ``bucket`` as in
     ``dense_index``; each task holds one (key, bucket).
@@ -117,12 +132,19 @@ def running(
     totals = b.groupBy("_kb", "_key", "_bkt").agg(*[total(k, F.col(f"_v_{n}")).alias(f"_t_{n}") for n, (k, _) in aggs.items()])
     before = Window.partitionBy("_key").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(
-        "_kb", *[_agg(k, F.col(f"_t_{n}"), before).alias(f"_p_{n}") for n, (k, _) in aggs.items()]
+        "_kb", "_key", *[_agg(k, F.col(f"_t_{n}"), before).alias(f"_p_{n}") for n, (k, _) in aggs.items()]
     )
+    if carried is not None:
+        past = carried.select(F.struct(*keys).alias("_key"), *[F.col(n).alias(f"_c_{n}") for n in aggs])
+        prefix = prefix.join(past, "_key", "left")
+        prefix = prefix.select("_kb", "_key", *[
+            _combined(prefix, kind, f"_c_{n}", f"_p_{n}").alias(f"_p_{n}") for n, (kind, _) in aggs.items()
+        ])
+    prefix = prefix.drop("_key")
     within = Window.partitionBy("_kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = b.join(prefix, "_kb", "inner")
     out = joined.select("*", *[_agg(k, F.col(f"_v_{n}"), within).alias(f"_w_{n}") for n, (k, _) in aggs.items()])
     for name, (kind, _) in aggs.items():
-        out = out.withColumn(name, _COMBINE[kind](F.col(f"_p_{name}"), F.col(f"_w_{name}")))
+        out = out.withColumn(name, _combined(out, kind, f"_p_{name}", f"_w_{name}"))
     drop = ["_bkt", "_key", "_kb"] + [f"_{p}_{n}" for n in aggs for p in ("v", "p", "w")]
     return out.drop(*drop)

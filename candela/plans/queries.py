@@ -15,25 +15,40 @@ from pyspark.sql import functions as F
 from candela.operators.alerts import all_alerts, latest_alerts, price_alerts, trend_alerts, volume_alerts
 from candela.functions.format import human_number
 from candela.operators import views
-from candela.operators.bars import bar_change, bars, bars_multi, market_bars
+from candela.operators.bars import bar_change, bars, bars_multi, finish_bars, market_bars
 from candela.operators.catalog import stream_catalog
 from candela.operators.changelog import (
     alerts_changelog,
     bars_changelog,
+    bars_changelog_ticks,
+    market_rows,
     price_history,
     strict_late_filter,
     trends_changelog,
     volume_changelog,
 )
+from candela.operators.partials import merge_partials
 from candela.operators.views import alert_channels
 from candela.operators.trends import trends
 from candela.operators.volume import volume_analytics, volume_multi
 from candela.plans.publish import publish
 from candela.session import scratch_path
 from candela.sources.adapter import load_trades, read_table
-from candela.sources.decode import decode_trades, quarantine
-from candela.sources.io import from_records, publish_records, read_messages, subscribe, to_records
+from candela.functions.timecols import epoch_micros
+from candela.sources.decode import decode_trades, quarantine, quarantined
+from candela.sources.io import (
+    from_records,
+    publish_records,
+    read_messages,
+    read_series,
+    store_series,
+    subscribe,
+    to_records,
+)
 from candela.sources.wire import replay_messages, to_wire
+from candela.streaming.batches import newest_rows, read_carried, read_output, replay_in_parts, start_steps
+from candela.streaming.health import feed_status_stream
+from candela.streaming.steps import changelog_step, decode_step, market_step, strict_bars_step, trailing_step
 from candela.streaming.pipeline import (
     bars_stream,
     market_stream,
@@ -42,7 +57,6 @@ from candela.streaming.pipeline import (
     run_to_table,
     run_updates_to_table,
     trades_stream_from_events,
-    trends_stream,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,6 +252,15 @@ def q_symbol_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(b.select("symbol", "window_start", "open", "high", "low", "close", "volume", "trade_count"))
 
 
+@register("symbol_series_stored")
+def q_symbol_series_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 from a stored layout: one symbol's folder is read, the others are not."""
+    path = scratch_path(spark, "series")
+    store_series(load_trades(spark, sf_dir).select("symbol", "trade_time", "trade_id", "price", "quantity", "is_buyer_maker"), path)
+    b = bars(read_series(spark, path, SERIES_SYMBOL), "1 minute", "1m")
+    return publish(b.select("symbol", "window_start", "open", "high", "low", "close", "volume", "trade_count"))
+
+
 @register("rsi_zone")
 def q_rsi_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(views.rsi_zone(trends_1m(spark, sf_dir)))
@@ -382,6 +405,18 @@ def q_alerts_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_alerts(price_alerts(bars_multi(load_trades(spark, sf_dir))))
 
 
+@register("bars_changelog_1s")
+def q_bars_changelog_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 at the reference's commit interval: a window's last state in each second that changed it."""
+    return publish(bars_changelog_ticks(load_trades(spark, sf_dir), "1 hour", "1 second", "1h").drop("tick_start"))
+
+
+@register("bars_changelog_10m")
+def q_bars_changelog_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same at a tick that several trades share."""
+    return publish(bars_changelog_ticks(load_trades(spark, sf_dir), "1 hour", "10 minutes", "1h").drop("tick_start"))
+
+
 @register("strict_late_filter")
 def q_strict_late_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = strict_late_filter(load_trades(spark, sf_dir), "1 day")
@@ -431,18 +466,123 @@ def q_stream_bars_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _publish_stream(newest_updates(spark.read.parquet(path)))
 
 
+def _market_tables(spark: SparkSession, sf_dir: str, name: str, **step) -> str:
+    """Final 1-minute bars of the replay through ``market_step``; the folder of its tables."""
+    path = scratch_path(spark, name)
+    start_steps(market_stream(_replay(spark, sf_dir)), market_step(**step), path, state_partitions=_cores(spark)).awaitTermination()
+    return path
+
+
 @register("stream_trends")
 def q_stream_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars -> per-symbol stateful trend processor in one streaming query."""
-    path = run_to_table(trends_stream(bars_stream(_replay(spark, sf_dir))), "stream-trends",
-                        state_partitions=_cores(spark))
-    return _round_ema(_publish_stream(spark.read.parquet(path)))
+    """Bars -> indicators, the last 29 bars of each symbol carried from micro-batch to micro-batch."""
+    rows = read_output(spark, _market_tables(spark, sf_dir, "stream-trends"), "market")
+    return _round_ema(_publish_stream(rows.select("symbol", "window_start", "timestamp", *TREND_VIEWS["trends"])))
 
 
 @register("stream_alerts")
 def q_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eight rules from one stream of 1-minute partials: one scan, one trade aggregation."""
-    market = market_stream(_replay(spark, sf_dir))
-    rows = trends_stream(market, [c for c in market.columns if c not in ("symbol", "window_start")])
-    path = run_to_table(all_alerts(rows), "stream-alerts", state_partitions=_cores(spark))
-    return _publish_stream(publish_alerts(spark.read.parquet(path)))
+    path = _market_tables(spark, sf_dir, "stream-alerts", top=20)
+    return _publish_stream(publish_alerts(read_output(spark, path, "alerts")))
+
+
+@register("stream_alerts_top20")
+def q_stream_alerts_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L10 on a stream: the 20 newest alerts of each symbol, merged batch by batch."""
+    path = _market_tables(spark, sf_dir, "stream-top", top=20)
+    return _publish_stream(publish_alerts(read_carried(spark, path, "top_alerts")))
+
+
+@register("stream_latest_snapshot")
+def q_stream_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A13 on a stream: the newest bar and indicators of each symbol, replaced as bars close."""
+    path = _market_tables(spark, sf_dir, "stream-snapshot", snapshot=True)
+    return _publish_stream(views.snapshot_columns(read_carried(spark, path, "snapshot")))
+
+
+@register("stream_price_history")
+def q_stream_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6 on a stream."""
+    path = _market_tables(spark, sf_dir, "stream-history", history=True)
+    return _publish_stream(read_output(spark, path, "history"))
+
+
+# ---------------------------------------------------------------- streams in trade or arrival order, stopped and started between parts
+
+def _by_time(trades: DataFrame) -> F.Column:
+    return epoch_micros(F.col("trade_time"), trades.schema["trade_time"].dataType)
+
+
+@register("stream_bars_strict")
+def q_stream_bars_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5 on a stream: no-grace lateness by source partition in arrival order, then daily bars."""
+    path = replay_in_parts(load_trades(spark, sf_dir), F.col("arrival_seq"), strict_bars_step("1 day"), "stream-strict")
+    return publish(finish_bars(merge_partials(read_output(spark, path, "partials")), "1d"))
+
+
+@register("stream_strict_late_filter")
+def q_stream_strict_late_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5 on a stream: the rows kept."""
+    path = replay_in_parts(load_trades(spark, sf_dir), F.col("arrival_seq"), strict_bars_step("1 day"), "stream-kept")
+    kept = read_output(spark, path, "kept")
+    return publish(kept.select("part", "arrival_seq", "trade_id", "symbol", "trade_time", "window_start", "window_end"))
+
+
+@register("stream_bars_changelog")
+def q_stream_bars_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 on a stream: the bar after every trade."""
+    trades = load_trades(spark, sf_dir)
+    path = replay_in_parts(trades, _by_time(trades), changelog_step("1 hour", with_trends=False), "stream-changelog")
+    rows = market_rows(read_output(spark, path, "emissions"), "1h")
+    return publish(rows.select(*bars_changelog(trades, "1 hour", "1h").drop("_ok").columns))
+
+
+@register("stream_bars_changelog_10m")
+def q_stream_bars_changelog_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coalescing on a stream; of a tick that two micro-batches share the later row holds."""
+    trades = load_trades(spark, sf_dir)
+    step = changelog_step("1 hour", tick_micros=600_000_000, with_trends=False)
+    path = replay_in_parts(trades, _by_time(trades), step, "stream-ticks")
+    rows = newest_rows(read_output(spark, path, "ticks"), ["symbol", "window_start", "tick"], "_ok")
+    return publish(market_rows(rows, "1h").select(*bars_changelog(trades, "1 hour", "1h").drop("_ok").columns))
+
+
+@register("stream_trends_changelog")
+def q_stream_trends_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 on a stream: indicators after every trade."""
+    trades = load_trades(spark, sf_dir)
+    path = replay_in_parts(trades, _by_time(trades), changelog_step(), "stream-trade-trends")
+    rows = read_output(spark, path, "market")
+    return _round_ema(publish(rows.select("symbol", "window_start", "timestamp", "trade_id", *TREND_VIEWS["trends"])))
+
+
+@register("stream_alerts_changelog")
+def q_stream_alerts_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1-L8 on a stream at every emission."""
+    trades = load_trades(spark, sf_dir)
+    path = replay_in_parts(trades, _by_time(trades), changelog_step(), "stream-trade-alerts")
+    return publish_alerts(all_alerts(read_output(spark, path, "market")))
+
+
+@register("stream_trailing_window")
+def q_stream_trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 on a stream: the rows of the last ten minutes, older ones evicted."""
+    trades = views.trade_projection(load_trades(spark, sf_dir))
+    path = replay_in_parts(trades, _by_time(trades), trailing_step(), "stream-trailing")
+    return publish(read_carried(spark, path, "buffer").select("symbol", "trade_id", "trade_time", "price", "notional"))
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 on a stream: dead letters, written by the job that writes the trades."""
+    messages = replay_messages(read_table(spark, sf_dir, "events")).select("seq", "value")
+    path = replay_in_parts(messages, F.col("seq"), decode_step(keep=["seq"]), "stream-letters")
+    return quarantined(read_output(spark, path, "messages").filter(~F.col("valid")), ["seq"]).select("seq", "reason")
+
+
+@register("stream_feed_status")
+def q_stream_feed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 on a stream: UP and DOWN of each symbol, DOWN by a timer 60 s after its last message."""
+    path = run_to_table(feed_status_stream(_replay(spark, sf_dir)), "stream-status", state_partitions=_cores(spark))
+    return _publish_stream(spark.read.parquet(path))

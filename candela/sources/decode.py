@@ -30,7 +30,7 @@ REQUIRED = [("s", "symbol"), ("t", "trade_id"), ("p", "price"), ("q", "quantity"
 LOWER_NAMES = ["e", "s", "t", "p", "q", "b", "a", "m"]
 
 
-def _classified(messages: DataFrame, value_col: str, keep: list[str]) -> DataFrame:
+def classified(messages: DataFrame, value_col: str, keep: list[str]) -> DataFrame:
     """One row per message: decoded fields (``f_<key>``) and ``reason`` (NULL for a valid trade).
 
     Each message is parsed once per case-disjoint schema, the inner object of an
@@ -77,8 +77,13 @@ def _classified(messages: DataFrame, value_col: str, keep: list[str]) -> DataFra
 def decode_trades(messages: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Valid trades (TRADE_COLUMNS, plus ``keep`` passthrough columns such as Kafka offsets)."""
     keep = list(keep or [])
-    df = _classified(messages, value_col, keep).filter(F.col("reason").isNull())
-    return df.select(
+    return trades_of(classified(messages, value_col, keep), keep)
+
+
+def trades_of(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The valid trades among classified messages."""
+    keep = list(keep or [])
+    return rows.filter(F.col("reason").isNull()).select(
         *keep,
         F.col("f_e").alias("event_type"),
         F.timestamp_millis(F.col("f_event_ms")).alias("event_time"),
@@ -96,5 +101,9 @@ def decode_trades(messages: DataFrame, value_col: str = "value", keep: list[str]
 def quarantine(messages: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Messages that are not usable trades, with the first failing check as ``reason``."""
     keep = list(keep or [])
-    df = _classified(messages, value_col, keep).filter(F.col("reason").isNotNull())
-    return df.select(*keep, F.col("_message").alias("message"), "reason")
+    return quarantined(classified(messages, value_col, keep), keep)
+
+
+def quarantined(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The others, with the first failing check as ``reason``."""
+    return rows.filter(F.col("reason").isNotNull()).select(*(keep or []), F.col("_message").alias("message"), "reason")

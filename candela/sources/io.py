@@ -70,6 +70,29 @@ def subscribe(spark: SparkSession, path: str, symbol: str | None = None) -> Data
     return records if symbol is None else records.filter(F.col("route") == symbol)
 
 
+def store_series(df: DataFrame, path: str, time_col: str = "trade_time", mode: str = "overwrite") -> None:
+    """A table stored for reading one symbol and a time range of it: a folder per symbol, sorted by time.
+
+    Rows are ranged by (symbol, time) first, so that each file is one time range of a symbol and
+    a symbol with many rows is spread over several tasks and files.
+    """
+    ranged = df.withColumn("route", F.col("symbol")).repartitionByRange("route", time_col)
+    ranged.sortWithinPartitions("route", time_col).write.mode(mode).partitionBy("route").parquet(path)
+
+
+def read_series(spark: SparkSession, path: str, symbol: str | None = None, since=None, until=None,
+                time_col: str = "trade_time") -> DataFrame:
+    """Rows of ``store_series``. ``symbol`` prunes folders, ``since`` (inclusive) and ``until`` (exclusive) row groups."""
+    rows = spark.read.parquet(path).withColumn("route", F.col("route").cast("string"))
+    if symbol is not None:
+        rows = rows.filter(F.col("route") == symbol)
+    if since is not None:
+        rows = rows.filter(F.col(time_col) >= F.lit(since))
+    if until is not None:
+        rows = rows.filter(F.col(time_col) < F.lit(until))
+    return rows.drop("route")
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Raw wire messages, one per line, as a ``value`` column (the shape of a Kafka value)."""
     return spark.read.text(path)
