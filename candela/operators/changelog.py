@@ -33,7 +33,7 @@ from candela.operators.partials import (
 )
 from candela.operators.trends import HISTORY, trends
 from candela.operators.volume import volume_columns, volume_trend
-from candela.plans.ordered import running
+from candela.plans.ordered import dense_index, running, with_halo
 
 ORDER_KEY_MICROS = 10**18  # packed order key = micros * 10^18 + trade_id
 
@@ -228,13 +228,24 @@ def strict_late_filter(trades: DataFrame, interval: str = "1 minute", time_col:
     )
 
 
-def price_history(bars_df: DataFrame, size: int = HISTORY, extra: list[str] | None = None) -> DataFrame:
+def price_history(bars_df: DataFrame, size: int = HISTORY, extra: list[str] | None = None, strategy: str = "direct",
+                  block_rows: int = 100_000) -> DataFrame:
     """The bounded per-symbol history after each bar: its size, oldest and newest close.
 
-    Over final 1-minute bars (one row per symbol-minute) a per-symbol window is
-    bounded by the time span, not by the trade count.
+    ``direct``: one window per symbol. Over final 1-minute bars (one row per symbol-minute) it is
+    bounded by the time span, not by the trade count. ``blocked``: numbered rows in blocks
+    with the ``size`` - 1 rows before them, as in ``trends``; no task holds more than a block.
     """
     keys = [c for c in ("symbol", "interval") if c in bars_df.columns]
+    if strategy == "blocked":
+        day = F.floor(epoch_micros(F.col("window_start"), bars_df.schema["window_start"].dataType) / F.lit(86_400_000_000))
+        rows = with_halo(dense_index(bars_df, keys, "window_start", day), size - 1, block_rows)
+        block = Window.partitionBy(*keys, "_blk").orderBy("_idx").rowsBetween(-(size - 1), 0)
+        rows = rows.withColumn("_oldest", F.first("close").over(block)).filter(~F.col("_halo"))
+        return rows.select(
+            "symbol", "window_start", *(extra or []), F.least(F.col("_idx") + 1, F.lit(size)).cast("bigint").alias("history_size"),
+            F.col("_oldest").alias("oldest_price"), F.col("close").alias("newest_price"),
+        )
     w = Window.partitionBy(*keys).orderBy("window_start").rowsBetween(-(size - 1), 0)
     return bars_df.select(
         "symbol", "window_start", *(extra or []),

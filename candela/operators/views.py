@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The all-symbol alert channel and the per-symbol channel prefix.
@@ -87,8 +87,16 @@ def feed_health_overall(trades: DataFrame, stale: str = "60 SECONDS", as_of: Col
 
     ``as_of`` defaults to the newest message, for replays; pass ``current_timestamp()`` on a live table.
     """
-    h = trades.agg(F.count(F.lit(1)).alias("message_count"), F.max("trade_time").alias("last_message_time"))
-    now = as_of if as_of is not None else F.col("last_message_time")
+    return health_status(feed_counts(trades), as_of if as_of is not None else F.col("last_message_time"), stale)
+
+
+def feed_counts(trades: DataFrame) -> DataFrame:
+    """One row: messages of the whole feed and the newest one's time."""
+    return trades.agg(F.count(F.lit(1)).alias("message_count"), F.max("trade_time").alias("last_message_time"))
+
+
+def health_status(h: DataFrame, now: Column, stale: str = "60 SECONDS") -> DataFrame:
+    """Adds ``healthy`` and ``status`` at the clock ``now``."""
     healthy = F.coalesce(F.col("last_message_time") > now - F.expr(f"INTERVAL {stale}"), F.lit(False))
     return h.withColumn("healthy", healthy).withColumn("status", F.when(healthy, "UP").otherwise("DOWN"))
 

@@ -9,6 +9,8 @@ carried as HUGEINT integer units (notional sums as DECIMAL, published from their
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 TRADES = """trades AS (
   SELECT 'trade' AS event_type, event_type AS symbol, event_id AS trade_id, ts AS trade_time,
          CAST(value AS DECIMAL(38,8)) AS price,
@@ -130,10 +132,15 @@ def volume_all_sql(labels=("1m", "5m", "1h")) -> str:
 
 # ---------------------------------------------------------------- trends
 
-def ema_weight_literals(k: int) -> list[str]:
-    from candela.operators.trends import ema_weights
+# 2 / (k + 1) rounded to eight digits.
+EMA_ALPHA = {5: Decimal("0.33333333"), 15: Decimal("0.12500000")}
 
-    return [f"CAST('{w!r}' AS DOUBLE)" for w in ema_weights(k)]
+
+def ema_weight_literals(k: int) -> list[str]:
+    """What a close j rows back weighs after k - 1 steps of ema + (close - ema) * a, begun with the oldest close."""
+    a = EMA_ALPHA[k]
+    weights = [a * (1 - a) ** j if j < k - 1 else (1 - a) ** j for j in range(k)]
+    return [f"CAST('{float(w)!r}' AS DOUBLE)" for w in weights]
 
 
 def trends_cte(source: str = "bars", order: str = "window_start", name: str = "tr") -> str:
@@ -378,6 +385,11 @@ SELECT symbol, message_count, last_message_time,
 FROM h"""
     q["feed_health_overall"] = f"""WITH {TRADES}
 SELECT count(*) AS message_count, max(trade_time) AS last_message_time, true AS healthy, 'UP' AS status FROM trades"""
+    q["feed_health_as_of"] = f"""WITH {TRADES},
+h AS (SELECT count(*) AS message_count, max(trade_time) AS last_message_time FROM trades),
+c AS (SELECT CAST(unnest([0, 59999999, 60000000, 3600000000]) AS BIGINT) AS after_us)
+SELECT message_count, last_message_time, after_us, after_us < 60000000 AS healthy,
+  CASE WHEN after_us < 60000000 THEN 'UP' ELSE 'DOWN' END AS status FROM h, c"""
     q["trailing_window"] = w + f"""SELECT symbol, trade_id, trade_time, {d(u8('price'))} AS price, {exact('notional')} AS notional
 FROM proj WHERE trade_time > (SELECT max(trade_time) FROM trades) - INTERVAL '10 minutes'"""
     q["symbol_series"] = f"""WITH {TRADES},
@@ -445,6 +457,7 @@ def io_sql() -> dict[str, str]:
     q["sink_records"] = (f"WITH {TRADES},\n{bar_cte('1 minute')}\n"
                          f"SELECT symbol || '-1m' AS key, * EXCLUDE (symbol), symbol FROM ({bar_select('1m')})")
     q["stream_decode"] = q["source_roundtrip"]
+    q["stream_from_latest"] = f"{q['source_roundtrip']} AND i > (SELECT max(event_id) // 2 FROM events)"
     price, qty = d(u8("CAST(value AS DECIMAL(38,8))")), d(u8("CAST(json_extract_string(props, '$.k') AS DECIMAL(18,0))"))
     q["sink_trades"] = f"""SELECT 'trade' AS event_type, event_type AS symbol, event_id AS trade_id, {price} AS price,
   {qty} AS quantity, CAST(NULL AS BIGINT) AS buyer_order_id, CAST(NULL AS BIGINT) AS seller_order_id,
@@ -578,6 +591,8 @@ def stream_sql() -> dict[str, str]:
                      "<= (SELECT max(ts) FROM events))")
     top = alerts_top20_sql().replace(open_events, closed_events)
     q["stream_alerts_top20"] = f"SELECT * EXCLUDE (timestamp), epoch_us(timestamp) AS timestamp_us FROM ({top})"
+    channels = alert_channels_sql().replace(open_events, closed_events)
+    q["stream_alert_channels"] = f"SELECT * EXCLUDE (timestamp), epoch_us(timestamp) AS timestamp_us FROM ({channels})"
     snapshot = views_sql()["latest_snapshot"].replace(open_events, closed_events)
     q["stream_latest_snapshot"] = f"SELECT * EXCLUDE (window_end), epoch_us(window_end) AS window_end_us FROM ({snapshot})"
     history = changelog_sql()["price_history"].replace(open_events, closed_events)

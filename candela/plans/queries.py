@@ -51,6 +51,7 @@ from candela.streaming.health import feed_status_stream
 from candela.streaming.steps import changelog_step, decode_step, market_step, strict_bars_step, trailing_step
 from candela.streaming.pipeline import (
     bars_stream,
+    latest_offset,
     market_stream,
     messages_stream,
     newest_updates,
@@ -240,6 +241,16 @@ def q_feed_health_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.feed_health_overall(load_trades(spark, sf_dir))
 
 
+@register("feed_health_as_of")
+def q_feed_health_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 at given clocks: just before and just after the feed has been silent for 60 s."""
+    clocks = views.feed_counts(load_trades(spark, sf_dir)).withColumn(
+        "after_us", F.explode(F.array(*[F.lit(us) for us in (0, 59_999_999, 60_000_000, 3_600_000_000)]))
+    )
+    after = F.make_dt_interval(secs=F.col("after_us").cast("decimal(18,6)") / F.lit(1_000_000))
+    return views.health_status(clocks, F.col("last_message_time") + after)
+
+
 @register("trailing_window")
 def q_trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = views.trade_projection(load_trades(spark, sf_dir))
@@ -357,6 +368,19 @@ def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_trades(spark.read.parquet(run_to_table(trades, "stream-decode")))
 
 
+@register("stream_from_latest")
+def q_stream_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts at the latest offsets reads what comes after its start only."""
+    path = scratch_path(spark, "raw-trades")
+    messages = replay_messages(read_table(spark, sf_dir, "events"))
+    half = messages.agg(F.expr("max(seq) div 2").alias("half")).first().half or 0
+    messages.filter(F.col("seq") <= half).select("value").write.text(path)
+    start = latest_offset(spark, path)
+    messages.filter(F.col("seq") > half).select("value").write.mode("append").text(path)
+    trades = decode_trades(messages_stream(spark, path, after=start))
+    return publish_trades(spark.read.parquet(run_to_table(trades, "stream-latest")))
+
+
 # ---------------------------------------------------------------- changelog, lateness, history
 
 @register("bars_changelog")
@@ -494,6 +518,13 @@ def q_stream_alerts_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _publish_stream(publish_alerts(read_carried(spark, path, "top_alerts")))
 
 
+@register("stream_alert_channels")
+def q_stream_alert_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 on a stream: a folder per channel, of all symbols and of each."""
+    path = _market_tables(spark, sf_dir, "stream-channels", top=20, channels=True)
+    return _publish_stream(publish_alerts(read_output(spark, path, "channels").drop("route")))
+
+
 @register("stream_latest_snapshot")
 def q_stream_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A13 on a stream: the newest bar and indicators of each symbol, replaced as bars close."""

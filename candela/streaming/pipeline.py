@@ -20,6 +20,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime
 from decimal import Decimal
 
 import pandas as pd
@@ -93,12 +94,29 @@ def market_stream(trades: DataFrame, interval: str = "1 minute", delay: str = "0
     return market_bars(trades.withWatermark(time_col, delay), interval, interval_label(interval), time_col=time_col)
 
 
-def messages_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Text messages (column ``value``) from a folder that gets new files; the offline twin of a topic."""
+def latest_offset(spark: SparkSession, path: str) -> datetime | None:
+    """Where a stream of ``path`` starts that wants new messages only: the time of its newest file; None without files."""
+    system = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
+        return None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.max("modificationTime")).first()[0]
+
+
+def messages_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                    after: datetime | None = None) -> DataFrame:
+    """Text messages (column ``value``) from a folder that gets new files; the offline twin of a topic.
+
+    All files are read by default (earliest offsets); with ``after`` only later ones (``latest_offset``: latest offsets).
+    Restarts go on from their checkpoint and must give the same ``after``.
+    """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(path)
+    messages = reader.text(path)
+    if after is not None:
+        messages = messages.filter(F.col("_metadata.file_modification_time") > F.lit(after))
+    return messages
 
 
 def newest_updates(updates: DataFrame) -> DataFrame:

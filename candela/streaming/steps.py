@@ -102,11 +102,12 @@ def changelog_step(interval: str = "1 minute", time_col: str = "trade_time", buc
     return step
 
 
-def market_step(top: int | None = None, snapshot: bool = False, history: bool = False, block_rows: int = 100_000) -> Step:
+def market_step(top: int | None = None, snapshot: bool = False, history: bool = False, channels: bool = False,
+                block_rows: int = 100_000) -> Step:
     """T7, L9, L10, A13 and W6 over final bars (``market_stream`` in append mode, bars in order of their windows).
 
     Outputs ``bars``, ``market`` (bars with indicators), with ``top`` also ``alerts``, with
-    ``history`` also ``history`` (W6). Carried: ``tail``; with ``top`` the ``top`` newest
+    ``channels`` those alerts routed to a folder per channel (S9), with ``history`` also ``history`` (W6). Carried: ``tail``; with ``top`` the ``top`` newest
     alerts of each symbol; with ``snapshot`` the newest row of each (symbol, interval).
     """
 
@@ -118,12 +119,15 @@ def market_step(top: int | None = None, snapshot: bool = False, history: bool =
         rows = trends(both, strategy="blocked", block_rows=block_rows, extra=extra, interval=None)
         rows = tables.write("market", rows.filter(~F.col("_past")).drop("_past"))
         if history:
-            past = price_history(both, extra=["_past"])
+            past = price_history(both, extra=["_past"], strategy="blocked", block_rows=block_rows)
             tables.write("history", past.filter(~F.col("_past")).drop("_past"))
         if top:
             alerts = tables.write("alerts", all_alerts(rows))
             before = tables.carried("top_alerts", alerts.schema)
             tables.carry("top_alerts", latest_alerts(before.unionByName(alerts), top))
+            if channels:
+                routed = views.alert_channels(alerts)
+                tables.write("channels", routed.withColumn("route", F.col("channel")), partition_by=["route"])
         if snapshot:
             before = tables.carried("snapshot", rows.schema)
             newest = newest_rows(before.unionByName(rows), ["symbol", "interval"], "window_start")
