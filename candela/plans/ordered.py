@@ -82,10 +82,10 @@ _COMBINE = {
 }
 
 
-def _combined(df: DataFrame, kind: str, before: str, value: str) -> Column:
+def _combined(kind: str, before: str, value: str, types: T.StructType) -> Column:
     """A prefix value and a later one together. A sum of two DECIMAL(38, s) would lose digits of s: 37 hold the terms."""
     p, x = F.col(before), F.col(value)
-    dtype = df.schema[value].dataType
+    dtype = types[value].dataType
     if kind == "sum" and isinstance(dtype, T.DecimalType) and dtype.precision == 38 and dtype.scale:
         narrow = f"decimal(37,{dtype.scale})"
         p, x = p.cast(narrow), x.cast(narrow)
@@ -119,9 +119,7 @@ def running(
     """
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     ord_key = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-    b = _bucketed(df, keys, bucket)
-    for name, (_, c) in aggs.items():
-        b = b.withColumn(f"_v_{name}", c)
+    b = _bucketed(df, keys, bucket).select("*", *[c.alias(f"_v_{name}") for name, (_, c) in aggs.items()])
 
     def total(kind: str, v: Column) -> Column:
         # a groupBy ``first`` is not order-aware: take the value of the least order key
@@ -137,14 +135,14 @@ def running(
     if carried is not None:
         past = carried.select(F.struct(*keys).alias("_key"), *[F.col(n).alias(f"_c_{n}") for n in aggs])
         prefix = prefix.join(past, "_key", "left")
+        types = prefix.schema
         prefix = prefix.select("_kb", "_key", *[
-            _combined(prefix, kind, f"_c_{n}", f"_p_{n}").alias(f"_p_{n}") for n, (kind, _) in aggs.items()
+            _combined(kind, f"_c_{n}", f"_p_{n}", types).alias(f"_p_{n}") for n, (kind, _) in aggs.items()
         ])
     prefix = prefix.drop("_key")
     within = Window.partitionBy("_kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = b.join(prefix, "_kb", "inner")
     out = joined.select("*", *[_agg(k, F.col(f"_v_{n}"), within).alias(f"_w_{n}") for n, (k, _) in aggs.items()])
-    for name, (kind, _) in aggs.items():
-        out = out.withColumn(name, _combined(out, kind, f"_p_{name}", f"_w_{name}"))
-    drop = ["_bkt", "_key", "_kb"] + [f"_{p}_{n}" for n in aggs for p in ("v", "p", "w")]
-    return out.drop(*drop)
+    types = out.schema
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in aggs]
+    return out.select(*kept, *[_combined(kind, f"_p_{n}", f"_w_{n}", types).alias(n) for n, (kind, _) in aggs.items()])

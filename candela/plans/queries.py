@@ -609,7 +609,7 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 on a stream: dead letters, written by the job that writes the trades."""
     messages = replay_messages(read_table(spark, sf_dir, "events")).select("seq", "value")
     path = replay_in_parts(messages, F.col("seq"), decode_step(keep=["seq"]), "stream-letters")
-    return quarantined(read_output(spark, path, "messages").filter(~F.col("valid")), ["seq"]).select("seq", "reason")
+    return quarantined(read_output(spark, path, "messages").filter("outcome = 'dead_letter'"), ["seq"]).select("seq", "reason")
 
 
 @register("stream_feed_status")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candela.functions.timecols import epoch_micros
 from candela.operators import views
@@ -77,8 +78,12 @@ def changelog_step(interval: str = "1 minute", time_col: str = "trade_time", buc
     of the newest of their symbol, and ``tail``, the emissions that indicators look back at.
     """
 
+    known: list[T.StructType] = []
+
     def step(batch: DataFrame, tables: BatchTables) -> None:
-        schema = running_partials(batch, interval, time_col, bucket_micros).schema
+        if not known:
+            known.append(running_partials(batch, interval, time_col, bucket_micros).schema)
+        schema = known[0]
         windows = tables.carried("windows", schema)
         emissions = running_partials(batch, interval, time_col, bucket_micros, carried=carried_windows(windows))
         emissions = tables.write("emissions", emissions)
@@ -156,6 +161,7 @@ def decode_step(value_col: str = "value", keep: list[str] | None = None) -> Step
 
     def step(batch: DataFrame, tables: BatchTables) -> None:
         rows = classified(batch, value_col, list(keep or []))
-        tables.write("messages", rows.withColumn("valid", F.col("reason").isNull()), partition_by=["valid"])
+        outcome = F.when(F.col("reason").isNull(), "trade").otherwise("dead_letter")
+        tables.write("messages", rows.withColumn("outcome", outcome), partition_by=["outcome"])
 
     return step
