@@ -535,7 +535,7 @@ def q_stream_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_price_history")
 def q_stream_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W6 on a stream."""
-    path = _market_tables(spark, sf_dir, "stream-history", history=True)
+    path = _market_tables(spark, sf_dir, "stream-history", history=True, indicators=False)
     return _publish_stream(read_output(spark, path, "history"))
 
 

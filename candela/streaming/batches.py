@@ -102,7 +102,7 @@ def start_steps(df: DataFrame, step: Step, path: str, available_now: bool = True
         return writer.start()
 
 
-def replay_in_parts(df: DataFrame, order: Column, step: Step, name: str, parts: int = 3) -> str:
+def replay_in_parts(df: DataFrame, order: Column, step: Step, name: str, parts: int = 2) -> str:
     """Feeds a table to a stream part by part in ``order`` (a number), and stops and starts the stream for each.
 
     Returns the folder of its tables, under the checkpoint root.

@@ -108,21 +108,25 @@ def changelog_step(interval: str = "1 minute", time_col: str = "trade_time", buc
 
 
 def market_step(top: int | None = None, snapshot: bool = False, history: bool = False, channels: bool = False,
-                block_rows: int = 100_000) -> Step:
+                indicators: bool = True, block_rows: int = 100_000) -> Step:
     """T7, L9, L10, A13 and W6 over final bars (``market_stream`` in append mode, bars in order of their windows).
 
-    Outputs ``bars``, ``market`` (bars with indicators), with ``top`` also ``alerts``, with
+    Outputs ``bars``, with ``indicators`` ``market`` (bars with indicators, which alerts and the snapshot need), with ``top`` also ``alerts``, with
     ``channels`` those alerts routed to a folder per channel (S9), with ``history`` also ``history`` (W6). Carried: ``tail``; with ``top`` the ``top`` newest
     alerts of each symbol; with ``snapshot`` the newest row of each (symbol, interval).
     """
 
+    if (top or snapshot) and not indicators:
+        raise ValueError("alerts and the snapshot read indicators")
+
     def step(batch: DataFrame, tables: BatchTables) -> None:
         bars = tables.write("bars", batch)
         tail = tables.carried("tail", bars.schema)
         both = tail.withColumn("_past", F.lit(True)).unionByName(bars.withColumn("_past", F.lit(False)))
-        extra = [c for c in both.columns if c not in ("symbol", "window_start")]
-        rows = trends(both, strategy="blocked", block_rows=block_rows, extra=extra, interval=None)
-        rows = tables.write("market", rows.filter(~F.col("_past")).drop("_past"))
+        if indicators:
+            extra = [c for c in both.columns if c not in ("symbol", "window_start")]
+            rows = trends(both, strategy="blocked", block_rows=block_rows, extra=extra, interval=None)
+            rows = tables.write("market", rows.filter(~F.col("_past")).drop("_past"))
         if history:
             past = price_history(both, extra=["_past"], strategy="blocked", block_rows=block_rows)
             tables.write("history", past.filter(~F.col("_past")).drop("_past"))
