@@ -40,10 +40,12 @@ from candela.sources.io import (
     from_records,
     publish_records,
     read_messages,
+    read_records,
     read_series,
     store_series,
     subscribe,
     to_records,
+    write_records,
 )
 from candela.sources.wire import replay_messages, to_wire
 from candela.streaming.batches import newest_rows, read_carried, read_output, replay_in_parts, start_steps
@@ -312,8 +314,11 @@ def q_quarantine_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sink_records")
 def q_sink_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars as keyed JSON records, written and read back."""
     b = bars(load_trades(spark, sf_dir), "1 minute", "1m")
-    return publish(from_records(to_records(b), b.schema))
+    path = scratch_path(spark, "records")
+    write_records(to_records(b), path)
+    return publish(from_records(read_records(spark, path, schema="key string, value string"), b.schema))
 
 
 PUBLISHED = {
