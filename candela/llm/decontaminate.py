@@ -12,8 +12,10 @@ The benchmark goes to the tasks in shards of at most SHARD_WORDS words, so what
 a task holds is bounded however large the benchmark is; documents are read once
 for each shard and never shuffled.
 
-Null and empty texts share no seed. Items of fewer than SEED words hold no seed
-and are never found. Repeated documents and items each give their own rows.
+An item of fewer than SEED words is its own seed: it is found where all its words
+stand in a row, as one tile.
+
+Null texts, empty ones and those without words are never found and hold nothing. Repeated documents and items each give their own rows.
 Empty tables give no rows.
 """
 
@@ -102,6 +104,12 @@ class Shard:
 
     def __init__(self, items: list[tuple[int | None, bytes | None]]):
         kept = [(item, tx.hash_words(normal_words(t))) for item, t in items]
+        #: Items shorter than a seed: by number of words, hashes of the whole items in order, and their ids.
+        self.short = {}
+        for n in range(1, SEED):
+            whole = sorted(((int(tx.RollingHash(h).grams(n)[0]), item) for item, h in kept if len(h) == n), key=lambda x: x[0])
+            if whole:
+                self.short[n] = np.array([x for x, _ in whole], tx.U64), [item for _, item in whole]
         kept = [(item, h) for item, h in kept if len(h) >= SEED]
         self.ids = [item for item, _ in kept]
         self.words = [h for _, h in kept]
@@ -134,6 +142,9 @@ class Shard:
         if not text:
             return
         words = tx.hash_words(normal_words(text))
+        for n, (whole, ids) in self.short.items():
+            for i in np.flatnonzero(np.isin(whole, tx.RollingHash(words).grams(n))):
+                yield ids[i], n, n, 1
         if len(words) < SEED or not self.ids:
             return
         for i in self.candidates(words, coverage):

@@ -287,7 +287,7 @@ def test_op6_finds_reordered_passages(spark, docs, none):
     moved = re.sub("[a-z]", lambda m: m[0].upper(), " ".join(words[20:] + ["between"] + words[:20])).replace(" ", ", ")
     rows = [(1, f"before {item} after", "c"), (2, moved, "c"), (3, " ".join(words[:20]), "c"), (4, None, "c"), (5, "", "c"), (6, prose(31, 400), "c"), (None, item, "c")]
     some = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
-    benchmark = spark.createDataFrame([(10, item, "x"), (11, None, "x"), (12, "too few", "x"), (13, prose(32, 50), "x")], "item_id long, text string, doc_id string")
+    benchmark = spark.createDataFrame([(10, item, "x"), (11, None, "x"), (12, "too few", "x"), (13, prose(32, 50), "x"), (14, " ... ", "x")], "item_id long, text string, doc_id string")
     for shard_words in (decontaminate.SHARD_WORDS, 20):
         found = decontaminate.find_contamination(some, benchmark, shard_words=shard_words)
         assert rows_of(found, "doc_id", "item_id") == Counter({(1, 10): 1, (2, 10): 1, (None, 10): 1})
@@ -297,6 +297,27 @@ def test_op6_finds_reordered_passages(spark, docs, none):
     assert decontaminate.find_contamination(none, benchmark).collect() == []
 
 
+def test_op6_items_shorter_than_a_seed(spark):
+    items = [(1, "Alpha, beta gamma"), (2, "delta"), (3, "alpha gamma"), (4, ""), (5, "one two three four"), (5, "one two three four"), (6, "one two three four five")]
+    texts = [(1, "x alpha beta GAMMA y"), (2, "alpha"), (3, "delta"), (4, "gamma delta alpha beta"), (5, None), (6, ""), (7, "zero one two three four five six"), (8, "one two three, four")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = set()
+    for d, text in texts:
+        words = [w.decode() for w in decontaminate.normal_words((text or "").encode())]
+        for i, item in items[:5]:
+            whole = [w.decode() for w in decontaminate.normal_words(item.encode())]
+            if whole and any(words[k : k + len(whole)] == whole for k in range(len(words))):
+                want.add((d, i))
+    want.add((7, 6))
+    for shard_words in (decontaminate.SHARD_WORDS, 4):
+        found = decontaminate.find_contamination(docs, benchmark, shard_words=shard_words)
+        got = rows_of(found, "doc_id", "item_id")
+        assert set(got) == want and got[(7, 5)] == got[(8, 5)] == 2  # a repeated item has rows of its own
+        kept = decontaminate.drop_contaminated(docs, benchmark, shard_words=shard_words)
+        assert rows_of(kept, "doc_id") == Counter((d,) for d, _ in texts if d not in {x for x, _ in want})
+
+
 def labels(rows, size):
     """doc -> (set size, component id) for rows with any ids; equal ids are told apart by place."""
     sets = [brute.shingles(t, size) for _, t in rows]
