@@ -8,8 +8,9 @@ vocabulary. The transducer runs all live hypotheses at once. Its deterministic
 states (the set of hypotheses, less what they share) and its arcs are made when
 first needed and kept; what all hypotheses share is emitted, so a token leaves
 once the bytes after it rule the others out, and no hypothesis outlives the
-longest vocabulary entry. The states that are kept are bounded: a piece that
-leaves them is run on the machine as it is, depth first.
+longest vocabulary entry. The states that are kept are bounded: once they are
+full, all but the one that the piece has come to are dropped and made anew as
+they are needed, so every piece goes through the transducer, however long it is.
 
 Decoding is a machine over tokens: its state is the bytes of an unfinished
 UTF-8 character, an arc is a token, and the arcs are made when first needed.
@@ -28,15 +29,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candela.llm import text as tx
 
-#: Deterministic states that are made, and words whose tokens are remembered; results do not depend on them.
-KEPT_STATES = 20_000
+#: Deterministic states that are kept, and words whose tokens are remembered; results do not depend on them.
+KEPT_STATES = 40_000
 KEPT_WORDS = 150_000
 #: Pairs of tokens whose test is remembered.
 KEPT_PAIRS = 200_000
-#: Places whose entries are remembered, by their first bytes.
-KEPT_PLACES = 60_000
-#: Bytes by which the entries that start at a place are remembered.
-NEAR = 7
 
 
 class Vocabulary:
@@ -60,7 +57,6 @@ class Vocabulary:
                 node = below
             self.ends[node] = rank
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.near: dict[bytes, tuple] = {}
         #: For each entry, the parts at its left and right edge from single bytes up, each with
         #: the rank of the merge that ends its life (no merge: a rank beyond all). Entries that
         #: their own bytes do not merge into are never emitted and have none.
@@ -93,22 +89,6 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def matches(self, word: bytes, at: int) -> tuple[tuple[tuple[int, int], ...], bool]:
-        """Entries that start at a place, as (token, length), shortest first; whether more than NEAR bytes were looked at."""
-        node, to, found = 0, at, []
-        while to < len(word):
-            node = self.trie[node].get(word[to])
-            if node is None:
-                break
-            to += 1
-            if self.ends[node] >= 0:
-                found.append((self.ends[node], to - at))
-        far = to - at >= NEAR
-        if len(self.near) > KEPT_PLACES:
-            self.near.clear()
-        out = self.near[word[at : at + NEAR]] = (tuple(found), far)
-        return out
-
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the two, joined, encode to just this pair. left < 0: the start."""
         if left < 0:
@@ -149,11 +129,18 @@ class Transducer:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.numbers: dict[tuple, int] = {self.START: 0}
-        self.states: list[tuple] = [self.START]
+        self.restarts = -1
+        self.restart(self.START)
+
+    def restart(self, state: tuple) -> int:
+        """Drops all states but the start and this one; its new number."""
+        self.restarts += 1
+        self.states: list[tuple] = [self.START] if state == self.START else [self.START, state]
+        self.numbers: dict[tuple, int] = {s: i for i, s in enumerate(self.states)}
         #: state -> byte -> (state, emitted); made when first taken.
-        self.arcs: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        self.arcs: list[dict[int, tuple[int, tuple[int, ...]]]] = [{} for _ in self.states]
         self.finals: dict[int, tuple[int, ...]] = {}
+        return len(self.states) - 1
 
     def arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Determinises one arc."""
@@ -201,7 +188,8 @@ class Transducer:
             step = arcs[state].get(byte)
             if step is None:
                 if len(arcs) > KEPT_STATES:
-                    return self.search(word)
+                    state = self.restart(self.states[state])
+                    arcs = self.arcs
                 step = self.arc(state, byte)
             state, emitted = step
             if emitted:
@@ -209,43 +197,6 @@ class Transducer:
         out.extend(self.final(state))
         return out
 
-    def search(self, word: bytes) -> list[int]:
-        """The same machine before it is determinised, depth first and longest entry first.
-
-        For pieces that leave the arcs that are kept. A prefix has one encoding,
-        so a place that was given up once is given up whatever leads to it.
-        """
-        v, size = self.vocabulary, len(word)
-        near, pairs, matches, may_follow = v.near, v.pairs, v.matches, v.may_follow
-        path, waiting, dead, last, at = [], [], set(), -1, 0
-        while at < size:
-            found = near.get(word[at : at + NEAR])
-            if found is None or found[1]:
-                found = matches(word, at)
-            entries = found[0]
-            i = len(entries)
-            while True:
-                while i:
-                    i -= 1
-                    token, length = entries[i]
-                    if dead and at + length in dead:
-                        continue
-                    fits = pairs.get((last, token))
-                    if fits or fits is None and may_follow(last, token):
-                        break
-                else:
-                    dead.add(at)
-                    path.pop()
-                    at, entries, i = waiting.pop()
-                    last = path[-1] if path else -1
-                    continue
-                break
-            waiting.append((at, entries, i))
-            path.append(token)
-            at += length
-            last = token
-        return path
-
 
 #: The first bytes of UTF-8 characters, as (low, high, following bytes, range of the first of these).
 UTF8_LEADS = (

@@ -183,7 +183,7 @@ def test_op2_like_the_library(docs, none, reference_encoding):
     assert bpe.digests(bpe.encode_decode(none)).collect() == []
 
 
-def test_op2_transducer_with_and_without_arcs(codec, reference_encoding, monkeypatch):
+def test_op2_transducer_keeps_or_makes_its_states_anew(codec, reference_encoding, monkeypatch):
     rng = random.Random(5)
     alphabet = "aabbé ß\n\t  \x1c\x85\xa0²½ªº'sll'ré9٣中文😀　​{}-_=+__   ABCthe ing \x00"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(400)]
@@ -195,6 +195,8 @@ def test_op2_transducer_with_and_without_arcs(codec, reference_encoding, monkeyp
             ids = [t for piece in codec.splitter.split(text) for t in transducer.run(piece.encode())]
             assert ids == reference_encoding.encode_ordinary(text)
             assert codec.decode(ids) == text
+            assert len(transducer.states) <= kept + 2
+        assert (transducer.restarts > 0) == (kept <= 40)
 
 
 def test_op2_pairs_by_definition(codec):
