@@ -43,57 +43,92 @@ def normal_words(text: bytes | None) -> list[bytes]:
     return text.lower().translate(BLANKS).split() if text else []
 
 
-def _common_windows(a: tx.RollingHash, b: tx.RollingHash, free_a: np.ndarray, free_b: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Places (in a, in b) of equal unmarked windows; free_*: 0 where marked."""
-    sides = []
-    for rolled, free in ((a, free_a), (b, free_b)):
-        grams = rolled.grams(size)
-        sums = np.concatenate(([0], np.cumsum(free)))
-        at = np.flatnonzero(sums[size:] - sums[:-size] == size) if len(grams) else np.empty(0, np.int64)
-        sides.append((grams[at], at))
-    (ga, ia), (gb, ib) = sides
-    order = np.argsort(gb, kind="stable")
-    gb, ib = gb[order], ib[order]
-    low, high = np.searchsorted(gb, ga, "left"), np.searchsorted(gb, ga, "right")
-    return [(int(ia[k]), int(j)) for k in np.flatnonzero(high > low) for j in ib[low[k] : high[k]]]
+def _free(marks: np.ndarray, size: int) -> np.ndarray:
+    """Places where ``size`` unmarked words begin."""
+    sums = np.concatenate(([0], np.cumsum(marks == 0)))
+    return np.flatnonzero(sums[size:] - sums[:-size] == size)
+
+
+def _segments(marks: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """(place, words) of the unmarked stretches of at least ``size`` words."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([1], marks != 0, [1])).astype(np.int8)))
+    return [(int(s), int(e - s)) for s, e in zip(edges[::2], edges[1::2]) if e - s >= size]
+
+
+def _common_runs(a: tx.RollingHash, b: tx.RollingHash, marked_a: np.ndarray, marked_b: np.ndarray, size: int) -> dict[tuple[int, int], list[np.ndarray]]:
+    """Longest common runs of unmarked words, ``size`` or more: (words, place in b) -> places in a.
+
+    The windows of b are taken from the last to the first, with the runs that
+    begin at each place of a in an array. So pairs of equal windows are held for one window
+    of b at a time, and what is kept is a number for each run.
+    """
+    out: dict[tuple[int, int], list[np.ndarray]] = {}
+    if min(a.n, b.n) < size:
+        return out
+    at_a, at_b = _free(marked_a, size), _free(marked_b, size)
+    grams_a, grams_b = a.grams(size)[at_a], b.grams(size)[at_b]
+    shared = np.isin(grams_a, grams_b)
+    at_a, grams_a = at_a[shared], grams_a[shared]
+    order = np.argsort(grams_a, kind="stable")  # equal windows by place
+    at_a, grams_a = at_a[order].astype(np.int32), grams_a[order]
+    low, high = np.searchsorted(grams_a, grams_b, "left"), np.searchsorted(grams_a, grams_b, "right")
+    none = np.empty(0, np.int32)
+    places = {int(j): at_a[x:y] for j, x, y in zip(at_b, low, high) if y > x}
+    windows, begun, after = np.zeros(a.n + 2, np.int32), np.zeros(a.n + 2, bool), none
+    for j in range(b.n - size, -1, -1):
+        here = places.get(j, none)
+        length = windows[here + 1] + 1
+        windows[after] = 0
+        windows[here] = length
+        after = here
+        if not len(here):
+            continue
+        before = places.get(j - 1, none)
+        begun[before] = True
+        first = ~begun[here - 1]  # before place 0 lies the last entry, which is never set
+        begun[before] = False
+        here, length = here[first], length[first]
+        for n in np.unique(length):
+            out.setdefault((int(n) + size - 1, j), []).append(here[length == n])
+    return out
 
 
 def tile(document: np.ndarray, item: np.ndarray, least: int = SEED) -> list[tuple[int, int, int]]:
     """Tiles (place in the document, place in the item, words), longest first; ties by place in the item, then the document."""
     a, b = tx.RollingHash(document), tx.RollingHash(item)
-    free_a, free_b = np.ones(len(document), np.int8), np.ones(len(item), np.int8)
+    marked_a, marked_b = np.zeros(len(document), np.int8), np.zeros(len(item), np.int8)
     tiles: list[tuple[int, int, int]] = []
     size = max(least, len(item))
     while True:
-        found: dict[tuple[int, int], int] = {}
-        runs = sorted(_common_windows(a, b, free_a, free_b, size), key=lambda p: (p[0] - p[1], p[1]))
-        previous = (None, None)
-        start = None
-        for i, j in runs:  # windows next to each other on a diagonal are one run
-            if previous == (i - 1, j - 1):
-                found[start] += 1
-            else:
-                start = (i, j)
-                found[start] = size
-            previous = (i, j)
-        heap = [(-n, j, i) for (i, j), n in found.items()]
+        runs = _common_runs(a, b, marked_a, marked_b, size)
+        heap = [(-n, j) for n, j in runs]
         heapq.heapify(heap)
-        marked = False
+        marks = np.concatenate(([0], np.cumsum(marked_a, dtype=np.int32)))
+
+        def wait(n: int, j: int, at: np.ndarray) -> None:
+            if (n, j) not in runs:
+                heapq.heappush(heap, (-n, j))
+            runs.setdefault((n, j), []).append(at)
+
         while heap:
-            n, j, i = heapq.heappop(heap)
+            n, j = heapq.heappop(heap)
             n = -n
-            free = (free_a[i : i + n] & free_b[j : j + n]).astype(bool)
-            if free.all():
+            at = runs.pop((n, j))
+            at = np.unique(np.concatenate(at)) if len(at) > 1 else at[0]
+            if marked_b[j : j + n].any():  # what the item has left of the run waits for its turn
+                for s, m in _segments(marked_b[j : j + n], size):
+                    wait(m, j + s, at + s)
+                continue
+            unmarked = np.flatnonzero(marks[at + n] == marks[at])
+            if len(unmarked):  # the others end here: their words of the item are now marked
+                i = int(at[unmarked[0]])
                 tiles.append((i, j, n))
-                free_a[i : i + n] = free_b[j : j + n] = 0
-                marked = True
+                marked_a[i : i + n] = marked_b[j : j + n] = 1
+                marks = np.concatenate(([0], np.cumsum(marked_a, dtype=np.int32)))
                 continue
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
-            for s, e in zip(edges[::2], edges[1::2]):  # what is left of it waits for its turn
-                if e - s >= size:
-                    heapq.heappush(heap, (-int(e - s), j + int(s), i + int(s)))
-        if marked and size > least:
-            continue
+            for i in at.tolist():  # all of them meet a tile, so they are few
+                for s, m in _segments(marked_a[i : i + n], size):
+                    wait(m, j + s, np.array([i + s], np.int32))
         if size == least:
             return tiles
         size = max(least, size // 2)
