@@ -9,7 +9,8 @@ second try.
 The patterns find the plain forms in the comments, in linear time: a run is
 entered at its start or where the last match ended, since a match that starts
 later in a run implies one at its start, and possessive repeats keep the
-matcher off the stack on very long texts.
+matcher off the stack on very long texts. Matches are walked in chunks (the
+square root of their number), so a text of very many spans is not copied for each.
 
 Null and empty texts have no spans. Repeated rows get the same result each.
 """
@@ -99,29 +100,51 @@ def _confirmed(kind: Kind, match: Column) -> Column:
     return F.lit(True)
 
 
-def _proposed(kind: Kind, text: Column) -> Column:
-    """All matches with their places: pieces between matches and matches alternate, so lengths add up to places."""
+def _chunks(array: Column) -> Column:
+    """An array cut into about the square root of its length many arrays, so that walks copy each element that often at most."""
+    step = F.greatest(F.ceil(F.sqrt(F.size(array))).cast("int"), F.lit(1))
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)), step), lambda at: F.slice(array, at + 1, step))
+
+
+def _pairs(kind: Kind, text: Column) -> Column:
+    """All matches as (gap, tail, match): the length and the last characters of what lies between a match and the one before it."""
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     pieces = F.split(text, kind.pattern, -1)
-    pairs = F.arrays_zip(F.transform(F.slice(pieces, 1, F.size(matches)), F.length).alias("gap"), matches.alias("match"))
+    gaps = F.transform(F.slice(pieces, 1, F.size(matches)), lambda p: F.struct(F.length(p).alias("gap"), F.right(p, F.lit(CONTEXT_CHARS)).alias("tail")))
+    found = F.zip_with(gaps, matches, lambda g, m: F.struct(g["gap"].alias("gap"), g["tail"].alias("tail"), m.alias("match")))
+    return F.when(text.rlike(kind.hint), found).otherwise(F.array().cast("array<struct<gap:int,tail:string,match:string>>"))
+
+
+def _proposed(pairs: Column) -> Column:
+    """All matches with their places: gaps and matches alternate, so lengths add up to places, within chunks and then over them."""
     empty = F.array().cast("array<struct<start:int,match:string>>")
-    walked = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), empty.alias("found")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + F.length(p["match"])).alias("at"),
-            F.concat(acc["found"], F.array(F.struct((acc["at"] + p["gap"]).alias("start"), p["match"].alias("match")))).alias("found"),
-        ),
-    )
-    return F.when(text.rlike(kind.hint), walked["found"]).otherwise(empty)
 
+    def step(acc: Column, p: Column) -> Column:
+        start = acc["at"] + p["gap"]
+        found = F.concat(acc["found"], F.array(F.struct(start.alias("start"), p["match"].alias("match"))))
+        return F.struct((start + F.length(p["match"])).alias("at"), found.alias("found"))
 
-def _scored(kind: Kind, found: Column, text: Column) -> Column:
+    def join(acc: Column, chunk: Column) -> Column:
+        moved = F.transform(chunk["found"], lambda m: F.struct((m["start"] + acc["at"]).alias("start"), m["match"].alias("match")))
+        return F.struct((acc["at"] + chunk["at"]).alias("at"), F.concat(acc["found"], moved).alias("found"))
+
+    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
+    walked = F.transform(_chunks(pairs), lambda chunk: F.aggregate(chunk, start, step))
+    return F.aggregate(walked, start, join)["found"]
+
+
+def _scored(kind: Kind, found: Column, pairs: Column) -> Column:
     """Confirmed matches as (kind, start, end, score)."""
     base = kind in BASE_KINDS
+    numbered = F.transform(found, lambda m, i: F.struct(m["start"].alias("start"), m["match"].alias("match"), i.alias("i")))
 
     def span(m: Column) -> Column:
-        before = F.lower(F.substring(text, F.greatest(m["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(m["start"], F.lit(CONTEXT_CHARS))))
+        # A match has two characters or more, so half of CONTEXT_CHARS matches and what lies between reach as far.
+        past = F.transform(
+            F.sequence(F.greatest(m["i"] - CONTEXT_CHARS // 2, F.lit(0)), m["i"]),
+            lambda k: F.concat(F.get(pairs, k)["tail"], F.when(k < m["i"], F.get(pairs, k)["match"]).otherwise("")),
+        )
+        before = F.lower(F.right(F.array_join(past, ""), F.lit(CONTEXT_CHARS)))
         score = F.lit(kind.score) + F.when(before.rlike(rf"\b(?:{kind.context})"), F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
         return F.struct(
             F.lit(kind.name).alias("kind"),
@@ -130,21 +153,25 @@ def _scored(kind: Kind, found: Column, text: Column) -> Column:
             F.least(score, F.lit(1.0)).alias("score"),
         )
 
-    spans = F.transform(F.filter(found, lambda m: _confirmed(kind, m["match"])), span)
+    spans = F.transform(F.filter(numbered, lambda m: _confirmed(kind, m["match"])), span)
     return spans if base else F.filter(spans, lambda s: s["score"] >= THRESHOLD)
 
 
+def _unused(prefix: str, columns: list[str]) -> str:
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def find_pii(docs: DataFrame, text_col: str = "text", spans_col: str = "spans", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """Adds ``spans_col``, array<struct<kind, start, end, score>>, by kind as listed and then by start."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    taken = {c.lower() for c in docs.columns}
-    prefix = "_pii"
-    while any(c.startswith(prefix) for c in taken):
-        prefix += "_"
     columns = docs.columns
+    prefix = _unused("_pii", columns)
     staged = docs.withColumn(f"{prefix}_text", text)
-    staged = staged.withColumns({f"{prefix}_{k.name}": _proposed(k, F.col(f"{prefix}_text")) for k in kinds})
-    spans = F.concat(*(_scored(k, F.col(f"{prefix}_{k.name}"), F.col(f"{prefix}_text")) for k in kinds))
+    staged = staged.withColumns({f"{prefix}_pairs_{k.name}": _pairs(k, F.col(f"{prefix}_text")) for k in kinds})
+    staged = staged.withColumns({f"{prefix}_{k.name}": _proposed(F.col(f"{prefix}_pairs_{k.name}")) for k in kinds})
+    spans = F.concat(*(_scored(k, F.col(f"{prefix}_{k.name}"), F.col(f"{prefix}_pairs_{k.name}")) for k in kinds))
     return staged.withColumn(f"{prefix}_spans", spans).select(*(F.col(f"`{c}`") for c in columns if c != spans_col), F.col(f"{prefix}_spans").alias(spans_col))
 
 
@@ -152,23 +179,31 @@ def redact(docs: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] = KI
     """The documents with each span replaced by its kind in angle brackets; all columns stay.
 
     Overlapping spans become one replacement named after the first. Null texts stay null.
+    Spans are replaced chunk by chunk, each in its own part of the text.
     """
-    name = "_pii_found"
-    while name in docs.columns:
-        name += "_"
-    found = find_pii(docs, text_col, name, kinds)
+    name = _unused("_pii_found", docs.columns)
     text = F.col(text_col)
-    ordered = F.array_sort(F.col(name), lambda a, b: F.when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1)).otherwise(F.when(a["end"] > b["end"], -1).when(a["end"] < b["end"], 1).otherwise(0)))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    by_place = lambda a, b: F.when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1)).otherwise(F.when(a["end"] > b["end"], -1).when(a["end"] < b["end"], 1).otherwise(0))
+    found = find_pii(docs, text_col, name, kinds)
+    found = found.withColumn(name, F.array_sort(F.col(name), by_place))
+    found = found.withColumn(name, _chunks(F.col(name)))
+    zero = F.lit(0).cast("long")
+
+    def part(begin: Column, end: Column, of: Column) -> Column:
+        return F.substring(of, (begin + 1).cast("int"), (end - begin).cast("int"))
 
     def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        piece = F.concat(acc["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        return F.struct(F.when(fresh, piece).otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+        piece = F.concat(acc["out"], part(acc["at"] - acc["base"], s["start"] - acc["base"], acc["block"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+        out = F.when(s["start"] >= acc["at"], piece).otherwise(acc["out"])
+        return F.struct(out.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"), acc["base"].alias("base"), acc["block"].alias("block"))
+
+    def join(acc: Column, chunk: Column) -> Column:
+        last = F.greatest(acc["at"], F.coalesce(F.array_max(F.transform(chunk, lambda s: s["end"])), zero))
+        begin = F.struct(F.lit("").alias("out"), acc["at"].alias("at"), acc["at"].alias("base"), part(acc["at"], last, text).alias("block"))
+        return F.aggregate(chunk, begin, step, lambda done: F.struct(F.concat(acc["out"], done["out"]).alias("out"), done["at"].alias("at")))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-    clean = F.when(F.size(F.col(name)) > 0, F.aggregate(ordered, start, step, rest)).otherwise(text)
+    rest = lambda acc: F.concat(acc["out"], part(acc["at"], F.length(text).cast("long"), text))
+    clean = F.when(F.size(F.get(F.col(name), F.lit(0))) > 0, F.aggregate(F.col(name), F.struct(F.lit("").alias("out"), zero.alias("at")), join, rest)).otherwise(text)
     return found.select(*((clean if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
 

@@ -135,6 +135,28 @@ def test_op9_redacts(spark, docs):
     assert {r.doc_id: r.text for r in out.collect()} == {1: "to é <EMAIL> and <IP>!", 2: None, 3: "", 4: "<PHONE>"}
 
 
+def test_op9_text_of_many_spans(spark):
+    """Chunks of any size give what the patterns give; context words are found over several spans and gaps."""
+    rng = random.Random(19)
+    parts, want, at = [], [], 0
+    for i in range(6000):
+        gap = rng.choice((" ", " mail ", " \U0001f600 no word of it ", "; contact: ", " 1 2 "))
+        address = f"u{i}@ex{i % 7}.org"
+        at += len(gap)
+        want.append((at, at + len(address)))
+        parts += [gap, address]
+        at += len(address)
+    text = "".join(parts)
+    spans = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
+    emails = [s for s in spans if s.kind == "email"]
+    assert [(s.start, s.end) for s in emails] == want
+    for s in emails:
+        near = re.search(r"\b(mail|contact|write)", text[max(0, s.start - 40) : s.start].lower()) is not None
+        assert s.score == (1.0 if near else 0.7)
+    clean = pii.redact(spark.createDataFrame([(1, text), (2, None), (3, "none")], "doc_id long, text string"))
+    assert {r.doc_id: r.text for r in clean.collect()} == {1: "".join(g if i % 2 == 0 else "<EMAIL>" for i, g in enumerate(parts)), 2: None, 3: "none"}
+
+
 def test_op9_has_no_python(docs):
     plan = pii.pii_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
