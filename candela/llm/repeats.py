@@ -10,8 +10,17 @@ a fingerprint first. Shards with a single run hold no repeat. Where all runs of
 a shard are equal, all their windows repeat. Elsewhere the text of each distinct
 run is fetched once, and the shard decides. So what repeats is found at the cost
 of about two rows for each ``size - gram`` symbols of the corpus, and text moves
-only for shards that can hold a repeat. A shard beyond SHARD_SYMBOLS is not
-gathered: its windows are counted by fingerprint, spread over all tasks.
+only for shards that can hold a repeat.
+
+A shard beyond SHARD_SYMBOLS is not gathered but divided. Its runs are cut into
+parts whose windows start at nearly the same distance before the anchor. All
+windows of a part share a core around the anchor, equal windows have equal cores,
+and so a part goes to the shard of its core. Equal parts become one with their
+number before they meet. Shards that are still too large are divided again by
+longer cores; at last a part is one window, its core the window itself, and its
+shard one row.
+
+A row that is in the table more than once counts as two, however many there are.
 """
 
 from __future__ import annotations
@@ -27,8 +36,10 @@ from candela.llm import text as tx
 
 #: Symbols of a document that are looked at at a time.
 CHUNK = 1 << 20
-#: Symbols of a shard's distinct runs beyond which it is split by its windows' fingerprints.
+#: Symbols of a shard's distinct runs beyond which it is divided.
 SHARD_SYMBOLS = 60_000
+#: Into how many ranges of distances a large shard is divided at a time.
+FAN = 4
 _LOW = tx.U64((1 << 24) - 1)
 
 
@@ -175,16 +186,16 @@ def decide(fetched: DataFrame, units: Units, size: int, method: Decide) -> DataF
 
         for parts in tx.groups(batches):
             shard, seen = parts[0].column(0)[0].as_py(), {}
-            for p in parts:  # repeated rows of a document fetch a run more than once
+            for p in parts:
                 content, length, place, n, data = (p.column(i).to_pylist() for i in range(1, 6))
                 for row in zip(content, length, place, n, data):
                     seen[row[:3]] = row
-            if len(seen) < 2:
-                continue
             members = list(seen.values())
-            symbols = [units.unpack(m[4]) for m in members]
             length, place, n = ([m[i] for m in members] for i in (1, 2, 3))
-            flags = method(symbols, place, length, n)
+            if len(members) > 1:
+                flags = method([units.unpack(m[4]) for m in members], place, length, n)
+            else:
+                flags = [np.zeros(length[0], bool)]
             for m, hit in zip(members, flags):
                 found = spans_of(np.ones(m[1], bool) if m[3] > 1 else hit, size)
                 if found:
@@ -199,54 +210,91 @@ def decide(fetched: DataFrame, units: Units, size: int, method: Decide) -> DataF
     return tx.map_arrow(ordered, run, "shard long, content long, run int, place int, spans array<int>")
 
 
-def decide_large(fetched: DataFrame, units: Units, size: int) -> DataFrame:
-    """The same as ``decide``, by the fingerprints of windows: a shard is spread over all of them."""
+def parts(hot: DataFrame, units: Units, size: int, width: int) -> DataFrame:
+    """Runs cut where the distance from a window's start to the anchor passes a multiple of ``width``.
+
+    The run's key as run_shard, run_content ..., ``first`` (the part's first window in the run), and the part's key, n and symbols.
+    """
+    names = (*(f"run_{k}" for k in KEY), "first", *KEY, "n", "symbols")
 
-    def windows(batch: pa.RecordBatch) -> Iterator[dict]:
-        names = (*KEY, "n", "print", "at")
+    def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         out: dict[str, list] = {n: [] for n in names}
         held = 0
-        for *key, n, symbols in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            prints = tx.RollingHash(units.hashes(units.unpack(symbols))).grams(size).view(np.int64)
-            for name, value in zip(names, (*key, n)):
-                out[name].append(np.full(len(prints), value, np.int64))
-            out["print"].append(prints)
-            out["at"].append(np.arange(len(prints)))
-            held += len(prints)
-            if held > 100_000:
-                yield {n: np.concatenate(v) for n, v in out.items()}
+        for *key, n, data in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            shard, _, run, place = key
+            symbols = units.unpack(data)
+            rolled = tx.RollingHash(units.hashes(symbols))
+            near = np.arange(max(0, place - run + 1) // width, place // width + 1) * width  # least distance of each part
+            first = np.maximum(0, place - near - width + 1)
+            windows = np.minimum(run - 1, place - near) - first + 1
+            core = rolled.slices(place - near, np.full(len(near), size - width + 1))
+            shards = tx.mix(core + tx.mix(near.astype(tx.U64) + np.array([shard]).view(tx.U64))).view(np.int64)
+            contents = rolled.slices(first, windows + size - 1).view(np.int64)
+            for row in zip(shards.tolist(), contents.tolist(), windows.tolist(), (place - first).tolist(), first.tolist()):
+                packed = units.pack(symbols[row[4] : row[4] + row[2] + size - 1])
+                for name, value in zip(names, (*key, row[4], *row[:4], n, packed)):
+                    out[name].append(value)
+                held += len(packed)
+            if held > 4 << 20:
+                yield out
                 out, held = {n: [] for n in names}, 0
         if held:
-            yield {n: np.concatenate(v) for n, v in out.items()}
+            yield out
+
+    schema = "run_shard long, run_content long, run_run int, run_place int, first int, shard long, content long, run int, place int, n long, symbols binary"
+    return tx.map_batches(hot.select(*KEY, "n", "symbols"), cut, schema)
+
+
+def too_large(keys: DataFrame, size: int) -> DataFrame:
+    """``shard`` of those beyond SHARD_SYMBOLS, written. ``keys``: the key's columns, repeated or not."""
+    symbols = keys.select(*KEY).distinct().groupBy("shard").agg(F.sum(F.col("run") + F.lit(size - 1)).alias("symbols"))
+    return tx.write_table(symbols.where(F.col("symbols") > SHARD_SYMBOLS).select("shard"), "large")
+
+
+def decide_large(hot: DataFrame, units: Units, size: int, width: int, method: Decide) -> DataFrame:
+    """The same as ``decide`` for shards that one task should not hold; a run may have several rows.
+
+    ``hot``: their distinct runs, whose windows start at ``width`` distances from the anchor or fewer in each shard.
+    """
+    width = -(-width // FAN)
+    cut = tx.write_table(parts(hot, units, size, width), "parts")
+    merged = cut.groupBy(*KEY).agg(F.sum("n").alias("n"), F.first("symbols").alias("symbols"))
+    large = too_large(cut, size)
+    if width == 1 or large.isEmpty():  # one distance: all runs of a shard are one window
+        found = decide(merged, units, size, method)
+    else:
+        found = decide(merged.join(large, "shard", "left_anti").select(*KEY, "n", "symbols"), units, size, method)
+        found = found.unionByName(decide_large(merged.join(large, "shard", "left_semi"), units, size, width, method))
+    whole = cut.select(*(f"run_{k}" for k in KEY), "first", *KEY).join(found, list(KEY))
+    return whole.select(*(F.col(f"run_{k}").alias(k) for k in KEY), F.transform("spans", lambda s: s + F.col("first")).alias("spans"))
 
-    def spans(batch: pa.RecordBatch) -> Iterator[dict]:
-        out: dict[str, list] = {n: batch.column(i).to_pylist() for i, n in enumerate(KEY)}
-        out["spans"] = []
-        for run, places in zip(out["run"], batch.column(4).to_pylist()):
-            hit = np.zeros(run, bool)
-            hit[places] = True
-            out["spans"].append(spans_of(hit, size))
-        yield out
 
-    # repeated rows of a document fetch a run more than once: equal rows are one
-    flat = tx.map_batches(fetched, windows, "shard long, content long, run int, place int, n long, print long, at int").distinct()
-    counted = flat.groupBy("shard", "print").agg(F.sum("n").alias("c")).where("c > 1").select("shard", "print")
-    found = flat.join(counted, ["shard", "print"]).groupBy(*KEY).agg(F.collect_list("at").alias("at"))
-    return tx.map_batches(found, spans, "shard long, content long, run int, place int, spans array<int>")
+def counted_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """_key and text twice over: with rows that the table repeats there twice, and once."""
+    rows = rows.select("_key", "text")
+    repeated = tx.write_table(rows.groupBy("_key").count().where("count > 1").select("_key"), "repeated")
+    if repeated.isEmpty():
+        return rows, rows
+    one = tx.write_table(rows.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.first("text").alias("text")), "one")
+    once = rows.join(repeated, "_key", "left_anti").unionByName(one)
+    return once.unionByName(one), once
 
 
 def repeated_spans(rows: DataFrame, units: Units, size: int, gram: int, method: Decide) -> DataFrame:
     """_key and ``spans`` (structs of start and end in symbols): what windows that occur elsewhere too cover."""
-    shared = tx.write_table(shared_runs(runs(rows, units, size, gram)), "runs")
+    counted, once = counted_rows(rows)
+    shared = tx.write_table(shared_runs(runs(counted, units, size, gram)), "runs")
     mixed = shared.where("mixed").drop("mixed")
     first = mixed.groupBy(*KEY).agg(F.sum(F.size("starts")).alias("n"), F.min(F.struct("_key", F.get("starts", F.lit(0)).alias("start"))).alias("first"))
-    symbols = mixed.select(*KEY).distinct().groupBy("shard").agg(F.sum(F.col("run") + F.lit(size - 1)).alias("symbols"))
-    large = tx.write_table(symbols.where(F.col("symbols") > SHARD_SYMBOLS).select("shard", F.lit(True).alias("large")), "large")
-    distinct = first.join(large, "shard", "left").select(*KEY, "n", "first._key", "first.start", F.coalesce("large", F.lit(False)).alias("large"))
-    fetched = contents(rows, distinct, units, size)
-    decided = decide(fetched.where("not large").drop("large"), units, size, method)
-    if not large.isEmpty():
-        decided = decided.unionByName(decide_large(fetched.where("large").drop("large"), units, size))
+    large = too_large(mixed, size)
+    distinct = first.join(large.withColumn("large", F.lit(True)), "shard", "left").select(*KEY, "n", "first._key", "first.start", F.coalesce("large", F.lit(False)).alias("large"))
+    fetched = contents(once, distinct, units, size)
+    if large.isEmpty():
+        decided = decide(fetched.drop("large"), units, size, method)
+    else:
+        fetched = tx.write_table(fetched, "fetched")
+        decided = decide(fetched.where("not large").drop("large"), units, size, method)
+        decided = decided.unionByName(decide_large(fetched.where("large"), units, size, size - gram + 1, method))
     pairs = F.transform(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)), lambda i: F.struct(F.get("spans", i).alias("from"), F.get("spans", i + 1).alias("to")))
     at = lambda start, first, last: F.struct((start + first).alias("start"), (start + last).alias("end"))
     within = F.flatten(F.transform("starts", lambda s: F.transform("pairs", lambda p: at(s, p["from"], p["to"]))))
