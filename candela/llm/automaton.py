@@ -125,16 +125,16 @@ def passage_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batch: pa.RecordBatch) -> dict:
         out = {n: [] for n in ("n_words", "n_removed", "kept_sha256")}
-        for text, spans in zip(tx.binary(batch.column(1)), batch.column(2).to_pylist()):
+        for text, (start, end) in zip(tx.binary(batch.column(1)), repeats.span_edges(batch.column(2))):
             words = tx.words(text)
-            gone = repeats.covered(len(words), spans) if spans else np.zeros(len(words), bool)
-            kept = [w for w, g in zip(words, gone.tolist()) if not g] if spans else words
+            gone = repeats.covered(len(words), start, end)
+            kept = [w for w, g in zip(words, gone.tolist()) if not g] if len(start) else words
             out["n_words"].append(len(words))
             out["n_removed"].append(int(gone.sum()))
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
         return out | {"doc_id": batch.column(0)}
 
-    return tx.map_batches(repeated_passages(docs, id_col, text_col), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return tx.map_batches(repeated_passages(docs, id_col, text_col), run, "doc_id long, n_words long, n_removed long, kept_sha256 string", repeats.DOCS)
 
 
 def op8_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

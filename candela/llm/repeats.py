@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from candela.llm import text as tx
 
+#: Documents of a batch that are held as Python objects at a time.
+DOCS = 500
 #: Symbols of a document that are looked at at a time.
 CHUNK = 1 << 20
 #: Symbols of a shard's distinct runs beyond which it is divided.
@@ -125,7 +127,7 @@ def runs(rows: DataFrame, units: Units, size: int, gram: int) -> DataFrame:
         if size_now:
             yield out(held)
 
-    return tx.map_batches(rows.select("_key", "text"), run, "shard long, content long, run int, place int, starts array<int>, _key long")
+    return tx.map_batches(rows.select("_key", "text"), run, "shard long, content long, run int, place int, starts array<int>, _key long", DOCS)
 
 
 def shared_runs(found: DataFrame) -> DataFrame:
@@ -156,7 +158,7 @@ def contents(rows: DataFrame, distinct: DataFrame, units: Units, size: int) -> D
         if held:
             yield out
 
-    return tx.map_batches(joined, run, "shard long, content long, run int, place int, n long, symbols binary, large boolean")
+    return tx.map_batches(joined, run, "shard long, content long, run int, place int, n long, symbols binary, large boolean", DOCS)
 
 
 def spans_of(hit: np.ndarray, size: int) -> list[int]:
@@ -303,10 +305,16 @@ def repeated_spans(rows: DataFrame, units: Units, size: int, gram: int, method:
     return some.unionByName(whole).groupBy("_key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
-def covered(n: int, spans: list[dict] | None) -> np.ndarray:
+def span_edges(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of each row's spans, none for null; no span becomes a Python object."""
+    at = column.offsets.to_numpy()
+    start, end = (column.values.field(i).to_numpy() for i in range(2))
+    for i, gone in enumerate(column.is_null().to_pylist()):
+        own = slice(0, 0) if gone else slice(at[i], at[i + 1])
+        yield start[own], end[own]
+
+
+def covered(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Flags of the symbols that the spans cover."""
-    edge = np.zeros(n + 1, np.int64)
-    for s in spans or ():
-        edge[s["start"]] += 1
-        edge[s["end"]] -= 1
+    edge = np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1)
     return np.cumsum(edge[:n]) > 0

@@ -201,11 +201,11 @@ def string_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batch: pa.RecordBatch) -> dict:
         out = {n: [] for n in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
-        for text, spans in zip(tx.binary(batch.column(1)), batch.column(2).to_pylist()):
+        for text, (start, end) in zip(tx.binary(batch.column(1)), repeats.span_edges(batch.column(2))):
             text = text or b""
             kept, removed, runs = text, 0, 0
-            if spans:
-                gone = repeats.covered(len(text), spans)
+            if len(start):
+                gone = repeats.covered(len(text), start, end)
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 removed = len(text) - len(kept)
                 runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
@@ -213,7 +213,7 @@ def string_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 out[name].append(value)
         return out | {"doc_id": batch.column(0)}
 
-    return tx.map_batches(repeated_strings(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return tx.map_batches(repeated_strings(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", repeats.DOCS)
 
 
 def op10_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,18 +104,19 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict | None], schema: str, rows: int | None = None) -> DataFrame:
     """``mapInArrow`` over a function from a batch to dicts of columns.
 
-    ``schema`` is Spark DDL; columns are cast to it by Arrow.
+    ``schema`` is Spark DDL; columns are cast to it by Arrow. With ``rows``, the function gets that many at a time.
     """
     target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = fn(batch)
-            for part in [out] if isinstance(out, dict) else out or ():
-                yield pa.RecordBatch.from_arrays([_column(part[f.name], f.type) for f in target], schema=target)
+            for at in range(0, batch.num_rows, rows) if rows else (0,):
+                out = fn(batch.slice(at, rows))
+                for part in [out] if isinstance(out, dict) else out or ():
+                    yield pa.RecordBatch.from_arrays([_column(part[f.name], f.type) for f in target], schema=target)
 
     return map_arrow(df, run, schema)
 
