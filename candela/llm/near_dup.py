@@ -3,15 +3,15 @@
 1. A document is its set of word shingles. Documents with one set are one class,
    and go on as one.
 2. A class is posted under each coordinate and value of its MinHash signature.
-   Two sets of the wanted similarity agree on MATCHES of the COORDINATES or more
-   (they agree on fewer with a chance of 2e-7 at a similarity of 0.8), so they
-   share one at least of the COORDINATES - MATCHES + 1 rarest postings of either:
-   only that prefix is posted, and a value that no other class has is left out.
+   Two sets of the wanted similarity agree on ``least_matches`` of the COORDINATES or
+   more (they agree on fewer with a chance of MISS at most; 13 and 2e-7 at a similarity
+   of 0.8), so they share one at least of the COORDINATES - matches + 1 rarest postings of
+   either: only that prefix is posted, and a value that no other class has is left out.
 3. Within a posting list collisions are counted: the long lists beyond the
    prefix are not merged but skipped to, by comparing signatures, and a pair
-   holds with MATCHES collisions. A list gives no pairs, only edges that span
+   holds with that many collisions. A list gives no pairs, only edges that span
    what hangs together by such pairs; their components are the groups.
-4. In a group all pairs that still lie in different components and hold MATCHES
+4. In a group all pairs that still lie in different components and hold as many
    collisions are confirmed on the full sets. The links span the components.
 
 Groups beyond GROUP_BYTES are dealt in blocks and every pair of blocks meets in
@@ -24,6 +24,7 @@ nobody's component id unless all of its component are null; it is kept if so.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,8 @@ from candela.llm import text as tx
 from candela.llm.components import components
 
 COORDINATES = 32
-MATCHES = 13
-PREFIX = COORDINATES - MATCHES + 1
+#: Chance allowed that a pair of just the wanted similarity has too few collisions.
+MISS = 1e-6
 #: Bytes of shingle hashes that a block of a group holds.
 GROUP_BYTES = 48 << 20
 
@@ -45,6 +46,18 @@ _RANDOM = np.random.default_rng(20240607)
 MULTIPLIERS = _RANDOM.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * tx.U64(2) + tx.U64(1)
 
 
+def least_matches(percent: int) -> int:
+    """Collisions that two sets of this similarity have but for a chance of MISS, by the binomial law."""
+    p, below = percent / 100, 0.0
+    for n in range(COORDINATES + 1):
+        below += math.comb(COORDINATES, n) * p**n * (1 - p) ** (COORDINATES - n)
+        if below > MISS:
+            break
+    if not 0 < n or not 0 < percent <= 100:
+        raise ValueError(f"{COORDINATES} coordinates miss pairs of {percent} percent with a chance over {MISS}")
+    return n
+
+
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     """Hashes of the distinct shingles, ascending. Fewer words than ``size``: the whole sequence as one."""
     tokens = tx.lower_words(text)
@@ -111,15 +124,15 @@ def spanning_edges(signature: np.ndarray, least: int) -> list[tuple[int, int]]:
     return edges
 
 
-def collisions(classes: DataFrame) -> DataFrame:
-    """Edges (a, b) between classes that span all pairs with MATCHES collisions. ``classes``: class, signature."""
+def collisions(classes: DataFrame, least: int) -> DataFrame:
+    """Edges (a, b) between classes that span all pairs with ``least`` collisions. ``classes``: class, signature."""
     posted = classes.select("class", "signature", F.posexplode("signature").alias("coordinate", "value"))
     key = F.xxhash64("coordinate", "value").alias("posting")
     lists = posted.select("class", key).groupBy("posting").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
     own = posted.select("class", key).join(lists, "posting")
-    # A value that no other class has is rarer than all others: with PREFIX of them a class has no pair.
+    # A value that no other class has is rarer than all others: with a whole prefix of them a class has no pair.
     ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("class").orderBy("length", "posting"))).withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("class")))
-    prefix = ranked.where(F.col("rank") <= F.col("shared") - F.lit(MATCHES - 1)).select("class", "posting")
+    prefix = ranked.where(F.col("rank") <= F.col("shared") - F.lit(least - 1)).select("class", "posting")
     # Eight bits of each coordinate are enough to count collisions; they only ever add some.
     bits = F.transform("signature", lambda v: (F.pmod(v, F.lit(251)) - 125).cast("tinyint"))
     members = prefix.join(classes.select("class", bits.alias("bits")), "class").select("posting", "class", "bits")
@@ -130,7 +143,7 @@ def collisions(classes: DataFrame) -> DataFrame:
             if len(names) < 2:
                 continue
             seen = np.concatenate([p.column(2).flatten().to_numpy() for p in parts]).reshape(len(names), COORDINATES)
-            edges = spanning_edges(seen, MATCHES)
+            edges = spanning_edges(seen, least)
             if edges:
                 yield pa.RecordBatch.from_pydict({"a": [names[i] for i, _ in edges], "b": [names[j] for _, j in edges]})
 
@@ -147,14 +160,14 @@ class Links:
         values, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
         self.distinct = len(values)
         self.signature = signatures(sets)
-        self.percent = percent
+        self.percent, self.least = percent, least_matches(percent)
 
     def of(self, x: int, others: np.ndarray) -> np.ndarray:
         """Those of the others that are linked to x."""
         a, b = self.sizes[x], self.sizes[others]
         others = others[100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)]
         if len(others):
-            others = others[(self.signature[others] == self.signature[x]).sum(axis=1) >= MATCHES]
+            others = others[(self.signature[others] == self.signature[x]).sum(axis=1) >= self.least]
         if not len(others):
             return others
         mine = np.zeros(self.distinct, bool)
@@ -218,7 +231,7 @@ def label(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     found = sketched.where("class is not null")
     per_class = found.groupBy("class").agg(F.min("doc_id").alias("first_id"), F.min("doc_key").alias("doc_key"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     classes = tx.write_table(per_class, "classes")
-    groups = components(collisions(classes.select("class", "signature")))
+    groups = components(collisions(classes.select("class", "signature"), least_matches(percent)))
     links = components(confirm(rows, classes, groups, size, percent))
     linked = classes.select("class", "first_id").join(links.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -232,6 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_shingles, component_id and kept for each document.
 
     Links two documents if 100 * |intersection| >= percent * |union| of their sets of ``size``-word shingles.
+    A percent that the coordinates don't carry (under 36) is an error.
     """
     out = label(docs, id_col, text_col, size, percent)
     return out.select("doc_id", "n_shingles", "component_id").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -249,9 +263,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key = F.xxhash64(F.col(id_col).cast("long").cast("string"), F.lit("|"), F.col(text_col).cast("string"))
     kept = docs.withColumn(name, key).join(stays.withColumnRenamed("_stays", name), name, "left_semi")
     repeated = labelled.where("component is not null").groupBy("doc_key").count().where("count > 1")
-    if not repeated.isEmpty():  # a row that is in the table more than once stays once
+    if not repeated.isEmpty():  # of rows with one id and text, the first by the JSON of all columns stays, in any run
         twice = repeated.select(F.col("doc_key").alias(name))
-        kept = kept.join(twice, name, "left_anti").unionByName(kept.join(twice, name, "left_semi").dropDuplicates([name]))
+        row = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
+        chosen = kept.join(twice, name, "left_semi").groupBy(name).agg(F.min_by(row, F.to_json(row)).alias("row"))
+        several = chosen.select(name, *(F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)))
+        kept = kept.join(twice, name, "left_anti").unionByName(several)
     return kept.select(*(F.col(f"`{c}`") for c in columns))
 
 

@@ -370,7 +370,7 @@ def test_op6_items_shorter_than_a_seed(spark):
         assert rows_of(kept, "doc_id") == Counter((d,) for d, _ in texts if d not in {x for x, _ in want})
 
 
-def labels(rows, size):
+def labels(rows, size, percent=80):
     """doc -> (set size, component id) for rows with any ids; equal ids are told apart by place."""
     sets = [brute.shingles(t, size) for _, t in rows]
     parent = list(range(len(rows)))
@@ -383,7 +383,7 @@ def labels(rows, size):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 parent[find(i)] = find(j)
     out = []
     for i, (doc_id, _) in enumerate(rows):
@@ -433,6 +433,38 @@ def test_op3_one_of_each_stays(docs):
     assert all(got[r] == n for r, n in empty.items())
 
 
+@pytest.mark.parametrize("percent", [45, 65, 95])
+def test_op3_any_percent(spark, percent):
+    """Pairs just at or above the threshold: no link is lost."""
+    rng = random.Random(percent)
+    rows = []
+    for _ in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(123)]  # 120 shingles; a new tail of k words leaves 120 - k
+        common = -(-2 * 120 * percent // (100 + percent)) + rng.randint(0, 1)
+        tail = 120 - common
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[: 123 - tail] + [f"t{rng.randrange(10**6)}" for _ in range(tail)]))]
+    want, roots, _ = labels(rows, 4, percent)
+    assert len(set(roots)) == 150
+    assert rows_of(near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent), "doc_id", "n_shingles", "component_id", "kept") == Counter(want)
+
+
+def test_op3_refuses_what_the_coordinates_do_not_carry(spark):
+    assert near_dup.least_matches(80) == 13
+    for percent in (0, 20, 35, 101):
+        with pytest.raises(ValueError):
+            near_dup.least_matches(percent)
+
+
+def test_op3_same_row_stays_in_any_run(spark):
+    text = prose(3, 40)
+    rows = [(1, text, v, {"k": v}) for v in ("c", "a", None, "b")] + [(2, text, "x", None), (3, None, "y", None)]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, Row string, c0 map<string,string>").repartition(3)
+        got = {(r[0], r[2], (r[3] or {}).get("k")) for r in near_dup.drop_near_duplicates(df).collect()}
+        assert got == {(1, "a", "a"), (3, "y", None)}
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(5, 5), (None, 3), (100, 50)]
     found = dict((r.node, r.component) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
@@ -508,6 +540,19 @@ def test_op8_op10_large_shards_are_not_gathered(spark, monkeypatch):
             assert gathered.pop() <= now
 
 
+def test_op8_op10_row_repeated_very_often(spark):
+    """A row many times in the table goes through as two."""
+    long_, alone = prose(50, 300), prose(51, 120)
+    rows = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(long_).alias("text"))
+    rows = rows.unionByName(spark.createDataFrame([(2, alone)], "doc_id long, text string"))
+    counted, once = repeats.counted_rows(tx.keyed_rows(rows, "doc_id", "text"))
+    assert (counted.count(), once.count()) == (3, 2)
+    found = rows_of(automaton.passage_report(rows), "doc_id", "n_words", "n_removed")
+    assert found == Counter({(1, 300, 300): 20_000, (2, len(alone.split()), 0): 1})
+    found = rows_of(suffix_sort.string_report(rows), "doc_id", "n_bytes", "n_removed")
+    assert found == Counter({(1, len(long_.encode()), len(long_.encode())): 20_000, (2, len(alone.encode()), 0): 1})
+
+
 def test_deep_shallow_sort():
     rng = random.Random(9)
     for t in range(600):
