@@ -3,14 +3,15 @@
 A byte sequence's encoding ends in exactly one token for each of its prefixes,
 and a token may follow another if and only if the two, joined, encode to just
 that pair. So the merges compile to a nondeterministic machine that guesses
-token ends: a hypothesis is the tokens so far and a place in the trie of the
+token ends: a hypothesis is the last token so far and a place in the trie of the
 vocabulary. The transducer runs all live hypotheses at once. Its deterministic
-states (the set of hypotheses, less what they share) and its arcs are made when
-first needed and kept; what all hypotheses share is emitted, so a token leaves
-once the bytes after it rule the others out, and no hypothesis outlives the
-longest vocabulary entry. The states that are kept are bounded: once they are
-full, all but the one that the piece has come to are dropped and made anew as
-they are needed, so every piece goes through the transducer, however long it is.
+states (the sets of hypotheses) and its arcs are made when first needed and kept,
+and no hypothesis outlives the longest vocabulary entry. Each state emits the
+last token of the prefix that leads to it; the tokens of the piece are read off
+from its end, each as many bytes before the next one's end as that is long. The
+states that are kept are bounded: once they are full, all but the one that the
+piece has come to are dropped and made anew as they are needed, so every piece
+goes through the transducer, however long it is.
 
 Decoding is a machine over tokens: its state is the bytes of an unfinished
 UTF-8 character, an arc is a token, and the arcs are made when first needed.
@@ -22,18 +23,20 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candela.llm import text as tx
 
-#: Deterministic states that are kept, and words whose tokens are remembered; results do not depend on them.
-KEPT_STATES = 40_000
-KEPT_WORDS = 150_000
+#: Deterministic states that are kept, and words in each of the two generations whose tokens are remembered; results do not depend on them.
+KEPT_STATES = 100_000
+KEPT_WORDS = 100_000
 #: Pairs of tokens whose test is remembered.
-KEPT_PAIRS = 200_000
+KEPT_PAIRS = 300_000
 
 
 class Vocabulary:
@@ -56,7 +59,7 @@ class Vocabulary:
                     self.ends.append(-1)
                 node = below
             self.ends[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         #: For each entry, the parts at its left and right edge from single bytes up, each with
         #: the rank of the merge that ends its life (no merge: a rank beyond all). Entries that
         #: their own bytes do not merge into are never emitted and have none.
@@ -93,7 +96,7 @@ class Vocabulary:
         """Whether the two, joined, encode to just this pair. left < 0: the start."""
         if left < 0:
             return right in self.left_edge
-        key = (left, right)
+        key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > KEPT_PAIRS:
@@ -121,80 +124,72 @@ class Vocabulary:
 class Transducer:
     """Bytes in, tokens out.
 
-    A state is a tuple of hypotheses (last token or -1, trie node, tokens that
-    are not yet emitted); the emitted tokens are those that all of them share.
+    A state is a tuple of hypotheses: the last token (or -1) and the trie node
+    since, packed into one number. Exactly one hypothesis has just ended a token,
+    so the states along a word tell the last token of each of its prefixes; read
+    from the end, each token says where the one before it ends.
     """
 
-    START = ((-1, 0, ()),)
+    #: Bits of a trie node in a hypothesis; the number above them is 1 + the last token.
+    NODE = 32
+    START = (0,)
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.sizes = {rank: len(word) for rank, word in vocabulary.words.items()}
         self.restarts = -1
         self.restart(self.START)
 
-    def restart(self, state: tuple) -> int:
+    def restart(self, state: tuple[int, ...]) -> int:
         """Drops all states but the start and this one; its new number."""
         self.restarts += 1
-        self.states: list[tuple] = [self.START] if state == self.START else [self.START, state]
-        self.numbers: dict[tuple, int] = {s: i for i, s in enumerate(self.states)}
-        #: state -> byte -> (state, emitted); made when first taken.
-        self.arcs: list[dict[int, tuple[int, tuple[int, ...]]]] = [{} for _ in self.states]
-        self.finals: dict[int, tuple[int, ...]] = {}
+        self.states: list[tuple[int, ...]] = [self.START] if state == self.START else [self.START, state]
+        self.numbers: dict[tuple[int, ...], int] = {s: i for i, s in enumerate(self.states)}
+        #: The token that each state has just ended.
+        self.ended: list[int] = [(s[-1] >> self.NODE) - 1 for s in self.states]
+        #: state * 256 + byte -> state; made when first taken.
+        self.arcs: dict[int, int] = {}
         return len(self.states) - 1
 
-    def arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def arc(self, state: int, byte: int) -> int:
         """Determinises one arc."""
-        v, moved, ended = self.vocabulary, [], None
-        trie, ends = v.trie, v.ends
-        for last, node, pending in self.states[state]:
-            below = trie[node].get(byte)
+        v, moved, ended, bits = self.vocabulary, [], -1, self.NODE
+        trie, ends, low = v.trie, v.ends, (1 << self.NODE) - 1
+        for hypothesis in self.states[state]:
+            below = trie[hypothesis & low].get(byte)
             if below is None:
                 continue
-            token = ends[below]
-            if ended is None and token >= 0 and v.may_follow(last, token):
-                ended = (token, 0, (*pending, token))
+            if ended < 0 and ends[below] >= 0 and v.may_follow((hypothesis >> bits) - 1, ends[below]):
+                ended = ends[below]
             if trie[below]:
-                moved.append((last, below, pending))
-        if ended is not None:
-            moved.append(ended)
-        first = moved[0][2]
-        shared = 0
-        if len(moved) == 1:
-            shared = len(first)
-        elif first:
-            for token in first:
-                if any(len(p) <= shared or p[shared] != token for _, _, p in moved):
-                    break
-                shared += 1
-        target = tuple((last, node, pending[shared:]) for last, node, pending in moved)
+                moved.append(hypothesis & ~low | below)
+        moved.append(ended + 1 << bits)
+        target = tuple(moved)
         number = self.numbers.get(target)
         if number is None:
             number = self.numbers[target] = len(self.states)
             self.states.append(target)
-            self.arcs.append({})
-        found = self.arcs[state][byte] = (number, first[:shared])
-        return found
-
-    def final(self, state: int) -> tuple[int, ...]:
-        """What is still to be emitted if the input ends here: the hypothesis that has just ended a token."""
-        out = self.finals.get(state)
-        if out is None:
-            out = self.finals[state] = next(p for _, node, p in self.states[state] if node == 0)
-        return out
+            self.ended.append(ended)
+        self.arcs[state << 8 | byte] = number
+        return number
 
     def run(self, word: bytes) -> list[int]:
-        state, out, arcs = 0, [], self.arcs
+        state, last, known, ended = 0, [], self.arcs.get, self.ended
         for byte in word:
-            step = arcs[state].get(byte)
+            step = known(state << 8 | byte)
             if step is None:
-                if len(arcs) > KEPT_STATES:
+                if len(ended) > KEPT_STATES:
                     state = self.restart(self.states[state])
-                    arcs = self.arcs
+                    known, ended = self.arcs.get, self.ended
                 step = self.arc(state, byte)
-            state, emitted = step
-            if emitted:
-                out.extend(emitted)
-        out.extend(self.final(state))
+            state = step
+            last.append(ended[state])
+        out, at, sizes = [], len(last), self.sizes
+        while at:
+            token = last[at - 1]
+            out.append(token)
+            at -= sizes[token]
+        out.reverse()
         return out
 
 
@@ -300,20 +295,26 @@ class Codec:
         self.transducer = Transducer(self.vocabulary)
         self.splitter = Splitter(pattern)
         self.decoder = StreamDecoder(self.vocabulary)
-        self.seen: dict[str, list[int]] = {}
-
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        seen = self.seen
-        if len(seen) > KEPT_WORDS:
-            seen.clear()
-        for piece in self.splitter.split(text):
-            found = seen.get(piece)
-            if found is None:
-                found = self.transducer.run(piece.encode())
-                if len(piece) < 64:
-                    seen[piece] = found
-            ids.extend(found)
+        #: The ids of pieces as 32-bit numbers; a piece that is met again moves to the younger generation.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        for piece in pieces:
+            ids = self.old.get(piece)
+            self.young[piece] = array("i", self.transducer.run(piece.encode())).tobytes() if ids is None else ids
+
+    def encode(self, text: str) -> np.ndarray:
+        if len(self.young) > KEPT_WORDS:
+            self.young, self.old = {}, self.young
+        pieces, young = self.splitter.split(text), self.young
+        new = {p for p in pieces if p not in young}
+        if new:
+            self._learn(new)
+        ids = np.frombuffer(b"".join(map(young.__getitem__, pieces)), np.int32)
+        for piece in new:
+            if len(piece) >= 64:
+                del young[piece]
         return ids
 
     def decode(self, ids: list[int]) -> str:
@@ -341,8 +342,8 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ids_out, text_out, at, size = [], [], 0, 0
         for i, value in enumerate(batch.column(1).to_pylist()):
             ids = c.encode(value or "")
-            ids_out.append(pa.array(ids, pa.int32()))
-            text_out.append(c.decode(ids))
+            ids_out.append(pa.array(ids))
+            text_out.append(c.decode(ids.tolist()))
             size += len(ids)
             if size > 2_000_000:
                 yield {"doc_id": batch.column(0).slice(at, i + 1 - at), "ids": _lists(ids_out), "decoded": text_out}

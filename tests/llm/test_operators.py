@@ -221,6 +221,30 @@ def test_op2_transducer_keeps_or_makes_its_states_anew(codec, reference_encoding
         assert (transducer.restarts > 0) == (kept <= 40)
 
 
+def test_op2_states_tell_the_last_token_of_each_prefix(codec, reference_encoding):
+    rng = random.Random(15)
+    transducer = bpe.Transducer(codec.vocabulary)
+    for _ in range(300):
+        word = "".join(rng.choices("eaitnrshoul", k=rng.randint(1, 14)))
+        state = 0
+        for i, byte in enumerate(word.encode()):
+            state = transducer.arc(state, byte)
+            assert transducer.ended[state] == reference_encoding.encode_ordinary(word[: i + 1])[-1]
+            assert all(isinstance(hypothesis, int) for hypothesis in transducer.states[state])
+        assert transducer.run(word.encode()) == reference_encoding.encode_ordinary(word)
+
+
+def test_op2_pieces_are_remembered_in_two_generations(codec, reference_encoding, monkeypatch):
+    runs, run = [], bpe.Transducer.run
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 50)
+    monkeypatch.setattr(bpe.Transducer, "run", lambda self, word: runs.append(word) or run(self, word))
+    for at in range(40):
+        text = "common " + " ".join(f"w{chr(97 + at // 26)}{chr(97 + at % 26)}{chr(97 + i)}" for i in range(20)) + " " + "=" * 80
+        assert list(codec.encode(text)) == reference_encoding.encode_ordinary(text)
+        assert len(codec.young) <= 100 and not any(len(p) >= 64 for p in codec.young)
+    assert runs.count(b"common") == 1
+
+
 def test_op2_pairs_by_definition(codec):
     v, rng = codec.vocabulary, random.Random(6)
     for _ in range(2000):
