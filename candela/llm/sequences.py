@@ -41,11 +41,15 @@ class WordEncoder:
     Its normalizer works within words and its special tokens hold no white
     space, so the ids of a text are those of its words in turn. Within a word,
     trailing signs are a piece of their own if a letter or digit stands before
-    them, so the word and the signs are looked up apart.
+    them, so the word and the signs are looked up apart. Pieces of letters alone
+    are encoded many at a time, as one text: where the model marks the last token
+    of a piece and there are as many marks as pieces, the marks part them.
     """
 
     #: Signs that neither compose with a letter nor begin a contraction.
     SIGNS = b".,;:!?*#$%&|"
+    #: Pieces of letters in one text.
+    JOINED = 100
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,6 +57,11 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary, mark = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        #: For each id, whether it ends a piece; nothing where the model marks no ends.
+        self.marked = np.zeros(max(vocabulary.values(), default=-1) + 1 if mark else 0, bool)
+        if mark:
+            self.marked[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -61,29 +70,57 @@ class WordEncoder:
         stem = word.rstrip(self.SIGNS)
         if not stem or len(stem) == len(word) or b"<|" in word:
             return word
+        if stem[-1:].isalnum():  # ASCII: nothing composes into it
+            return stem
         last = unicodedata.normalize("NFC", stem.decode("utf-8")).lower()[-1]
         return stem if unicodedata.category(last)[0] in "LN" else word
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.width).tobytes() for e in found]
+
+    def _keep(self, pieces: list[bytes]) -> None:
+        """Encodes pieces and keeps them among the young."""
+        young, step, size = self.young, self.JOINED, self.width.itemsize
+        texts = [w.decode("utf-8") for w in pieces]
+        alone = range(len(pieces))
+        if len(self.marked):
+            letters = [i for i, x in enumerate(texts) if x.isalpha()]
+            alone = [i for i, x in enumerate(texts) if not x.isalpha()]
+            rows = [letters[at : at + step] for at in range(0, len(letters), step)]
+            found = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in row]) for row in rows], add_special_tokens=False)
+            for row, e in zip(rows, found):
+                ids = np.array(e.ids, self.width)
+                ends = (size * (np.flatnonzero(self.marked[ids]) + 1)).tolist()
+                raw = ids.tobytes()
+                if len(ends) != len(row) or ends[-1] != len(raw):
+                    alone += row
+                    continue
+                start = 0
+                for i, end in zip(row, ends):
+                    young[pieces[i]] = raw[start:end]
+                    start = end
+        young.update(zip([pieces[i] for i in alone], self._ids([texts[i] for i in alone])))
+
     def _learn(self, words: set[bytes]) -> None:
-        young, old = self.young, self.old
-        missing = []
+        young, old, signs = self.young, self.old, self.SIGNS
+        stems: dict[bytes, bytes] = {}
+        pieces = set()
         for w in words:
             ids = old.get(w)
-            if ids is None:
-                missing.append(w)
-            else:
+            if ids is not None:
                 young[w] = ids
-        stems = {w: self._stem(w) for w in missing}
-        pieces = {p for w, stem in stems.items() for p in (stem, w[len(stem) :]) if p and p not in young and p not in old}
+            elif w[-1] in signs and (stem := self._stem(w)) is not w:
+                stems[w] = stem
+            else:
+                pieces.add(w)
+        pieces.update(p for w, stem in stems.items() for p in (stem, w[len(stem) :]) if p not in young and p not in old)
         some = list(pieces)
         for at in range(0, len(some), 20_000):
-            part = some[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
-                young[w] = np.array(e.ids, self.width).tobytes()
+            self._keep(some[at : at + 20_000])
         for w, stem in stems.items():
-            if stem is not w:
-                tail = w[len(stem) :]
-                young[w] = (young.get(stem) or old.get(stem, b"")) + (young.get(tail) or old.get(tail, b""))
+            tail = w[len(stem) :]
+            young[w] = (young.get(stem) or old.get(stem, b"")) + (young.get(tail) or old.get(tail, b""))
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         if len(self.young) > KEPT_WORDS:

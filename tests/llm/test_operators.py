@@ -264,6 +264,34 @@ def test_op2_utf8_machine():
         assert out + ("�" if pending else "") == data.decode("utf-8", "replace")
 
 
+def test_op4_letters_are_encoded_together():
+    import public_tokenizers as P
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    rng = random.Random(16)
+    letters = ["".join(rng.choices("eaitnrshéßΣςﬁª中각ǅ", k=rng.randint(1, 9))) for _ in range(2000)]
+    odd = ["İstanbul", "ΟΔΟΣ", "a1b2", "it's", "x<|endoftext|>y", "a\xa0b", "\u0301a", "e\u0301", "½", "</w>", "a</w>", "\x1c", "😀", "o.k.", "#", "end.", "é.,"]
+    texts = [" ".join(rng.sample(letters + odd * 20, 60)) for _ in range(100)]
+    encoder = sequences.WordEncoder(P.path("word_bpe_49k.json"))
+    tokenizer, encoder.tokenizer = encoder.tokenizer, Counted(encoder.tokenizer)
+    found = [ids.tolist() for ids in encoder.encode([t.encode() for t in texts])]
+    assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.tokenizer.texts < 200 and len(set(" ".join(texts).lower().split())) > 1500  # the dotted I is two pieces: its hundred go alone
+
+    # without marks, or where they don't part the pieces, each is a text of its own
+    for marked in (np.zeros(0, bool), np.zeros_like(encoder.marked), np.ones_like(encoder.marked)):
+        plain = sequences.WordEncoder(P.path("word_bpe_49k.json"))
+        plain.marked = marked
+        assert [ids.tolist() for ids in plain.encode([t.encode() for t in texts])] == found
+
+
 def test_op4_files(spark, docs, none, tmp_path):
     import public_tokenizers as P
     from tokenizers import Tokenizer
