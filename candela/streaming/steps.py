@@ -92,17 +92,21 @@ def changelog_step(interval: str = "1 minute", time_col: str = "trade_time", buc
         if with_trends:
             tail = tables.carried("tail", schema)
             both = tail.withColumn("_past", F.lit(True)).unionByName(emissions.withColumn("_past", F.lit(False)))
-            rows = market_rows(both, interval_label(interval), ["_past"])
-            extra = [c for c in rows.columns if c not in ("symbol", "window_start", "_ok")]
-            found = trends(rows, order_col="_ok", timestamp_col="window_end", strategy="blocked", block_rows=block_rows,
-                           extra=extra, bucket=bucket_of_key(index_bucket_micros), interval=None)
-            tables.write("market", found.filter(~F.col("_past")).drop("_past"))
+            # bar and volume columns are derived after the windows, which so move and sort the running values alone
+            state = [c for c in both.columns if c not in ("symbol", "window_start")]
+            found = trends(both, order_col="_ok", timestamp_col="window_end", strategy="blocked", block_rows=block_rows,
+                           extra=state, bucket=bucket_of_key(index_bucket_micros), interval=None)
+            found = found.filter(~F.col("_past"))
+            indicators = [c for c in found.columns if c not in both.columns]
+            rows = market_rows(found, interval_label(interval), indicators)
+            own = [c for c in rows.columns if c not in ("symbol", "window_start", "_ok", *indicators)]
+            tables.write("market", rows.select("symbol", "window_start", "timestamp", *own, *[c for c in indicators if c != "timestamp"]))
             tables.carry("tail", _newest_per(tail.unionByName(emissions), ["symbol"], "_ok", HISTORY - 1))
-        last = newest_rows(windows.unionByName(emissions), ["symbol", "window_start"], "_ok").select(*schema.fieldNames())
-        newest = last.groupBy(F.struct("symbol").alias("_of")).agg(F.max("window_start").alias("_newest"))
-        open_ = last.withColumn("_of", F.struct("symbol")).join(newest, "_of")
-        open_ = open_.filter(F.col("window_start") > F.col("_newest") - F.expr(f"INTERVAL {retain}"))
-        tables.carry("windows", open_.select(*schema.fieldNames()))
+        every = windows.unionByName(emissions)
+        newest = every.groupBy(F.struct("symbol").alias("_of")).agg(F.max("window_start").alias("_newest"))
+        open_ = every.withColumn("_of", F.struct("symbol")).join(newest, "_of")
+        open_ = open_.filter(F.col("window_start") > F.col("_newest") - F.expr(f"INTERVAL {retain}")).select(*schema.fieldNames())
+        tables.carry("windows", newest_rows(open_, ["symbol", "window_start"], "_ok").select(*schema.fieldNames()))
 
     return step
 

@@ -33,6 +33,7 @@ from candela.sources.adapter import load_trades, read_table
 from candela.sources.decode import decode_trades, quarantine, quarantined, trades_of
 from candela.sources.io import read_series, store_series
 from candela.sources.wire import replay_messages
+from candela.streaming import steps
 from candela.streaming.batches import (
     KEPT_VERSIONS,
     BatchTables,
@@ -102,6 +103,23 @@ def test_changelog_with_restarts(spark):
     assert read_carried(spark, path, "tail").groupBy("symbol").count().agg(F.max("count")).first()[0] <= 29
 
 
+def test_changelog_derives_bar_columns_after_the_windows(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(steps, "trends", lambda rows, **options: met.append((rows.columns, options["extra"])) or trends(rows, **options))
+    rows = [trade(trade_id=i, t=at(7 * i), price=str(100 + i % 5)) for i in range(1, 80)]
+    df = trades_df(spark, rows)
+    path = replay_in_parts(df, F.col("trade_id"), changelog_step(block_rows=40, retain="3 minutes"), "t-derived", 3)
+    assert len(met) == 3 and all("vwap" not in columns and "vwap" not in extra for columns, extra in met)
+    emissions, market = read_output(spark, path, "emissions"), read_output(spark, path, "market")
+    want = market_rows(emissions, "1m")
+    assert set(market.columns) == {*want.columns, "timestamp", "current_price", "sma5", "sma15", "sma30", "ema5", "ema15", "rsi",
+                                   "momentum", "trend_direction", "trend_strength"} - {"_ok"}
+    same(market.select(*(c for c in want.columns if c != "_ok")), want.drop("_ok"))
+    last = newest_rows(emissions, ["symbol", "window_start"], "_ok")
+    newest = last.agg(F.max("window_start")).first()[0]
+    same(read_carried(spark, path, "windows"), last.filter(F.col("window_start") > F.lit(newest) - F.expr("INTERVAL 3 minutes")))
+
+
 def test_sums_keep_all_sixteen_digits_across_batches(spark):
     rng = random.Random(4)
     rows = [trade(trade_id=i, t=at(i), price=str(Decimal(rng.randint(1, 10**9)).scaleb(-8)), qty=str(Decimal(rng.randint(1, 10**9)).scaleb(-8)))
