@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from candela.llm import text as tx
 
 #: Deterministic states that are kept, and words in each of the two generations whose tokens are remembered; results do not depend on them.
-KEPT_STATES = 100_000
+KEPT_STATES = 150_000
 KEPT_WORDS = 100_000
 #: Pairs of tokens whose test is remembered.
 KEPT_PAIRS = 300_000
