@@ -25,6 +25,8 @@ import base64
 import re
 from array import array
 from functools import lru_cache
+from itertools import accumulate
+from operator import getitem
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from candela.llm import text as tx
 
 #: Deterministic states that are kept, and words in each of the two generations whose tokens are remembered; results do not depend on them.
-KEPT_STATES = 150_000
-KEPT_WORDS = 100_000
+KEPT_STATES = 190_000
+KEPT_WORDS = 120_000
 #: Pairs of tokens whose test is remembered.
 KEPT_PAIRS = 300_000
 
@@ -47,6 +49,7 @@ class Vocabulary:
             self.ranks = {base64.b64decode(word): int(rank) for word, rank in (line.split() for line in file if line.strip())}
         self.words = {rank: word for word, rank in self.ranks.items()}
         #: trie: node -> byte -> node; ends: the token that ends at a node, or -1. Node 0 is the root.
+        leaf: dict[int, int] = {}
         self.trie: list[dict[int, int]] = [{}]
         self.ends: list[int] = [-1]
         for word, rank in self.ranks.items():
@@ -54,28 +57,36 @@ class Vocabulary:
             for byte in word:
                 below = self.trie[node].get(byte)
                 if below is None:
+                    if self.trie[node] is leaf:
+                        self.trie[node] = {}
                     below = self.trie[node][byte] = len(self.trie)
-                    self.trie.append({})
+                    self.trie.append(leaf)
                     self.ends.append(-1)
                 node = below
             self.ends[node] = rank
         self.pairs: dict[int, bool] = {}
-        #: For each entry, the parts at its left and right edge from single bytes up, each with
-        #: the rank of the merge that ends its life (no merge: a rank beyond all). Entries that
-        #: their own bytes do not merge into are never emitted and have none.
-        self.left_edge: dict[int, list[tuple[bytes, int]]] = {}
-        self.right_edge: dict[int, list[tuple[bytes, int]]] = {}
-        beyond = 1 + max(self.words, default=0)
-        for word, rank in sorted(self.ranks.items(), key=lambda x: len(x[0])):
+        #: A rank beyond all.
+        self.beyond = 1 + max(self.words, default=0)
+        self.parts: dict[int, tuple] = {}
+
+    def edges(self, token: int) -> tuple[list[tuple[bytes, int]], ...]:
+        """The parts at an entry's left and right edge from single bytes up, each with the rank of the merge that ends its life (no merge: a rank beyond all).
+
+        Entries that their own bytes do not merge into are never emitted and have none.
+        """
+        known = self.parts.get(token)
+        if known is None:
+            word, known = self.words[token], ()
             if len(word) == 1:
-                self.left_edge[rank] = self.right_edge[rank] = [(word, beyond)]
-                continue
-            halves = self.merge(word, keep=2)
-            if len(halves) == 2 and self.ranks.get(halves[0] + halves[1]) == rank:
-                left, right = self.left_edge.get(self.ranks[halves[0]]), self.right_edge.get(self.ranks[halves[1]])
-                if left and right:
-                    self.left_edge[rank] = [*left[:-1], (left[-1][0], rank), (word, beyond)]
-                    self.right_edge[rank] = [*right[:-1], (right[-1][0], rank), (word, beyond)]
+                known = ([(word, self.beyond)],) * 2
+            else:
+                halves = self.merge(word, keep=2)
+                if len(halves) == 2 and self.ranks.get(halves[0] + halves[1]) == token:
+                    outer = self.edges(self.ranks[halves[0]]), self.edges(self.ranks[halves[1]])
+                    if all(outer):
+                        known = tuple([*of[side][:-1], (of[side][-1][0], token), (word, self.beyond)] for side, of in enumerate(outer))
+            self.parts[token] = known
+        return known
 
     def merge(self, word: bytes, keep: int = 1) -> list[bytes]:
         """The definition: merge the adjacent pair of the lowest rank, leftmost first, until none is left (or ``keep`` parts are)."""
@@ -95,18 +106,18 @@ class Vocabulary:
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the two, joined, encode to just this pair. left < 0: the start."""
         if left < 0:
-            return right in self.left_edge
+            return bool(self.edges(right))
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = right in self.left_edge and self._holds(left, right)
+            known = self.pairs[key] = bool(self.edges(right)) and self._holds(left, right)
         return known
 
     def _holds(self, left: int, right: int) -> bool:
         """Replays both merges side by side: the pair holds unless the parts that meet at the seam would merge first."""
-        ours, theirs, i, j, ranks = self.right_edge[left], self.left_edge[right], 0, 0, self.ranks
+        ours, theirs, i, j, ranks = self.edges(left)[1], self.edges(right)[0], 0, 0, self.ranks
         while True:
             (a, a_ends), (b, b_ends) = ours[i], theirs[j]
             seam = ranks.get(a + b)
@@ -121,72 +132,93 @@ class Vocabulary:
                 j += 1
 
 
+class State(dict):
+    """A deterministic state: byte -> state. An arc is made when first taken."""
+
+    __slots__ = ("machine", "number", "token")
+
+    def __init__(self, machine: Transducer, number: int, token: int):
+        self.machine, self.number, self.token = machine, number, token
+
+    def __missing__(self, byte: int) -> State:
+        return self.machine.make(self, byte)
+
+
 class Transducer:
     """Bytes in, tokens out.
 
-    A state is a tuple of hypotheses: the last token (or -1) and the trie node
-    since, packed into one number. Exactly one hypothesis has just ended a token,
+    A state is a row of hypotheses, 64-bit numbers that are kept as bytes: the
+    last token (or -1) and the trie node since. Exactly one hypothesis has just ended a token,
     so the states along a word tell the last token of each of its prefixes; read
     from the end, each token says where the one before it ends.
     """
 
     #: Bits of a trie node in a hypothesis; the number above them is 1 + the last token.
     NODE = 32
-    START = (0,)
+    LOW = (1 << NODE) - 1
+    START = array("q", [0]).tobytes()
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.sizes = {rank: len(word) for rank, word in vocabulary.words.items()}
         self.restarts = -1
+        self.nodes: list[State] = []
         self.restart(self.START)
 
-    def restart(self, state: tuple[int, ...]) -> int:
-        """Drops all states but the start and this one; its new number."""
+    def restart(self, state: bytes, node: State | None = None) -> None:
+        """Drops all states but the start and this one."""
         self.restarts += 1
-        self.states: list[tuple[int, ...]] = [self.START] if state == self.START else [self.START, state]
-        self.numbers: dict[tuple[int, ...], int] = {s: i for i, s in enumerate(self.states)}
+        for dropped in self.nodes:
+            dropped.clear()
+        self.states: list[bytes] = [self.START] if state == self.START else [self.START, state]
         #: The token that each state has just ended.
-        self.ended: list[int] = [(s[-1] >> self.NODE) - 1 for s in self.states]
-        #: state * 256 + byte -> state; made when first taken.
-        self.arcs: dict[int, int] = {}
-        return len(self.states) - 1
-
-    def arc(self, state: int, byte: int) -> int:
+        self.ended: list[int] = [(array("q", s)[-1] >> self.NODE) - 1 for s in self.states]
+        self.nodes = [State(self, i, token) for i, token in enumerate(self.ended)]
+        if node is not None:
+            node.number = len(self.nodes) - 1
+            self.nodes[-1] = node
+        self.numbers: dict[bytes, State] = dict(zip(self.states, self.nodes))
+
+    def make(self, node: State, byte: int) -> State:
         """Determinises one arc."""
-        v, moved, ended, bits = self.vocabulary, [], -1, self.NODE
-        trie, ends, low = v.trie, v.ends, (1 << self.NODE) - 1
-        for hypothesis in self.states[state]:
-            below = trie[hypothesis & low].get(byte)
+        hypotheses = self.states[node.number]
+        if len(self.states) > KEPT_STATES:
+            self.restart(hypotheses, node)
+        v, moved, ended, bits, low = self.vocabulary, [], -1, self.NODE, self.LOW
+        trie, ends, pairs = v.trie, v.ends, v.pairs
+        for hypothesis in array("q", hypotheses):
+            at = hypothesis & low
+            below = trie[at].get(byte)
             if below is None:
                 continue
-            if ended < 0 and ends[below] >= 0 and v.may_follow((hypothesis >> bits) - 1, ends[below]):
-                ended = ends[below]
+            if ended < 0:
+                token = ends[below]
+                if token >= 0:
+                    last = (hypothesis >> bits) - 1
+                    holds = pairs.get(last << 32 | token) if last >= 0 else None
+                    if v.may_follow(last, token) if holds is None else holds:
+                        ended = token
             if trie[below]:
-                moved.append(hypothesis & ~low | below)
+                moved.append(hypothesis - at + below)
         moved.append(ended + 1 << bits)
-        target = tuple(moved)
-        number = self.numbers.get(target)
-        if number is None:
-            number = self.numbers[target] = len(self.states)
+        target = array("q", moved).tobytes()
+        found = self.numbers.get(target)
+        if found is None:
+            found = self.numbers[target] = State(self, len(self.states), ended)
+            self.nodes.append(found)
             self.states.append(target)
             self.ended.append(ended)
-        self.arcs[state << 8 | byte] = number
-        return number
+        node[byte] = found
+        return found
+
+    def arc(self, state: int, byte: int) -> int:
+        return self.nodes[state][byte].number
 
     def run(self, word: bytes) -> list[int]:
-        state, last, known, ended = 0, [], self.arcs.get, self.ended
-        for byte in word:
-            step = known(state << 8 | byte)
-            if step is None:
-                if len(ended) > KEPT_STATES:
-                    state = self.restart(self.states[state])
-                    known, ended = self.arcs.get, self.ended
-                step = self.arc(state, byte)
-            state = step
-            last.append(ended[state])
-        out, at, sizes = [], len(last), self.sizes
+        path = list(accumulate(word, getitem, initial=self.nodes[0]))
+        out, at, sizes = [], len(word), self.sizes
         while at:
-            token = last[at - 1]
+            token = path[at].token
             out.append(token)
             at -= sizes[token]
         out.reverse()
@@ -245,14 +277,25 @@ class StreamDecoder:
     def __init__(self, vocabulary: Vocabulary):
         self.words = vocabulary.words
         self.arcs: dict[bytes, dict[int, tuple[str, bytes]]] = {b"": {}}
+        #: The texts of the arcs from state 0 to itself, which are taken together; None for others.
+        self.whole = np.full(1 + max(self.words, default=0), None, object)
+
+    def decode(self, ids: np.ndarray | list[int]) -> str:
+        texts = self.whole[np.asarray(ids, np.int64)]
+        try:
+            return "".join(texts.tolist())
+        except TypeError:  # an arc of another kind, or one that is not made yet
+            return self._steps(np.asarray(ids).tolist())
 
-    def decode(self, ids: list[int]) -> str:
+    def _steps(self, ids: list[int]) -> str:
         out, pending = [], b""
         arcs = self.arcs[b""]
         for token in ids:
             step = arcs.get(token)
             if step is None:
                 step = arcs[token] = utf8_step(pending, self.words[token])
+                if not pending and not step[1]:
+                    self.whole[token] = step[0]
             text, after = step
             out.append(text)
             if after != pending:
@@ -287,6 +330,24 @@ class Splitter:
         return (self.full if self.LATIN1.search(text) else self.fast).findall(text)
 
 
+class Pieces(dict):
+    """Piece -> ids as bytes. A piece that is in no generation goes through the transducer."""
+
+    __slots__ = ("transducer", "old", "long")
+
+    def __init__(self, transducer: Transducer, old: dict[str, bytes]):
+        self.transducer, self.old, self.long = transducer, old, []
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("i", self.transducer.run(piece.encode())).tobytes()
+        self[piece] = ids
+        if len(piece) >= 64:  # remembered for the rest of its text
+            self.long.append(piece)
+        return ids
+
+
 class Codec:
     """Encodes each match of the pattern on its own; decodes token streams."""
 
@@ -296,28 +357,22 @@ class Codec:
         self.splitter = Splitter(pattern)
         self.decoder = StreamDecoder(self.vocabulary)
         #: The ids of pieces as 32-bit numbers; a piece that is met again moves to the younger generation.
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young = Pieces(self.transducer, {})
 
-    def _learn(self, pieces: set[str]) -> None:
-        for piece in pieces:
-            ids = self.old.get(piece)
-            self.young[piece] = array("i", self.transducer.run(piece.encode())).tobytes() if ids is None else ids
+    @property
+    def old(self) -> dict[str, bytes]:
+        return self.young.old
 
     def encode(self, text: str) -> np.ndarray:
         if len(self.young) > KEPT_WORDS:
-            self.young, self.old = {}, self.young
-        pieces, young = self.splitter.split(text), self.young
-        new = {p for p in pieces if p not in young}
-        if new:
-            self._learn(new)
-        ids = np.frombuffer(b"".join(map(young.__getitem__, pieces)), np.int32)
-        for piece in new:
-            if len(piece) >= 64:
-                del young[piece]
+            self.young = Pieces(self.transducer, dict(self.young))
+        young = self.young
+        ids = np.frombuffer(b"".join(map(young.__getitem__, self.splitter.split(text))), np.int32)
+        while young.long:
+            del young[young.long.pop()]
         return ids
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray | list[int]) -> str:
         return self.decoder.decode(ids)
 
 
@@ -343,7 +398,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for i, value in enumerate(batch.column(1).to_pylist()):
             ids = c.encode(value or "")
             ids_out.append(pa.array(ids))
-            text_out.append(c.decode(ids.tolist()))
+            text_out.append(c.decode(ids))
             size += len(ids)
             if size > 2_000_000:
                 yield {"doc_id": batch.column(0).slice(at, i + 1 - at), "ids": _lists(ids_out), "decoded": text_out}

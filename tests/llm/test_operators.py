@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -245,6 +246,25 @@ def test_op2_pieces_are_remembered_in_two_generations(codec, reference_encoding,
     assert runs.count(b"common") == 1
 
 
+def test_op2_pieces_of_a_large_corpus_go_through_the_transducer_once(reference_encoding, monkeypatch):
+    import public_tokenizers as P
+
+    runs, run = Counter(), bpe.Transducer.run
+    monkeypatch.setattr(bpe.Transducer, "run", lambda self, word: runs.update([word]) or run(self, word))
+    codec = bpe.Codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    letters = "abcdefghijkl"
+    words = ["".join(w) for w in itertools.islice(itertools.product(letters, repeat=5), 115_000)]
+    texts = [" " + " ".join(words[at : at + 2000]) for at in range(0, len(words), 2000)]
+    for text in texts * 2:
+        codec.encode(text)
+    assert len(runs) == len(words) and max(runs.values()) == 1
+    assert codec.transducer.restarts == 0
+    for text in (texts[-1], "whole words", "a 😀 in parts", "\x00é"):
+        for _ in range(2):  # arcs are made, then taken together
+            ids = codec.encode(text)
+            assert ids.tolist() == reference_encoding.encode_ordinary(text) and codec.decode(ids) == text
+
+
 def test_op2_pairs_by_definition(codec):
     v, rng = codec.vocabulary, random.Random(6)
     for _ in range(2000):
