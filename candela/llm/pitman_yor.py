@@ -124,6 +124,13 @@ def token_counts(rows: DataFrame) -> DataFrame:
     return tx.map_arrow(rows, run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def training_tokens(rows: DataFrame) -> int:
+    """How many tokens the training documents have."""
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    return rows.where(~held).agg(F.sum((words + 1).cast("long")).alias("n")).first().n or 0
+
+
 def _bucket(words: np.ndarray, buckets: int) -> np.ndarray:
     return (tx.mix(words) % tx.U64(buckets)).astype(np.int64)
 
@@ -489,13 +496,11 @@ def _sums(model: DataFrame, seated: bool, buckets: int) -> DataFrame:
     return tx.map_arrow(model, run, SUMS)
 
 
-def context_totals(sums: DataFrame, buckets: int, needed: DataFrame | None = None) -> DataFrame:
-    """Totals of contexts over all buckets, sent to the buckets that hold a customer of them, or else to those that ``needed`` names."""
-    schema, own = tx.arrow_schema(TOTALS), needed is None
-    rows = sums.where("bucket >= 0").select("bucket", F.lit(0).alias("kind"), "source", "contexts", "customers", "tables", F.lit(None).cast("binary").alias("sources"))
-    if not own:
-        rows = rows.unionByName(needed.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    met = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "source").withColumn("bucket", F.col("bucket").cast("long"))
+def context_totals(sums: DataFrame, buckets: int, home: bool = False) -> DataFrame:
+    """Totals of contexts over all buckets, sent to the buckets that hold a customer of them (``home``: and to the bucket of the context's own word)."""
+    schema = tx.arrow_schema(TOTALS)
+    rows = sums.where("bucket >= 0").select("bucket", "source", "contexts", "customers", "tables")
+    met = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "source").withColumn("bucket", F.col("bucket").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in tx.groups(batches):
@@ -503,18 +508,15 @@ def context_totals(sums: DataFrame, buckets: int, needed: DataFrame | None = Non
             for p in parts:
                 for row in p.to_pylist():
                     contexts = np.frombuffer(row["contexts"], tx.U64)
-                    if row["kind"]:
-                        asked.append((np.frombuffer(row["sources"], "<u4"), contexts))
-                    else:
-                        held.append((contexts, np.frombuffer(row["customers"], "<f8"), np.frombuffer(row["tables"], "<f8")))
-                        if own:
-                            asked.append((np.full(len(contexts), row["source"], np.uint32), contexts))
+                    held.append((contexts, np.frombuffer(row["customers"], "<f8"), np.frombuffer(row["tables"], "<f8")))
+                    asked.append((np.full(len(contexts), row["source"], np.uint32), contexts))
             names, where = np.unique(np.concatenate([np.empty(0, tx.U64), *(h[0] for h in held)]), return_inverse=True)
             customers, tables = (np.append(0.0, np.bincount(where, weights=np.concatenate([np.empty(0), *(h[k] for h in held)]), minlength=len(names))) for k in (1, 2))
             del held
-            source, contexts = (np.concatenate([a[k] for a in asked]) if asked else np.empty(0, np.uint32) for k in (0, 1))
-            place = _place(names, contexts.astype(tx.U64))
-            key = np.unique(source[place > 0].astype(np.int64) << 32 | place[place > 0])  # contexts without customers are as good as none
+            if home:
+                asked.append((np.full(len(names), parts[0].column(0)[0].as_py(), np.uint32), names))
+            source, contexts = (np.concatenate([a[k] for a in asked]) for k in (0, 1))
+            key = np.unique(source.astype(np.int64) << 32 | _place(names, contexts))
             edges = np.flatnonzero(np.diff(key >> 32)) + 1
             for mine in np.split(key, edges) if len(key) else ():
                 at = mine & 0xFFFFFFFF
@@ -523,10 +525,11 @@ def context_totals(sums: DataFrame, buckets: int, needed: DataFrame | None = Non
     return tx.map_arrow(met, run, TOTALS)
 
 
-def _totals(sums: DataFrame, vocabulary: int, tokens: int, discounts: tuple[float, float] | None) -> Totals:
-    """What all buckets share, without contexts."""
+def _totals(sums: DataFrame, vocabulary: int | None, tokens: int, discounts: tuple[float, float] | None) -> Totals:
+    """What all buckets share, without contexts. Before the first seating each word has one table in the parent: they are the vocabulary."""
     up = sums.where("bucket < 0").agg(*(F.sum(F.get("up", F.lit(i))).alias(f"c{i}") for i in range(6))).first()
     up = [x or 0.0 for x in up]
+    vocabulary = int(up[1]) if vocabulary is None else vocabulary
     if discounts is None:
         share = lambda once, twice: float(np.clip(once / (once + 2 * twice), 0.05, 0.95)) if once else 0.5
         discounts = (share(up[4], up[5]), share(up[2], up[3]))
@@ -552,46 +555,25 @@ class Model:
 def train(rows: DataFrame, context_share: float = 0.0) -> Model:
     """``rows``: doc_id, text. ``context_share``: of the training tokens, that a word must make up to be a context."""
     spark = rows.sparkSession
-    counts = tx.write_table(token_counts(rows), "tokens")
-    size = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
-    n = size.n or 0
+    n = training_tokens(rows)
     contexts = None
     if context_share > 0:
+        counts = tx.write_table(token_counts(rows), "tokens")
         frequent = counts.where(F.col("c") >= F.lit(context_share * n)).select("word").collect()  # 1 / context_share at most
         contexts = np.unique(np.append(np.array([r.word for r in frequent], np.int64).view(tx.U64), END))
     buckets = max(LEAST_BUCKETS, -(-n // BUCKET_TOKENS))
     counted = tx.write_table(customers(rows, spark.sparkContext.broadcast(contexts), buckets), "customers")
     sums = tx.write_table(_sums(counted, False, buckets), "sums")
-    totals = _totals(sums, size.v, n, None)
+    totals = _totals(sums, None, n, None)
     sums = tx.write_table(seat(counted, sums, totals, buckets, 1, 1, only_sums=True), "sums")
-    first = _totals(sums, size.v, n, totals.discounts)
+    first = _totals(sums, totals.vocabulary, n, totals.discounts)
     table = tx.write_table(seat(counted, sums, first, buckets, 2, SAMPLES), "model")
     sums = tx.write_table(_sums(table, True, buckets), "sums")
-    return Model(_totals(sums, size.v, n, totals.discounts), buckets, table, sums)
-
-
-#: Contexts of bucket ``bucket`` whose totals the buckets ``sources`` need.
-NEEDED = "bucket int, contexts binary, sources binary"
-
-
-def needs(rows: DataFrame, buckets: int) -> DataFrame:
-    schema = tx.arrow_schema(NEEDED)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            befores, at = np.unique(block.before, return_inverse=True)
-            key = np.unique(_bucket(block.tokens, buckets) * len(befores) + at)
-            source, context = key // len(befores), befores[key % len(befores)]
-            home = _bucket(context, buckets)
-            order = np.argsort(home, kind="stable")
-            out = [{"bucket": int(home[m[0]]), "contexts": context[m].tobytes(), "sources": source[m].astype("<u4").tobytes()} for m in np.split(order, np.flatnonzero(np.diff(home[order])) + 1)]
-            yield pa.RecordBatch.from_pylist(out, schema)
-
-    return tx.map_arrow(rows, run, NEEDED)
+    return Model(_totals(sums, totals.vocabulary, n, totals.discounts), buckets, table, sums)
 
 
 #: What a block asks of a bucket (kind 2): its words, pairs of each, documents of each pair and how often.
-#: Kind 1: the block's documents, on their way through some bucket. Kind 0: the bucket itself. Kind -1: totals of contexts that the bucket is asked for.
+#: Kind 1: the block's documents, on their way through some bucket. Kind 0: the bucket itself. Kind -1: totals of the contexts of its pairs, and of its words as contexts.
 ASKED = "bucket int, kind int, block long, words binary, pairs binary, context binary, entries binary, doc binary, count binary"
 
 
@@ -695,7 +677,12 @@ def answer(asked: DataFrame, sent: DataFrame, model: Model) -> DataFrame:
                     bucket = Bucket(None, local)
                 words = np.frombuffer(row["words"], tx.U64)
                 owner = np.repeat(np.arange(len(words)), np.frombuffer(row["pairs"], "<u4"))
-                known, base, score = bucket.look_up(words, owner, _place(local.contexts, np.frombuffer(row["context"], tx.U64)))
+                context = _place(local.contexts, np.frombuffer(row["context"], tx.U64))
+                known, base, score = bucket.look_up(words, owner, context)
+                # Each token of a text is the context of another one (its end: of the first). The bucket of the context's word
+                # adds the weight of the parent, so that of contexts without a pair here is not needed.
+                weight = np.log10(local.back_off)
+                score += weight[_place(local.contexts, words)][owner] - weight[context]
                 entries = np.frombuffer(row["entries"], "<u4")
                 docs, where = np.unique(np.frombuffer(row["doc"], "<u2"), return_inverse=True)
                 count = np.frombuffer(row["count"], "<i8").astype(float)
@@ -710,7 +697,7 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
-    sent = context_totals(model.sums, model.buckets, needs(rows, model.buckets))
+    sent = context_totals(model.sums, model.buckets, home=True)
     answered = answer(ask(rows, model.buckets), sent, model).repartition("block").sortWithinPartitions("block", "bucket")
     tokens, schema = model.shared.tokens, tx.arrow_schema(RESULT)
 

@@ -756,6 +756,19 @@ def test_op1_scoring_needs_no_list_of_contexts(spark, docs):
     assert abs(got - want) < 1e-9
 
 
+def test_op1_training_tokens_are_counted_without_the_words(spark, docs, none):
+    want = sum(len(brute.words(t or "")) + 1 for i, t, *_ in awkward() if not pitman_yor.held_out(i))
+    assert pitman_yor.training_tokens(tx.text_rows(docs, "doc_id", "text")) == want
+    assert pitman_yor.training_tokens(tx.text_rows(none, "doc_id", "text")) == 0
+
+
+def test_op1_scoring_reads_the_texts_once(spark, docs):
+    rows = tx.text_rows(docs, "doc_id", "text")
+    scored = pitman_yor.score(rows, pitman_yor.train(rows, context_share=0.02))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 4  # questions, totals, answers, sums
+
+
 def test_op1_tables_of_large_cells():
     """Tables after one sweep, against the exact distribution by the recursion over customers."""
     d, most, keep = 0.7, 400, (10, 100, 1000, 10_000, 100_000)
