@@ -10,6 +10,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -769,6 +770,41 @@ def test_op1_scoring_reads_the_texts_once(spark, docs):
     assert plan.count("MapInArrow") == 4  # questions, totals, answers, sums
 
 
+def test_op1_questions_are_asked_once(spark, docs):
+    """Scoring the texts of the training takes what was written for it, held-out texts included."""
+    rows = tx.text_rows(docs, "doc_id", "text")
+    model = pitman_yor.train(rows)
+    scored = pitman_yor.score(None, model)
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 3  # totals, answers, sums
+    assert Counter(map(tuple, scored.collect())) == Counter(map(tuple, pitman_yor.score(rows, model).collect()))
+
+
+def test_op1_files_are_small(spark):
+    """Questions and customers take a few bytes for each pair, and shuffles end with the table that they were for."""
+    rng = random.Random(16)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 3000}" for _ in range(400))) for i in range(300)]
+    pairs = sum(len(set(zip(["\n", *t.split()], [*t.split(), "\n"]))) for _, t in rows)
+    model = pitman_yor.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    size = lambda uri: sum(p.stat().st_size for p in Path(uri.removeprefix("file://")).rglob("*.parquet"))
+    assert size(model.asked) < 6 * pairs
+    assert size(model.counted) + size(model.seated) + size(model.booked) < 8 * pairs
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
+def test_op1_packing():
+    rng = np.random.default_rng(17)
+    for n in (0, 1, 2, 1000):
+        for kind in ("<u8", "<i8", "<u4", "<u2", "<f4", "<f8", "?"):
+            values = rng.integers(0, 200, n).astype(kind)
+            assert (pitman_yor.unpack(pitman_yor.pack(values), kind) == values).all()
+        wide = np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        assert (pitman_yor.unpack_ascending(pitman_yor.pack_ascending(wide), "<u8") == wide).all()
+        sizes = rng.integers(0, 4, n)
+        runs = np.concatenate([np.empty(0, int), *(np.sort(rng.choice(5000, k, replace=False)) for k in sizes)])
+        assert (pitman_yor.unpack_runs(pitman_yor.pack_runs(runs, sizes), sizes) == runs).all()
+
+
 def test_op1_tables_of_large_cells():
     """Tables after one sweep, against the exact distribution by the recursion over customers."""
     d, most, keep = 0.7, 400, (10, 100, 1000, 10_000, 100_000)
