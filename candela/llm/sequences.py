@@ -16,9 +16,10 @@ table writes no file and gives no row.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,6 +34,17 @@ SEQUENCES_PER_BATCH = 256
 END_ID = 2
 #: Words in each of the two generations that a worker remembers; a word that is met again moves to the younger one.
 KEPT_WORDS = 400_000
+#: Kinds of bytes, by byte: white space, the signs of WordEncoder, ASCII letters and digits, all others.
+OTHER, SPACE, SIGN, PLAIN = range(4)
+WHITE = [b"\t", b"\n", b"\v", b"\f", b"\r", b" "]
+
+
+def _runs(where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of true begin, and where they are over."""
+    padded = np.zeros(len(where) + 2, bool)
+    padded[1:-1] = where
+    edges = np.flatnonzero(padded[1:] != padded[:-1])
+    return edges[::2], edges[1::2]
 
 
 class WordEncoder:
@@ -41,15 +53,19 @@ class WordEncoder:
     Its normalizer works within words and its special tokens hold no white
     space, so the ids of a text are those of its words in turn. Within a word,
     trailing signs are a piece of their own if a letter or digit stands before
-    them, so the word and the signs are looked up apart. Pieces of letters alone
-    are encoded many at a time, as one text: where the model marks the last token
-    of a piece and there are as many marks as pieces, the marks part them.
+    them, so the word and the signs are looked up apart. Texts are split many at
+    a time, as one array of bytes, and each distinct word of them is looked up
+    once. Pieces of letters alone are encoded many at a time, as one text: where
+    the model marks the last token of a piece and there are as many marks as
+    pieces, the marks part them.
     """
 
     #: Signs that neither compose with a letter nor begin a contraction.
     SIGNS = b".,;:!?*#$%&|"
     #: Pieces of letters in one text.
     JOINED = 100
+    #: Bytes split at once; a longer text is cut at white space.
+    TOGETHER = 4_000_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,6 +78,8 @@ class WordEncoder:
         self.marked = np.zeros(max(vocabulary.values(), default=-1) + 1 if mark else 0, bool)
         if mark:
             self.marked[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        #: Special tokens are found before the text is lower-cased.
+        self.special = {t.content.encode("utf-8").lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -102,7 +120,7 @@ class WordEncoder:
                     start = end
         young.update(zip([pieces[i] for i in alone], self._ids([texts[i] for i in alone])))
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         young, old, signs = self.young, self.old, self.SIGNS
         stems: dict[bytes, bytes] = {}
         pieces = set()
@@ -122,15 +140,78 @@ class WordEncoder:
             tail = w[len(stem) :]
             young[w] = (young.get(stem) or old.get(stem, b"")) + (young.get(tail) or old.get(tail, b""))
 
-    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+    def _split(self, raw: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The words, ASCII letters and digits parted from trailing signs; where each word begins, and its first piece."""
+        low = raw.lower()
+        parted = not any(s in low for s in self.special)
+        raw = low if parted else raw
+        kinds = np.frombuffer(raw.translate(KINDS), np.uint8)
+        starts, ends = _runs(kinds != SPACE)
+        first_sign, after_signs = _runs(kinds == SIGN)
+        cut = np.flatnonzero(kinds[ends - 1] == SIGN) if parted else ends[:0]
+        stems = first_sign[np.searchsorted(after_signs, ends[cut])]
+        inner = (stems > starts[cut]) & (kinds[stems - 1] == PLAIN)
+        cut, stems = cut[inner], stems[inner]
+        pieces = np.ones(len(starts), np.int64)
+        pieces[cut] = 2
+        pieces, sizes = np.cumsum(pieces), np.cumsum(ends - starts)
+        offsets = np.zeros(len(starts) + len(cut) + 1, np.int32)
+        offsets[pieces] = sizes
+        offsets[pieces[cut] - 1] = sizes[cut] - (ends[cut] - stems)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw.translate(None, b"\t\n\v\f\r "))]
+        return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers), starts, np.append(0, pieces)
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.young) > KEPT_WORDS:
             self.young, self.old = {}, self.young
-        split = [tx.lower_words(t) for t in texts]
-        young = self.young
-        new = {w for ws in split for w in ws if w not in young}
-        if new:
-            self._learn(new)
-        return [np.frombuffer(b"".join(map(young.__getitem__, ws)), self.width) for ws in split]
+        pieces, starts, first = self._split(b"\n".join(texts))
+        pieces = pieces.dictionary_encode()
+        distinct, young = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), self.young
+        known = list(map(young.get, distinct))
+        if new := [i for i, found in enumerate(known) if found is None]:
+            self._learn([distinct[i] for i in new])
+            for i in new:
+                known[i] = young[distinct[i]]
+        ids = np.frombuffer(b"".join(known), self.width)
+        counts = np.fromiter(map(len, known), np.int64, len(known)) // self.width.itemsize
+        at, which = np.cumsum(counts) - counts, pieces.indices.to_numpy()
+        sizes = counts[which]
+        after = np.cumsum(sizes)
+        ids = ids[np.repeat(at[which] - after + sizes, sizes) + np.arange(int(sizes.sum()))]
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        bounds = np.append(0, after)[first[np.searchsorted(starts, begins)]].tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _spans(self, text: bytes) -> Iterator[bytes]:
+        """The text cut at white space, in spans of at most TOGETHER bytes but for longer words."""
+        at = 0
+        while len(text) - at > self.TOGETHER:
+            end = max(text.rfind(x, at + 1, at + self.TOGETHER) for x in WHITE)
+            if end < 0:
+                found = re.search(rb"[\x20\x09-\x0D]", memoryview(text)[at + self.TOGETHER :])
+                end = at + self.TOGETHER + found.start() if found else len(text)
+            yield text[at:end]
+            at = end
+        yield text[at:]
+
+    def encode(self, texts: Iterable[bytes | None]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        some, size = [], 0
+        for text in texts:
+            text = text or b""
+            if some and size + len(text) > self.TOGETHER:
+                yield from self._encode(some)
+                some, size = [], 0
+            if len(text) > self.TOGETHER:
+                yield np.concatenate([self._encode([span])[0] for span in self._spans(text)])
+            else:
+                some.append(text)
+                size += len(text)
+        if some:
+            yield from self._encode(some)
+
+
+KINDS = bytes(SPACE if bytes([i]) in WHITE else SIGN if i in WordEncoder.SIGNS else PLAIN if bytes([i]).isalnum() else OTHER for i in range(256))
 
 
 @lru_cache(maxsize=2)
@@ -227,8 +308,8 @@ def write_sequences(docs: DataFrame, folder: str, id_col: str = "doc_id", text_c
             if sinks is None and batch.num_rows:
                 sinks = [system.open_output_stream(x) for x in hidden]
                 out, listed = SequenceWriter(sinks[0], code.width, length), pa.ipc.new_file(sinks[1], docs_schema)
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
                 sizes = []
                 for ids in code.encode(tx.binary(part.column(1))):
                     out.write(ids)

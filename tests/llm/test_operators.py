@@ -313,6 +313,59 @@ def test_op4_letters_are_encoded_together():
         assert [ids.tolist() for ids in plain.encode([t.encode() for t in texts])] == found
 
 
+def test_op4_words_are_looked_up_once():
+    import public_tokenizers as P
+
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, key, default=None):
+            self.looked_up += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            self.looked_up += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            self.looked_up += 1
+            return super().__contains__(key)
+
+    rng = random.Random(17)
+    words = ["".join(rng.choices("abcdefghij", k=6)) + str(i) for i in range(200)]
+    signs = ["", ".", ",", "!!", "?", ";", ":", "***", "#", "&&"]
+    texts = [" ".join(rng.choice(words) + rng.choice(signs) for _ in range(500)) for _ in range(40)]
+    encoder = sequences.WordEncoder(P.path("word_bpe_49k.json"))
+    encoder.young = young = Counted()
+    found = [ids.tolist() for ids in encoder.encode([t.encode() for t in texts])]
+    assert found == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    # 20,000 words, 2,000 distinct, of 200 stems and nine runs of signs
+    assert young.looked_up < 1000 and len(young) < 250
+    pieces, starts, first = encoder._split(b" ab" + b"#!" * 1_000_000 + b"\n...\xc3\xa9. ..")
+    assert [len(p.as_py()) for p in pieces] == [2, 2_000_000, 6, 2] and first.tolist() == [0, 2, 3, 4]
+
+
+def test_op4_odd_texts(monkeypatch):
+    import public_tokenizers as P
+
+    rng = random.Random(18)
+    odd = ["<|endoftext|>", "<|ENDOFTEXT|>", "A<|EndOfText|>.", "x<|startoftext|>..", "Y<|STARTOFTEXT|>9!", "<|", "T|>", "END.", "É.,", "1.2.", "...", ".a", "a.", "×.", "it's.", "'S!", "\u212a.", "e\u0301!", "a\x1c.", "\u2003.", "\x85,"]
+    plain = ["the", "The.", "\n\n", "\t", "#"]
+    texts = [" ".join(rng.choices(plain + odd * (i % 2), k=rng.randint(0, 40))) for i in range(60)] + ["", " ", "\x0b\x0c\r", " a", "b ", "." * 300, "a" * 300, "ab. " * 100, " " * 300]
+    for together in (1, 7, 64, 1000, 4_000_000):
+        encoder = sequences.WordEncoder(P.path("word_bpe_49k.json"))
+        encoder.TOGETHER = together
+        found = [ids.tolist() for ids in encoder.encode([t.encode() for t in texts])]
+        assert found == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(encoder.encode([])) == [] and [len(ids) for ids in encoder.encode([None, b"", None])] == [0, 0, 0]
+
+    # what was remembered in two generations gives the same ids
+    monkeypatch.setattr(sequences, "KEPT_WORDS", 5)
+    encoder.TOGETHER = 200
+    for _ in range(2):
+        assert [ids.tolist() for ids in encoder.encode([t.encode() for t in texts])] == found
+
+
 def test_op4_files(spark, docs, none, tmp_path):
     import public_tokenizers as P
     from tokenizers import Tokenizer
