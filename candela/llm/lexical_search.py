@@ -1,12 +1,14 @@
 """Operator 13: ranked lexical search by the Best Position Algorithm.
 
 1. Documents are indexed in segments of up to SEGMENT_DOCS documents or
-   SEGMENT_POSTINGS postings, without a shuffle: a segment is one row with its own
-   dictionary and, for each term, its documents and frequencies.
+   SEGMENT_POSTINGS postings, without a shuffle: a segment is an Arrow file in the
+   shared folder with its own dictionary and, for each term, its documents and
+   frequencies. Rows name these files; what they hold goes through no row of Spark's.
 2. Numbers of documents, terms and documents of a term are sums over segments;
    the last only of terms that an item has.
 3. Items are dealt in blocks, segments in buckets, and each block meets each
-   bucket in one task: the stated query set against all rows, in blocks.
+   bucket in one task, which reads one segment after the other: the stated query
+   set against all rows, in blocks.
 4. There a term has an impact list: its documents of the segment by impact,
    greatest first. The lists of an item are read side by side in steps; a
    document met in one list is looked up in all others (direct access), which gives its
@@ -30,6 +32,7 @@ not grow with the number of terms that a block of items has.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -38,13 +41,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, GroupedData, SparkSession, Window, functions as F
 
 from candela.llm import text as tx
 
 SEGMENT_DOCS, SEGMENT_POSTINGS = 4096, 1 << 20
-#: Segments that a task holds, and items.
+#: Segments that a task reads, and items.
 BUCKET, ITEMS = 4, 256
+#: Partitions of the tasks; a partition has several where there are more.
+PARTITIONS = 1 << 13
 #: Entries of a table of positions.
 TABLE = 1 << 24
 #: Positions of each list that the first step reads; every step doubles them.
@@ -71,6 +76,8 @@ SEGMENT = (
     "segment long, n_docs long, n_terms long, doc_id array<long>, length array<long>, "
     "term array<binary>, df array<long>, doc array<int>, tf array<int>"
 )
+#: A row of the index: what a segment's file is called, and its totals.
+LISTED = "segment long, n_docs long, n_terms long, file string"
 
 
 class _Segment:
@@ -131,9 +138,36 @@ class _Segment:
         }
 
 
+def write_segment(folder: str, row: pa.RecordBatch) -> str:
+    """Writes a segment to a file and gives its name, which no other attempt of the task has."""
+    system, root = tx.open_folder(folder)
+    name = f"{row.column(0)[0]}-{uuid.uuid4().hex[:12]}.arrow"
+    with system.open_output_stream(f"{root}/{name}") as sink:
+        with pa.ipc.new_file(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as file:
+            file.write_batch(row)
+    return f"{folder}/{name}"
+
+
+def read_segment(file: str, *names: str) -> dict[str, pa.Array]:
+    """The named columns of a segment; no others are read."""
+    folder, _, name = file.rpartition("/")
+    system, root = tx.open_folder(folder)
+    with system.open_input_file(f"{root}/{name}") as source:
+        columns = pa.ipc.open_file(source).schema
+        wanted = pa.ipc.IpcReadOptions(use_threads=False, included_fields=sorted(columns.get_field_index(x) for x in names))
+        row = pa.ipc.open_file(source, options=wanted).get_batch(0)
+        return {x: row.column(row.schema.get_field_index(x))[0].values for x in names}
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The segments of a table of documents, written."""
-    schema = tx.arrow_schema(SEGMENT)
+    """The segments of a table of documents, written; a row for each file."""
+    schema, listed = tx.arrow_schema(SEGMENT), tx.arrow_schema(LISTED)
+    folder = tx.output_folder(docs.sparkSession, "lexical-segments")
+
+    def write(key: int, segment: _Segment) -> pa.RecordBatch:
+        row = segment.row(key)
+        file = write_segment(folder, pa.RecordBatch.from_pydict(row, schema=schema))
+        return pa.RecordBatch.from_pydict({x: row[x] for x in listed.names[:-1]} | {"file": [file]}, schema=listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, segment = TaskContext.get().partitionId() << 32, _Segment()
@@ -141,12 +175,23 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             for doc_id, text in zip(batch.column(0).to_pylist(), tx.binary(batch.column(1))):
                 segment.add(doc_id, text)
                 if segment.full:
-                    yield pa.RecordBatch.from_pydict(segment.row(made), schema=schema)
+                    yield write(made, segment)
                     made, segment = made + 1, _Segment()
         if segment.ids:
-            yield pa.RecordBatch.from_pydict(segment.row(made), schema=schema)
+            yield write(made, segment)
 
-    return tx.write_table(tx.map_arrow(tx.text_rows(docs, id_col, text_col), run, SEGMENT), "lexical-index")
+    rows = tx.map_arrow(tx.text_rows(docs, id_col, text_col), run, LISTED)
+    # few files: for each one that Spark writes to a local folder, the executor's JVM starts a process
+    return tx.write_table(rows.hint("rebalance", "segment"), "lexical-index")
+
+
+def document_counts(files: DataFrame) -> DataFrame:
+    """(term, df) of all segments, a row for each term of each."""
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+        for file in batch.column(0).to_pylist():
+            yield read_segment(file, "term", "df")
+
+    return tx.map_batches(files, run, "term binary, df long")
 
 
 def queries(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -242,8 +287,8 @@ def searcher(k: int, documents: int, all_terms: int):
         edges = [0, *(np.flatnonzero(item[1:] != item[:-1]) + 1).tolist(), len(item)]
         spans = list(zip(edges[:-1], edges[1:]))
         heaps: list[list[tuple]] = [[] for _ in spans]
-        for i in range(segments.num_rows):
-            segment = {name: segments.column(name)[i].values for name in ("doc_id", "length", "term", "df", "doc", "tf")}
+        for i, file in enumerate(segments.column("file").to_pylist()):
+            segment = read_segment(file, "doc_id", "length", "term", "df", "doc", "tf")
             at = np.array(pc.index_in(distinct, value_set=segment["term"]).fill_null(-1))
             present = np.flatnonzero(at >= 0)
             if not len(present):
@@ -272,6 +317,7 @@ def searcher(k: int, documents: int, all_terms: int):
                     heap.extend((s, ids[low + d], i) for s, d in zip(scores.tolist(), docs.tolist()))
                     heap.sort(key=_order)
                     del heap[k:]
+                del lists  # before the next tables are made
         counts = [len(h) for h in heaps]
         rows = pa.array(np.repeat([first for first, _ in spans], counts))
         return pa.table([
@@ -290,7 +336,7 @@ def search(index: DataFrame, items: DataFrame, k: int = 10, id_col: str = "item_
     buckets = max(1, math.ceil(total.segments / BUCKET))
     blocks = max(1, math.ceil((asked.agg(F.count_distinct("item")).first()[0]) / ITEMS))
 
-    counted = index.select(F.explode(F.arrays_zip("term", "df")).alias("t")).select("t.term", "t.df")
+    counted = document_counts(index.select("file").repartition(min(buckets, PARTITIONS)))
     counted = counted.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     weight = F.floor(F.lit(1000) * F.ln(F.lit(2 * docs + 2) / (F.col("df") * 2 + 1)))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))  # a term may be of a third of all items
@@ -301,9 +347,17 @@ def search(index: DataFrame, items: DataFrame, k: int = 10, id_col: str = "item_
     def all_of(n: int) -> F.Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
+    partitions = min(blocks * buckets, PARTITIONS)
+
+    def dealt(rows: DataFrame) -> GroupedData:
+        # their bytes say nothing of the work, so partitions are not left to Spark
+        rows = rows.withColumn("task", F.col("block") * F.lit(buckets) + F.col("bucket"))
+        rows = rows.withColumn("part", F.pmod("task", F.lit(partitions)).cast("int"))
+        return rows.repartitionById(partitions, F.col("part")).groupBy("part", "task")
+
     left = weighted.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("long")).withColumn("bucket", all_of(buckets))
     right = index.withColumn("bucket", F.pmod(F.xxhash64("segment"), F.lit(buckets)).cast("long")).withColumn("block", all_of(blocks))
-    found = left.groupBy("block", "bucket").cogroup(right.groupBy("block", "bucket")).applyInArrow(searcher(k, docs, all_terms), FOUND)
+    found = dealt(left).cogroup(dealt(right)).applyInArrow(searcher(k, docs, all_terms), FOUND)
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("item", "item_id", "rank", "doc_id", "score")
 
